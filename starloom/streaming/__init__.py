@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The warehouse this library re-expresses is a batch job that is re-run by
+hand; it has no streams, watermarks, windows over event time or state.  A
+scheduled re-run of ``starloom.plans.etl.run_etl`` covers its refresh model,
+and every load is idempotent (a re-run on unchanged data writes no new
+dimension versions).
+"""
