@@ -153,7 +153,7 @@ def over_allocated(assignments: DataFrame, limit: int = 100) -> DataFrame:
     """H4: employees whose allocations add up to more than ``limit`` percent."""
     return (
         assignments.groupBy("employee_id")
-        .agg(F.sum("allocation_pct").alias("total_allocation_pct"))
+        .agg(F.sum("allocation_pct").cast("decimal(18,2)").alias("total_allocation_pct"))
         .where(F.col("total_allocation_pct") > limit)
     )
 

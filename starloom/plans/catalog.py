@@ -186,7 +186,7 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     "tenure_top_n": lambda s: reports.tenure_ranking(s.wh.fact, s.wh.dim_employee,
                                                      s.wh.dim_department, top_n=5),
     "monthly_attrition": lambda s: reports.monthly_attrition(
-        s.wh.fact, s.wh.dim_employee, s.wh.dim_date, s.wh.employees
+        s.wh.fact, s.wh.dim_employee, s.wh.dim_date, s.st["employees"]
     ),
     "headcount_by_department": lambda s: reports.headcount_by_department(
         s.wh.fact, s.wh.dim_department, s.wh.dim_employee
