@@ -244,7 +244,7 @@ def read_current(spark: SparkSession, root: str, table: str, schema: T.StructTyp
     version = current_version(spark, root, table)
     if version == 0:
         return spark.createDataFrame([], schema)
-    return read_or_empty(spark, f"{root}/{table}/v{version:06d}", schema)
+    return read_or_empty(spark, version_path(root, table, version), schema)
 
 
 def write_version(
@@ -261,17 +261,26 @@ def write_version(
     """
     spark = df.sparkSession
     version = current_version(spark, root, table) + 1
-    path = f"{root}/{table}/v{version:06d}"
+    path = version_path(root, table, version)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     if not allow_empty and spark.read.parquet(path).isEmpty():
         raise ValueError(f"refusing to publish an empty {table}")
+    point_to(spark, root, table, version)
+    return version
+
+
+def point_to(spark: SparkSession, root: str, table: str, version: int) -> None:
+    """Move the table's pointer to ``version`` (a one-row table, rewritten)."""
     spark.createDataFrame([(version,)], _POINTER_SCHEMA).coalesce(1).write.mode(
         "overwrite"
     ).parquet(_pointer_path(root, table))
-    return version
+
+
+def version_path(root: str, table: str, version: int) -> str:
+    return f"{root}/{table}/v{version:06d}"
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
