@@ -38,8 +38,6 @@ from starloom.operators.load import (
 from starloom.operators.scd2 import apply_scd2, scd2_changes
 from starloom.sources.tables import TableSource, extract_all
 
-CHANGES_SCHEMA = "employee_id bigint, action string, employee_key bigint, name string, " \
-    "role string, effective_start date, close_date date, reason string"
 
 
 def _publish(df: DataFrame, root: str, table: str, schema, allow_empty: bool = True) -> DataFrame:
@@ -88,7 +86,7 @@ def run_etl(
     # employee dimension, SCD2
     old_dim_employee = read_current(spark, warehouse, "dim_employee", schemas.DIM_EMPLOYEE)
     changes = scd2_changes(employees, x["employee_history"], old_dim_employee)
-    changes = _publish(changes, warehouse, "scd2_changes", CHANGES_SCHEMA)
+    changes = _publish(changes, warehouse, "scd2_changes", schemas.SCD2_CHANGES)
     dim_employee = _publish(
         apply_scd2(old_dim_employee, changes), warehouse, "dim_employee", schemas.DIM_EMPLOYEE
     )

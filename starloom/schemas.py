@@ -132,6 +132,17 @@ FACT_EMPLOYEE_PERFORMANCE = _schema(
     ("distance_from_home", INT, True),
 )
 
+SCD2_CHANGES = _schema(
+    ("employee_id", LONG, True),
+    ("action", STR, False),
+    ("employee_key", LONG, True),
+    ("name", STR, True),
+    ("role", STR, True),
+    ("effective_start", DATE, True),
+    ("close_date", DATE, True),
+    ("reason", STR, True),
+)
+
 FACT_COLUMNS = tuple(f.name for f in FACT_EMPLOYEE_PERFORMANCE.fields)
 
 SCHEMAS: dict[str, T.StructType] = {
