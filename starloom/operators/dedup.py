@@ -14,14 +14,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], fn) -> DataFrame:
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: bool) -> DataFrame:
     keys = list(keys)
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not order and not rest:
         return df.select(keys).distinct()
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
-    picked = df.groupBy(*keys).agg(fn(packed).alias("_row"))
+    if not rest and len(order) == 1:
+        fn = F.min if first else F.max
+        return df.groupBy(*keys).agg(fn(order[0]).alias(order[0])).select(df.columns)
+    # the whole ordering (all columns) decides, so ties resolve the same way everywhere
+    ordering = F.struct(*[F.col(c) for c in order + rest])
+    fn = F.min_by if first else F.max_by
+    packed = F.struct(*[F.col(c) for c in order + rest])
+    picked = df.groupBy(*keys).agg(fn(packed, ordering).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in order + rest]).select(
         df.columns
     )
@@ -29,9 +35,9 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], fn) -> DataF
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key: the smallest by ``order``, remaining columns break ties."""
-    return _pick(df, keys, order, F.min)
+    return _pick(df, keys, order, first=True)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key: the largest by ``order``, remaining columns break ties."""
-    return _pick(df, keys, order, F.max)
+    return _pick(df, keys, order, first=False)

@@ -28,20 +28,78 @@ PROJECT_START = dt.date(1995, 1, 1)
 PROJECT_END = dt.date(1999, 12, 31)
 
 
+# Staged tables that stand in for stored operational tables: derived once per
+# session, written as parquet under the checkpoint folder and read back.
+OLTP = ("departments", "employees", "projects", "assignments", "employee_history")
+STORED = OLTP + ("dim_employee_before", "history_before_changes")
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 class Staging:
-    """Lazy staged tables over one scale-factor folder (each built once)."""
+    """Lazy staged tables over one scale-factor folder (each built once).
+
+    With ``store=True`` the tables in ``STORED`` are written once per session
+    to ``{spark.checkpoint.dir}/starloom-staging/...`` and read back, as the
+    operational database they stand in for would hold them: later plans scan
+    them (with pruning and pushdown) instead of re-deriving them from orders.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, store: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.store = store
         self._cache: dict[str, DataFrame] = {}
 
+    @property
+    def store_root(self) -> str:
+        """Per-session folder of this scale factor's stored tables."""
+        from starloom.session import checkpoint_dir
+
+        app = self.spark.sparkContext.applicationId
+        folder = self.sf_dir.strip("/").replace("/", "_")
+        return f"{checkpoint_dir(self.spark)}/starloom-staging/{app}/{folder}"
+
+    @property
+    def oltp_root(self) -> str:
+        return f"{self.store_root}/oltp"
+
+    def _stored(self, name: str) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _WRITTEN:
+            kind = "oltp" if name in OLTP else "derived"
+            path = f"{self.store_root}/{kind}/{name}"
+            getattr(self, f"_{name}")().write.mode("overwrite").parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(_WRITTEN[key])
+
+    def materialize(self) -> None:
+        """Write every stored table now (otherwise each is written on first use)."""
+        for name in STORED:
+            self[name]
+
+    def attrition_csv(self) -> str:
+        """The snapshot as a CSV file with a header, written once per session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "attrition_csv")
+        if key not in _WRITTEN:
+            path = f"{self.store_root}/attrition_csv"
+            self["attrition_raw"].coalesce(1).write.mode("overwrite").option(
+                "header", True
+            ).csv(path)
+            _WRITTEN[key] = path
+        return _WRITTEN[key]
+
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        key = f"raw:{name}"
+        if key not in self._cache:
+            self._cache[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[key]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = getattr(self, f"_{name}")()
+            if self.store and name in STORED:
+                self._cache[name] = self._stored(name)
+            else:
+                self._cache[name] = getattr(self, f"_{name}")()
         return self._cache[name]
 
     # -- operational tables ----------------------------------------------
@@ -169,10 +227,15 @@ class Staging:
 
     # -- prior warehouse states --------------------------------------------
     def _dim_employee_before(self) -> DataFrame:
-        """dim_employee as a run on ``DIM_CUTOFF`` left it (one open row each)."""
-        h = self["employee_history"].where(F.col("effective_start") <= F.lit(DIM_CUTOFF))
+        """dim_employee as a run on ``DIM_CUTOFF`` left it (one open row each).
+
+        The open version on the cutoff is the last change on or before it.
+        """
+        log = self["order_log"].where(F.col("effective_start") <= F.lit(DIM_CUTOFF))
         last = keep_last(
-            h.select("employee_id", "effective_start", "role"), ["employee_id"], ["effective_start"]
+            log.select("employee_id", "effective_start", "change_id", "role"),
+            ["employee_id"],
+            ["effective_start", "change_id"],
         )
         cust = self.raw("customer").select(
             F.col("c_custkey").alias("employee_id"), F.col("c_name").alias("name")
