@@ -9,6 +9,7 @@ from starloom.functions.dates import (
     month_start,
 )
 from starloom.functions.values import (
+    conformed,
     employee_label,
     money,
     period_label,
@@ -18,6 +19,7 @@ from starloom.functions.values import (
 
 __all__ = [
     "calendar_columns",
+    "conformed",
     "date_key",
     "day_before",
     "employee_label",

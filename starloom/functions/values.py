@@ -38,3 +38,10 @@ def period_label(start: ColumnOrName, end: ColumnOrName) -> Column:
 def employee_label(name: ColumnOrName, role: ColumnOrName) -> Column:
     """``name (role)`` picklist label."""
     return F.concat(_col(name), F.lit(" ("), _col(role), F.lit(")"))
+
+
+def conformed(c: ColumnOrName, collation: str | None = None) -> Column:
+    """A name compared under ``collation`` (e.g. ``UNICODE_CI_AI_RTRIM`` for
+    case-, accent- and trailing-blank-insensitive matching); binary if None."""
+    col = _col(c)
+    return F.collate(col, collation) if collation else col

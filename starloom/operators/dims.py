@@ -8,13 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import as_date_literal, calendar_columns
+from starloom.functions.values import conformed
 from starloom.operators.dedup import keep_first
 from starloom.operators.keys import assign_dense_keys, next_key_base
 
 
-def build_dim_department(departments: DataFrame) -> DataFrame:
-    """Distinct department names; ``source_id`` (smallest dept_id) orders keys."""
-    return departments.groupBy("dept_name").agg(F.min("dept_id").cast("long").alias("source_id"))
+def build_dim_department(departments: DataFrame, collation: str | None = None) -> DataFrame:
+    """Distinct department names; ``source_id`` (smallest dept_id) orders keys.
+
+    With ``collation`` names equal under it form one row (D9), shown as the
+    spelling of the smallest ``dept_id``.
+    """
+    if collation is None:
+        return departments.groupBy("dept_name").agg(
+            F.min("dept_id").cast("long").alias("source_id")
+        )
+    first = departments.groupBy(conformed("dept_name", collation).alias("_name")).agg(
+        F.min_by("dept_name", "dept_id").alias("dept_name"),
+        F.min("dept_id").cast("long").alias("source_id"),
+    )
+    return first.select("dept_name", "source_id")
 
 
 def build_dim_project(projects: DataFrame) -> DataFrame:

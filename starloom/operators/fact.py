@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import as_date_literal, date_key_of
-from starloom.functions.values import money, tenure_days
+from starloom.functions.values import conformed, money, tenure_days
 from starloom.schemas import FACT_COLUMNS
 
 ATTRIBUTE_DEFAULTS = {
@@ -41,11 +41,18 @@ def employee_profile(
     attrition: DataFrame,
     dim_employee: DataFrame,
     dim_department: DataFrame,
+    collation: str | None = None,
 ) -> DataFrame:
-    """Everything the fact needs per employee, one row per current dim key."""
+    """Everything the fact needs per employee, one row per current dim key.
+
+    ``collation`` matches department names under it (D9); binary by default.
+    """
     keys = dim_employee.where(F.col("is_current")).select("employee_key", "employee_id")
     staff = employees.select("employee_id", "dept_name", "hire_date", "current_salary", "status")
-    staff = staff.join(dim_department.select("department_key", "dept_name"), "dept_name", "left")
+    depts = dim_department.select("department_key", F.col("dept_name").alias("_dim_name"))
+    staff = staff.join(
+        depts, conformed("dept_name", collation) == conformed("_dim_name", collation), "left"
+    ).drop("_dim_name")
     snapshot = attrition.withColumn("_in_snapshot", F.lit(True))
     return keys.join(staff, "employee_id", "left").join(snapshot, "employee_id", "left")
 
@@ -66,9 +73,10 @@ def enriched_assignments(
     dim_department: DataFrame,
     dim_project: DataFrame,
     as_of: dt.date,
+    collation: str | None = None,
 ) -> DataFrame:
     """Assignment rows with every fact column plus their natural keys."""
-    profile = employee_profile(employees, attrition, dim_employee, dim_department)
+    profile = employee_profile(employees, attrition, dim_employee, dim_department, collation)
     rows = (
         assignments.select("assignment_id", "employee_id", "project_id", "allocation_pct")
         .join(profile, "employee_id", "inner")

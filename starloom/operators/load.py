@@ -283,6 +283,22 @@ def version_path(root: str, table: str, version: int) -> str:
     return f"{root}/{table}/v{version:06d}"
 
 
+def load_oltp(tables: dict[str, DataFrame], root: str) -> DataFrame:
+    """Publish the operational tables, then report their rule violations.
+
+    Parquet enforces no keys, so the order of the writes does not matter; the
+    returned report (lazy) lists what a database would have refused.
+    """
+    from starloom.operators.quality import quality_report
+
+    spark = next(iter(tables.values())).sparkSession
+    published = {}
+    for name, df in tables.items():
+        write_version(df, root, name, allow_empty=True)
+        published[name] = read_current(spark, root, name, df.schema)
+    return quality_report(published)
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, row_count)`` for every table, one job."""
     parts = [

@@ -32,7 +32,7 @@ from starloom.operators.load import (
     upsert_dim_project,
     write_version,
 )
-from starloom.operators.scd2 import interval_violations
+from starloom.operators.scd2 import interval_violations, versions_of
 from starloom.plans import reports
 from starloom.plans.etl import run_etl, warehouse_tables
 from starloom.plans.warehouse import Warehouse, build_warehouse
@@ -225,6 +225,7 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
         *_star(s, "fact", "dim_department", "dim_employee")
     ),
     "employee_salary_history": lambda s: reports.employee_salary_history(s.st["employee_history"]),
+    "scd2_versions": lambda s: versions_of(s.published()["dim_employee"]),
     "department_salary_trend": lambda s: reports.department_salary_trend(
         s.st["employee_history"], s.st["employees"], s.st["departments"]
     ),

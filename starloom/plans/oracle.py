@@ -510,6 +510,9 @@ select employee_id, effective_start, effective_end, role, salary, is_current,
        cast(effective_start as varchar) || ' → '
          || coalesce(cast(effective_end as varchar), 'present') as period_label
 from employee_history""",
+    "scd2_versions": """
+select employee_key, employee_id, role, is_current, effective_start, effective_end
+from dim_employee""",
     "department_salary_trend": """
 select d.dept_name, strftime(h.effective_start, '%Y-%m') as salary_month, h.role,
        count(*) as employee_versions,

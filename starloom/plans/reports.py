@@ -200,3 +200,21 @@ def active_projects(projects: DataFrame, as_of: dt.date) -> DataFrame:
     active = F.col("end_date").isNull() | (F.col("end_date") >= as_date_literal(as_of))
     none_active = ~projects.where(active).exists()
     return projects.where(active | none_active)
+
+
+# Presentation order of each report (O1).  Reports are unordered DataFrames;
+# a caller that shows one sorts it last, with a distributed range sort.
+DISPLAY_ORDER: dict[str, tuple[str, ...]] = {
+    "tenure_ranking": ("dept_name", "tenure_rank"),
+    "monthly_attrition": ("report_month",),
+    "headcount_by_department": ("dept_name",),
+    "employee_salary_history": ("employee_id", "effective_start"),
+    "department_salary_trend": ("dept_name", "salary_month", "role"),
+    "picklists": ("kind", "label", "item_id"),
+    "scd2_versions": ("employee_id", "effective_start"),
+}
+
+
+def for_display(df: DataFrame, report: str) -> DataFrame:
+    """Sort a report the way it is presented (NULLs first, ascending)."""
+    return df.orderBy(*DISPLAY_ORDER[report])

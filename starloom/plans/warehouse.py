@@ -39,7 +39,9 @@ class Warehouse:
         as_of: dt.date,
         dim_department: DataFrame | None = None,
         dim_project: DataFrame | None = None,
+        collation: str | None = None,
     ):
+        self.collation = collation
         self.oltp = oltp
         self.attrition_raw = attrition_raw
         self._dim_employee_before = dim_employee_before
@@ -65,7 +67,7 @@ class Warehouse:
     def dim_department(self) -> DataFrame:
         if self._dim_department is not None:
             return self._dim_department
-        return key_dim_department(build_dim_department(self.oltp["departments"]))
+        return key_dim_department(build_dim_department(self.oltp["departments"], self.collation))
 
     @cached_property
     def dim_project(self) -> DataFrame:
@@ -89,7 +91,7 @@ class Warehouse:
     def enriched(self) -> DataFrame:
         return enriched_assignments(
             self.employees, self.oltp["projects"], self.oltp["assignments"], self.attrition,
-            self.dim_employee, self.dim_department, self.dim_project, self.as_of,
+            self.dim_employee, self.dim_department, self.dim_project, self.as_of, self.collation,
         )
 
     @cached_property
@@ -108,6 +110,13 @@ def build_warehouse(
     as_of: dt.date,
     dim_department: DataFrame | None = None,
     dim_project: DataFrame | None = None,
+    collation: str | None = None,
 ) -> Warehouse:
-    """First-load dims unless keyed ``dim_department``/``dim_project`` are given."""
-    return Warehouse(oltp, attrition_raw, dim_employee_before, as_of, dim_department, dim_project)
+    """First-load dims unless keyed ``dim_department``/``dim_project`` are given.
+
+    ``collation`` (e.g. ``UNICODE_CI_AI_RTRIM``) conforms department names the
+    way a case-insensitive database collation would (D9); binary by default.
+    """
+    return Warehouse(
+        oltp, attrition_raw, dim_employee_before, as_of, dim_department, dim_project, collation
+    )

@@ -137,3 +137,15 @@ def employees_with_department(employees: DataFrame, departments: DataFrame) -> D
 def run_sql(spark: SparkSession, query: str, **params) -> DataFrame:
     """Parameterised SQL (``:name`` markers) over registered views."""
     return spark.sql(query, args=params or None)
+
+
+def register_database(spark: SparkSession, database: str, tables: Mapping[str, str]) -> None:
+    """Expose parquet folders as ``database.table`` in the session catalog.
+
+    Two databases (operational and star schema) can then be joined in one SQL
+    statement, as the reports do across them.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, path in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{path}'")

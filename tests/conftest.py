@@ -13,7 +13,12 @@ def spark():
     from starloom.session import build_session
 
     ckpt = tempfile.mkdtemp(prefix="starloom-test-ckpt-")
-    s = build_session("local[4]", shuffle_partitions=4, conf={"spark.checkpoint.dir": ckpt})
+    warehouse = tempfile.mkdtemp(prefix="starloom-test-catalog-")
+    s = build_session(
+        "local[4]",
+        shuffle_partitions=4,
+        conf={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": warehouse},
+    )
     yield s
     s.stop()
 
