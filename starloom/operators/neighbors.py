@@ -29,6 +29,7 @@ def with_next(
     """Add ``{prefix}{v}``: ``v`` of the next row by ``order_col`` within ``keys``.
 
     ``order_col`` must be unique within a key and ``chunk`` non-decreasing in it.
+    Input already hash-partitioned by ``(keys, chunk)`` is not shuffled again.
     """
     keys = list(keys)
     base = df.withColumn(_CHUNK, chunk)
@@ -37,6 +38,7 @@ def with_next(
     lead_cols["_is_last"] = F.lead(F.lit(1)).over(inner).isNull()
     rows = base.withColumns(lead_cols)
 
+    # one row per (key, chunk): its first values; a partial aggregate
     firsts = base.groupBy(*keys, _CHUNK).agg(
         F.min_by(F.struct(*[F.col(v) for v in values]), F.col(order_col)).alias("_first")
     )

@@ -36,13 +36,14 @@ from starloom.operators.load import (
     write_version,
 )
 from starloom.operators.scd2 import apply_scd2, scd2_changes
-from starloom.sources.tables import TableSource, extract_all
+from starloom.sources.tables import TableSource, extract_all, read_or_empty
 
 
 
 def _publish(df: DataFrame, root: str, table: str, schema, allow_empty: bool = True) -> DataFrame:
-    write_version(df, root, table, allow_empty=allow_empty)
-    return read_current(df.sparkSession, root, table, schema)
+    """Write the next version and continue from what was written (cuts lineage)."""
+    version = write_version(df, root, table, allow_empty=allow_empty)
+    return read_or_empty(df.sparkSession, version_path(root, table, version), schema)
 
 
 def run_etl(
