@@ -220,67 +220,101 @@ def onboard(
 
 
 # --------------------------------------------------------------------------
-# versioned tables: write beside, then swap the pointer
+# versioned tables: write beside, then publish a manifest
 # --------------------------------------------------------------------------
 
-_POINTER_SCHEMA = T.StructType([T.StructField("version", T.IntegerType(), False)])
+_MANIFEST_SCHEMA = T.StructType(
+    [T.StructField("table_name", T.StringType(), False),
+     T.StructField("version", T.IntegerType(), False)]
+)
 
 
-def _pointer_path(root: str, table: str) -> str:
-    return f"{root}/{table}/pointer"
+def _manifest_path(root: str) -> str:
+    return f"{root}/manifest"
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> int:
-    """Version number the table's pointer names; 0 before the first write."""
+def version_path(root: str, table: str, version: int) -> str:
+    return f"{root}/{table}/v{version:06d}"
+
+
+def current_versions(spark: SparkSession, root: str) -> dict[str, int]:
+    """Published version of every table under ``root`` (empty before any)."""
     try:
-        row = spark.read.schema(_POINTER_SCHEMA).parquet(_pointer_path(root, table)).first()
+        rows = spark.read.schema(_MANIFEST_SCHEMA).parquet(_manifest_path(root)).collect()
     except AnalysisException:
-        return 0
-    return int(row["version"]) if row else 0
+        return {}
+    return {r["table_name"]: int(r["version"]) for r in rows}
 
 
-def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
-    """The table as of its pointer; empty with ``schema`` before the first write."""
-    version = current_version(spark, root, table)
+def current_version(spark: SparkSession, root: str, table: str) -> int:
+    """Published version of one table; 0 before its first publication."""
+    return current_versions(spark, root).get(table, 0)
+
+
+def publish(spark: SparkSession, root: str, versions: dict[str, int]) -> None:
+    """Make ``versions`` current, all tables at once (one small write).
+
+    Until this runs, readers keep seeing the previous versions, so a run that
+    fails half-way publishes nothing.
+    """
+    merged = {**current_versions(spark, root), **versions}
+    spark.createDataFrame(sorted(merged.items()), _MANIFEST_SCHEMA).coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(_manifest_path(root))
+
+
+def read_version(
+    spark: SparkSession, root: str, table: str, version: int, schema: T.StructType
+) -> DataFrame:
     if version == 0:
         return spark.createDataFrame([], schema)
     return read_or_empty(spark, version_path(root, table, version), schema)
 
 
-def write_version(
+def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
+    """The table as published; empty with ``schema`` before its first version."""
+    return read_version(spark, root, table, current_version(spark, root, table), schema)
+
+
+def write_unpublished(
     df: DataFrame,
     root: str,
     table: str,
+    version: int,
     partition_by: list[str] | None = None,
-    allow_empty: bool = False,
-) -> int:
-    """Write ``df`` as the next version and swap the pointer to it.
+    allow_empty: bool = True,
+) -> str:
+    """Write ``df`` as ``version`` of ``table`` without publishing it.
 
-    An empty result is not swapped in unless ``allow_empty`` (D19): the old
-    version stays current and ``ValueError`` is raised.
+    With ``allow_empty=False`` an empty result raises ``ValueError`` (D19).
     """
-    spark = df.sparkSession
-    version = current_version(spark, root, table) + 1
     path = version_path(root, table, version)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    if not allow_empty and spark.read.parquet(path).isEmpty():
+    if not allow_empty and df.sparkSession.read.parquet(path).isEmpty():
         raise ValueError(f"refusing to publish an empty {table}")
-    point_to(spark, root, table, version)
-    return version
-
+    return path
 
-def point_to(spark: SparkSession, root: str, table: str, version: int) -> None:
-    """Move the table's pointer to ``version`` (a one-row table, rewritten)."""
-    spark.createDataFrame([(version,)], _POINTER_SCHEMA).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(_pointer_path(root, table))
 
+def write_version(
+    df: DataFrame,
+    root: str,
+    table: str,
+    partition_by: list[str] | None = None,
+    allow_empty: bool = False,
+) -> int:
+    """Write ``df`` as the next version of ``table`` and publish it.
 
-def version_path(root: str, table: str, version: int) -> str:
-    return f"{root}/{table}/v{version:06d}"
+    An empty result is not published unless ``allow_empty`` (D19): the old
+    version stays current and ``ValueError`` is raised.
+    """
+    spark = df.sparkSession
+    version = current_version(spark, root, table) + 1
+    write_unpublished(df, root, table, version, partition_by, allow_empty)
+    publish(spark, root, {table: version})
+    return version
 
 
 def load_oltp(tables: dict[str, DataFrame], root: str) -> DataFrame:
@@ -292,11 +326,14 @@ def load_oltp(tables: dict[str, DataFrame], root: str) -> DataFrame:
     from starloom.operators.quality import quality_report
 
     spark = next(iter(tables.values())).sparkSession
-    published = {}
+    old = current_versions(spark, root)
+    versions = {name: old.get(name, 0) + 1 for name in tables}
+    written = {}
     for name, df in tables.items():
-        write_version(df, root, name, allow_empty=True)
-        published[name] = read_current(spark, root, name, df.schema)
-    return quality_report(published)
+        write_unpublished(df, root, name, versions[name])
+        written[name] = read_version(spark, root, name, versions[name], df.schema)
+    publish(spark, root, versions)
+    return quality_report(written)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,10 +1,12 @@
 """The whole load: extract -> dimensions -> SCD2 -> fact -> counts.
 
-Jobs run only at the writes.  Every dimension is published as a new version
-and read back before the next step uses it, which fixes the generated keys
-and cuts the lineage (so a lost executor recomputes from the last written
-table, not from the sources).  The change set is written too: it is the audit
-of the run and feeds both the dimension rewrite and the counts.
+Jobs run only at the writes.  Every table is written as a new version and
+read back before the next step uses it, which fixes the generated keys and
+cuts the lineage (a lost executor recomputes from the last written table,
+not from the sources).  Nothing is visible to readers until the end of the
+run, when one manifest write publishes every new version together; a run
+that fails half-way leaves the previous warehouse in place.  The change sets
+(project upsert, SCD2) are kept as tables too: they are the audit of a run.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.functions.dates import date_key_of
 from starloom.operators.clean import prepare_attrition
 from starloom.operators.dims import build_dim_date, build_dim_department, build_dim_project
 from starloom.operators.fact import (
@@ -25,25 +28,40 @@ from starloom.operators.fact import (
     require_snapshot_date,
 )
 from starloom.operators.load import (
-    current_version,
+    current_versions,
     new_dates,
     new_departments,
-    point_to,
-    read_current,
+    publish,
+    read_version,
     table_counts,
     upsert_dim_project,
-    version_path,
-    write_version,
+    write_unpublished,
 )
 from starloom.operators.scd2 import apply_scd2, scd2_changes
-from starloom.sources.tables import TableSource, extract_all, read_or_empty
+from starloom.sources.tables import TableSource, extract_all
 
+STAR_TABLES = ("dim_date", "dim_department", "dim_project", "dim_employee",
+               "fact_employee_performance")
 
 
-def _publish(df: DataFrame, root: str, table: str, schema, allow_empty: bool = True) -> DataFrame:
-    """Write the next version and continue from what was written (cuts lineage)."""
-    version = write_version(df, root, table, allow_empty=allow_empty)
-    return read_or_empty(df.sparkSession, version_path(root, table, version), schema)
+class _Run:
+    """Versions of one run: what was published before and what it wrote."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root
+        self.before = current_versions(spark, root)
+        self.written: dict[str, int] = {}
+
+    def old(self, table: str, schema) -> DataFrame:
+        return read_version(self.spark, self.root, table, self.before.get(table, 0), schema)
+
+    def write(self, df: DataFrame, table: str, schema, partition_by=None,
+              allow_empty: bool = True) -> DataFrame:
+        version = self.before.get(table, 0) + 1
+        write_unpublished(df, self.root, table, version, partition_by, allow_empty)
+        self.written[table] = version
+        return read_version(self.spark, self.root, table, version, schema)
 
 
 def run_etl(
@@ -57,42 +75,54 @@ def run_etl(
     """Load one snapshot into the warehouse folder; returns the run's counts.
 
     ``full_refresh=True`` publishes a fact holding only this snapshot (the
-    fact is replaced each run); ``False`` replaces only this snapshot's
-    ``date_key`` partition and keeps the others.  An empty fact is never
+    fact is replaced each run); ``False`` keeps the other snapshots and
+    replaces this snapshot's ``date_key`` partition.  An empty fact is never
     published.
     """
+    sc = spark.sparkContext
+
+    def step(name: str) -> None:
+        sc.setJobDescription(f"starloom etl: {name}")
+
+    run = _Run(spark, warehouse)
     x = extract_all(spark, source, attrition_csv)
     employees = x["employees"]
     attrition = prepare_attrition(x["attrition_raw"])
 
     # reference dimensions: append what is new (insert-if-absent)
-    old_dates = read_current(spark, warehouse, "dim_date", schemas.DIM_DATE)
+    step("dim_date")
+    old_dates = run.old("dim_date", schemas.DIM_DATE)
     fresh_dates = new_dates(build_dim_date(employees, x["assignments"], as_of), old_dates)
-    dim_date = _publish(old_dates.unionByName(fresh_dates), warehouse, "dim_date", schemas.DIM_DATE)
+    dim_date = run.write(old_dates.unionByName(fresh_dates), "dim_date", schemas.DIM_DATE)
 
-    old_depts = read_current(spark, warehouse, "dim_department", schemas.DIM_DEPARTMENT)
+    step("dim_department")
+    old_depts = run.old("dim_department", schemas.DIM_DEPARTMENT)
     fresh_depts = new_departments(build_dim_department(x["departments"]), old_depts)
-    dim_department = _publish(
-        old_depts.unionByName(fresh_depts), warehouse, "dim_department", schemas.DIM_DEPARTMENT
+    dim_department = run.write(
+        old_depts.unionByName(fresh_depts), "dim_department", schemas.DIM_DEPARTMENT
     )
 
-    old_projects = read_current(spark, warehouse, "dim_project", schemas.DIM_PROJECT)
-    upsert = upsert_dim_project(build_dim_project(x["projects"]), old_projects)
-    upsert_version = write_version(upsert, warehouse, "dim_project_changes", allow_empty=True)
-    upsert = spark.read.parquet(version_path(warehouse, "dim_project_changes", upsert_version))
-    dim_project = _publish(
-        upsert.drop("action"), warehouse, "dim_project", schemas.DIM_PROJECT
+    step("dim_project")
+    old_projects = run.old("dim_project", schemas.DIM_PROJECT)
+    upsert = run.write(
+        upsert_dim_project(build_dim_project(x["projects"]), old_projects),
+        "dim_project_changes", schemas.DIM_PROJECT_CHANGES,
     )
+    dim_project = run.write(upsert.drop("action"), "dim_project", schemas.DIM_PROJECT)
 
     # employee dimension, SCD2
-    old_dim_employee = read_current(spark, warehouse, "dim_employee", schemas.DIM_EMPLOYEE)
-    changes = scd2_changes(employees, x["employee_history"], old_dim_employee)
-    changes = _publish(changes, warehouse, "scd2_changes", schemas.SCD2_CHANGES)
-    dim_employee = _publish(
-        apply_scd2(old_dim_employee, changes), warehouse, "dim_employee", schemas.DIM_EMPLOYEE
+    step("dim_employee scd2")
+    old_dim_employee = run.old("dim_employee", schemas.DIM_EMPLOYEE)
+    changes = run.write(
+        scd2_changes(employees, x["employee_history"], old_dim_employee),
+        "scd2_changes", schemas.SCD2_CHANGES,
+    )
+    dim_employee = run.write(
+        apply_scd2(old_dim_employee, changes), "dim_employee", schemas.DIM_EMPLOYEE
     )
 
     # fact for the snapshot
+    step("fact")
     require_snapshot_date(dim_date, as_of)
     enriched = enriched_assignments(
         employees, x["projects"], x["assignments"], attrition, dim_employee, dim_department,
@@ -100,24 +130,20 @@ def run_etl(
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fact = fact_from_enriched(enriched)
-        if full_refresh:
-            write_version(fact, warehouse, "fact_employee_performance",
-                          partition_by=["date_key"], allow_empty=False)
-        else:
-            # dynamic partition overwrite: only this snapshot's date_key is replaced
-            published = current_version(spark, warehouse, "fact_employee_performance")
-            if fact.isEmpty():
-                raise ValueError("refusing to publish an empty fact_employee_performance")
-            fact.write.mode("overwrite").partitionBy("date_key").parquet(
-                version_path(warehouse, "fact_employee_performance", max(published, 1))
-            )
-            if published == 0:
-                point_to(spark, warehouse, "fact_employee_performance", 1)
-        write_version(rejects_from_enriched(enriched), warehouse, "fact_rejects", allow_empty=True)
+        if not full_refresh and run.before.get("fact_employee_performance"):
+            # keep the other snapshots: this date_key's rows are replaced
+            kept = run.old("fact_employee_performance", schemas.FACT_EMPLOYEE_PERFORMANCE)
+            fact = kept.where(F.col("date_key") != F.lit(date_key_of(as_of))).unionByName(fact)
+        fact = run.write(fact, "fact_employee_performance", schemas.FACT_EMPLOYEE_PERFORMANCE,
+                         partition_by=["date_key"], allow_empty=False)
+        run.write(rejects_from_enriched(enriched), "fact_rejects", schemas.FACT_REJECTS)
     finally:
         enriched.unpersist()
 
-    counts = changes.agg(
+    publish(spark, warehouse, run.written)
+
+    step("counts")
+    summary = changes.agg(
         F.count_if(F.col("action").isin("insert", "close_insert")).alias("scd2_inserted"),
         F.count_if(F.col("action") == "close_insert").alias("scd2_closed"),
         F.count_if(F.col("action") == "reject").alias("scd2_rejected"),
@@ -126,26 +152,30 @@ def run_etl(
         r["action"]: r["n"]
         for r in upsert.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()
     }
-    tables = warehouse_tables(spark, warehouse)
     sizes = {
         r["table_name"]: r["row_count"]
-        for r in table_counts(tables).collect()
+        for r in table_counts({
+            "dim_date": dim_date, "dim_department": dim_department, "dim_project": dim_project,
+            "dim_employee": dim_employee, "fact_employee_performance": fact,
+            "dim_date_before": old_dates, "dim_department_before": old_depts,
+        }).collect()
     }
+    sc.setJobDescription(None)
     return {
-        "dim_date_inserted": sizes["dim_date"] - old_dates.count(),
-        "dim_department_inserted": sizes["dim_department"] - old_depts.count(),
+        "dim_date_inserted": sizes["dim_date"] - sizes["dim_date_before"],
+        "dim_department_inserted": sizes["dim_department"] - sizes["dim_department_before"],
         "dim_project_inserted": project_actions.get("inserted", 0),
         "dim_project_changed": project_actions.get("changed", 0),
         "dim_project_unchanged": project_actions.get("unchanged", 0),
-        **{k: int(v) for k, v in counts.items()},
-        **{f"rows_{k}": v for k, v in sizes.items()},
+        **{k: int(v) for k, v in summary.items()},
+        **{f"rows_{t}": sizes[t] for t in STAR_TABLES},
     }
 
 
 def warehouse_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     """The published star schema (current versions)."""
+    versions = current_versions(spark, warehouse)
     return {
-        name: read_current(spark, warehouse, name, schemas.SCHEMAS[name])
-        for name in ("dim_date", "dim_department", "dim_project", "dim_employee",
-                     "fact_employee_performance")
+        name: read_version(spark, warehouse, name, versions.get(name, 0), schemas.SCHEMAS[name])
+        for name in STAR_TABLES
     }

@@ -143,6 +143,22 @@ SCD2_CHANGES = _schema(
     ("reason", STR, True),
 )
 
+FACT_REJECTS = _schema(
+    ("assignment_id", LONG, True),
+    ("employee_id", LONG, True),
+    ("project_id", LONG, True),
+    ("dept_name", STR, True),
+    ("project_name", STR, True),
+    ("missing_keys", STR, True),
+)
+
+DIM_PROJECT_CHANGES = _schema(
+    ("project_key", LONG, True),
+    ("project_name", STR, True),
+    ("budget", BUDGET, True),
+    ("action", STR, False),
+)
+
 FACT_COLUMNS = tuple(f.name for f in FACT_EMPLOYEE_PERFORMANCE.fields)
 
 SCHEMAS: dict[str, T.StructType] = {
