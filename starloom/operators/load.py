@@ -268,9 +268,47 @@ def read_version(
 ) -> DataFrame:
     if version == 0:
         return spark.createDataFrame([], schema)
+    if table in SCD2_TABLES:
+        return read_scd2_version(spark, root, table, version, schema)
     return read_or_empty(spark, version_path(root, table, version), schema)
 
 
+# --------------------------------------------------------------------------
+# SCD2 tables: closed versions are immutable, so they are appended once
+# (``closed/run=N``) and only the current rows are rewritten per run.
+# --------------------------------------------------------------------------
+
+SCD2_TABLES = {"dim_employee"}
+
+
+def read_scd2_version(
+    spark: SparkSession, root: str, table: str, version: int, schema: T.StructType,
+    current_only: bool = False,
+) -> DataFrame:
+    """Version ``version``: its current rows plus the rows closed by runs <= it."""
+    current = read_or_empty(spark, f"{root}/{table}/current/v{version:06d}", schema)
+    if current_only:
+        return current
+    with_run = T.StructType(schema.fields + [T.StructField("run", T.IntegerType(), True)])
+    closed = read_or_empty(spark, f"{root}/{table}/closed", with_run)
+    closed = closed.where(F.col("run") <= F.lit(version)).drop("run")
+    return closed.unionByName(current)
+
+
+def write_scd2_unpublished(df: DataFrame, root: str, table: str, version: int) -> None:
+    """Split the next state: current rows as a new version, closed rows of
+    this run appended under ``run=version`` (a retried run replaces only its
+    own partition)."""
+    df.where(F.col("is_current")).write.mode("overwrite").parquet(
+        f"{root}/{table}/current/v{version:06d}"
+    )
+    df.where(~F.col("is_current")).withColumn("run", F.lit(version)).write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(
+        f"{root}/{table}/closed"
+    )
+
+
 def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """The table as published; empty with ``schema`` before its first version."""
     return read_version(spark, root, table, current_version(spark, root, table), schema)

@@ -29,8 +29,9 @@ from starloom.operators.load import (
     new_departments,
     onboard,
     table_counts,
+    publish,
     upsert_dim_project,
-    write_version,
+    write_scd2_unpublished,
 )
 from starloom.operators.scd2 import interval_violations, versions_of
 from starloom.plans import reports
@@ -74,7 +75,8 @@ class Scenario:
         if key not in _PUBLISHED:
             self.st.materialize()
             warehouse = f"{self.st.store_root}/warehouse"
-            write_version(self.st["dim_employee_before"], warehouse, "dim_employee")
+            write_scd2_unpublished(self.st["dim_employee_before"], warehouse, "dim_employee", 1)
+            publish(self.spark, warehouse, {"dim_employee": 1})
             run_etl(self.spark, TableSource(root=self.st.oltp_root), warehouse, AS_OF,
                     self.st.attrition_csv())
             _PUBLISHED[key] = warehouse

@@ -32,9 +32,11 @@ from starloom.operators.load import (
     new_dates,
     new_departments,
     publish,
+    read_scd2_version,
     read_version,
     table_counts,
     upsert_dim_project,
+    write_scd2_unpublished,
     write_unpublished,
 )
 from starloom.operators.scd2 import apply_scd2, scd2_changes
@@ -110,16 +112,24 @@ def run_etl(
     )
     dim_project = run.write(upsert.drop("action"), "dim_project", schemas.DIM_PROJECT)
 
-    # employee dimension, SCD2
+    # employee dimension, SCD2: only the current rows take part in a run (the
+    # largest key is always a current row: every close inserts a larger one),
+    # so closed history is neither read nor rewritten
     step("dim_employee scd2")
-    old_dim_employee = run.old("dim_employee", schemas.DIM_EMPLOYEE)
+    before = run.before.get("dim_employee", 0)
+    old_current = (
+        read_scd2_version(spark, warehouse, "dim_employee", before, schemas.DIM_EMPLOYEE,
+                          current_only=True)
+        if before else spark.createDataFrame([], schemas.DIM_EMPLOYEE)
+    )
     changes = run.write(
-        scd2_changes(employees, x["employee_history"], old_dim_employee),
+        scd2_changes(employees, x["employee_history"], old_current),
         "scd2_changes", schemas.SCD2_CHANGES,
     )
-    dim_employee = run.write(
-        apply_scd2(old_dim_employee, changes), "dim_employee", schemas.DIM_EMPLOYEE
-    )
+    write_scd2_unpublished(apply_scd2(old_current, changes), warehouse, "dim_employee", before + 1)
+    run.written["dim_employee"] = before + 1
+    dim_employee = read_version(spark, warehouse, "dim_employee", before + 1,
+                                schemas.DIM_EMPLOYEE)
 
     # fact for the snapshot
     step("fact")

@@ -1,6 +1,7 @@
 """End-to-end: stage operational tables, run the load twice, then a role change."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,3 +66,14 @@ def test_first_run_rerun_and_change(spark, oltp, tmp_path):
     assert versions[-1]["role"] == "Manager" and versions[-1]["is_current"]
     assert versions[-2]["effective_end"] == dt.date(2002, 1, 1) and not versions[-2]["is_current"]
     assert dim.groupBy("employee_id").agg(F.count_if("is_current").alias("c")).where("c <> 1").count() == 0
+    # closed versions are appended once, by the run that closed them
+    runs = sorted(p for p in os.listdir(f"{wh}/dim_employee/closed") if p.startswith("run="))
+    assert runs == ["run=3"]
+
+    # a second snapshot kept beside the first (per-snapshot fact)
+    later = dt.date(1998, 6, 1)
+    run_etl(spark, TableSource(root=root2), wh, later, csv, full_refresh=False)
+    fact = warehouse_tables(spark, wh)["fact_employee_performance"]
+    keys = sorted(r["date_key"] for r in fact.select("date_key").distinct().collect())
+    assert keys == [19980101, 19980601]
+    assert fact.where("date_key = 19980601").count() == assignments
