@@ -2,7 +2,7 @@
 
 Spark has no ``UPDATE``/``MERGE`` on parquet, so every load computes the
 complete next state of a table as a DataFrame, writes it as a new version
-beside the old one and then moves the table's pointer to it.  Readers see
+beside the old one and then publishes it in the warehouse manifest.  Readers see
 either the old or the new version, never a half-written one.
 """
 

@@ -12,6 +12,7 @@ that fails half-way leaves the previous warehouse in place.  The change sets
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -91,45 +92,56 @@ def run_etl(
     employees = x["employees"]
     attrition = prepare_attrition(x["attrition_raw"])
 
-    # reference dimensions: append what is new (insert-if-absent)
-    step("dim_date")
-    old_dates = run.old("dim_date", schemas.DIM_DATE)
-    fresh_dates = new_dates(build_dim_date(employees, x["assignments"], as_of), old_dates)
-    dim_date = run.write(old_dates.unionByName(fresh_dates), "dim_date", schemas.DIM_DATE)
-
-    step("dim_department")
-    old_depts = run.old("dim_department", schemas.DIM_DEPARTMENT)
-    fresh_depts = new_departments(build_dim_department(x["departments"]), old_depts)
-    dim_department = run.write(
-        old_depts.unionByName(fresh_depts), "dim_department", schemas.DIM_DEPARTMENT
-    )
-
-    step("dim_project")
-    old_projects = run.old("dim_project", schemas.DIM_PROJECT)
-    upsert = run.write(
-        upsert_dim_project(build_dim_project(x["projects"]), old_projects),
-        "dim_project_changes", schemas.DIM_PROJECT_CHANGES,
-    )
-    dim_project = run.write(upsert.drop("action"), "dim_project", schemas.DIM_PROJECT)
-
-    # employee dimension, SCD2: only the current rows take part in a run (the
-    # largest key is always a current row: every close inserts a larger one),
-    # so closed history is neither read nor rewritten
-    step("dim_employee scd2")
-    before = run.before.get("dim_employee", 0)
-    old_current = (
-        read_scd2_version(spark, warehouse, "dim_employee", before, schemas.DIM_EMPLOYEE,
-                          current_only=True)
-        if before else spark.createDataFrame([], schemas.DIM_EMPLOYEE)
-    )
-    changes = run.write(
-        scd2_changes(employees, x["employee_history"], old_current),
-        "scd2_changes", schemas.SCD2_CHANGES,
-    )
-    write_scd2_unpublished(apply_scd2(old_current, changes), warehouse, "dim_employee", before + 1)
-    run.written["dim_employee"] = before + 1
-    dim_employee = read_version(spark, warehouse, "dim_employee", before + 1,
-                                schemas.DIM_EMPLOYEE)
+    # The three reference dimensions and the SCD2 step depend on nothing but
+    # the sources, so they run as concurrent jobs; the fact waits for all.
+    def load_dates():
+        # reference dimensions: append what is new (insert-if-absent)
+        step("dim_date")
+        old = run.old("dim_date", schemas.DIM_DATE)
+        fresh = new_dates(build_dim_date(employees, x["assignments"], as_of), old)
+        return run.write(old.unionByName(fresh), "dim_date", schemas.DIM_DATE), old
+
+    def load_departments():
+        step("dim_department")
+        old = run.old("dim_department", schemas.DIM_DEPARTMENT)
+        fresh = new_departments(build_dim_department(x["departments"]), old)
+        return run.write(old.unionByName(fresh), "dim_department", schemas.DIM_DEPARTMENT), old
+
+    def load_projects():
+        step("dim_project")
+        old = run.old("dim_project", schemas.DIM_PROJECT)
+        upsert = run.write(
+            upsert_dim_project(build_dim_project(x["projects"]), old),
+            "dim_project_changes", schemas.DIM_PROJECT_CHANGES,
+        )
+        return run.write(upsert.drop("action"), "dim_project", schemas.DIM_PROJECT), upsert
+
+    def load_employees():
+        # SCD2: only the current rows take part in a run (the largest key is
+        # always a current row: every close inserts a larger one), so closed
+        # history is neither read nor rewritten
+        step("dim_employee scd2")
+        before = run.before.get("dim_employee", 0)
+        old_current = (
+            read_scd2_version(spark, warehouse, "dim_employee", before, schemas.DIM_EMPLOYEE,
+                              current_only=True)
+            if before else spark.createDataFrame([], schemas.DIM_EMPLOYEE)
+        )
+        changes = run.write(
+            scd2_changes(employees, x["employee_history"], old_current),
+            "scd2_changes", schemas.SCD2_CHANGES,
+        )
+        write_scd2_unpublished(apply_scd2(old_current, changes), warehouse, "dim_employee",
+                               before + 1)
+        run.written["dim_employee"] = before + 1
+        return read_version(spark, warehouse, "dim_employee", before + 1,
+                            schemas.DIM_EMPLOYEE), changes
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        jobs = [pool.submit(f) for f in (load_dates, load_departments, load_projects,
+                                         load_employees)]
+        (dim_date, old_dates), (dim_department, old_depts), (dim_project, upsert), (
+            dim_employee, changes) = [j.result() for j in jobs]
 
     # fact for the snapshot
     step("fact")

@@ -72,10 +72,19 @@ class Staging:
             _WRITTEN[key] = path
         return self.spark.read.parquet(_WRITTEN[key])
 
-    def materialize(self) -> None:
-        """Write every stored table now (otherwise each is written on first use)."""
-        for name in STORED:
-            self[name]
+    def materialize(self, parallel: int = 4) -> None:
+        """Write every stored table now (otherwise each is written on first use).
+
+        The writes are independent, so they are submitted as concurrent Spark
+        jobs and share the cluster instead of queueing behind one another.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
+        pending = [n for n in STORED if n not in self._cache]
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            built = list(pool.map(self._stored, pending))
+        for name, df in zip(pending, built):
+            self._cache[name] = df
 
     def attrition_csv(self) -> str:
         """The snapshot as a CSV file with a header, written once per session."""
