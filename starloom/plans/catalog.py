@@ -16,6 +16,7 @@ from starloom.operators import quality
 from starloom.operators.clean import (
     clean_raw_snapshot,
     employees_from_snapshot,
+    ladder_frames,
     prepare_attrition,
     resolve_departments,
     resolve_projects,
@@ -114,29 +115,14 @@ def _rule_union(s: Scenario, fn) -> DataFrame:
     return out
 
 
-def _ladder(s: Scenario) -> tuple[DataFrame, DataFrame]:
-    """A role ladder derived from the data for departments of even regions.
-
-    Priorities order the ladder (5-LOW lowest); 3-MEDIUM is on no ladder and
-    1-URGENT is an alias of 2-HIGH, so every branch of the lookup is used.
-    """
-    spark = s.st.spark
-    depts = s.st.raw("nation").where(F.col("n_regionkey") % 2 == 0).select(
-        F.col("n_name").alias("department")
-    )
-    roles = (
-        s.st["employees"].select(F.col("current_role").alias("role"), "dept_id")
-        .join(s.st["departments"], "dept_id")
-        .select(F.col("dept_name").alias("department"), "role")
-        .where(F.col("role").isin("5-LOW", "4-NOT SPECIFIED", "2-HIGH"))
-        .join(depts, "department", "inner")
-        .distinct()
-    )
-    ladder = roles.select(
-        "department", "role", (F.lit(5) - F.substring("role", 1, 1).cast("int")).alias("position")
-    )
-    aliases = spark.createDataFrame([("1-URGENT", "2-HIGH")], "role string, alias string")
-    return ladder, aliases
+# Role ladders of the staged scenario: three departments with a ladder of
+# order priorities, one alias; every other department has none (fixed values).
+STAGED_LADDERS: dict[str, list[str]] = {
+    "NATION_0": ["5-LOW", "4-NOT SPECIFIED", "2-HIGH"],
+    "NATION_1": ["5-LOW", "2-HIGH"],
+    "NATION_2": ["4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"],
+}
+STAGED_ALIASES: dict[str, str] = {"1-URGENT": "2-HIGH"}
 
 
 def _star(s: Scenario, *names: str) -> list[DataFrame]:
@@ -173,7 +159,7 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
         employees_with_department(s.st["employees"], s.st["departments"]).select(
             "employee_id", "dept_name", "current_role"
         ),
-        *_ladder(s),
+        *ladder_frames(s.spark, STAGED_LADDERS, STAGED_ALIASES),
     ),
     "active_projects": lambda s: reports.active_projects(s.st["projects"], AS_OF),
     # dimensions and loads
