@@ -251,13 +251,19 @@ def current_version(spark: SparkSession, root: str, table: str) -> int:
     return current_versions(spark, root).get(table, 0)
 
 
-def publish(spark: SparkSession, root: str, versions: dict[str, int]) -> None:
+def publish(
+    spark: SparkSession, root: str, versions: dict[str, int], replace_prefix: str | None = None
+) -> None:
     """Make ``versions`` current, all tables at once (one small write).
 
     Until this runs, readers keep seeing the previous versions, so a run that
-    fails half-way publishes nothing.
+    fails half-way publishes nothing.  Entries starting with ``replace_prefix``
+    that are not in ``versions`` are unpublished (e.g. older fact snapshots).
     """
-    merged = {**current_versions(spark, root), **versions}
+    old = current_versions(spark, root)
+    if replace_prefix:
+        old = {k: v for k, v in old.items() if not k.startswith(replace_prefix)}
+    merged = {**old, **versions}
     spark.createDataFrame(sorted(merged.items()), _MANIFEST_SCHEMA).coalesce(1).write.mode(
         "overwrite"
     ).parquet(_manifest_path(root))
@@ -273,6 +279,58 @@ def read_version(
     return read_or_empty(spark, version_path(root, table, version), schema)
 
 
+def read_published(
+    spark: SparkSession, root: str, table: str, schema: T.StructType,
+    versions: dict[str, int] | None = None,
+) -> DataFrame:
+    """A table as the manifest ``versions`` (default: as published) names it."""
+    versions = current_versions(spark, root) if versions is None else versions
+    if table in SNAPSHOT_TABLES:
+        return read_snapshots(spark, root, table, schema, versions)
+    return read_version(spark, root, table, versions.get(table, 0), schema)
+
+
+# --------------------------------------------------------------------------
+# snapshot tables: each snapshot (partition value) has its own versions, so a
+# run writes only its snapshot and keeping the others costs nothing
+# --------------------------------------------------------------------------
+
+SNAPSHOT_TABLES = {"fact_employee_performance": "date_key"}
+
+
+def snapshot_entry(table: str, value: int) -> str:
+    return f"{table}@{value}"
+
+
+def snapshot_path(root: str, table: str, value: int, version: int) -> str:
+    return f"{root}/{table}/{SNAPSHOT_TABLES[table]}={value}/version={version}"
+
+
+def read_snapshots(
+    spark: SparkSession, root: str, table: str, schema: T.StructType, versions: dict[str, int]
+) -> DataFrame:
+    """Union of the published version of every published snapshot."""
+    prefix = f"{table}@"
+    paths = [snapshot_path(root, table, int(k[len(prefix):]), v)
+             for k, v in sorted(versions.items()) if k.startswith(prefix)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    with_version = T.StructType(schema.fields + [T.StructField("version", T.IntegerType())])
+    df = spark.read.schema(with_version).option("basePath", f"{root}/{table}").parquet(*paths)
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def write_snapshot_unpublished(
+    df: DataFrame, root: str, table: str, value: int, version: int, allow_empty: bool = False
+) -> str:
+    """Write one snapshot (all rows have partition value ``value``)."""
+    path = snapshot_path(root, table, value, version)
+    df.drop(SNAPSHOT_TABLES[table]).write.mode("overwrite").parquet(path)
+    if not allow_empty and df.sparkSession.read.parquet(path).isEmpty():
+        raise ValueError(f"refusing to publish an empty {table} snapshot {value}")
+    return path
+
+
 # --------------------------------------------------------------------------
 # SCD2 tables: closed versions are immutable, so they are appended once
 # (``closed/run=N``) and only the current rows are rewritten per run.

@@ -33,11 +33,14 @@ from starloom.operators.load import (
     new_dates,
     new_departments,
     publish,
+    read_published,
     read_scd2_version,
     read_version,
     table_counts,
     upsert_dim_project,
+    snapshot_entry,
     write_scd2_unpublished,
+    write_snapshot_unpublished,
     write_unpublished,
 )
 from starloom.operators.scd2 import apply_scd2, scd2_changes
@@ -57,7 +60,7 @@ class _Run:
         self.written: dict[str, int] = {}
 
     def old(self, table: str, schema) -> DataFrame:
-        return read_version(self.spark, self.root, table, self.before.get(table, 0), schema)
+        return read_published(self.spark, self.root, table, schema, self.before)
 
     def write(self, df: DataFrame, table: str, schema, partition_by=None,
               allow_empty: bool = True) -> DataFrame:
@@ -78,8 +81,8 @@ def run_etl(
     """Load one snapshot into the warehouse folder; returns the run's counts.
 
     ``full_refresh=True`` publishes a fact holding only this snapshot (the
-    fact is replaced each run); ``False`` keeps the other snapshots and
-    replaces this snapshot's ``date_key`` partition.  An empty fact is never
+    fact is replaced each run); ``False`` keeps the other published snapshots
+    untouched and replaces only this snapshot.  An empty fact is never
     published.
     """
     sc = spark.sparkContext
@@ -151,18 +154,21 @@ def run_etl(
         dim_project, as_of,
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fact = fact_from_enriched(enriched)
-        if not full_refresh and run.before.get("fact_employee_performance"):
-            # keep the other snapshots: this date_key's rows are replaced
-            kept = run.old("fact_employee_performance", schemas.FACT_EMPLOYEE_PERFORMANCE)
-            fact = kept.where(F.col("date_key") != F.lit(date_key_of(as_of))).unionByName(fact)
-        fact = run.write(fact, "fact_employee_performance", schemas.FACT_EMPLOYEE_PERFORMANCE,
-                         partition_by=["date_key"], allow_empty=False)
+        # the fact is stored per snapshot: this run writes only its own
+        # snapshot; a full refresh unpublishes the others
+        snapshot = snapshot_entry("fact_employee_performance", date_key_of(as_of))
+        version = run.before.get(snapshot, 0) + 1
+        write_snapshot_unpublished(fact_from_enriched(enriched), warehouse,
+                                   "fact_employee_performance", date_key_of(as_of), version)
+        run.written[snapshot] = version
         run.write(rejects_from_enriched(enriched), "fact_rejects", schemas.FACT_REJECTS)
     finally:
         enriched.unpersist()
 
-    publish(spark, warehouse, run.written)
+    publish(spark, warehouse, run.written,
+            replace_prefix="fact_employee_performance@" if full_refresh else None)
+    fact = read_published(spark, warehouse, "fact_employee_performance",
+                          schemas.FACT_EMPLOYEE_PERFORMANCE)
 
     step("counts")
     summary = changes.agg(
@@ -198,6 +204,6 @@ def warehouse_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame
     """The published star schema (current versions)."""
     versions = current_versions(spark, warehouse)
     return {
-        name: read_version(spark, warehouse, name, versions.get(name, 0), schemas.SCHEMAS[name])
+        name: read_published(spark, warehouse, name, schemas.SCHEMAS[name], versions)
         for name in STAR_TABLES
     }
