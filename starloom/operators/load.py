@@ -191,27 +191,33 @@ def onboard(
     ok = assign_dense_keys(
         ok, ["request_id"], "assignment_id", next_key_base(assignments, "assignment_id")
     )
-    new_employees = ok.select(
-        "request_id", "employee_id", F.trim("name").alias("name"), F.trim("email").alias("email"),
-        "dept_id", "hire_date", F.col("current_salary").cast("decimal(12,2)").alias("current_salary"),
-        F.trim("current_role").alias("current_role"), "status", "assignment_id",
+    hires = ok.select(
+        "request_id", "employee_id", "assignment_id",
+        F.trim("name").alias("name"), F.trim("email").alias("email"), "dept_id", "hire_date",
+        F.col("current_salary").cast("decimal(12,2)").alias("current_salary"),
+        F.trim("current_role").alias("current_role"), "status", "project_id",
+        F.col("allocation_pct").cast("decimal(5,2)").alias("allocation_pct"),
+        F.col("assignment_start").alias("start_date"),
+    )
+    new_employees = hires.select(
+        "request_id", "employee_id", "name", "email", "dept_id", "hire_date", "current_salary",
+        "current_role", "status", "assignment_id",
     )
-    new_history = ok.select(
+    new_history = hires.select(
         "employee_id",
-        F.trim("current_role").alias("role"),
-        F.col("current_salary").cast("decimal(12,2)").alias("salary"),
+        F.col("current_role").alias("role"),
+        F.col("current_salary").alias("salary"),
         F.col("hire_date").alias("effective_start"),
         F.lit(None).cast("date").alias("effective_end"),
         F.lit(True).alias("is_current"),
     )
-    new_assignments = ok.select(
-        "assignment_id", "employee_id", "project_id",
-        F.col("allocation_pct").cast("decimal(5,2)").alias("allocation_pct"),
-        F.col("assignment_start").alias("start_date"),
+    new_assignments = hires.select(
+        "assignment_id", "employee_id", "project_id", "allocation_pct", "start_date",
         F.lit(None).cast("date").alias("end_date"),
     )
     rejected = checked.where(F.col("reason").isNotNull()).select("request_id", "reason")
     return {
+        "hires": hires,
         "employees": new_employees,
         "employee_history": new_history,
         "assignments": new_assignments,

@@ -44,7 +44,16 @@ from starloom.sources.tables import TableSource, employees_with_department
 OLTP_TABLES = ("departments", "employees", "projects", "assignments", "employee_history")
 
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
+_PUBLISHED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_STAGINGS: dict[tuple[str, str], Staging] = {}
+
+
+def _staging(spark: SparkSession, sf_dir: str) -> Staging:
+    """One staging per session and folder, so its lazily built tables are reused."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGINGS:
+        _STAGINGS[key] = Staging(spark, sf_dir)
+    return _STAGINGS[key]
 
 
 class Scenario:
@@ -57,7 +66,7 @@ class Scenario:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.st = Staging(spark, sf_dir)
+        self.st = _staging(spark, sf_dir)
         self._wh: Warehouse | None = None
 
     @property
@@ -80,8 +89,8 @@ class Scenario:
             publish(self.spark, warehouse, {"dim_employee": 1})
             run_etl(self.spark, TableSource(root=self.st.oltp_root), warehouse, AS_OF,
                     self.st.attrition_csv())
-            _PUBLISHED[key] = warehouse
-        return warehouse_tables(self.spark, _PUBLISHED[key])
+            _PUBLISHED[key] = warehouse_tables(self.spark, warehouse)
+        return _PUBLISHED[key]
 
     def oltp(self) -> dict[str, DataFrame]:
         return {t: self.st[t] for t in OLTP_TABLES}
@@ -191,11 +200,7 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     "apply_role_changes": lambda s: apply_role_changes(
         s.st["history_before_changes"], s.st["employees"], s.st["role_changes"]
     )[0].select("employee_id", "role", "salary", "effective_start", "effective_end", "is_current"),
-    "onboard_hires": lambda s: _onboard(s)["employees"].join(
-        _onboard(s)["assignments"].select("assignment_id", "project_id", "allocation_pct",
-                                          "start_date"),
-        "assignment_id",
-    ),
+    "onboard_hires": lambda s: _onboard(s)["hires"],
     "onboard_rejects": lambda s: _onboard(s)["rejected"],
     # fact
     "fact_employee_performance": _fact,
