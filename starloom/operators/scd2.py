@@ -46,16 +46,14 @@ def intervals_from_changelog(
     value_cols..., effective_end, is_current``.
     """
     tie_breakers = list(tie_breakers)
-    # one shuffle by (entity, month): the same-day dedup and the ordered
-    # neighbour lookup both run inside it, and a busy entity spans many tasks
-    log = (
-        changes.select(key, start_col, *tie_breakers, *value_cols)
-        .withColumn("_month", month_chunk(start_col))
-        .repartition(key, "_month")
+    # duplicates of one entity and day are combined map-side before any shuffle
+    # (a burst of copies never lands whole in one task); what moves next is at
+    # most one row per entity and day, spread over (entity, month)
+    day = keep_last(
+        changes.select(key, start_col, *tie_breakers, *value_cols), [key, start_col], tie_breakers
     )
-    day = keep_last(log, [key, "_month", start_col], tie_breakers)
-    nxt = with_next(day, [key], start_col, [start_col], F.col("_month"), prefix="_next_")
-    return nxt.drop("_month").withColumns(
+    nxt = with_next(day, [key], start_col, [start_col], month_chunk(start_col), prefix="_next_")
+    return nxt.withColumns(
         {
             "effective_end": F.date_sub(F.col(f"_next_{start_col}"), 1),
             "is_current": F.col(f"_next_{start_col}").isNull(),
