@@ -7,6 +7,7 @@ the staged tables (``starloom.sources.staging``) by the library operators.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,14 +47,16 @@ OLTP_TABLES = ("departments", "employees", "projects", "assignments", "employee_
 
 _PUBLISHED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _STAGINGS: dict[tuple[str, str], Staging] = {}
+_LOCK = threading.RLock()  # one ETL per session and folder, even across threads
 
 
 def _staging(spark: SparkSession, sf_dir: str) -> Staging:
     """One staging per session and folder, so its lazily built tables are reused."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STAGINGS:
-        _STAGINGS[key] = Staging(spark, sf_dir)
-    return _STAGINGS[key]
+    with _LOCK:
+        if key not in _STAGINGS:
+            _STAGINGS[key] = Staging(spark, sf_dir)
+        return _STAGINGS[key]
 
 
 class Scenario:
@@ -82,6 +85,10 @@ class Scenario:
         """Run the ETL once per session (seeded with the prior dim_employee) and
         return the published star schema."""
         key = (self.spark.sparkContext.applicationId, self.st.sf_dir)
+        with _LOCK:
+            return self._publish_once(key)
+
+    def _publish_once(self, key: tuple[str, str]) -> dict[str, DataFrame]:
         if key not in _PUBLISHED:
             self.st.materialize()
             warehouse = f"{self.st.store_root}/warehouse"

@@ -11,6 +11,7 @@ holds the equivalent SQL.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ PROJECT_END = dt.date(1999, 12, 31)
 OLTP = ("departments", "employees", "projects", "assignments", "employee_history")
 STORED = OLTP + ("dim_employee_before", "history_before_changes")
 _WRITTEN: dict[tuple[str, str, str], str] = {}
+_LOCKS: dict[tuple[str, str, str], threading.Lock] = {}
 
 
 class Staging:
@@ -65,11 +67,12 @@ class Staging:
 
     def _stored(self, name: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _WRITTEN:
-            kind = "oltp" if name in OLTP else "derived"
-            path = f"{self.store_root}/{kind}/{name}"
-            getattr(self, f"_{name}")().write.mode("overwrite").parquet(path)
-            _WRITTEN[key] = path
+        with _LOCKS.setdefault(key, threading.Lock()):
+            if key not in _WRITTEN:
+                kind = "oltp" if name in OLTP else "derived"
+                path = f"{self.store_root}/{kind}/{name}"
+                getattr(self, f"_{name}")().write.mode("overwrite").parquet(path)
+                _WRITTEN[key] = path
         return self.spark.read.parquet(_WRITTEN[key])
 
     def materialize(self, parallel: int = 4) -> None:
