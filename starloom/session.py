@@ -20,6 +20,24 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+# Sizing for a large cluster (hundreds of executors, ~100 TB inputs).  Start
+# with many shuffle partitions and let AQE coalesce them to ~256 MB each, so a
+# shuffle of tens of TB never builds multi-GB partitions that spill; read
+# files in 512 MB splits; treat a partition as skewed above 1 GB (AQE splits
+# it); keep automatic broadcasts small (dimension sides only).
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def build_session(
     master: str | None = "local[*]",
     app_name: str = "starloom",
@@ -28,7 +46,9 @@ def build_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the defaults above.
 
-    ``master=None`` leaves the master to ``spark-submit`` (cluster runs).
+    ``master=None`` leaves the master to ``spark-submit`` (cluster runs); pass
+    ``conf=CLUSTER_CONF`` there (its shuffle partitions override
+    ``shuffle_partitions``).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
