@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.dates import as_date_literal
 from starloom.functions.values import money, yes_no_flag
@@ -139,11 +140,19 @@ def ladder_frames(
     aliases: dict[str, str] = ROLE_ALIASES,
 ) -> tuple[DataFrame, DataFrame]:
     """Ladder ``(department, role, position)`` and alias ``(role, alias)`` frames."""
-    ladder = spark.createDataFrame(
+    from starloom.sources.tables import literal_frame
+
+    ladder = literal_frame(
+        spark,
         [(d, r, i) for d, roles in ladders.items() for i, r in enumerate(roles)],
-        "department string, role string, position int",
+        T.StructType([T.StructField("department", T.StringType()),
+                      T.StructField("role", T.StringType()),
+                      T.StructField("position", T.IntegerType())]),
+    )
+    alias = literal_frame(
+        spark, list(aliases.items()),
+        T.StructType([T.StructField("role", T.StringType()), T.StructField("alias", T.StringType())]),
     )
-    alias = spark.createDataFrame(list(aliases.items()), "role string, alias string")
     return ladder, alias
 
 

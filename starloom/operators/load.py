@@ -18,7 +18,7 @@ from pyspark.sql.utils import AnalysisException
 from starloom.operators.clean import resolve_departments, resolve_projects
 from starloom.operators.keys import assign_dense_keys, next_key_base
 from starloom.operators.scd2 import intervals_from_changelog
-from starloom.sources.tables import read_or_empty
+from starloom.sources.tables import empty_frame, literal_frame, read_or_empty
 
 # --------------------------------------------------------------------------
 # insert-if-absent and upsert (set-based, no per-row statements)
@@ -270,7 +270,7 @@ def publish(
     if replace_prefix:
         old = {k: v for k, v in old.items() if not k.startswith(replace_prefix)}
     merged = {**old, **versions}
-    spark.createDataFrame(sorted(merged.items()), _MANIFEST_SCHEMA).coalesce(1).write.mode(
+    literal_frame(spark, sorted(merged.items()), _MANIFEST_SCHEMA).coalesce(1).write.mode(
         "overwrite"
     ).parquet(_manifest_path(root))
 
@@ -279,7 +279,7 @@ def read_version(
     spark: SparkSession, root: str, table: str, version: int, schema: T.StructType
 ) -> DataFrame:
     if version == 0:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     if table in SCD2_TABLES:
         return read_scd2_version(spark, root, table, version, schema)
     return read_or_empty(spark, version_path(root, table, version), schema)
@@ -320,7 +320,7 @@ def read_snapshots(
     paths = [snapshot_path(root, table, int(k[len(prefix):]), v)
              for k, v in sorted(versions.items()) if k.startswith(prefix)]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     with_version = T.StructType(schema.fields + [T.StructField("version", T.IntegerType())])
     df = spark.read.schema(with_version).option("basePath", f"{root}/{table}").parquet(*paths)
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -44,7 +44,7 @@ from starloom.operators.load import (
     write_unpublished,
 )
 from starloom.operators.scd2 import apply_scd2, scd2_changes
-from starloom.sources.tables import TableSource, extract_all
+from starloom.sources.tables import TableSource, empty_frame, extract_all
 
 STAR_TABLES = ("dim_date", "dim_department", "dim_project", "dim_employee",
                "fact_employee_performance")
@@ -128,7 +128,7 @@ def run_etl(
         old_current = (
             read_scd2_version(spark, warehouse, "dim_employee", before, schemas.DIM_EMPLOYEE,
                               current_only=True)
-            if before else spark.createDataFrame([], schemas.DIM_EMPLOYEE)
+            if before else empty_frame(spark, schemas.DIM_EMPLOYEE)
         )
         changes = run.write(
             scd2_changes(employees, x["employee_history"], old_current),

@@ -78,6 +78,30 @@ class TableSource:
         return options
 
 
+def literal_frame(
+    spark: SparkSession, rows: list[tuple], schema: T.StructType
+) -> DataFrame:
+    """A small literal table built in the JVM (``range`` + ``inline``).
+
+    ``spark.createDataFrame(list)`` ships the rows through Python worker
+    processes; for a handful of parameter rows that costs more than the job.
+    """
+    if not rows:
+        return spark.range(0).select(
+            [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        )
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, with ``schema``'s columns."""
+    return literal_frame(spark, [], schema)
+
+
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in order, cast to the declared types."""
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -105,7 +129,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return _conform(spark.read.schema(schema).parquet(path), schema)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
+            return empty_frame(spark, schema)
         raise
 
 
