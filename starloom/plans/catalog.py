@@ -30,8 +30,8 @@ from starloom.operators.load import (
     new_dates,
     new_departments,
     onboard,
-    table_counts,
     publish,
+    table_counts,
     upsert_dim_project,
     write_scd2_unpublished,
 )
@@ -39,11 +39,9 @@ from starloom.operators.scd2 import interval_violations, versions_of
 from starloom.plans import reports
 from starloom.plans.etl import run_etl, warehouse_tables
 from starloom.plans.warehouse import Warehouse, build_warehouse
-from starloom.sources.staging import AS_OF, PREVIOUS_DATES_BEFORE, Staging
+from starloom.sources.staging import AS_OF, OLTP, PREVIOUS_DATES_BEFORE, Staging
 from starloom.sources.tables import TableSource, employees_with_department
 
-OLTP_TABLES = ("departments", "employees", "projects", "assignments", "employee_history")
-
 
 _PUBLISHED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _STAGINGS: dict[tuple[str, str], Staging] = {}
@@ -100,7 +98,7 @@ class Scenario:
         return _PUBLISHED[key]
 
     def oltp(self) -> dict[str, DataFrame]:
-        return {t: self.st[t] for t in OLTP_TABLES}
+        return {t: self.st[t] for t in OLTP}
 
     def olap(self) -> dict[str, DataFrame]:
         return self.published()
