@@ -1,4 +1,4 @@
-"""Skew-safe neighbour lookups over an ordered key (lead, running max, rank).
+"""Skew-safe neighbour lookups over an ordered key (lead, rank).
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if
 one employee or one department holds a third of the rows, that task holds a
@@ -57,34 +57,6 @@ def with_next(
     return out.drop(_CHUNK, "_is_last", "_next_first")
 
 
-def with_prior_max(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_cols: Sequence[str],
-    value: Column,
-    out: str,
-    chunk: Column,
-) -> DataFrame:
-    """Add ``out``: max of ``value`` over the strictly earlier rows of the key."""
-    keys = list(keys)
-    base = df.withColumns({_CHUNK: chunk, "_v": value})
-    inner = (
-        Window.partitionBy(*keys, _CHUNK)
-        .orderBy(*order_cols)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    rows = base.withColumn("_in", F.max("_v").over(inner))
-    per_chunk = base.groupBy(*keys, _CHUNK).agg(F.max("_v").alias("_cmax"))
-    across = (
-        Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    per_chunk = per_chunk.select(*keys, _CHUNK, F.max("_cmax").over(across).alias("_before"))
-    joined = rows.join(per_chunk, [*keys, _CHUNK], "left")
-    return joined.withColumn(out, F.greatest("_in", "_before")).drop(
-        _CHUNK, "_v", "_in", "_before"
-    )
-
-
 def rank_desc(
     df: DataFrame,
     group_cols: Sequence[str],

@@ -16,12 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_last
 from starloom.operators.keys import assign_dense_keys, next_key_base
-from starloom.operators.neighbors import with_next, with_prior_max
+from starloom.operators.neighbors import with_next
 
 OPEN_END = "9999-12-31"
 TRACKED_COLUMNS = ("name", "role", "effective_start")
@@ -68,32 +68,62 @@ def interval_violations(
     end_col: str = "effective_end",
     table: str = "employee_history",
 ) -> DataFrame:
-    """Overlaps, gaps and several open versions per key.
+    """Overlaps, gaps and several open versions per key (H2).
 
-    Output: ``table_name, entity_id, problem, effective_start, effective_end``.
-    An open end counts as the far future; a version overlaps when it starts on
-    or before the latest end of the versions before it.
+    Output: ``table_name, entity_id, problem, effective_start, effective_end,
+    row_count``: one row per distinct violating interval, with how many rows
+    have it.  Versions are taken in ``(start, end)`` order (open ends first
+    within a day, as NULLs sort); an open end counts as the far future; a
+    version overlaps when it starts on or before the latest end of the
+    versions before it, and leaves a gap when it starts later than the day
+    after it.
+
+    Both columns are dates, so every window is bounded by the calendar, not by
+    the data: identical intervals are first collapsed into counts (a partial
+    aggregate), the latest end before each start day is a running max over
+    that key's distinct start days, and the previous end within a day is a
+    ``lag`` over that day's distinct end dates.
     """
     end_or_open = F.coalesce(F.col(end_col), F.lit(OPEN_END).cast("date"))
-    prior = with_prior_max(
-        versions.select(key, start_col, end_col),
-        [key],
-        [start_col, end_col],
-        end_or_open,
-        "_prior_end",
-        month_chunk(start_col),
+    groups = versions.groupBy(key, start_col, end_col).agg(F.count(F.lit(1)).alias("_n"))
+    groups = groups.withColumn("_e", end_or_open)
+
+    days = groups.groupBy(key, start_col).agg(F.max("_e").alias("_day_max"))
+    earlier_days = Window.partitionBy(key).orderBy(start_col).rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    problem = (
-        F.when(F.col("_prior_end") >= F.col(start_col), F.lit("overlap"))
-        .when(F.date_add(F.col("_prior_end"), 1) < F.col(start_col), F.lit("gap"))
+    days = days.select(key, start_col, F.max("_day_max").over(earlier_days).alias("_before"))
+
+    within_day = Window.partitionBy(key, start_col).orderBy(F.col(end_col).asc_nulls_first())
+    groups = groups.withColumn("_prev", F.lag("_e").over(within_day))
+    rows = groups.join(days, [key, start_col], "left")
+
+    def problem(prior):
+        return (
+            F.when(prior >= F.col(start_col), F.lit("overlap"))
+            .when(F.date_add(prior, 1) < F.col(start_col), F.lit("gap"))
+        )
+
+    first = F.greatest("_before", "_prev")      # the first row of a group
+    copies = F.greatest("_before", "_e")        # its identical copies follow it
+    cases = F.array(
+        F.struct(problem(first).alias("problem"), F.lit(1).cast("long").alias("n")),
+        F.struct(problem(copies).alias("problem"), (F.col("_n") - 1).alias("n")),
+    )
+    pairs = (
+        rows.select(key, start_col, end_col, F.inline(cases))
+        .where(F.col("problem").isNotNull() & (F.col("n") > 0))
+        .groupBy(key, "problem", start_col, end_col)
+        .agg(F.sum("n").alias("row_count"))
+        .select(
+            F.lit(table).alias("table_name"),
+            F.col(key).alias("entity_id"),
+            "problem",
+            F.col(start_col).alias("effective_start"),
+            F.col(end_col).alias("effective_end"),
+            "row_count",
+        )
     )
-    pairs = prior.select(
-        F.lit(table).alias("table_name"),
-        F.col(key).alias("entity_id"),
-        problem.alias("problem"),
-        F.col(start_col).alias("effective_start"),
-        F.col(end_col).alias("effective_end"),
-    ).where(F.col("problem").isNotNull())
     open_many = (
         versions.groupBy(key)
         .agg(F.count_if(F.col(end_col).isNull()).alias("_open"))
@@ -104,6 +134,7 @@ def interval_violations(
             F.lit("several_open").alias("problem"),
             F.lit(None).cast("date").alias("effective_start"),
             F.lit(None).cast("date").alias("effective_end"),
+            F.col("_open").alias("row_count"),
         )
     )
     return pairs.unionByName(open_many)

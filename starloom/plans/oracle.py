@@ -287,7 +287,7 @@ proj_merged as (select * from proj_before b full outer join proj_incoming i on b
 
 def _integrity(src: str, key: str, start: str, end: str, table: str) -> str:
     return f"""select '{table}' as table_name, {key} as entity_id, problem,
-       {start} as effective_start, {end} as effective_end
+       {start} as effective_start, {end} as effective_end, count(*) as row_count
 from (select *, case when prior_end >= {start} then 'overlap'
                      when prior_end + interval 1 day < {start} then 'gap' end as problem
       from (select {key}, {start}, {end},
@@ -296,8 +296,10 @@ from (select *, case when prior_end >= {start} then 'overlap'
                      rows between unbounded preceding and 1 preceding) as prior_end
             from {src}) p) q
 where problem is not null
+group by {key}, problem, {start}, {end}
 union all
-select '{table}', {key}, 'several_open', cast(null as date), cast(null as date)
+select '{table}', {key}, 'several_open', cast(null as date), cast(null as date),
+       count(*) filter (where {end} is null)
 from {src} group by {key} having count(*) filter (where {end} is null) > 1"""
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_first, keep_last
 from starloom.operators.keys import assign_dense_keys, next_key_base
-from starloom.operators.neighbors import rank_desc, with_next, with_prior_max
+from starloom.operators.neighbors import rank_desc, with_next
 
 
 def _hot_key_rows(n=400, seed=7):
@@ -49,17 +49,6 @@ def test_with_next_matches_lead(spark):
     assert a == b
 
 
-def test_with_prior_max_matches_running_max(spark):
-    df = spark.createDataFrame(_hot_key_rows(), "k int, d date, e date, v int")
-    end_or_open = F.coalesce(F.col("e"), F.lit("9999-12-31").cast("date"))
-    got = with_prior_max(df, ["k"], ["d", "e"], end_or_open, "pm", F.trunc("d", "month"))
-    w = Window.partitionBy("k").orderBy("d", "e").rowsBetween(Window.unboundedPreceding, -1)
-    want = df.select("k", "d", "e", F.max(end_or_open).over(w).alias("pm"))
-    assert Counter(tuple(r) for r in got.select("k", "d", "e", "pm").collect()) == Counter(
-        tuple(r) for r in want.collect()
-    )
-
-
 def test_rank_desc_matches_rank_with_ties_and_nulls(spark):
     rows = [(g, v) for g, v in [("x", 9), ("x", 9), ("x", 8), ("x", None), ("y", 1)]]
     rows += [("z", random.Random(i).randint(0, 5)) for i in range(200)]

@@ -123,8 +123,18 @@ def test_interval_violations(spark):
          (3, D(2020, 1, 1), None), (3, D(2021, 1, 1), None)],
         "employee_id long, effective_start date, effective_end date",
     )
-    got = sorted((r["entity_id"], r["problem"]) for r in interval_violations(v, "employee_id").collect())
-    assert got == [(1, "overlap"), (2, "gap"), (3, "overlap"), (3, "several_open")]
+    got = sorted((r["entity_id"], r["problem"], r["row_count"])
+                 for r in interval_violations(v, "employee_id").collect())
+    assert got == [(1, "overlap", 1), (2, "gap", 1), (3, "overlap", 1), (3, "several_open", 2)]
+
+
+def test_interval_copies_are_counted_not_expanded(spark):
+    rows = [(7, D(2020, 1, 1), D(2020, 12, 31))] * 5 + [(7, D(2020, 6, 1), None)]
+    v = spark.createDataFrame(rows, "employee_id long, effective_start date, effective_end date")
+    got = sorted((r["problem"], r["effective_start"], r["row_count"])
+                 for r in interval_violations(v, "employee_id").collect())
+    # four copies overlap the first; the later open version overlaps them all
+    assert got == [("overlap", D(2020, 1, 1), 4), ("overlap", D(2020, 6, 1), 1)]
 
 
 @pytest.mark.parametrize("runs", [2])
