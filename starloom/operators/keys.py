@@ -32,14 +32,19 @@ def assign_dense_keys(
     key_col: str,
     base: Column | int = 0,
     buckets: int = DEFAULT_KEY_BUCKETS,
+    spread: bool = False,
 ) -> DataFrame:
     """Add ``key_col`` numbered ``base + 1 ..`` in (bucket, ``order_cols``) order.
 
-    ``order_cols[0]`` must be integral; the ``order_cols`` must be unique.
+    The ``order_cols`` must be unique.  The bucket is ``pmod(order_cols[0],
+    buckets)`` (integral, near-unique first column: keys reproducible from
+    the id alone), or with ``spread=True`` a hash of all order columns, for
+    inputs where one first-column value may repeat many times.
     """
     order_cols = list(order_cols)
     base_col = base if isinstance(base, Column) else F.lit(base)
-    d = df.withColumn("_kb", F.pmod(F.col(order_cols[0]), F.lit(buckets)))
+    bucket = F.xxhash64(*order_cols) if spread else F.col(order_cols[0])
+    d = df.withColumn("_kb", F.pmod(bucket, F.lit(buckets)))
     counts = d.groupBy("_kb").agg(F.count(F.lit(1)).alias("_kc"))
     before = Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_kb", F.coalesce(F.sum("_kc").over(before), F.lit(0)).alias("_ko"))

@@ -125,6 +125,7 @@ def apply_role_changes(
         ["employee_id", "effective_start"],
         "history_id",
         next_key_base(history, "history_id"),
+        spread=True,  # one employee may bring many changes
     )
     columns = list(history.columns)
     new_history = (

@@ -69,6 +69,15 @@ def test_dense_keys_are_dense_unique_and_stable(spark):
     assert again == {r["id"]: r["key"] for r in keyed.collect()}
 
 
+def test_spread_keys_with_a_hot_first_column(spark):
+    rows = [(1, d) for d in range(300)] + [(k, 0) for k in range(2, 50)]
+    df = spark.createDataFrame(rows, "id long, seq int")
+    keyed = assign_dense_keys(df, ["id", "seq"], "key", base=5, buckets=16, spread=True)
+    assert sorted(r["key"] for r in keyed.collect()) == list(range(6, 6 + len(rows)))
+    sizes = keyed.groupBy(F.pmod(F.xxhash64("id", "seq"), F.lit(16))).count().collect()
+    assert max(r["count"] for r in sizes) < 100  # the 300 rows of id 1 are spread
+
+
 def test_next_key_base_is_max_or_zero(spark):
     empty = spark.createDataFrame([], "k long")
     full = spark.createDataFrame([(3,), (9,)], "k long")
