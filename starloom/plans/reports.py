@@ -158,18 +158,24 @@ def department_salary_trend(
     depts = departments.select("dept_id", "dept_name")
     if dept_name is not None:
         depts = depts.where(F.col("dept_name") == F.lit(dept_name))
-    rows = (
-        history.select("employee_id", "role", "salary", "effective_start")
-        .join(employees.select("employee_id", "dept_id"), "employee_id", "inner")
-        .join(depts, "dept_id", "inner")
-    )
-    return rows.groupBy(
-        "dept_name", month_label("effective_start").alias("salary_month"), "role"
+    # versions are reduced per (employee, month, role) before any shuffle, so a
+    # burst of versions of one employee crosses the network as one row
+    per_employee = history.groupBy(
+        "employee_id", month_label("effective_start").alias("salary_month"), "role"
     ).agg(
-        F.count(F.lit(1)).alias("employee_versions"),
-        F.round(F.avg("salary"), 2).cast("double").alias("avg_salary"),
-        F.round(F.min("salary"), 2).cast("decimal(12,2)").alias("min_salary"),
-        F.round(F.max("salary"), 2).cast("decimal(12,2)").alias("max_salary"),
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("salary").alias("_sum"),
+        F.min("salary").alias("_min"),
+        F.max("salary").alias("_max"),
+    )
+    rows = per_employee.join(employees.select("employee_id", "dept_id"), "employee_id", "inner").join(
+        depts, "dept_id", "inner"
+    )
+    return rows.groupBy("dept_name", "salary_month", "role").agg(
+        F.sum("_n").alias("employee_versions"),
+        F.round(F.sum("_sum") / F.sum("_n"), 2).cast("double").alias("avg_salary"),
+        F.round(F.min("_min"), 2).cast("decimal(12,2)").alias("min_salary"),
+        F.round(F.max("_max"), 2).cast("decimal(12,2)").alias("max_salary"),
     )
 
 
