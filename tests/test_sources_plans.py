@@ -115,3 +115,38 @@ def test_scans_prune_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # history is stored with 7 columns; the trend reads only the 4 it needs
     assert "ReadSchema: struct<employee_id:bigint,role:string,salary:decimal(12,2),effective_start:date>" in plan
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scd2_intervals_window_by_entity_and_month(spark):
+    from starloom.operators.scd2 import intervals_from_changelog
+    from starloom.sources.staging import Staging
+
+    log = Staging(spark, SF, store=False)["order_log"]
+    plan = _final_plan(intervals_from_changelog(
+        log, "employee_id", "effective_start", ["change_id"], ["role", "salary"]))
+    windows = [line.strip() for line in plan.splitlines() if "windowspecdefinition(" in line]
+    assert windows
+    for w in windows:
+        partition = w.split("], [")[1].split("]")[0]   # the Window node's partition keys
+        if "lead(_first" in w:
+            # the summary (one row per entity and month) is the only input
+            # windowed by entity alone
+            assert "_chunk" not in partition
+        else:
+            # every window over versions is partitioned by entity and month
+            assert "employee_id" in partition and "_chunk" in partition, w
+
+
+def test_rank_runs_on_counts_not_rows(spark):
+    plan = _final_plan(queries()["tenure_top_n"](spark, SF))
+    rank_windows = [line for line in plan.splitlines()
+                    if "windowspecdefinition(dept_name" in line]
+    assert rank_windows, "expected the rank window over departments"
+    # the ranking window sums per-(department, tenure) counts, never ranks raw rows
+    assert all("rank(" not in w and "row_number(" not in w for w in rank_windows)
+    assert any("sum(" in w for w in rank_windows)
