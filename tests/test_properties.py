@@ -5,6 +5,7 @@ from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_first
 from starloom.operators.keys import assign_dense_keys
@@ -108,3 +109,34 @@ def test_keep_first_is_minimum_row(spark, rows):
         if k not in want or (o, v) < want[k]:
             want[k] = (o, v)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 3), days, st.integers(0, 10**6)), min_size=1,
+                max_size=40, unique_by=lambda t: t[2]),
+       st.integers(0, 500))
+def test_role_changes_after_a_cutoff_equal_the_full_history(spark, log, cutoff):
+    from starloom.operators.load import apply_role_changes
+
+    rows = [(cid, k, f"r{cid}", cid % 7, BASE + dt.timedelta(days=d)) for k, d, cid in log]
+    schema = "change_id long, employee_id long, role string, salary int, effective_start date"
+    full = spark.createDataFrame(rows, schema)
+    cut = BASE + dt.timedelta(days=cutoff)
+
+    def versions(df):
+        return intervals_from_changelog(df, "employee_id", "effective_start", ["change_id"],
+                                        ["role", "salary"]).select(
+            F.col("change_id").alias("history_id"), "employee_id", "role", "salary",
+            "effective_start", "effective_end", "is_current")
+
+    before = versions(full.where(F.col("effective_start") <= F.lit(cut)))
+    employees = spark.createDataFrame([(k, "x", 0) for k in {k for k, _, _ in log}],
+                                      "employee_id long, current_role string, current_salary int")
+    after, new_employees, rejected = apply_role_changes(
+        before, employees, full.where(F.col("effective_start") > F.lit(cut)))
+    cols = ["employee_id", "role", "salary", "effective_start", "effective_end", "is_current"]
+    assert Counter(tuple(r) for r in after.select(cols).collect()) == Counter(
+        tuple(r) for r in versions(full).select(cols).collect())
+    assert rejected.count() == 0
+    current = {r["employee_id"]: r["role"] for r in versions(full).where("is_current").collect()}
+    assert {r["employee_id"]: r["current_role"] for r in new_employees.collect()} == current
