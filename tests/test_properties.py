@@ -140,3 +140,34 @@ def test_role_changes_after_a_cutoff_equal_the_full_history(spark, log, cutoff):
     assert rejected.count() == 0
     current = {r["employee_id"]: r["role"] for r in versions(full).where("is_current").collect()}
     assert {r["employee_id"]: r["current_role"] for r in new_employees.collect()} == current
+
+
+@SETTINGS
+@given(st.dictionaries(st.sampled_from("abcdefgh"), st.integers(0, 9), max_size=6),
+       st.lists(st.tuples(st.integers(1, 10**6), st.sampled_from("abcdefghij"),
+                          st.integers(0, 9)), min_size=1, max_size=20,
+                unique_by=lambda t: t[0]))
+def test_project_upsert_keeps_keys_and_adds_dense_ones(spark, existing, projects):
+    from starloom.operators.dims import build_dim_project
+    from starloom.operators.load import upsert_dim_project
+
+    old = [(i + 1, name, float(b)) for i, (name, b) in enumerate(sorted(existing.items()))]
+    old_df = spark.createDataFrame(old, "project_key long, project_name string, budget double")
+    if not old:
+        old_df = old_df.where("false")
+    new_df = spark.createDataFrame([(i, n, float(b)) for i, n, b in projects],
+                                   "project_id long, project_name string, budget double")
+    out = {r["project_name"]: r for r in upsert_dim_project(build_dim_project(new_df), old_df).collect()}
+    first = {}
+    for pid, name, b in sorted(projects):
+        first.setdefault(name, float(b))
+    assert set(out) == set(existing) | set(first)
+    for key, name, budget in old:
+        assert out[name]["project_key"] == key
+        if name in first:
+            assert out[name]["budget"] == first[name]
+            assert out[name]["action"] == ("unchanged" if first[name] == budget else "changed")
+        else:
+            assert out[name]["action"] == "untouched"
+    fresh = sorted(r["project_key"] for r in out.values() if r["action"] == "inserted")
+    assert fresh == list(range(len(old) + 1, len(old) + 1 + len(fresh)))
