@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import table
 from starloom.llm.exact_dedup import exact_dedup
+from starloom.llm.secrets import BASE_KINDS, secret_spans, spans_text
 from starloom.llm.simhash import simhash_dedup
 
 
@@ -21,10 +22,21 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("_row.doc_id", *map(count, BASE_KINDS), F.sha2(spans_text(F.col("_base")), 256).alias("base_sha256"),
+                        spans_text(F.array_sort(F.concat("_base", "_added"))).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op7_simhash_dedup": op7_simhash_dedup,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 
