@@ -4,24 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+from public_tokenizers import path as vocabulary
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import table
 from starloom.llm.exact_dedup import exact_dedup
+from starloom.llm.packing import ids_crc32, pack
+from starloom.llm.quality import quality_model, remainder, score
 from starloom.llm.secrets import BASE_KINDS, secret_spans, spans_text
 from starloom.llm.simhash import simhash_dedup
+from starloom.llm.url_filter import GlobRule, SiteRule, judge_urls
+
+THRESHOLD = 0.7
+
+#: Fixed values of the contract.
+SITE_RULES = (
+    SiteRule("block", "net", "/"),
+    SiteRule("allow", "example.net", "/en/"),
+    SiteRule("block", "example.com", "/de/"),
+    SiteRule("allow", "org", "/fr/"),
+)
+GLOB_RULES = (
+    GlobRule("block", "*spam*", "*"),
+    GlobRule("block", "*", "*/login*"),
+    GlobRule("block", "*", "*.exe"),
+    GlobRule("block", "ads.*", "*"),
+)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("_row.doc_id", (remainder(F.col("_row.doc_id"), 4) == 2).alias("held_out"),
+                         F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup(table(spark, sf_dir, "documents"), shingle_words=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", ids_crc32(F.col("ids")).alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), SITE_RULES, GLOB_RULES, default="allow")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_spans(table(spark, sf_dir, "documents"))
 
@@ -35,8 +73,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op4_quality_classifier": op4_quality_classifier,
         "op7_simhash_dedup": op7_simhash_dedup,
+        "op8_packing": op8_packing,
+        "op9_url_filter": op9_url_filter,
         "op10_secret_scan": op10_secret_scan,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -47,4 +89,29 @@ def oracle_sql() -> dict[str, str]:
                    doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
             FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
             WINDOW g AS (PARTITION BY t)""",
+        "op9_url_filter": r"""
+            WITH cut AS (
+                SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest
+                FROM pages),
+            parts AS (
+                SELECT page_id,
+                       translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                       coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+                FROM cut),
+            ruled AS (
+                SELECT *, CASE
+                    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/')
+                        THEN 'example.net/en/'
+                    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/')
+                        THEN 'example.com/de/'
+                    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+                FROM parts)
+            SELECT page_id, host, path, rule, CASE
+                WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+                WHEN rule IS NOT NULL THEN 'block'
+                WHEN host LIKE '%spam%' OR path LIKE '%/login%' OR path LIKE '%.exe' OR host LIKE 'ads.%' THEN 'block'
+                ELSE 'allow' END AS verdict
+            FROM ruled""",
     }
