@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
+from public_tokenizers import PATTERN
 from public_tokenizers import path as vocabulary
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.llm.bpe import decode, encode
 from starloom.llm.common import table
 from starloom.llm.exact_dedup import exact_dedup
 from starloom.llm.packing import ids_crc32, pack
@@ -38,6 +40,14 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    coded = decode(encode(table(spark, sf_dir, "documents"), ranks, PATTERN), ranks, PATTERN)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
@@ -73,6 +83,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_classifier": op4_quality_classifier,
         "op7_simhash_dedup": op7_simhash_dedup,
         "op8_packing": op8_packing,

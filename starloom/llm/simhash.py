@@ -60,15 +60,17 @@ def fingerprint(raw: bytes, shingle_words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
-    """``(doc_id, fp long)`` of every row of ``docs``; a null text is empty."""
+    """``(doc_id, text_sha256, fp long)`` of every row of ``docs``; a null text is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t, shingle_words)
-                                 for t in (x.as_py() for x in batch.column(1))), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+                                 for t in (x.as_py() for x in batch.column(2))), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))],
+                                             ["doc_id", "text_sha256", "fp"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", whole_text().cast("binary").alias("raw")).mapInArrow(
-        run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", F.sha2(whole_text(), 256).alias("text_sha256"),
+                       whole_text().cast("binary").alias("raw")).mapInArrow(
+        run, f"doc_id {kind}, text_sha256 string, fp long")
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
@@ -203,18 +205,24 @@ def linked_prints(prints: DataFrame, distance: int = 4) -> DataFrame:
 
 
 def simhash_dedup(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> DataFrame:
-    """One row per row of ``docs(doc_id, text, …)``: ``doc_id, fp, component_id``.
+    """One row per row of ``docs(doc_id, text, …)``: ``doc_id, text_sha256, fp, component_id, kept``.
 
     Null and empty texts, and texts of white space only, have fingerprint 0 and
     are linked like any others.  ``component_id`` is the smallest ``doc_id``
     among all rows reachable by links (null only if all of them are null).
-    Repeated rows give repeated results; an empty table gives none.
+    ``kept`` marks the row with that id (of several with it, the smallest
+    SHA-256 of the text; rows that repeat it are marked too).  Repeated rows
+    give repeated results; an empty table gives none; other columns are not read.
     """
     rows = settled(fingerprints(docs, shingle_words))
-    prints = settled(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    # smallest id first, nulls after all ids
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_sha256")
+    prints = settled(rows.groupBy("fp").agg(F.min(first).alias("low")))
     roots = components(linked_prints(prints, distance))
     of_print = (prints.join(roots, prints.fp == roots.node, "left")
                 .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    lowest = of_print.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = of_print.join(lowest, "root").select("fp", "component_id")
-    return rows.join(settled(labels), "fp").select("doc_id", "fp", "component_id")
+    lowest = of_print.groupBy("root").agg(F.min("low").alias("lowest"))
+    labels = of_print.join(lowest, "root").select("fp", "lowest")
+    return rows.join(settled(labels), "fp").select(
+        "doc_id", "text_sha256", "fp", F.col("lowest.doc_id").alias("component_id"),
+        first.eqNullSafe(F.col("lowest")).alias("kept"))
