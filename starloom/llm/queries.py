@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.bpe import decode, encode
 from starloom.llm.common import table
+from starloom.llm.embedding_dedup import embedding_dedup
 from starloom.llm.exact_dedup import exact_dedup
 from starloom.llm.packing import ids_crc32, pack
 from starloom.llm.quality import quality_model, remainder, score
@@ -40,6 +41,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     coded = decode(encode(table(spark, sf_dir, "documents"), ranks, PATTERN), ranks, PATTERN)
@@ -83,6 +88,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_classifier": op4_quality_classifier,
         "op7_simhash_dedup": op7_simhash_dedup,
