@@ -18,6 +18,7 @@ from starloom.llm.packing import ids_crc32, pack
 from starloom.llm.quality import quality_model, remainder, score
 from starloom.llm.secrets import BASE_KINDS, secret_spans, spans_text
 from starloom.llm.simhash import simhash_dedup
+from starloom.llm.toxicity import toxicity, toxicity_model
 from starloom.llm.url_filter import GlobRule, SiteRule, judge_urls
 
 THRESHOLD = 0.7
@@ -60,6 +61,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("_row.doc_id", (remainder(F.col("_row.doc_id"), 3) == 1).alias("held_out"),
+                         F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup(table(spark, sf_dir, "documents"), shingle_words=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -91,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_embedding_dedup": op2_embedding_dedup,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_classifier": op4_quality_classifier,
+        "op6_toxicity": op6_toxicity,
         "op7_simhash_dedup": op7_simhash_dedup,
         "op8_packing": op8_packing,
         "op9_url_filter": op9_url_filter,

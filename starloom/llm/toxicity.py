@@ -223,9 +223,11 @@ class WordTable:
 def score_windows(net: Network, per_word: np.ndarray, words: np.ndarray, mask: np.ndarray) -> np.ndarray:
     """Logit of every window; ``per_word`` has the gates' input part of each word."""
     out = np.empty(len(words), np.float32)
+    rows = per_word.reshape(-1, 3 * HIDDEN)  # two rows per word, one per direction
     for at in range(0, len(words), 2048):
-        part, on = words[at:at + 2048], mask[at:at + 2048]
-        out[at:at + 2048] = net.forward(lambda t, d, part=part: per_word[part[:, t], d], None if on.all() else on)
+        part, on = np.ascontiguousarray(words[at:at + 2048].T) * 2, mask[at:at + 2048]
+        out[at:at + 2048] = net.forward(lambda t, d, part=part: rows.take(part[t] + d, axis=0),
+                                        None if on.all() else on)
     return out
 
 
