@@ -18,6 +18,7 @@ from starloom.llm.packing import ids_crc32, pack
 from starloom.llm.quality import quality_model, remainder, score
 from starloom.llm.secrets import BASE_KINDS, secret_spans, spans_text
 from starloom.llm.simhash import simhash_dedup
+from starloom.llm.suffix_dedup import repeated_strings
 from starloom.llm.toxicity import toxicity, toxicity_model
 from starloom.llm.url_filter import GlobRule, SiteRule, judge_urls
 
@@ -61,6 +62,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_strings(table(spark, sf_dir, "documents"), width=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
@@ -99,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_embedding_dedup": op2_embedding_dedup,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_quality_classifier": op4_quality_classifier,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_toxicity": op6_toxicity,
         "op7_simhash_dedup": op7_simhash_dedup,
         "op8_packing": op8_packing,
