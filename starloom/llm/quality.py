@@ -150,7 +150,7 @@ def fit(sample: DataFrame, how: Ftrl = Ftrl()) -> np.ndarray:
 
     coded = sample.select("order", "label", "text").mapInArrow(
         features, "order long, label int, at binary, value binary")
-    row = coded.coalesce(1).mapInArrow(train, "model binary").first()
+    row = coded.repartition(1).mapInArrow(train, "model binary").first()
     return np.frombuffer(row["model"], np.float32)
 
 

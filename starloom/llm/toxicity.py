@@ -347,7 +347,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, usable: Column | None = N
         net = train_network([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([net.save()], pa.binary())], ["model"])
 
-    return bytes(sample.coalesce(1).mapInArrow(train, "model binary").first()["model"])
+    return bytes(sample.repartition(1).mapInArrow(train, "model binary").first()["model"])
 
 
 def toxicity(docs: DataFrame, model: bytes) -> DataFrame:
