@@ -16,8 +16,9 @@ padding.
 
 from __future__ import annotations
 
-import zlib
+import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,25 +26,40 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
 
 #: A block ends at this many documents or bytes of text.
 BLOCK_DOCS = 8192
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 #: Distinct words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+
+
+#: Texts with combining marks are tokenised as they are.
+_MARKS = "[\\x{0300}-\\x{036F}]"
+#: Commas and full stops that end a word.
+_STOPS = "([a-z])([,.]+)(\\s|$)"
+
+
+def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """``array``, or a longer copy, with room for ``more`` after ``used``."""
+    if used + more <= len(array):
+        return array
+    return np.concatenate([array, np.zeros(max(more, len(array)), array.dtype)])
 
 
 class WordTokenizer:
     """Ids of texts by a tokenizer whose words never span ASCII white space.
 
     Each distinct word of a block is tokenised once and its ids are copied to
-    its places.
+    its places.  The tokenizer lower-cases and takes punctuation apart from
+    letters; doing both beforehand where that is sure to change nothing leaves
+    fewer distinct words.
     """
 
     _made: dict[str, WordTokenizer] = {}
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -58,31 +74,40 @@ class WordTokenizer:
 
     def _forget(self) -> None:
         self.places: dict[str, int] = {}
-        self.ids = np.empty(1 << 16, np.int32)
-        self.ends = [0]
+        self.ids, self.ends = np.empty(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
+        self.known = self.used = 0
 
     def _learn(self, words: list[str]) -> None:
         for at in range(0, len(words), 10_000):
             part = words[at:at + 10_000]
-            for word, coded in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                lo = self.ends[-1]
-                hi = lo + len(coded.ids)
-                if hi > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.empty(max(hi, len(self.ids)), np.int32)])
-                self.ids[lo:hi] = coded.ids
-                self.places[word] = len(self.ends) - 1
-                self.ends.append(hi)
+            found = [c.ids for c in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.places.update(zip(part, range(self.known, self.known + len(part)), strict=True))
+            self.ids = _room(self.ids, self.used, int(sizes.sum()))
+            self.ids[self.used:self.used + int(sizes.sum())] = np.fromiter(
+                chain.from_iterable(found), np.int32, int(sizes.sum()))
+            self.ends = _room(self.ends, self.known + 1, len(part))
+            self.ends[self.known + 1:self.known + 1 + len(part)] = self.used + np.cumsum(sizes)
+            self.known += len(part)
+            self.used += int(sizes.sum())
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids end."""
         if len(self.places) > CACHE_WORDS:
             self._forget()
-        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        texts = texts.cast(pa.large_string())
+        texts = pa.concat_arrays([texts, texts.slice(0, 0)])  # a copy: ascii_lower misreads sliced arrays
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), _STOPS, r"\1 \2\3")
+        marked = pc.match_substring_regex(texts, _MARKS).to_pylist()
+        if any(marked):
+            plain = pa.array([t if m else p for t, m, p in zip(
+                texts.to_pylist(), marked, plain.to_pylist(), strict=True)], pa.large_string())
+        lists = pc.ascii_split_whitespace(plain)
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         self._learn([w for w in words if w not in self.places])
         place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        ends = np.array(self.ends, np.int64)
+        ends = self.ends
         at = place[coded.indices.to_numpy(zero_copy_only=False)]
         lo, n = ends[at], ends[at + 1] - ends[at]
         upto = np.cumsum(n)
@@ -173,7 +198,8 @@ def _pack_block(ends: np.ndarray, capacity: int, max_padding: int) -> tuple[np.n
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
          max_padding: int = 32) -> DataFrame:
     """Pieces of all rows of ``docs(doc_id, text, …)``:
-    ``doc_id, start, length, ids array<int>, doc_tokens, sequence_id, offset``.
+    ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``, ids as little-endian
+    unsigned 32-bit numbers.
 
     ``tokenizer`` is the path, on every node, of a vocabulary of the tokenizers
     library that normalises and splits text without looking across ASCII white
@@ -199,10 +225,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
                 cut = slice(at, at + 4096)
                 upto = np.cumsum(length[cut])
                 take = np.repeat(lo[cut] - upto + length[cut], length[cut]) + np.arange(int(upto[-1]))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], upto]), pa.int32()), pa.array(ids[take], pa.int32()))
+                stops = np.concatenate([[0], upto * 4]).astype(np.int32)
+                raw = pa.Array.from_buffers(pa.binary(), len(upto), [
+                    None, pa.py_buffer(stops), pa.py_buffer(ids[take].astype("<u4"))])
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(doc[cut])), pa.array(start[cut]), pa.array(length[cut]), lists,
+                    [keys.take(pa.array(doc[cut])), pa.array(start[cut]), pa.array(length[cut]), raw,
                      pa.array(sizes[doc[cut]]), pa.array((part << 40) + (block << 24) + sequence[cut]),
                      pa.array(offset[cut])],
                     ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
@@ -226,13 +253,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, start long, length long, ids array<int>, doc_tokens long, "
+        run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, "
              "sequence_id long, offset long")
 
 
 def ids_crc32(ids: Column) -> Column:
-    """CRC-32 of ids as little-endian unsigned 32-bit numbers."""
-    @pandas_udf("long")
-    def crc(column):
-        return column.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
-    return crc(ids)
+    """CRC-32 of a piece's ids, which are little-endian unsigned 32-bit numbers."""
+    return F.crc32(ids)
