@@ -3,7 +3,6 @@
 from starloom.functions.dates import (
     calendar_columns,
     date_key,
-    day_before,
     month_end,
     month_label,
     month_start,
@@ -21,7 +20,6 @@ __all__ = [
     "calendar_columns",
     "conformed",
     "date_key",
-    "day_before",
     "employee_label",
     "money",
     "month_end",

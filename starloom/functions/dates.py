@@ -55,7 +55,3 @@ def month_start(year: ColumnOrName, month: ColumnOrName) -> Column:
 
 def month_end(year: ColumnOrName, month: ColumnOrName) -> Column:
     return F.last_day(month_start(year, month))
-
-
-def day_before(c: ColumnOrName) -> Column:
-    return F.date_sub(_col(c), 1)

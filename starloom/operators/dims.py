@@ -51,8 +51,7 @@ def build_dim_date(
         spark.range(1)
         .select(as_date_literal(as_of).alias("d"))
         .union(employees.select(F.col("hire_date").alias("d")))
-        .union(assignments.select(F.col("start_date").alias("d")))
-        .union(assignments.select(F.col("end_date").alias("d")))
+        .union(assignments.select(F.explode(F.array("start_date", "end_date")).alias("d")))
         .where(F.col("d").isNotNull())
         .distinct()
     )

@@ -110,7 +110,8 @@ def enriched_assignments(
     )
 
 
-def _has_keys():
+def has_keys():
+    """All three dimension keys were found."""
     ok = F.lit(True)
     for k in KEY_COLUMNS:
         ok = ok & F.col(k).isNotNull()
@@ -119,7 +120,7 @@ def _has_keys():
 
 def fact_from_enriched(enriched: DataFrame) -> DataFrame:
     """Rows with all three dimension keys, in the fact's column order."""
-    return enriched.where(_has_keys()).select(*FACT_COLUMNS)
+    return enriched.where(has_keys()).select(*FACT_COLUMNS)
 
 
 def rejects_from_enriched(enriched: DataFrame) -> DataFrame:
@@ -127,7 +128,7 @@ def rejects_from_enriched(enriched: DataFrame) -> DataFrame:
     missing = F.concat_ws(
         ",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in KEY_COLUMNS]
     )
-    return enriched.where(~_has_keys()).select(
+    return enriched.where(~has_keys()).select(
         "assignment_id", "employee_id", "project_id", "dept_name", "project_name",
         missing.alias("missing_keys"),
     )

@@ -26,6 +26,11 @@ def next_key_base(existing: DataFrame | None, key_col: str) -> Column:
     return existing.select(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).scalar()
 
 
+def largest_key(df: DataFrame, key_col: str) -> int:
+    """``COALESCE(MAX(key), 0)`` as a number (one small job)."""
+    return df.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long")).first()[0]
+
+
 def assign_dense_keys(
     df: DataFrame,
     order_cols: Sequence[str],

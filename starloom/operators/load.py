@@ -2,14 +2,13 @@
 
 Spark has no ``UPDATE``/``MERGE`` on parquet, so every load computes the
 complete next state of a table as a DataFrame, writes it as a new version
-beside the old one and then publishes it in the warehouse manifest.  Readers see
-either the old or the new version, never a half-written one.
+beside the old one and then publishes it with one new manifest.  Folders and
+manifests are never overwritten: every run claims a number of its own, and a
+manifest becomes visible by the rename of its single file.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +26,9 @@ from starloom.sources.tables import empty_frame, literal_frame, read_or_empty
 
 def rows_not_in(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key is not in ``existing`` (null-safe anti join)."""
-    return incoming.join(existing.select(*keys).distinct(), keys, "left_anti")
+    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+    return incoming.join(known, same, "left_anti")
 
 
 def new_dates(dim_date: DataFrame, existing: DataFrame) -> DataFrame:
@@ -96,22 +97,40 @@ def apply_role_changes(
     ``changes``: ``change_id, employee_id, role, salary, effective_start``.
     The open version of each employee and its changes are re-cut into
     intervals (the open one is closed the day before the first change; several
-    changes on one day keep the largest ``change_id``).  A change dated before
-    the open version's start is rejected.  Closed versions are not touched.
+    changes on one day keep the largest ``change_id``).  Rejected, with a
+    reason: changes without employee or date, of an employee not in
+    ``employees``, dated on or before the start of the open version (D4), or,
+    where no version is open, on or before the last day of the closed ones.
+    Closed versions, and rows whose flag is NULL, are not touched.  Only
+    employees with an accepted change get a new role and salary.
     """
-    open_rows = history.where(F.col("is_current"))
-    opened = open_rows.select("employee_id", F.col("effective_start").alias("_open_start"))
-    checked = changes.join(opened, "employee_id", "left")
-    valid = F.col("_open_start").isNull() | (F.col("effective_start") >= F.col("_open_start"))
-    rejected = checked.where(~valid).select(
-        "change_id", "employee_id", "effective_start",
-        F.lit("change dated before the open version").alias("reason"),
+    is_open = F.coalesce(F.col("is_current"), F.lit(False))
+    open_rows = history.where(is_open)
+    state = history.groupBy("employee_id").agg(
+        F.max(F.when(is_open, F.col("effective_start"))).alias("_open_start"),
+        F.max(F.coalesce("effective_end", "effective_start")).alias("_last_day"),
+    )
+    known = employees.select("employee_id").distinct().withColumn("_known", F.lit(True))
+    start = F.col("effective_start")
+    checked = (
+        changes.join(state, "employee_id", "left").join(known, "employee_id", "left")
+        .withColumn(
+            "reason",
+            F.when(F.col("employee_id").isNull() | start.isNull(), F.lit("employee or date is missing"))
+            .when(F.col("_known").isNull(), F.lit("unknown employee"))
+            .when(start <= F.col("_open_start"), F.lit("change dated on or before the open version's start"))
+            .when(F.col("_open_start").isNull() & (start <= F.col("_last_day")),
+                  F.lit("change dated on or before the end of the closed versions")),
+        )
     )
+    rejected = checked.where(F.col("reason").isNotNull()).select(
+        "change_id", "employee_id", "effective_start", "reason")
+    accepted = checked.where(F.col("reason").isNull())
     tail = open_rows.select(
         "employee_id", "role", "salary", "effective_start", "history_id",
         F.lit(0).alias("_src"), F.lit(None).cast("long").alias("change_id"),
     ).unionByName(
-        checked.where(valid).select(
+        accepted.select(
             "employee_id", "role", "salary", "effective_start",
             F.lit(None).cast("long").alias("history_id"), F.lit(1).alias("_src"), "change_id",
         )
@@ -129,21 +148,18 @@ def apply_role_changes(
     )
     columns = list(history.columns)
     new_history = (
-        history.where(~F.col("is_current"))
+        history.where(~is_open)
         .select(columns)
         .unionByName(recut.where(F.col("history_id").isNotNull()).select(columns))
         .unionByName(fresh.select(columns))
     )
-    latest = new_history.where(F.col("is_current")).select(
-        "employee_id", F.col("role").alias("_role"), F.col("salary").alias("_salary")
-    )
+    latest = accepted.groupBy("employee_id").agg(
+        F.max(F.struct("effective_start", "change_id", "role", "salary")).alias("_new"))
+    role = F.when(F.col("_new").isNotNull(), F.col("_new.role")).otherwise(F.col("current_role"))
+    salary = F.when(F.col("_new").isNotNull(), F.col("_new.salary")).otherwise(F.col("current_salary"))
+    updated = {"current_role": role, "current_salary": salary}
     new_employees = employees.join(latest, "employee_id", "left").select(
-        *[
-            F.coalesce(F.col("_role"), F.col(c)).alias(c) if c == "current_role"
-            else F.coalesce(F.col("_salary"), F.col(c)).alias(c) if c == "current_salary"
-            else F.col(c)
-            for c in employees.columns
-        ]
+        *[updated.get(c, F.col(c)).alias(c) for c in employees.columns]
     )
     return new_history, new_employees, rejected
 
@@ -156,9 +172,14 @@ def onboarding_checks(requests: DataFrame) -> DataFrame:
     def blank(c: str):
         return F.col(c).isNull() | (F.trim(F.col(c)) == "")
 
+    needed = ("hire_date", "current_salary", "status", "allocation_pct", "assignment_start")
+    missing = F.lit(False)
+    for c in needed:
+        missing = missing | F.col(c).isNull()
     reason = (
         F.when(blank("name") | blank("email") | blank("current_role"),
                F.lit("name, email and role are required"))
+        .when(missing, F.lit("a required value is missing"))
         .when(F.col("assignment_start") < F.col("hire_date"),
               F.lit("assignment start before hire date"))
         .when(F.col("current_salary") < 0, F.lit("negative salary"))
@@ -170,30 +191,51 @@ def onboarding_checks(requests: DataFrame) -> DataFrame:
     return requests.withColumn("reason", reason)
 
 
+def email_checks(checked: DataFrame, employees: DataFrame) -> DataFrame:
+    """UNIQUE email: a valid request whose trimmed email an employee has, or an
+    earlier valid request (by ``request_id``) of the batch, gets a ``reason``."""
+    email = F.trim("email")
+    valid = checked.where(F.col("reason").isNull())
+    first = valid.groupBy(email.alias("_email")).agg(F.min("request_id").alias("_first"))
+    taken = employees.select(F.trim("email").alias("_email")).distinct().withColumn("_taken", F.lit(True))
+    first = first.join(taken, "_email", "left")
+    rows = checked.withColumn("_email", email).join(first, "_email", "left")
+    reason = (
+        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(F.col("_taken").isNotNull(), F.lit("email already used by an employee"))
+        .when(F.col("request_id") > F.col("_first"), F.lit("email repeated in the batch"))
+    )
+    return rows.withColumn("reason", reason).drop("_email", "_first", "_taken")
+
+
 def onboard(
     requests: DataFrame,
     employees: DataFrame,
     assignments: DataFrame,
     departments: DataFrame,
     projects: DataFrame,
+    history: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """L8 as a batch: validate hires, give ids, build their three records.
 
     ``requests``: ``request_id, name, email, dept_name, hire_date,
     current_salary, current_role, status, project_name, allocation_pct,
     assignment_start``.  Returns ``employees``, ``employee_history``,
-    ``assignments`` (new rows only) and ``rejected``.  New ids follow the
-    largest existing id (A13), densely, in request order within key buckets.
+    ``assignments`` (new rows only, in the columns of ``schemas``) and
+    ``rejected``.  New ids follow the largest existing id (A13), densely, in
+    request order within key buckets; with ``history`` the first versions get
+    ``history_id`` the same way.  The batch is numbered once for all ids.
     """
     resolved = resolve_projects(resolve_departments(requests, departments), projects)
-    checked = onboarding_checks(resolved)
-    ok = checked.where(F.col("reason").isNull())
-    ok = assign_dense_keys(ok, ["request_id"], "employee_id", next_key_base(employees, "employee_id"))
-    ok = assign_dense_keys(
-        ok, ["request_id"], "assignment_id", next_key_base(assignments, "assignment_id")
-    )
+    checked = email_checks(onboarding_checks(resolved), employees)
+    ok = assign_dense_keys(checked.where(F.col("reason").isNull()), ["request_id"], "_number")
+    ok = ok.withColumns({
+        "employee_id": next_key_base(employees, "employee_id") + F.col("_number"),
+        "assignment_id": next_key_base(assignments, "assignment_id") + F.col("_number"),
+        "history_id": next_key_base(history, "history_id") + F.col("_number"),
+    })
     hires = ok.select(
-        "request_id", "employee_id", "assignment_id",
+        "request_id", "employee_id", "assignment_id", "history_id",
         F.trim("name").alias("name"), F.trim("email").alias("email"), "dept_id", "hire_date",
         F.col("current_salary").cast("decimal(12,2)").alias("current_salary"),
         F.trim("current_role").alias("current_role"), "status", "project_id",
@@ -201,10 +243,11 @@ def onboard(
         F.col("assignment_start").alias("start_date"),
     )
     new_employees = hires.select(
-        "request_id", "employee_id", "name", "email", "dept_id", "hire_date", "current_salary",
-        "current_role", "status", "assignment_id",
+        "employee_id", "name", "email", "dept_id", "hire_date", "current_salary",
+        "current_role", "status",
     )
     new_history = hires.select(
+        "history_id",
         "employee_id",
         F.col("current_role").alias("role"),
         F.col("current_salary").alias("salary"),
@@ -218,7 +261,7 @@ def onboard(
     )
     rejected = checked.where(F.col("reason").isNotNull()).select("request_id", "reason")
     return {
-        "hires": hires,
+        "hires": hires.drop("history_id"),
         "employees": new_employees,
         "employee_history": new_history,
         "assignments": new_assignments,
@@ -226,18 +269,62 @@ def onboard(
     }
 
 
+def publish_onboarding(
+    spark: SparkSession, root: str, batch: dict[str, DataFrame], tables: dict[str, DataFrame]
+) -> int:
+    """L8 durably: the three tables with the batch's rows appended, published together."""
+    run = claim_run(spark, root)
+    names = ("employees", "employee_history", "assignments")
+    for name in names:
+        grown = tables[name].unionByName(batch[name].select(*tables[name].columns))
+        write_unpublished(grown, root, name, run)
+    publish(spark, root, dict.fromkeys(names, run))
+    return run
+
+
 # --------------------------------------------------------------------------
 # versioned tables: write beside, then publish a manifest
 # --------------------------------------------------------------------------
 
+#: Manifest entries with this ending hold the largest key given, not a version.
+LAST_KEY = ".last_key"
+
 _MANIFEST_SCHEMA = T.StructType(
     [T.StructField("table_name", T.StringType(), False),
-     T.StructField("version", T.IntegerType(), False)]
+     T.StructField("version", T.LongType(), False),
+     T.StructField("v", T.IntegerType(), True)]
 )
 
 
-def _manifest_path(root: str) -> str:
-    return f"{root}/manifest"
+def _manifests(spark: SparkSession, root: str) -> DataFrame:
+    """All manifests ever published: ``(table_name, version, v)``; a few rows per run.
+
+    Manifest ``v`` is the one file ``manifest/v=N/part-…``: a reader sees it
+    whole or not at all.
+    """
+    return read_or_empty(spark, f"{root}/manifest", _MANIFEST_SCHEMA)
+
+
+def claim_run(spark: SparkSession, root: str) -> int:
+    """A run number that no other run has or had, also not one that failed.
+
+    The claim is a folder ``runs/run=N`` whose creation fails if it exists, so
+    of two runs that want the same number one moves on to the next.
+    """
+    schema = T.StructType([T.StructField("claimed", T.IntegerType()), T.StructField("run", T.IntegerType())])
+    claimed = read_or_empty(spark, f"{root}/runs", schema).agg(F.max("run")).first()[0] or 0
+    published = _manifests(spark, root).where(~F.col("table_name").endswith(LAST_KEY)).agg(
+        F.max("version")).first()[0] or 0
+    run = max(claimed, published) + 1
+    while True:
+        try:
+            literal_frame(spark, [(run,)], T.StructType(schema.fields[:1])).coalesce(1).write.mode(
+                "errorifexists").parquet(f"{root}/runs/run={run}")
+            return run
+        except AnalysisException as exc:
+            if "PATH_ALREADY_EXISTS" not in str(exc):
+                raise
+            run += 1
 
 
 def version_path(root: str, table: str, version: int) -> str:
@@ -245,12 +332,10 @@ def version_path(root: str, table: str, version: int) -> str:
 
 
 def current_versions(spark: SparkSession, root: str) -> dict[str, int]:
-    """Published version of every table under ``root`` (empty before any)."""
-    try:
-        rows = spark.read.schema(_MANIFEST_SCHEMA).parquet(_manifest_path(root)).collect()
-    except AnalysisException:
-        return {}
-    return {r["table_name"]: int(r["version"]) for r in rows}
+    """What the newest manifest names: a version per table (empty before any)."""
+    rows = _manifests(spark, root).collect()
+    newest = max((r["v"] for r in rows), default=0)
+    return {r["table_name"]: int(r["version"]) for r in rows if r["v"] == newest}
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> int:
@@ -261,19 +346,20 @@ def current_version(spark: SparkSession, root: str, table: str) -> int:
 def publish(
     spark: SparkSession, root: str, versions: dict[str, int], replace_prefix: str | None = None
 ) -> None:
-    """Make ``versions`` current, all tables at once (one small write).
+    """Make ``versions`` current, all tables at once (one small new manifest).
 
-    Until this runs, readers keep seeing the previous versions, so a run that
+    A manifest that another run has published meanwhile makes this fail rather
+    than hide its tables.  Until this runs, readers keep seeing the previous versions, so a run that
     fails half-way publishes nothing.  Entries starting with ``replace_prefix``
     that are not in ``versions`` are unpublished (e.g. older fact snapshots).
     """
+    newest = _manifests(spark, root).agg(F.max("v")).first()[0] or 0
     old = current_versions(spark, root)
     if replace_prefix:
         old = {k: v for k, v in old.items() if not k.startswith(replace_prefix)}
     merged = {**old, **versions}
-    literal_frame(spark, sorted(merged.items()), _MANIFEST_SCHEMA).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(_manifest_path(root))
+    literal_frame(spark, sorted(merged.items()), T.StructType(_MANIFEST_SCHEMA.fields[:2])).coalesce(
+        1).write.mode("errorifexists").parquet(f"{root}/manifest/v={newest + 1}")
 
 
 def read_version(
@@ -283,7 +369,16 @@ def read_version(
         return empty_frame(spark, schema)
     if table in SCD2_TABLES:
         return read_scd2_version(spark, root, table, version, schema)
-    return read_or_empty(spark, version_path(root, table, version), schema)
+    return _read_stored(spark, [version_path(root, table, version)], schema)
+
+
+def _read_stored(
+    spark: SparkSession, paths: list[str], schema: T.StructType, base: str | None = None
+) -> DataFrame:
+    """Folders that a manifest names: a lost one is an error, never an empty table."""
+    reader = spark.read.schema(schema)
+    df = (reader.option("basePath", base) if base else reader).parquet(*paths)
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_published(
@@ -350,28 +445,24 @@ def read_scd2_version(
     spark: SparkSession, root: str, table: str, version: int, schema: T.StructType,
     current_only: bool = False,
 ) -> DataFrame:
-    """Version ``version``: its current rows plus the rows closed by runs <= it."""
-    current = read_or_empty(spark, f"{root}/{table}/current/v{version:06d}", schema)
+    """Version ``version``: its current rows plus the rows closed by it and by
+    the published runs before it (a run that failed never counts)."""
+    current = _read_stored(spark, [f"{root}/{table}/current/v{version:06d}"], schema)
     if current_only:
         return current
-    with_run = T.StructType(schema.fields + [T.StructField("run", T.IntegerType(), True)])
-    closed = read_or_empty(spark, f"{root}/{table}/closed", with_run)
-    closed = closed.where(F.col("run") <= F.lit(version)).drop("run")
+    runs = {r["version"] for r in _manifests(spark, root).where(
+        (F.col("table_name") == table) & (F.col("version") < version)).select("version").collect()}
+    closed = _read_stored(spark, [f"{root}/{table}/closed/run={r}" for r in sorted(runs | {version})], schema)
     return closed.unionByName(current)
 
 
 def write_scd2_unpublished(df: DataFrame, root: str, table: str, version: int) -> None:
-    """Split the next state: current rows as a new version, closed rows of
-    this run appended under ``run=version`` (a retried run replaces only its
-    own partition)."""
-    df.where(F.col("is_current")).write.mode("overwrite").parquet(
-        f"{root}/{table}/current/v{version:06d}"
-    )
-    df.where(~F.col("is_current")).withColumn("run", F.lit(version)).write.mode(
-        "overwrite"
-    ).option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(
-        f"{root}/{table}/closed"
-    )
+    """Split the next state: current rows as a new version, all others (a NULL
+    flag included) as the rows closed by this run.  Both folders are replaced
+    whole, so a retry leaves nothing of the attempt before."""
+    current = F.coalesce(F.col("is_current"), F.lit(False))
+    for rows, path in ((df.where(current), f"current/v{version:06d}"), (df.where(~current), f"closed/run={version}")):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{table}/{path}")
 
 
 def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
@@ -414,7 +505,7 @@ def write_version(
     version stays current and ``ValueError`` is raised.
     """
     spark = df.sparkSession
-    version = current_version(spark, root, table) + 1
+    version = claim_run(spark, root)
     write_unpublished(df, root, table, version, partition_by, allow_empty)
     publish(spark, root, {table: version})
     return version
@@ -429,8 +520,7 @@ def load_oltp(tables: dict[str, DataFrame], root: str) -> DataFrame:
     from starloom.operators.quality import quality_report
 
     spark = next(iter(tables.values())).sparkSession
-    old = current_versions(spark, root)
-    versions = {name: old.get(name, 0) + 1 for name in tables}
+    versions = dict.fromkeys(tables, claim_run(spark, root))
     written = {}
     for name, df in tables.items():
         write_unpublished(df, root, name, versions[name])
@@ -451,7 +541,3 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def as_of_date(value: dt.date | str) -> dt.date:
-    return dt.date.fromisoformat(value) if isinstance(value, str) else value

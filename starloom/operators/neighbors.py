@@ -1,61 +1,16 @@
-"""Skew-safe neighbour lookups over an ordered key (lead, rank).
+"""Skew-safe rank over an ordered value.
 
-A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if
-one employee or one department holds a third of the rows, that task holds a
-third of the data.  These helpers split each key into *chunks* of a column
-that grows with the order (e.g. the month of a date), run the window inside
-``(key, chunk)``, and patch the chunk boundaries from a per-chunk summary that
-has at most one row per (key, chunk).
+A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if one
+department holds a third of the rows, that task holds a third of the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_CHUNK = "_chunk"
-
-
-def with_next(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_col: str,
-    values: Sequence[str],
-    chunk: Column,
-    prefix: str = "next_",
-) -> DataFrame:
-    """Add ``{prefix}{v}``: ``v`` of the next row by ``order_col`` within ``keys``.
-
-    ``order_col`` must be unique within a key and ``chunk`` non-decreasing in it.
-    Input already hash-partitioned by ``(keys, chunk)`` is not shuffled again.
-    """
-    keys = list(keys)
-    base = df.withColumn(_CHUNK, chunk)
-    inner = Window.partitionBy(*keys, _CHUNK).orderBy(order_col)
-    lead_cols = {f"{prefix}{v}": F.lead(F.col(v)).over(inner) for v in values}
-    lead_cols["_is_last"] = F.lead(F.lit(1)).over(inner).isNull()
-    rows = base.withColumns(lead_cols)
-
-    # one row per (key, chunk): its first values; a partial aggregate
-    firsts = base.groupBy(*keys, _CHUNK).agg(
-        F.min_by(F.struct(*[F.col(v) for v in values]), F.col(order_col)).alias("_first")
-    )
-    across = Window.partitionBy(*keys).orderBy(_CHUNK)
-    firsts = firsts.select(*keys, _CHUNK, F.lead("_first").over(across).alias("_next_first"))
-
-    joined = rows.join(firsts, [*keys, _CHUNK], "left")
-    out = joined.withColumns(
-        {
-            f"{prefix}{v}": F.when(F.col("_is_last"), F.col(f"_next_first.{v}")).otherwise(
-                F.col(f"{prefix}{v}")
-            )
-            for v in values
-        }
-    )
-    return out.drop(_CHUNK, "_is_last", "_next_first")
-
 
 def rank_desc(
     df: DataFrame,

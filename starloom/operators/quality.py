@@ -116,7 +116,7 @@ def foreign_key_violations(
             continue
         parent = tables[parent_name].select(
             *[F.col(p).alias(c) for c, p in zip(cols, parent_cols)]
-        ).distinct()
+        )
         present = F.lit(True)
         for c in cols:
             present = present & F.col(c).isNotNull()

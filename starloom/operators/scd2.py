@@ -8,30 +8,24 @@
   reject).
 * ``apply_scd2``: the complete next version of the dimension.
 
-Every step is keyed by the entity id and uses aggregates or chunked windows,
-so no entity is ever processed whole in one task.
+Windows run over rows already collapsed to one per entity and day, so their
+size is bounded by the calendar, not by the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_last
 from starloom.operators.keys import assign_dense_keys, next_key_base
-from starloom.operators.neighbors import with_next
 
 OPEN_END = "9999-12-31"
 TRACKED_COLUMNS = ("name", "role", "effective_start")
 
 
-def month_chunk(c: str) -> Column:
-    """Chunk of a date column for the skew-safe windows: its month."""
-    return F.trunc(F.col(c), "month")
-
-
 def intervals_from_changelog(
     changes: DataFrame,
     key: str,
@@ -47,18 +41,15 @@ def intervals_from_changelog(
     """
     tie_breakers = list(tie_breakers)
     # duplicates of one entity and day are combined map-side before any shuffle
-    # (a burst of copies never lands whole in one task); what moves next is at
-    # most one row per entity and day, spread over (entity, month)
+    # (a burst of copies never lands whole in one task); what the window sees is
+    # at most one row per entity and calendar day
     day = keep_last(
         changes.select(key, start_col, *tie_breakers, *value_cols), [key, start_col], tie_breakers
     )
-    nxt = with_next(day, [key], start_col, [start_col], month_chunk(start_col), prefix="_next_")
-    return nxt.withColumns(
-        {
-            "effective_end": F.date_sub(F.col(f"_next_{start_col}"), 1),
-            "is_current": F.col(f"_next_{start_col}").isNull(),
-        }
-    ).drop(f"_next_{start_col}")
+    following = F.lead(start_col).over(Window.partitionBy(key).orderBy(start_col))
+    return day.withColumn("_next", following).withColumns(
+        {"effective_end": F.date_sub("_next", 1), "is_current": F.col("_next").isNull()}
+    ).drop("_next")
 
 
 def interval_violations(
@@ -88,10 +79,14 @@ def interval_violations(
     groups = versions.groupBy(key, start_col, end_col).agg(F.count(F.lit(1)).alias("_n"))
     groups = groups.withColumn("_e", end_or_open)
 
-    days = groups.groupBy(key, start_col).agg(F.max("_e").alias("_day_max"))
+    days = groups.groupBy(key, start_col).agg(
+        F.max("_e").alias("_day_max"),
+        F.sum(F.when(F.col(end_col).isNull(), F.col("_n")).otherwise(0)).alias("_day_open"),
+    )
     earlier_days = Window.partitionBy(key).orderBy(start_col).rowsBetween(
         Window.unboundedPreceding, -1
     )
+    open_days = days
     days = days.select(key, start_col, F.max("_day_max").over(earlier_days).alias("_before"))
 
     within_day = Window.partitionBy(key, start_col).orderBy(F.col(end_col).asc_nulls_first())
@@ -125,8 +120,8 @@ def interval_violations(
         )
     )
     open_many = (
-        versions.groupBy(key)
-        .agg(F.count_if(F.col(end_col).isNull()).alias("_open"))
+        open_days.groupBy(key)
+        .agg(F.sum("_day_open").alias("_open"))
         .where(F.col("_open") > 1)
         .select(
             F.lit(table).alias("table_name"),
@@ -172,13 +167,22 @@ def scd2_changes(
       new open version is added;
     * ``skip``: the tracked columns are equal (null-safe): nothing to do;
     * ``reject``: a change whose close date would precede the version it
-      closes (D4); nothing is written, ``reason`` says why.
+      closes (D4), that has no start date, or that stands beside a later
+      current source version of the same employee (of those the latest start,
+      then the largest role, counts: a key is closed once); nothing is written,
+      ``reason`` says why.
 
     Salary is not tracked: a salary change reaches the dimension only through
     the new ``effective_start`` it brings (D2).
     """
-    current = history.where(F.col("is_current")).select("employee_id", "role", "effective_start")
-    source = current.join(employees.select("employee_id", "name"), "employee_id", "inner")
+    version = F.struct("effective_start", "role")
+    current = (
+        history.where(F.col("is_current")).groupBy("employee_id")
+        .agg(F.max(version).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    )
+    staff = employees.groupBy("employee_id").agg(F.max("name").alias("name"))
+    source = current.join(staff, "employee_id", "inner").select(
+        "employee_id", "name", "_n", "_v.role", "_v.effective_start")
     compared = source.join(current_dimension_rows(dim), "employee_id", "left")
 
     same = F.lit(True)
@@ -188,10 +192,11 @@ def scd2_changes(
     action = (
         F.when(F.col("dim_employee_key").isNull(), F.lit("insert"))
         .when(same, F.lit("skip"))
+        .when(F.col("effective_start").isNull(), F.lit("reject"))
         .when(close_date < F.col("dim_effective_start"), F.lit("reject"))
         .otherwise(F.lit("close_insert"))
     )
-    return compared.select(
+    classified = compared.select(
         "employee_id",
         action.alias("action"),
         F.col("dim_employee_key").alias("employee_key"),
@@ -199,18 +204,31 @@ def scd2_changes(
         "role",
         "effective_start",
         F.when(action.isin("close_insert", "reject"), close_date).alias("close_date"),
-        F.when(
-            action == "reject",
-            F.lit("close date before the start of the version it closes"),
-        ).alias("reason"),
+        F.when((action == "reject") & F.col("effective_start").isNull(), F.lit("no start date"))
+        .when(action == "reject", F.lit("close date before the start of the version it closes"))
+        .alias("reason"),
+        "_n",
     )
-
-
-def apply_scd2(dim: DataFrame, changes: DataFrame) -> DataFrame:
+    # further current source versions of one employee: one report row each employee
+    plain = [F.col(c) for c in classified.columns if c != "_n"]
+    extra = [
+        {"action": F.lit("reject"), "employee_key": F.lit(None).cast("long"),
+         "reason": F.concat((F.col("_n") - 1).cast("string"), F.lit(" further current source versions")),
+         "role": F.lit(None).cast("string"), "effective_start": F.lit(None).cast("date"),
+         "close_date": F.lit(None).cast("date")}.get(c, F.col(c)).alias(c)
+        for c in classified.columns if c != "_n"
+    ]
+    row = F.struct(*plain)
+    out = F.when(F.col("_n") > 1, F.array(row, F.struct(*extra))).otherwise(F.array(row))
+    return classified.select(F.inline(out))
+
+
+def apply_scd2(dim: DataFrame, changes: DataFrame, last_key: int | None = None) -> DataFrame:
     """Next complete version of the dimension: closed, kept and inserted rows.
 
-    New versions get keys after the current maximum (L5), in employee id order
-    within the key buckets.
+    New versions get keys after ``last_key`` (default: the largest in ``dim``,
+    which must then hold every version, closed ones too) (L5), in employee id
+    order within the key buckets.
     """
     closes = changes.where(F.col("action") == "close_insert").select(
         F.col("employee_key").alias("_close_key"), F.col("close_date").alias("_close_date")
@@ -233,7 +251,7 @@ def apply_scd2(dim: DataFrame, changes: DataFrame) -> DataFrame:
     )
     inserted = assign_dense_keys(
         inserts, ["employee_id", "effective_start"], "employee_key",
-        next_key_base(dim, "employee_key"),
+        next_key_base(dim, "employee_key") if last_key is None else last_key,
     ).select(
         "employee_key",
         "employee_id",

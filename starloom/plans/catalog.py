@@ -24,7 +24,12 @@ from starloom.operators.clean import (
     role_levels,
 )
 from starloom.operators.dims import build_dim_department, build_dim_project
-from starloom.operators.fact import require_snapshot_date
+from starloom.operators.fact import (
+    enriched_assignments,
+    fact_from_enriched,
+    rejects_from_enriched,
+    require_snapshot_date,
+)
 from starloom.operators.load import (
     apply_role_changes,
     new_dates,
@@ -136,6 +141,9 @@ STAGED_LADDERS: dict[str, list[str]] = {
     "NATION_1": ["5-LOW", "2-HIGH"],
     "NATION_2": ["4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"],
 }
+# Parameters of the reports on one employee and one department.
+ONE_EMPLOYEE = 7
+ONE_DEPARTMENT = "NATION_3"
 STAGED_ALIASES: dict[str, str] = {"1-URGENT": "2-HIGH"}
 
 
@@ -144,15 +152,28 @@ def _star(s: Scenario, *names: str) -> list[DataFrame]:
     return [tables["fact_employee_performance" if n == "fact" else n] for n in names]
 
 
-def _fact(s: Scenario) -> DataFrame:
-    require_snapshot_date(s.wh.dim_date, AS_OF)
-    return s.wh.fact
+def _enriched(s: Scenario) -> DataFrame:
+    """The fact's joined rows over the published dimensions, as the ETL builds them."""
+    st, star = s.st, s.published()
+    require_snapshot_date(star["dim_date"], AS_OF)
+    return enriched_assignments(
+        employees_with_department(st["employees"], st["departments"]), st["projects"],
+        st["assignments"], prepare_attrition(st["attrition_raw"]), star["dim_employee"],
+        star["dim_department"], star["dim_project"], AS_OF,
+    )
 
 
 def _onboard(s: Scenario) -> dict[str, DataFrame]:
     st = s.st
     return onboard(
-        st["hire_requests"], st["employees"], st["assignments"], st["departments"], st["projects"]
+        st["hire_requests"], st["employees"], st["assignments"], st["departments"], st["projects"],
+        st["employee_history"],
+    )
+
+
+def _role_changes(s: Scenario) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return apply_role_changes(
+        s.st["history_before_changes"], s.st["employees"], s.st["dirty_role_changes"]
     )
 
 
@@ -205,11 +226,17 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     "apply_role_changes": lambda s: apply_role_changes(
         s.st["history_before_changes"], s.st["employees"], s.st["role_changes"]
     )[0].select("employee_id", "role", "salary", "effective_start", "effective_end", "is_current"),
+    "role_change_rejects": lambda s: _role_changes(s)[2],
+    "role_change_employees": lambda s: _role_changes(s)[1].select(
+        "employee_id", "current_role", "current_salary"),
+    "onboard_employees": lambda s: _onboard(s)["employees"],
+    "onboard_history": lambda s: _onboard(s)["employee_history"],
+    "onboard_assignments": lambda s: _onboard(s)["assignments"],
     "onboard_hires": lambda s: _onboard(s)["hires"],
     "onboard_rejects": lambda s: _onboard(s)["rejected"],
     # fact
-    "fact_employee_performance": _fact,
-    "fact_rejects": lambda s: s.wh.rejects,
+    "fact_employee_performance": lambda s: fact_from_enriched(_enriched(s)),
+    "fact_rejects": lambda s: rejects_from_enriched(_enriched(s)),
     # reports
     "tenure_ranking": lambda s: reports.tenure_ranking(*_star(s, "fact", "dim_employee",
                                                               "dim_department")),
@@ -223,6 +250,11 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
         *_star(s, "fact", "dim_department", "dim_employee")
     ),
     "employee_salary_history": lambda s: reports.employee_salary_history(s.st["employee_history"]),
+    "salary_history_of_one": lambda s: reports.employee_salary_history(
+        s.st["employee_history"], employee_id=ONE_EMPLOYEE),
+    "salary_trend_of_one": lambda s: reports.department_salary_trend(
+        s.st["employee_history"], s.st["employees"], s.st["departments"], dept_name=ONE_DEPARTMENT),
+    "versions_of_one": lambda s: versions_of(s.published()["dim_employee"], ONE_EMPLOYEE),
     "scd2_versions": lambda s: versions_of(s.published()["dim_employee"]),
     "department_salary_trend": lambda s: reports.department_salary_trend(
         s.st["employee_history"], s.st["employees"], s.st["departments"]

@@ -14,7 +14,6 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +24,14 @@ from starloom.operators.dims import build_dim_date, build_dim_department, build_
 from starloom.operators.fact import (
     enriched_assignments,
     fact_from_enriched,
+    has_keys,
     rejects_from_enriched,
     require_snapshot_date,
 )
+from starloom.operators.keys import largest_key
 from starloom.operators.load import (
+    LAST_KEY,
+    claim_run,
     current_versions,
     new_dates,
     new_departments,
@@ -50,12 +53,20 @@ STAR_TABLES = ("dim_date", "dim_department", "dim_project", "dim_employee",
                "fact_employee_performance")
 
 
+#: Manifest entry: the largest employee_key given so far, in open or closed versions.
+LAST_EMPLOYEE_KEY = f"dim_employee{LAST_KEY}"
+
+
 class _Run:
-    """Versions of one run: what was published before and what it wrote."""
+    """One run: its number, what was published before it and what it wrote.
+
+    All tables it writes carry the run's number as their version.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self.number = claim_run(spark, root)
         self.before = current_versions(spark, root)
         self.written: dict[str, int] = {}
 
@@ -64,10 +75,9 @@ class _Run:
 
     def write(self, df: DataFrame, table: str, schema, partition_by=None,
               allow_empty: bool = True) -> DataFrame:
-        version = self.before.get(table, 0) + 1
-        write_unpublished(df, self.root, table, version, partition_by, allow_empty)
-        self.written[table] = version
-        return read_version(self.spark, self.root, table, version, schema)
+        write_unpublished(df, self.root, table, self.number, partition_by, allow_empty)
+        self.written[table] = self.number
+        return read_version(self.spark, self.root, table, self.number, schema)
 
 
 def run_etl(
@@ -120,9 +130,9 @@ def run_etl(
         return run.write(upsert.drop("action"), "dim_project", schemas.DIM_PROJECT), upsert
 
     def load_employees():
-        # SCD2: only the current rows take part in a run (the largest key is
-        # always a current row: every close inserts a larger one), so closed
-        # history is neither read nor rewritten
+        # SCD2: only the current rows take part in a run; the largest key ever
+        # given is published with the dimension, so closed history is neither
+        # read nor rewritten (read once for a dimension published without it)
         step("dim_employee scd2")
         before = run.before.get("dim_employee", 0)
         old_current = (
@@ -130,14 +140,20 @@ def run_etl(
                               current_only=True)
             if before else empty_frame(spark, schemas.DIM_EMPLOYEE)
         )
+        last_key = run.before.get(LAST_EMPLOYEE_KEY)
+        if last_key is None:
+            last_key = largest_key(run.old("dim_employee", schemas.DIM_EMPLOYEE), "employee_key")
         changes = run.write(
             scd2_changes(employees, x["employee_history"], old_current),
             "scd2_changes", schemas.SCD2_CHANGES,
         )
-        write_scd2_unpublished(apply_scd2(old_current, changes), warehouse, "dim_employee",
-                               before + 1)
-        run.written["dim_employee"] = before + 1
-        return read_version(spark, warehouse, "dim_employee", before + 1,
+        write_scd2_unpublished(apply_scd2(old_current, changes, last_key), warehouse, "dim_employee",
+                               run.number)
+        run.written["dim_employee"] = run.number
+        written = read_scd2_version(spark, warehouse, "dim_employee", run.number,
+                                    schemas.DIM_EMPLOYEE, current_only=True)
+        run.written[LAST_EMPLOYEE_KEY] = max(last_key, largest_key(written, "employee_key"))
+        return read_version(spark, warehouse, "dim_employee", run.number,
                             schemas.DIM_EMPLOYEE), changes
 
     with ThreadPoolExecutor(max_workers=4) as pool:
@@ -149,21 +165,23 @@ def run_etl(
     # fact for the snapshot
     step("fact")
     require_snapshot_date(dim_date, as_of)
-    enriched = enriched_assignments(
+    # The joined rows are written once, split by whether all their keys were
+    # found, and read back for the fact and its rejects: nothing large is held
+    # on executors.
+    joined = f"{warehouse}/enriched/run={run.number}"
+    rows = enriched_assignments(
         employees, x["projects"], x["assignments"], attrition, dim_employee, dim_department,
         dim_project, as_of,
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # the fact is stored per snapshot: this run writes only its own
-        # snapshot; a full refresh unpublishes the others
-        snapshot = snapshot_entry("fact_employee_performance", date_key_of(as_of))
-        version = run.before.get(snapshot, 0) + 1
-        write_snapshot_unpublished(fact_from_enriched(enriched), warehouse,
-                                   "fact_employee_performance", date_key_of(as_of), version)
-        run.written[snapshot] = version
-        run.write(rejects_from_enriched(enriched), "fact_rejects", schemas.FACT_REJECTS)
-    finally:
-        enriched.unpersist()
+    ).withColumn("has_keys", has_keys().cast("int"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("has_keys").parquet(joined)
+    enriched = spark.read.schema(rows.schema).parquet(joined)
+    # the fact is stored per snapshot: this run writes only its own
+    # snapshot; a full refresh unpublishes the others
+    snapshot = snapshot_entry("fact_employee_performance", date_key_of(as_of))
+    write_snapshot_unpublished(fact_from_enriched(enriched.where("has_keys = 1")), warehouse,
+                               "fact_employee_performance", date_key_of(as_of), run.number)
+    run.written[snapshot] = run.number
+    run.write(rejects_from_enriched(enriched.where("has_keys = 0")), "fact_rejects", schemas.FACT_REJECTS)
 
     publish(spark, warehouse, run.written,
             replace_prefix="fact_employee_performance@" if full_refresh else None)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from starloom.operators.keys import DEFAULT_KEY_BUCKETS
 from starloom.schemas import RULES
+from starloom.sources.staging import DIM_CUTOFF
 
 B = DEFAULT_KEY_BUCKETS
 
@@ -257,6 +258,9 @@ onboard_checked as (
          case when r.name is null or trim(r.name) = '' or r.email is null or trim(r.email) = ''
                    or r.current_role is null or trim(r.current_role) = ''
                 then 'name, email and role are required'
+              when r.hire_date is null or r.current_salary is null or r.status is null
+                   or r.allocation_pct is null or r.assignment_start is null
+                then 'a required value is missing'
               when r.assignment_start < r.hire_date then 'assignment start before hire date'
               when r.current_salary < 0 then 'negative salary'
               when not (r.allocation_pct between 1 and 100) then 'allocation outside 1..100'
@@ -382,6 +386,56 @@ def _one_current(t: str) -> str:
     )
 
 
+# Each current employee's days of service per department, and how many there serve longer.
+_TENURE = """,
+service as (
+  select distinct employee_id, name as employee_name, dept_name, tenure_days
+  from fact natural join dim_department
+  join (select employee_key, employee_id, name from dim_employee where is_current) open_keys
+    using (employee_key)),
+ladder_of_service as (
+  select dept_name, coalesce(tenure_days, -1) as days, count(*) as people
+  from service group by all),
+ranked as (
+  select s.*, cast(1 + coalesce((select sum(people) from ladder_of_service l
+                                 where l.dept_name = s.dept_name and l.days > coalesce(s.tenure_days, -1)), 0)
+                   as integer) as tenure_rank
+  from service s)
+"""
+
+# Versions by the department of their employee, the month they start in and their role; cents as integers.
+_SALARY_TREND = """,
+homes as (select employee_id, dept_name from employees natural join departments),
+cents as (
+  select dept_name, left(cast(effective_start as varchar), 7) as salary_month, role,
+         cast(salary * 100 as bigint) as amount
+  from employee_history join homes using (employee_id)),
+trend as (
+  select dept_name, salary_month, role, count(amount) as employee_versions,
+         cast(cast((2 * sum(amount) + count(amount)) // (2 * count(amount)) as decimal(20,0)) / 100
+              as decimal(12,2)) as avg_salary,
+         cast(cast(min(amount) as decimal(20,0)) / 100 as decimal(12,2)) as min_salary,
+         cast(cast(max(amount) as decimal(20,0)) / 100 as decimal(12,2)) as max_salary
+  from cents group by all)
+"""
+
+# Role changes with their verdict; the history before them has no repeated start days.
+_ROLE_CHANGES = """,
+before_changes as (select * from order_log where effective_start <= _DIM_CUTOFF_),
+asked as (
+  select * from order_log where effective_start > _DIM_CUTOFF_
+  union all
+  select -change_id, case when change_id % 7 = 0 then -employee_id else employee_id end,
+         role, salary, effective_start
+  from before_changes),
+open_start as (select employee_id, max(effective_start) as day from before_changes group by employee_id),
+judged as (
+  select a.*, case when a.employee_id not in (select employee_id from employees) then 'unknown employee'
+                   when a.effective_start <= o.day
+                     then 'change dated on or before the open version''s start' end as reason
+  from asked a left join open_start o on o.employee_id = a.employee_id)
+""".replace("_DIM_CUTOFF_", f"date '{DIM_CUTOFF}'")
+
 FINAL: dict[str, str] = {
     "employees_enriched": "select * from employees_x",
     "attrition_snapshot": "select * from attrition",
@@ -454,6 +508,29 @@ select assignment_id, request_id, employee_id, trim(name) as name, trim(email) a
        hire_date, cast(current_salary as decimal(12,2)) as current_salary,
        trim(current_role) as current_role, status, project_id,
        cast(allocation_pct as decimal(5,2)) as allocation_pct, assignment_start as start_date
+from onboard_ok""",
+    "role_change_rejects": _ROLE_CHANGES + """
+select change_id, employee_id, effective_start, reason from judged where reason is not null""",
+    "role_change_employees": _ROLE_CHANGES + """
+select e.employee_id, coalesce(n.role, e.current_role) as current_role,
+       coalesce(n.salary, e.current_salary) as current_salary
+from employees e left join (
+  select employee_id, role, salary from judged where reason is null
+  qualify row_number() over (partition by employee_id order by effective_start desc, change_id desc) = 1) n
+  on n.employee_id = e.employee_id""",
+    "onboard_employees": """
+select employee_id, trim(name) as name, trim(email) as email, dept_id, hire_date,
+       cast(current_salary as decimal(12,2)) as current_salary, trim(current_role) as current_role, status
+from onboard_ok""",
+    "onboard_history": """
+select (select coalesce(max(history_id), 0) from employee_history) + assignment_id
+         - (select coalesce(max(assignment_id), 0) from assignments) as history_id,
+       employee_id, trim(current_role) as role, cast(current_salary as decimal(12,2)) as salary,
+       hire_date as effective_start, cast(null as date) as effective_end, true as is_current
+from onboard_ok""",
+    "onboard_assignments": """
+select assignment_id, employee_id, project_id, cast(allocation_pct as decimal(5,2)) as allocation_pct,
+       assignment_start as start_date, cast(null as date) as end_date
 from onboard_ok""",
     "onboard_rejects": "select request_id, reason from onboard_checked where reason is not null",
     "fact_employee_performance": "select * from fact",
@@ -464,49 +541,32 @@ select assignment_id, employee_id, project_id, dept_name, project_name,
                       case when project_key is null then 'project_key' end) as missing_keys
 from enriched
 where employee_key is null or department_key is null or project_key is null""",
-    "tenure_ranking": """
-select employee_id, employee_name, dept_name, tenure_days,
-       cast(rank() over (partition by dept_name order by tenure_days desc nulls last) as integer)
-         as tenure_rank
-from (select distinct de.employee_id, de.name as employee_name, dd.dept_name, f.tenure_days
-      from fact f
-      join dim_employee de on f.employee_key = de.employee_key and de.is_current
-      join dim_department dd on f.department_key = dd.department_key) r""",
-    "tenure_top_n": """
-select * from (
-  select employee_id, employee_name, dept_name, tenure_days,
-         cast(rank() over (partition by dept_name order by tenure_days desc nulls last) as integer)
-           as tenure_rank
-  from (select distinct de.employee_id, de.name as employee_name, dd.dept_name, f.tenure_days
-        from fact f
-        join dim_employee de on f.employee_key = de.employee_key and de.is_current
-        join dim_department dd on f.department_key = dd.department_key) r) t
-where tenure_rank <= 5""",
-    "monthly_attrition": """
-select strftime(make_date(mh.year, mh.month, 1), '%Y-%m') as report_month,
-       cast(mh.active_headcount as bigint) as active_headcount,
-       cast(coalesce(ma.attrition_count, 0) as bigint) as attrition_count,
-       cast((20000 * coalesce(ma.attrition_count, 0) + mh.active_headcount)
-            // (2 * mh.active_headcount) as double) / 100 as monthly_attrition_rate_pct
-from (select ms.year, ms.month, count(distinct e.employee_id) as active_headcount
-      from (select distinct year, month, last_day(make_date(year, month, 1)) as month_end
-            from dim_date) ms
-      join employees e on e.hire_date <= ms.month_end
-      group by ms.year, ms.month) mh
-left join (select year, month, count(*) filter (where is_attrition_flag) as attrition_count
-           from (select distinct de.employee_id, dd.year, dd.month, f.is_attrition_flag
-                 from fact f
-                 join dim_employee de on f.employee_key = de.employee_key and de.is_current
-                 join dim_date dd on f.date_key = dd.date_key) s
-           group by year, month) ma
-  on mh.year = ma.year and mh.month = ma.month
-where mh.active_headcount > 0""",
+    "tenure_ranking": _TENURE + """
+select * from ranked""",
+    "tenure_top_n": _TENURE + """
+select * from ranked where tenure_rank <= 5""",
+    "monthly_attrition": """,
+first_days as (select employee_id, min(hire_date) as joined from employees group by employee_id),
+calendar as (select distinct last_day(full_date) as closing from dim_date),
+staffed as (
+  select closing, (select count(*) from first_days where joined <= closing) as staff from calendar),
+gone as (
+  select last_day(strptime(cast(date_key as varchar), '%Y%m%d')) as closing,
+         count(distinct employee_id) as leavers
+  from fact natural join (select employee_key, employee_id from dim_employee where is_current) open_keys
+  where is_attrition_flag group by 1)
+select strftime(closing, '%Y-%m') as report_month, staff as active_headcount,
+       coalesce(leavers, 0) as attrition_count,
+       cast(cast((20000 * coalesce(leavers, 0) + staff) // (2 * staff) as decimal(20,0)) / 100
+              as decimal(12,2)) as monthly_attrition_rate_pct
+from staffed left join gone using (closing)
+where staff > 0""",
     "headcount_by_department": """
-select dd.dept_name, count(distinct de.employee_id) as headcount
-from fact f
-join dim_department dd on f.department_key = dd.department_key
-join dim_employee de on f.employee_key = de.employee_key and de.is_current
-group by dd.dept_name""",
+select dept_name, count(*) as headcount
+from (select distinct dept_name, employee_id from fact natural join dim_department
+      join (select employee_key, employee_id from dim_employee where is_current) open_keys
+        using (employee_key)) people
+group by dept_name""",
     "employee_salary_history": """
 select employee_id, effective_start, effective_end, role, salary, is_current,
        cast(effective_start as varchar) || ' → '
@@ -515,17 +575,17 @@ from employee_history""",
     "scd2_versions": """
 select employee_key, employee_id, role, is_current, effective_start, effective_end
 from dim_employee""",
-    "department_salary_trend": """
-select d.dept_name, strftime(h.effective_start, '%Y-%m') as salary_month, h.role,
-       count(*) as employee_versions,
-       cast((2 * sum(cast(h.salary * 100 as bigint)) + count(*)) // (2 * count(*)) as double) / 100
-         as avg_salary,
-       cast(min(h.salary) as decimal(12,2)) as min_salary,
-       cast(max(h.salary) as decimal(12,2)) as max_salary
-from employee_history h
-join employees e on h.employee_id = e.employee_id
-join departments d on e.dept_id = d.dept_id
-group by 1, 2, 3""",
+    "department_salary_trend": _SALARY_TREND + """
+select * from trend""",
+    "salary_trend_of_one": _SALARY_TREND + """
+select * from trend where dept_name = 'NATION_3'""",
+    "salary_history_of_one": """
+select employee_id, effective_start, effective_end, role, salary, is_current,
+       concat(effective_start, ' → ', coalesce(cast(effective_end as varchar), 'present')) as period_label
+from employee_history where employee_id = 7""",
+    "versions_of_one": """
+select employee_key, employee_id, role, is_current, effective_start, effective_end
+from dim_employee where employee_id = 7""",
     "picklists": """
 select 'department' as kind, cast(dept_id as bigint) as item_id, dept_name as label from departments
 union all

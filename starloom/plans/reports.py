@@ -63,7 +63,7 @@ def _finish_attrition(headcount: DataFrame, attrition: DataFrame) -> DataFrame:
     count = F.coalesce(F.col("attrition_count"), F.lit(0)).cast("long")
     rate = F.round(
         F.expr("100.0") * count / F.nullif(F.col("active_headcount"), F.lit(0)), 2
-    ).cast("double")
+    ).cast("decimal(12,2)")
     return joined.where(F.col("active_headcount") > 0).select(
         month_label(month_start("year", "month")).alias("report_month"),
         F.col("active_headcount").cast("long").alias("active_headcount"),
@@ -173,7 +173,7 @@ def department_salary_trend(
     )
     return rows.groupBy("dept_name", "salary_month", "role").agg(
         F.sum("_n").alias("employee_versions"),
-        F.round(F.sum("_sum") / F.sum("_n"), 2).cast("double").alias("avg_salary"),
+        F.round(F.sum("_sum") / F.sum("_n"), 2).cast("decimal(12,2)").alias("avg_salary"),
         F.round(F.min("_min"), 2).cast("decimal(12,2)").alias("min_salary"),
         F.round(F.max("_max"), 2).cast("decimal(12,2)").alias("max_salary"),
     )

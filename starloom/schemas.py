@@ -66,7 +66,7 @@ EMPLOYEE_HISTORY = _schema(
     ("is_current", BOOL, False),
 )
 
-# The attribute snapshot file: the seven columns the warehouse reads.
+# The attribute snapshot file: the seven columns the warehouse reads (fixed values).
 ATTRITION_CSV_COLUMNS = (
     "EmployeeNumber",
     "Attrition",
@@ -175,7 +175,9 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-# -- declared constraints (fixed values, as the DDL states them) --------------
+# -- declared constraints (fixed values: columns, expressions and the names of
+# CHECK rules as the DDL states them; the names of key rules, and of CHECKs
+# that the DDL leaves unnamed, are built by ``operators.quality``) -----------
 @dataclass(frozen=True)
 class TableRules:
     primary_key: tuple[str, ...]
@@ -220,7 +222,7 @@ RULES: dict[str, TableRules] = {
             (("project_id",), "projects", ("project_id",)),
         ),
         checks=(
-            ("chk_assignments_allocation", "allocation_pct > 0 AND allocation_pct <= 100"),
+            ("chk_assignments_allocation_pct", "allocation_pct > 0 AND allocation_pct <= 100"),
             ("chk_assignments_dates", "end_date IS NULL OR end_date >= start_date"),
         ),
     ),
@@ -229,8 +231,8 @@ RULES: dict[str, TableRules] = {
         not_null=("history_id", "employee_id", "role", "salary", "effective_start", "is_current"),
         foreign_keys=((("employee_id",), "employees", ("employee_id",)),),
         checks=(
-            ("chk_history_dates", "effective_end IS NULL OR effective_end >= effective_start"),
-            ("chk_history_salary", "salary >= 0"),
+            ("chk_employee_history_dates", "effective_end IS NULL OR effective_end >= effective_start"),
+            ("chk_employee_history_salary", "salary >= 0"),
         ),
     ),
     "dim_date": TableRules(
@@ -271,12 +273,12 @@ RULES: dict[str, TableRules] = {
         ),
         checks=(
             ("chk_fact_salary", "salary >= 0"),
-            ("chk_fact_allocation", "allocation_pct > 0 AND allocation_pct <= 100"),
-            ("chk_fact_tenure", "tenure_days >= 0"),
+            ("chk_fact_allocation_pct", "allocation_pct > 0 AND allocation_pct <= 100"),
+            ("chk_fact_tenure_days", "tenure_days >= 0"),
             ("chk_fact_job_satisfaction", "job_satisfaction BETWEEN 1 AND 4"),
             ("chk_fact_work_life_balance", "work_life_balance BETWEEN 1 AND 4"),
             ("chk_fact_performance_rating", "performance_rating BETWEEN 1 AND 4"),
-            ("chk_fact_distance", "distance_from_home >= 0"),
+            ("chk_fact_distance_from_home", "distance_from_home >= 0"),
         ),
     ),
 }

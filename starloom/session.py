@@ -14,6 +14,7 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.ansi.enabled": "true",  # a bad cast fails instead of turning to NULL
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -66,8 +67,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to a shared file system; only when it is unset (local
-    tests) is a fresh temporary folder created and registered.
+    A cluster must set it to a shared file system.  Only on a local master,
+    where driver and executors are one process, is a fresh temporary folder
+    created when it is unset; anywhere else that raises ``ValueError``.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -75,6 +77,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all nodes share")
     local = tempfile.mkdtemp(prefix="starloom-ckpt-")
     sc.setCheckpointDir(local)
     return local

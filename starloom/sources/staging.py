@@ -94,7 +94,7 @@ class Staging:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, "attrition_csv")
         if key not in _WRITTEN:
             path = f"{self.store_root}/attrition_csv"
-            self["attrition_raw"].coalesce(1).write.mode("overwrite").option(
+            self["attrition_raw"].write.mode("overwrite").option(
                 "header", True
             ).csv(path)
             _WRITTEN[key] = path
@@ -280,6 +280,15 @@ class Staging:
     def _role_changes(self) -> DataFrame:
         return self["order_log"].where(F.col("effective_start") > F.lit(DIM_CUTOFF))
 
+    def _dirty_role_changes(self) -> DataFrame:
+        """Role changes of every kind: the later orders, and each customer's first
+        order again (dated on or before the open version), some of it under ids
+        that no employee has."""
+        first = self["order_log"].where(F.col("effective_start") <= F.lit(DIM_CUTOFF))
+        unknown = F.when(F.col("change_id") % 7 == 0, -F.col("employee_id")).otherwise(F.col("employee_id"))
+        return self._role_changes().unionByName(
+            first.withColumns({"change_id": -F.col("change_id"), "employee_id": unknown}))
+
     def _history_before_changes(self) -> DataFrame:
         log = self["order_log"].where(F.col("effective_start") <= F.lit(DIM_CUTOFF))
         versions = intervals_from_changelog(

@@ -36,6 +36,10 @@ EXTRACT_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+#: Lookup tables that one JDBC task may read whole.
+SMALL_TABLES = ("departments",)
+
+
 @dataclass(frozen=True)
 class TableSource:
     """Where tables live.
@@ -44,7 +48,8 @@ class TableSource:
     ``kind="jdbc"``: table ``t`` is read through ``url``; the password comes
     from the environment variable ``password_env`` and a missing one is an
     error.  ``partitioning`` maps a table to ``(column, lower, upper, n)`` so
-    the JDBC read is split into ``n`` parallel range queries.
+    the JDBC read is split into ``n`` parallel range queries; every table but
+    ``SMALL_TABLES`` must have an entry.
     """
 
     kind: str = "parquet"
@@ -67,6 +72,9 @@ class TableSource:
             options["user"] = self.user
         if self.driver:
             options["driver"] = self.driver
+        if table not in self.partitioning and table not in SMALL_TABLES:
+            raise ValueError(f"jdbc table {table} needs partitioning (column, lower, upper, n): "
+                             "without it one task reads the whole table")
         if table in self.partitioning:
             column, lower, upper, n = self.partitioning[table]
             options.update(

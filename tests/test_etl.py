@@ -68,7 +68,9 @@ def test_first_run_rerun_and_change(spark, oltp, tmp_path):
     assert dim.groupBy("employee_id").agg(F.count_if("is_current").alias("c")).where("c <> 1").count() == 0
     # closed versions are appended once, by the run that closed them
     runs = sorted(p for p in os.listdir(f"{wh}/dim_employee/closed") if p.startswith("run="))
-    assert runs == ["run=3"]
+    assert runs == ["run=1", "run=2", "run=3"]
+    closed = [spark.read.parquet(f"{wh}/dim_employee/closed/{r}").count() for r in runs]
+    assert closed == [0, 0, 3]
 
     # a second snapshot kept beside the first (per-snapshot fact)
     later = dt.date(1998, 6, 1)

@@ -1,6 +1,7 @@
 """Fact defaults and rejects, and report semantics."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,7 +137,8 @@ def test_monthly_attrition_scale_form_equals_theta_join(spark):
     theta = reports.monthly_attrition_theta(fact, de, dim_date, employees)
     got = sorted(tuple(r) for r in scaled.collect())
     assert got == sorted(tuple(r) for r in theta.collect())
-    assert got == [("2023-12", 2, 0, 0.0), ("2024-01", 3, 2, 66.67), ("2024-03", 4, 0, 0.0)]
+    assert got == [("2023-12", 2, 0, Decimal("0.00")), ("2024-01", 3, 2, Decimal("66.67")),
+                   ("2024-03", 4, 0, Decimal("0.00"))]
     plan = scaled._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan
 
@@ -155,7 +157,7 @@ def test_rate_rounds_half_up(spark):
     employees = spark.range(20000).select(F.col("id").alias("employee_id"),
                                           F.lit(D(2020, 1, 1)).alias("hire_date"))
     row = reports.monthly_attrition(fact, de, dim_date, employees).first()
-    assert row["monthly_attrition_rate_pct"] == 1.01
+    assert row["monthly_attrition_rate_pct"] == Decimal("1.01")
 
 
 def test_salary_trend_average_rounds_half_up(spark):
@@ -166,7 +168,8 @@ def test_salary_trend_average_rounds_half_up(spark):
     employees = spark.createDataFrame([(1, 1), (2, 1)], "employee_id long, dept_id int")
     departments = spark.createDataFrame([(1, "Sales")], "dept_id int, dept_name string")
     row = reports.department_salary_trend(history, employees, departments, "Sales").first()
-    assert (row["salary_month"], row["employee_versions"], row["avg_salary"]) == ("2020-01", 2, 133830.68)
+    assert (row["salary_month"], row["employee_versions"], row["avg_salary"]) == (
+        "2020-01", 2, Decimal("133830.68"))
     assert reports.department_salary_trend(history, employees, departments, "R&D").count() == 0
 
 

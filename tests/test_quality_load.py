@@ -46,7 +46,7 @@ def test_check_null_is_not_a_violation(spark):
         "start_date date, end_date date",
     )
     got = sorted((r["record_key"], r["constraint_name"]) for r in quality.check_violations(df, "assignments").collect())
-    assert got == [("2", "chk_assignments_allocation"), ("2", "chk_assignments_dates")]
+    assert got == [("2", "chk_assignments_allocation_pct"), ("2", "chk_assignments_dates")]
 
 
 def test_not_null_and_unique(spark):
@@ -107,15 +107,16 @@ def test_onboarding_validates_and_assigns_ids(spark):
     )
     out = onboard(
         req,
-        spark.createDataFrame([(41,)], "employee_id long"),
+        spark.createDataFrame([(41, "old@x")], "employee_id long, email string"),
         spark.createDataFrame([(900,)], "assignment_id long"),
         spark.createDataFrame([(3, "Sales")], "dept_id int, dept_name string"),
         spark.createDataFrame([(8, "Nova"), (5, "Nova")], "project_id long, project_name string"),
     )
     rejected = sorted((r["request_id"], r["reason"]) for r in out["rejected"].collect())
     assert rejected == [(2, "name, email and role are required"), (3, "assignment start before hire date")]
-    emps = sorted((r["request_id"], r["employee_id"], r["dept_id"]) for r in out["employees"].collect())
-    assert emps == [(1, 42, 3), (4, 43, 3)]
+    hires = sorted((r["request_id"], r["employee_id"], r["dept_id"]) for r in out["hires"].collect())
+    assert hires == [(1, 42, 3), (4, 43, 3)]
+    assert sorted(r["name"] for r in out["employees"].collect()) == ["Ann", "Di"]
     asg = sorted((r["employee_id"], r["assignment_id"], r["project_id"]) for r in out["assignments"].collect())
     assert asg == [(42, 901, 5), (43, 902, 5)]
     hist = out["employee_history"].collect()

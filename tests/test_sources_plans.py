@@ -122,24 +122,28 @@ def _final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_scd2_intervals_window_by_entity_and_month(spark):
+def test_scd2_intervals_take_one_scan_and_two_exchanges(spark):
     from starloom.operators.scd2 import intervals_from_changelog
     from starloom.sources.staging import Staging
 
     log = Staging(spark, SF, store=False)["order_log"]
     plan = _final_plan(intervals_from_changelog(
         log, "employee_id", "effective_start", ["change_id"], ["role", "salary"]))
-    windows = [line.strip() for line in plan.splitlines() if "windowspecdefinition(" in line]
-    assert windows
-    for w in windows:
-        partition = w.split("], [")[1].split("]")[0]   # the Window node's partition keys
-        if "lead(_first" in w:
-            # the summary (one row per entity and month) is the only input
-            # windowed by entity alone
-            assert "_chunk" not in partition
-        else:
-            # every window over versions is partitioned by entity and month
-            assert "employee_id" in partition and "_chunk" in partition, w
+    plan = plan.split("Initial Plan")[0]
+    assert len([line for line in plan.splitlines() if "FileScan" in line]) == 1
+    assert len([line for line in plan.splitlines() if "Exchange hashpartitioning" in line]) <= 2
+    assert "Join" not in plan
+
+
+def test_nothing_is_persisted_or_pulled_into_one_task():
+    from pathlib import Path
+
+    import starloom
+
+    for path in Path(starloom.__file__).parent.rglob("*.py"):
+        if "llm" not in path.parts:
+            text = path.read_text()
+            assert ".persist(" not in text and "localCheckpoint" not in text, path
 
 
 def test_rank_runs_on_counts_not_rows(spark):
