@@ -23,8 +23,6 @@ from starloom.session import checkpoint_dir
 
 #: A document goes if its quality score is below this.
 QUALITY = 0.7
-#: The order of a text's bytes takes part in keys as its SHA-256.
-_SHA = F.sha2(whole_text(), 256)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,19 +35,14 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal byte for byte, the document with the largest doc_id."""
     found = exact_dedup(docs).groupBy("doc_id", "text_sha256").agg(
         F.count("*").alias("n_rows"), F.max("kept").alias("keep"))
-    return retain(docs, {"doc_id": F.col("doc_id"), "text_sha256": _SHA}, settled(found))
+    return retain(docs, {"doc_id": F.col("doc_id"), "text_sha256": F.sha2(whole_text(), 256)}, settled(found))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents joined by links of 4-word SimHash within 4 bits, the one with the smallest doc_id.
-
-    Repeated rows with that id count as one document only if their texts have
-    the same fingerprint; one of them stays.
-    """
-    found = simhash_dedup(docs, shingle_words=4, distance=4)
-    decided = found.groupBy("doc_id").agg(
-        F.count("*").alias("n_rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("keep"))
-    return retain(docs, {"doc_id": F.col("doc_id")}, settled(decided))
+    """Of documents joined by links of 4-word SimHash within 4 bits, the one with the smallest doc_id."""
+    found = simhash_dedup(docs, shingle_words=4, distance=4).groupBy("doc_id", "text_sha256").agg(
+        F.count("*").alias("n_rows"), F.max("kept").alias("keep"))
+    return retain(docs, {"doc_id": F.col("doc_id"), "text_sha256": F.sha2(whole_text(), 256)}, settled(found))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
