@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text that is turned to features at a time, and words a Python worker remembers.
 BLOCK_BYTES = 4 << 20
@@ -151,6 +152,8 @@ def fit(sample: DataFrame, how: Ftrl = Ftrl()) -> np.ndarray:
     coded = sample.select("order", "label", "text").mapInArrow(
         features, "order long, label int, at binary, value binary")
     row = coded.repartition(1).mapInArrow(train, "model binary").first()
+    if row is None:  # no rows, so no task
+        return np.zeros((1 << how.bits) + 1, np.float32)
     return np.frombuffer(row["model"], np.float32)
 
 
@@ -177,7 +180,7 @@ def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
 
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    return kept.mapInArrow(run, f"_row {kept.schema['_row'].dataType.simpleString()}, _score double")
+    return kept.mapInArrow(run, T.StructType([kept.schema["_row"], T.StructField("_score", T.DoubleType())]))
 
 
 def remainder(doc_id: Column, of: int) -> Column:

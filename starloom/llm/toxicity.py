@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.quality import _texts, remainder
 
@@ -34,7 +35,7 @@ TRIGRAMS = 1 << 13
 EMBED, HIDDEN, ATTEND = 8, 8, 8
 #: Labelled rows that the network learns from, at most, of each label.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
-ROUNDS, BATCH, RATE = 8, 128, 0.01
+ROUNDS, STEPS, BATCH, RATE = 8, 800, 128, 0.01
 CACHE_WORDS = 300_000
 _EDGES = re.compile(r"^\W+|\W+$")
 
@@ -256,6 +257,8 @@ def train_network(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, se
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     everything = np.arange(len(names))
+    # small samples take more rounds, so that there are steps enough
+    rounds = max(rounds, min(100, -(-STEPS * BATCH // (5 * len(split)))))
     for turn in range(rounds):
         if turn:
             per_word = net.gates(net.inputs(*table.part(everything)))
@@ -347,7 +350,8 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, usable: Column | None = N
         net = train_network([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([net.save()], pa.binary())], ["model"])
 
-    return bytes(sample.repartition(1).mapInArrow(train, "model binary").first()["model"])
+    row = sample.repartition(1).mapInArrow(train, "model binary").first()
+    return bytes(row["model"]) if row else Network(np.empty(0, np.int64)).save()
 
 
 def toxicity(docs: DataFrame, model: bytes) -> DataFrame:
@@ -364,4 +368,4 @@ def toxicity(docs: DataFrame, model: bytes) -> DataFrame:
 
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    return kept.mapInArrow(run, f"_row {kept.schema['_row'].dataType.simpleString()}, _score double")
+    return kept.mapInArrow(run, T.StructType([kept.schema["_row"], T.StructField("_score", T.DoubleType())]))
