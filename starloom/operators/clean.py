@@ -13,6 +13,7 @@ from starloom.functions.values import money, yes_no_flag
 from starloom.operators.dedup import keep_first
 from starloom.schemas import ATTRITION_CSV_COLUMNS
 
+# The names the snapshot's columns take.
 SNAPSHOT_RENAMES = {
     "EmployeeNumber": "employee_id",
     "JobSatisfaction": "job_satisfaction",

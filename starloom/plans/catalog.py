@@ -7,6 +7,7 @@ the staged tables (``starloom.sources.staging``) by the library operators.
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 from collections.abc import Callable
 
@@ -40,11 +41,11 @@ from starloom.operators.load import (
     upsert_dim_project,
     write_scd2_unpublished,
 )
-from starloom.operators.scd2 import interval_violations, versions_of
+from starloom.operators.scd2 import interval_violations, scd2_changes, versions_of
 from starloom.plans import reports
 from starloom.plans.etl import run_etl, warehouse_tables
 from starloom.plans.warehouse import Warehouse, build_warehouse
-from starloom.sources.staging import AS_OF, OLTP, PREVIOUS_DATES_BEFORE, Staging
+from starloom.sources.staging import AS_OF, DIM_CUTOFF, OLTP, PREVIOUS_DATES_BEFORE, Staging
 from starloom.sources.tables import TableSource, employees_with_department
 
 
@@ -141,6 +142,8 @@ STAGED_LADDERS: dict[str, list[str]] = {
     "NATION_1": ["5-LOW", "2-HIGH"],
     "NATION_2": ["4-NOT SPECIFIED", "3-MEDIUM", "2-HIGH", "1-URGENT"],
 }
+# A date after the end of every project that ends.
+LATER = dt.date(2000, 6, 1)
 # Parameters of the reports on one employee and one department.
 ONE_EMPLOYEE = 7
 ONE_DEPARTMENT = "NATION_3"
@@ -152,9 +155,10 @@ def _star(s: Scenario, *names: str) -> list[DataFrame]:
     return [tables["fact_employee_performance" if n == "fact" else n] for n in names]
 
 
-def _enriched(s: Scenario) -> DataFrame:
-    """The fact's joined rows over the published dimensions, as the ETL builds them."""
-    st, star = s.st, s.published()
+def _enriched(s: Scenario, **other: DataFrame) -> DataFrame:
+    """The fact's joined rows over the published dimensions (or ``other`` states of
+    some), as the ETL builds them."""
+    st, star = s.st, {**s.published(), **other}
     require_snapshot_date(star["dim_date"], AS_OF)
     return enriched_assignments(
         employees_with_department(st["employees"], st["departments"]), st["projects"],
@@ -237,6 +241,22 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     # fact
     "fact_employee_performance": lambda s: fact_from_enriched(_enriched(s)),
     "fact_rejects": lambda s: rejects_from_enriched(_enriched(s)),
+    # the same rules where they must act: against the earlier department dimension,
+    # an older source, versions appended without closing, and a later date
+    "fact_rejects_earlier_departments": lambda s: rejects_from_enriched(
+        _enriched(s, dim_department=s.st["dim_department_before"])),
+    "dq_foreign_key_earlier_departments": lambda s: quality.foreign_key_violations(
+        {**s.published(), "dim_department": s.st["dim_department_before"]}, "fact_employee_performance"),
+    "dq_one_current_unclosed": lambda s: quality.one_current_violations(
+        s.st["history_before_changes"].unionByName(
+            s.st["employee_history"].where(F.col("effective_start") > F.lit(DIM_CUTOFF))),
+        "employee_history"),
+    "scd2_rejects": lambda s: scd2_changes(
+        s.st["employees"], s.st["history_before_changes"], s.published()["dim_employee"]
+    ).where(F.col("action") == "reject").select("employee_id", "role", "effective_start", "close_date", "reason"),
+    "active_projects_later": lambda s: reports.active_projects(s.st["projects"], LATER),
+    "active_projects_none_open": lambda s: reports.active_projects(
+        s.st["projects"].where(F.col("end_date").isNotNull()), LATER),
     # reports
     "tenure_ranking": lambda s: reports.tenure_ranking(*_star(s, "fact", "dim_employee",
                                                               "dim_department")),

@@ -541,6 +541,36 @@ select assignment_id, employee_id, project_id, dept_name, project_name,
                       case when project_key is null then 'project_key' end) as missing_keys
 from enriched
 where employee_key is null or department_key is null or project_key is null""",
+    "fact_rejects_earlier_departments": """
+select assignment_id, employee_id, project_id, dept_name, project_name, 'department_key' as missing_keys
+from enriched where dept_name not in (select dept_name from dept_before)""",
+    "dq_foreign_key_earlier_departments": """
+select 'foreign_key' as rule, 'fact_employee_performance' as table_name,
+       'fk_fact_employee_performance_department_key' as constraint_name,
+       concat_ws('|', employee_key, project_key, date_key) as record_key,
+       cast(department_key as varchar) as detail
+from fact where department_key not in (select department_key from dept_before)""",
+    "dq_one_current_unclosed": f"""
+select 'one_current' as rule, 'employee_history' as table_name,
+       'one_current_employee_history' as constraint_name, cast(employee_id as varchar) as record_key,
+       cast(1 + count(*) as varchar) as detail
+from employee_history
+where is_current and effective_start > date '{DIM_CUTOFF}'
+  and employee_id in (select employee_id from order_log where effective_start <= date '{DIM_CUTOFF}')
+group by employee_id""",
+    "scd2_rejects": f"""
+select o.employee_id, o.role, o.effective_start,
+       cast(o.effective_start - interval 1 day as date) as close_date,
+       'close date before the start of the version it closes' as reason
+from (select employee_id, role, effective_start from order_log
+      where effective_start <= date '{DIM_CUTOFF}'
+      qualify row_number() over (partition by employee_id order by effective_start desc, change_id desc) = 1) o
+join (select employee_id, role, effective_start from dim_employee where is_current) d
+  using (employee_id)
+where o.effective_start <= d.effective_start and (o.effective_start, o.role) <> (d.effective_start, d.role)""",
+    "active_projects_later": """
+select * from projects where coalesce(end_date, date '2000-06-01') >= date '2000-06-01'""",
+    "active_projects_none_open": "select * from projects where end_date is not null",
     "tenure_ranking": _TENURE + """
 select * from ranked""",
     "tenure_top_n": _TENURE + """
