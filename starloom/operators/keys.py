@@ -1,10 +1,11 @@
 """Dense surrogate keys without a global sort.
 
 A global ``row_number()`` runs in a single task.  Instead rows are spread over
-a fixed number of buckets by ``pmod(order_col, buckets)``, numbered inside each
-bucket, and shifted by the running total of the smaller buckets.  The offsets
-table has at most ``buckets`` rows, so broadcasting it is bounded by
-construction.  Keys are dense (``base+1 .. base+n``), unique and
+a fixed number of buckets by a hash of the first order column (so ids that
+share a stride spread as well as any), numbered inside each bucket, and shifted
+by the running total of the smaller buckets.  A bucket is named by the first
+three hex digits of an MD5, which SQL engines agree on; the offsets table has at
+most 4,096 rows, so broadcasting it is bounded by construction.  Keys are dense (``base+1 .. base+n``), unique and
 deterministic; the bucket count is a fixed constant so the same input always
 receives the same keys, whatever the cluster size.
 """
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_KEY_BUCKETS = 4096
+BUCKET_DIGITS = 3  # hex digits: 4,096 buckets
 
 
 def next_key_base(existing: DataFrame | None, key_col: str) -> Column:
@@ -36,20 +37,19 @@ def assign_dense_keys(
     order_cols: Sequence[str],
     key_col: str,
     base: Column | int = 0,
-    buckets: int = DEFAULT_KEY_BUCKETS,
     spread: bool = False,
 ) -> DataFrame:
     """Add ``key_col`` numbered ``base + 1 ..`` in (bucket, ``order_cols``) order.
 
-    The ``order_cols`` must be unique.  The bucket is ``pmod(order_cols[0],
-    buckets)`` (integral, near-unique first column: keys reproducible from
-    the id alone), or with ``spread=True`` a hash of all order columns, for
-    inputs where one first-column value may repeat many times.
+    The ``order_cols`` must be unique.  The bucket is a hash of the first one
+    (near-unique: keys reproducible from the id alone), or with ``spread=True``
+    of all of them, for inputs where one first-column value may repeat many
+    times.
     """
     order_cols = list(order_cols)
     base_col = base if isinstance(base, Column) else F.lit(base)
-    bucket = F.xxhash64(*order_cols) if spread else F.col(order_cols[0])
-    d = df.withColumn("_kb", F.pmod(bucket, F.lit(buckets)))
+    text = [F.col(c).cast("string") for c in (order_cols if spread else order_cols[:1])]
+    d = df.withColumn("_kb", F.substring(F.md5(F.concat_ws("|", *text).cast("binary")), 1, BUCKET_DIGITS))
     counts = d.groupBy("_kb").agg(F.count(F.lit(1)).alias("_kc"))
     before = Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_kb", F.coalesce(F.sum("_kc").over(before), F.lit(0)).alias("_ko"))

@@ -9,17 +9,15 @@ DECIMAL, an exact half-up integer form is used instead.
 
 from __future__ import annotations
 
-from starloom.operators.keys import DEFAULT_KEY_BUCKETS
+from starloom.operators.keys import BUCKET_DIGITS
 from starloom.schemas import RULES
 from starloom.sources.staging import DIM_CUTOFF
 
-B = DEFAULT_KEY_BUCKETS
-
 
 def keyed(src: str, order_cols: list[str], key: str, base: str = "0") -> str:
-    """SQL of ``assign_dense_keys``: bucket = pmod(first order col, B)."""
+    """SQL of ``assign_dense_keys``: the bucket is the head of the first order column's MD5."""
     o0 = order_cols[0]
-    bk = f"((({o0}) % {B}) + {B}) % {B}"
+    bk = f"substr(md5(cast({o0} as varchar)), 1, {BUCKET_DIGITS})"
     order = ", ".join(order_cols)
     return f"""(select k.* exclude (_kb, _kr), cast(({base}) + o._ko + k._kr as bigint) as {key}
   from (select s.*, {bk} as _kb, row_number() over (partition by {bk} order by {order}) as _kr

@@ -52,7 +52,7 @@ def test_rank_desc_matches_rank_with_ties_and_nulls(spark):
 
 def test_dense_keys_are_dense_unique_and_stable(spark):
     df = spark.createDataFrame([(i * 7 - 100,) for i in range(500)], "id long")
-    keyed = assign_dense_keys(df, ["id"], "key", base=10, buckets=16)
+    keyed = assign_dense_keys(df, ["id"], "key", base=10)
     keys = sorted(r["key"] for r in keyed.collect())
     assert keys == list(range(11, 511))
     again = {r["id"]: r["key"] for r in assign_dense_keys(df, ["id"], "key", 10, 16).collect()}
@@ -62,7 +62,7 @@ def test_dense_keys_are_dense_unique_and_stable(spark):
 def test_spread_keys_with_a_hot_first_column(spark):
     rows = [(1, d) for d in range(300)] + [(k, 0) for k in range(2, 50)]
     df = spark.createDataFrame(rows, "id long, seq int")
-    keyed = assign_dense_keys(df, ["id", "seq"], "key", base=5, buckets=16, spread=True)
+    keyed = assign_dense_keys(df, ["id", "seq"], "key", base=5, spread=True)
     assert sorted(r["key"] for r in keyed.collect()) == list(range(6, 6 + len(rows)))
     sizes = keyed.groupBy(F.pmod(F.xxhash64("id", "seq"), F.lit(16))).count().collect()
     assert max(r["count"] for r in sizes) < 100  # the 300 rows of id 1 are spread
@@ -75,3 +75,15 @@ def test_next_key_base_is_max_or_zero(spark):
         next_key_base(empty, "k").alias("a"), next_key_base(full, "k").alias("b")
     ).first()
     assert (row["a"], row["b"]) == (0, 9)
+
+
+def test_keys_of_ids_with_a_stride_spread_over_buckets(spark):
+    from starloom.operators.keys import assign_dense_keys
+
+    ids = [i * 4096 for i in range(3000)]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    keyed = assign_dense_keys(df, ["id"], "key")
+    assert sorted(r["key"] for r in keyed.collect()) == list(range(1, 3001))
+    largest = (df.groupBy(F.substring(F.md5(F.col("id").cast("string").cast("binary")), 1, 3).alias("b"))
+               .count().agg(F.max("count")).first()[0])
+    assert largest < 20
