@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from starloom.operators import quality
 from starloom.operators.clean import (
     clean_raw_snapshot,
+    departments_from_snapshot,
     employees_from_snapshot,
     ladder_frames,
     prepare_attrition,
@@ -188,6 +189,8 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     "clean_employees": lambda s: employees_from_snapshot(
         clean_raw_snapshot(s.st["raw_snapshot"]), AS_OF
     ),
+    "departments_from_snapshot": lambda s: departments_from_snapshot(
+        clean_raw_snapshot(s.st["raw_snapshot"])),
     "hire_date_backcast": lambda s: employees_from_snapshot(
         clean_raw_snapshot(s.st["raw_snapshot"]), AS_OF
     ).select("employee_id", "hire_date"),

@@ -507,6 +507,10 @@ select assignment_id, request_id, employee_id, trim(name) as name, trim(email) a
        trim(current_role) as current_role, status, project_id,
        cast(allocation_pct as decimal(5,2)) as allocation_pct, assignment_start as start_date
 from onboard_ok""",
+    "departments_from_snapshot": """
+select distinct trim(n_name) as dept_name from nation
+where n_nationkey in (select c_nationkey from customer
+                      where c_custkey in (select o_custkey from orders))""",
     "role_change_rejects": _ROLE_CHANGES + """
 select change_id, employee_id, effective_start, reason from judged where reason is not null""",
     "role_change_employees": _ROLE_CHANGES + """
@@ -615,11 +619,12 @@ from employee_history where employee_id = 7""",
 select employee_key, employee_id, role, is_current, effective_start, effective_end
 from dim_employee where employee_id = 7""",
     "picklists": """
-select 'department' as kind, cast(dept_id as bigint) as item_id, dept_name as label from departments
+select 'department' as kind, cast(dept_id as bigint) as item_id, dept_name as label,
+       cast(null as date) as start_date, cast(null as date) as end_date from departments
 union all
-select 'project', cast(project_id as bigint), project_name from projects
+select 'project', cast(project_id as bigint), project_name, start_date, end_date from projects
 union all
-select 'employee', cast(employee_id as bigint), name || ' (' || current_role || ')' from employees""",
+select 'employee', cast(employee_id as bigint), name || ' (' || current_role || ')', null, null from employees""",
     "over_allocated": """
 select employee_id, cast(sum(allocation_pct) as decimal(18,2)) as total_allocation_pct
 from assignments group by employee_id having sum(allocation_pct) > 100""",

@@ -180,22 +180,24 @@ def department_salary_trend(
 
 
 def picklists(departments: DataFrame, projects: DataFrame, employees: DataFrame) -> DataFrame:
-    """Departments, projects and employees as ``(kind, item_id, label)``."""
+    """Departments, projects and employees as ``(kind, item_id, label,
+    start_date, end_date)``; the dates are the projects'."""
+    undated = [F.lit(None).cast("date").alias(c) for c in ("start_date", "end_date")]
     return (
         departments.select(
             F.lit("department").alias("kind"), F.col("dept_id").cast("long").alias("item_id"),
-            F.col("dept_name").alias("label"),
+            F.col("dept_name").alias("label"), *undated,
         )
         .unionByName(
             projects.select(
                 F.lit("project").alias("kind"), F.col("project_id").cast("long").alias("item_id"),
-                F.col("project_name").alias("label"),
+                F.col("project_name").alias("label"), "start_date", "end_date",
             )
         )
         .unionByName(
             employees.select(
                 F.lit("employee").alias("kind"), F.col("employee_id").cast("long").alias("item_id"),
-                employee_label("name", "current_role").alias("label"),
+                employee_label("name", "current_role").alias("label"), *undated,
             )
         )
     )
