@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,7 +103,3 @@ def _mark(links: DataFrame) -> tuple:
     row = links.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
                     F.sum(F.xxhash64("v", "u").cast("decimal(20,0)")).alias("s")).first()
     return tuple(row)
-
-
-def columns_sql(names: Sequence[str]) -> str:
-    return ", ".join(names)
