@@ -36,7 +36,7 @@ from starloom.session import checkpoint_dir
 
 GRAM = 32
 #: Bytes of text scanned, and of runs sorted, at a time.
-SCAN_BYTES, SORT_BYTES = 1 << 20, 1 << 21
+SCAN_BYTES, SORT_BYTES = 1 << 19, 1 << 20
 #: A name with more different runs than this is split.
 CROWDED = 4096
 #: Windows that a split run keeps together.
@@ -113,9 +113,9 @@ class Winnower:
 def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     """Starts of the suffixes of ``data`` (uint8), sorted by their first ``depth`` bytes at least.
 
-    Two stages: suffixes smaller than their successors are sorted by comparing
-    eight bytes at a time among those still equal; the others follow from one
-    scan over the buckets of first bytes.
+    Two stages: suffixes smaller than their successors are sorted by their first
+    eight bytes, then by five at a time among those still equal; the others
+    follow from one scan over the buckets of first bytes.
     """
     n = len(data)
     if n == 0:
@@ -173,24 +173,28 @@ def packed_words(data: np.ndarray) -> np.ndarray:
 
 def _sorted_directly(starts: np.ndarray, words: np.ndarray, n: int, depth: int) -> np.ndarray:
     """``starts`` ordered by the bytes that follow them."""
-    order = starts[np.argsort(words[starts], kind="stable")]
+    order = starts[np.argsort(words[starts])]
     key = words[order]
     new = np.append(True, key[1:] != key[:-1]) if len(key) else np.empty(0, bool)
-    for at in range(8, depth, 8):
+    for at in range(8, depth, 5):
         # places in runs of equal keys
         tied = ~new
         tied[:-1] |= ~new[1:]
         spot = np.flatnonzero(tied)
         if not len(spot):
             break
-        group = np.cumsum(new)[spot]
         rows = order[spot]
-        follow = np.where(rows + at < n, words[np.minimum(rows + at, n - 1)], 0)
-        by = np.lexsort((follow, group))
-        rows, follow, group = rows[by], follow[by], group[by]
-        order[spot] = rows
-        change = np.append(True, (follow[1:] != follow[:-1]) | (group[1:] != group[:-1]))
-        new[spot] |= change
+        follow = words[np.minimum(rows + at, n - 1)]
+        follow[rows + at >= n] = 0
+        # one sort by the run and the next five bytes
+        key = np.cumsum(new[spot]).astype(np.uint64)
+        if key[-1] >> np.uint64(24):
+            raise ValueError("too many bytes to sort at a time")
+        key = key << np.uint64(40) | follow >> np.uint64(24)
+        by = np.argsort(key)
+        order[spot] = rows[by]
+        key = key[by]
+        new[spot] |= np.append(True, key[1:] != key[:-1])
     return order
 
 
