@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text that is turned to features at a time, and words a Python worker remembers.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 CACHE_WORDS = 400_000
 #: Shares are scaled so that typical weights are about 1.
 SCALE = 16.0
