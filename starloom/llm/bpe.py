@@ -27,7 +27,13 @@ from pyspark.sql import functions as F
 #: Text that is encoded at a time.
 BLOCK_BYTES = 4 << 20
 #: Distinct words and pieces whose ids a Python worker remembers.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Token bytes and ranks of a vocabulary file."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
 class MergeReplay:
@@ -36,8 +42,7 @@ class MergeReplay:
     _made: dict[tuple[str, str], MergeReplay] = {}
 
     def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.ranks = read_ranks(path)
         self.tokens = {r: t for t, r in self.ranks.items()}
         self.split = regex.compile(pattern).findall
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
@@ -218,12 +223,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
         run, f"doc_id {kind}, ids array<int>")
 
 
-def decode(coded: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def decode(coded: DataFrame, ranks: str) -> DataFrame:
     """``(doc_id, ids, decoded binary)`` of rows ``(doc_id, ids)``; null ids decode to no bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = MergeReplay.of(ranks, pattern)
-        size = max(coder.tokens) + 1
-        token = np.array([coder.tokens.get(i, b"") for i in range(size)], object)
+        tokens = {rank: token for token, rank in read_ranks(ranks).items()}
+        token = np.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], object)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

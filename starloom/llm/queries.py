@@ -49,7 +49,7 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
-    coded = decode(encode(table(spark, sf_dir, "documents"), ranks, PATTERN), ranks, PATTERN)
+    coded = decode(encode(table(spark, sf_dir, "documents"), ranks, PATTERN), ranks)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -178,7 +178,7 @@ RANKS = vocabulary("byte_bpe_50k.tiktoken")
 def test_bpe_equals_tiktoken_and_decodes(docs, pairs, no_docs):
     ranks = bpe.MergeReplay.of(RANKS, PATTERN).ranks
     other = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    coded = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS, PATTERN)
+    coded = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS)
     got = sorted(((r["doc_id"], list(r["ids"]), bytes(r["decoded"])) for r in coded.collect()), key=repr)
     assert got == sorted(((i, other.encode_ordinary(t or ""), (t or "").encode()) for i, t in pairs), key=repr)
     assert bpe.encode(no_docs, RANKS, PATTERN).count() == 0
