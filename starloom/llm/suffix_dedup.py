@@ -10,7 +10,8 @@ equal windows meet, without shipping every suffix:
 2. The bytes of the other runs are dealt by name, identical ones combined and
    counted first.  A name with very many different runs (a passage that a third
    of the corpus holds, with different surroundings) is split further by the
-   bytes that eight neighbouring windows have in common.
+   bytes that eight neighbouring windows have in common, and what is still
+   crowded then, by the whole window, which leaves one run with a count.
 3. A task concatenates the runs of its names and sorts their suffixes in two
    stages: only suffixes smaller than their successors are sorted directly, the
    others are induced by one scan over the buckets of first bytes.  Windows
@@ -272,19 +273,19 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
         ["key", "n", "name", "place", "first", "bytes"])
 
 
-def _split_crowded(width: int):
-    """Runs cut into groups of ``TOGETHER`` windows, renamed by the bytes that such a group has in common."""
+def _split_crowded(width: int, together: int):
+    """Runs cut into groups of ``together`` windows, renamed by the bytes that such a group has in common."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
                 raw, first, place = r["bytes"], r["first"], r["place"]
                 last = first + len(raw) - width
-                for j in range((place - last) // TOGETHER, (place - first) // TOGETHER + 1):
-                    lo = max(first, place - TOGETHER * j - (TOGETHER - 1))
-                    hi = min(last, place - TOGETHER * j)
-                    core = place - TOGETHER * j - first  # in every window of the group, from here …
-                    common = raw[max(core, 0):core + width - TOGETHER + 1]  # … to here
+                for j in range((place - last) // together, (place - first) // together + 1):
+                    lo = max(first, place - together * j - (together - 1))
+                    hi = min(last, place - together * j)
+                    core = place - together * j - first  # in every window of the group, from here …
+                    common = raw[max(core, 0):core + width - together + 1]  # … to here
                     name = xxhash.xxh64_intdigest(common, r["name"] + j & (1 << 64) - 1)
                     rows.append((r["key"], r["n"], name - (1 << 63), place, lo, raw[lo - first:hi + width - first]))
                     if len(rows) >= 4096:
@@ -294,6 +295,19 @@ def _split_crowded(width: int):
     return run
 
 
+def _crowded(pieces: DataFrame) -> DataFrame:
+    """Names with more than ``CROWDED`` different runs."""
+    return small(settled(pieces.groupBy("name", "hash").count().groupBy("name").count()
+                         .where(F.col("count") > CROWDED).select("name")))
+
+
+def _renamed(pieces: DataFrame, names: DataFrame, width: int, together: int) -> DataFrame:
+    """The runs of ``names``, split."""
+    return (pieces.join(names, "name", "left_semi").select("key", "n", "name", "place", "first", "bytes")
+            .mapInArrow(_split_crowded(width, together), _PIECE).withColumn("hash", F.xxhash64("bytes"))
+            .select(*pieces.columns))
+
+
 def _sort(width: int):
     """Windows, counted from the run's first, that are repeats: ``(name, hash, lo, hi)`` rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,12 +398,14 @@ def repeated_strings(docs: DataFrame, width: int = 200) -> DataFrame:
     (texts.join(runs, "key").select("key", "n", "raw", "runs").mapInArrow(_cut(width), _PIECE)
      .withColumn("hash", F.xxhash64("bytes")).write.option("compression", "zstd").parquet(at))
     pieces = spark.read.parquet(at)
-    crowded = small(settled(pieces.groupBy("name", "hash").count().groupBy("name").count()
-                            .where(F.col("count") > CROWDED).select("name")))
+    crowded = _crowded(pieces)
     if not crowded.isEmpty():
-        split = pieces.join(crowded, "name", "left_semi").select("key", "n", "name", "place", "first", "bytes")
-        pieces = (pieces.join(crowded, "name", "left_anti").unionByName(
-            split.mapInArrow(_split_crowded(width), _PIECE).withColumn("hash", F.xxhash64("bytes"))))
+        split = _renamed(pieces, crowded, width, TOGETHER)
+        # what surrounds a passage may still differ in as many ways: equal windows alone are one run
+        still = _crowded(split)
+        if not still.isEmpty():
+            split = split.join(still, "name", "left_anti").unionByName(_renamed(split, still, width, 1))
+        pieces = pieces.join(crowded, "name", "left_anti").unionByName(split)
     different = pieces.groupBy("name", "hash", "bytes").agg(F.sum("n").alias("n"))
     repeats = (different.repartition(parts, "name").sortWithinPartitions("name")
                .select("name", "hash", "bytes", "n").mapInArrow(_sort(width), "name long, hash long, lo int, hi int"))

@@ -282,6 +282,48 @@ def test_repeated_strings(docs, pairs, no_docs, monkeypatch, crowded):
         assert suffix_dedup.repeated_strings(no_docs).count() == 0
 
 
+def _plain_spans(texts, width=200):
+    seen = {}
+    for t in texts:
+        for j in range(len(t) - width + 1):
+            seen[t[j:j + width]] = seen.get(t[j:j + width], 0) + 1
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t) + 2, np.int8)
+        for j in range(len(t) - width + 1):
+            if seen[t[j:j + width]] > 1:
+                gone[j + 1:j + width + 1] = 1
+        out.append([tuple(x) for x in np.flatnonzero(np.diff(gone)).reshape(-1, 2).tolist()])
+    return out
+
+
+def test_a_hot_passage_leaves_no_crowded_name(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWDED", 20)
+    most, plain = spark.sparkContext.accumulator(0), suffix_dedup._sort
+
+    def counted(width):
+        def run(batches):
+            names = {}
+
+            def seen():
+                for batch in batches:
+                    for name in batch.column(0).to_pylist():
+                        names[name] = names.get(name, 0) + 1
+                    yield batch
+            yield from plain(width)(seen())
+            most.add(sum(n > 20 for n in names.values()))
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_sort", counted)
+    rng = random.Random(21)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(230))
+    texts = [f"{rng.getrandbits(600):x} {passage} {rng.getrandbits(600):x}" for _ in range(300)]
+    got = {r["doc_id"]: [tuple(x) for x in r["spans"]]
+           for r in suffix_dedup.repeated_strings(frame(spark, enumerate(texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == _plain_spans(texts)
+    assert most.value == 0
+
+
 # -- classifiers -----------------------------------------------------------------
 
 def _labelled(spark, bad, good, column):
