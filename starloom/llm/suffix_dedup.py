@@ -7,6 +7,9 @@ equal windows meet, without shipping every suffix:
    (leftmost of equals).  Equal windows have equal names at equal places, and
    neighbouring windows mostly share theirs, so a text becomes short runs of
    windows.  A name that only one run of the corpus has can't hold a repeat.
+   In a periodic stretch the name comes again every period; windows that equal
+   those one period before are repeats on the spot and go no further, and other
+   neighbouring runs of one name are joined, so a stretch costs its own size.
 2. The bytes of the other runs are dealt by name, identical ones combined and
    counted first.  A name with very many different runs (a passage that a third
    of the corpus holds, with different surroundings) is split further by the
@@ -57,9 +60,8 @@ class Winnower:
             table[0] = 1
             np.cumprod(table, out=table)
 
-    def _grams(self, data: np.ndarray) -> np.ndarray:
+    def _grams(self, sums: np.ndarray) -> np.ndarray:
         """Mixed hash of the gram at each place."""
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(data * self.powers[:len(data)])])
         h = (sums[self.gram:] - sums[:-self.gram]) * self.inverses[:len(sums) - self.gram]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
@@ -67,7 +69,12 @@ class Winnower:
         return h
 
     def runs(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-        """``(text, name, place, first, last)``: windows ``first`` to ``last`` of a text are named by its gram at ``place``."""
+        """``(text, name, place, first, last)``: windows ``first`` to ``last`` of a text are named by its gram at ``place``.
+
+        In a run that joins several, ``place`` is of its first window and the gram comes again.
+        A negative ``place`` marks windows that are repeats inside the text; the first
+        of each kind is in a run, too.
+        """
         found, part, size = [], [], 0
         for i, raw in enumerate(texts):
             if len(raw) < self.width:
@@ -87,7 +94,8 @@ class Winnower:
 
     def _scan(self, parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
         data = np.frombuffer(b"".join([p for _, _, p in parts]), np.uint8).astype(np.uint64)
-        h = self._grams(data)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(data * self.powers[:len(data)])])
+        h = self._grams(sums)
         places = np.uint64((1 << 22) - 1)
         least = (h & ~places) | np.arange(len(h), dtype=np.uint64)
         span, wanted = 1, self.width - self.gram + 1
@@ -105,10 +113,48 @@ class Winnower:
         at = place[start]
         cuts = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
         last = np.append(cuts[1:], len(at)) - 1
-        part = owner[cuts]
-        shift = np.array([a for _, a, _ in parts])[part] - (ends - sizes)[part]
-        return (np.array([i for i, _, _ in parts])[part], h[at[cuts]].view(np.int64),
-                at[cuts] + shift, start[cuts] + shift, start[last] + shift)
+        part, name, place, first, last = owner[cuts], h[at[cuts]], at[cuts], start[cuts], start[last]
+        again = self._again(data, sums, part, name, place, first, last)
+        period = np.diff(place, prepend=0)
+        # neighbouring runs that repeat what lies one period before, as one row of repeats
+        spot = np.flatnonzero(again)
+        fresh = np.flatnonzero((np.diff(spot, prepend=-2) != 1) | (np.diff(period[spot], prepend=-1) != 0))
+        heads, hi = spot[fresh], last[spot[np.append(fresh[1:], len(spot)) - 1]] if len(spot) else spot
+        repeats = (part[heads], name[heads], first[heads] - period[heads], hi)
+        # other neighbouring runs of one name, joined in blocks of about width windows
+        part, name, place, first, last = (x[~again] for x in (part, name, place, first, last))
+        chain = ((np.diff(part, prepend=-1) != 0) | (name != np.append(name[:1], name[:-1]))
+                 | (first != np.append(-1, last[:-1]) + 1))
+        chain[:1] = True
+        begin = first[np.maximum.accumulate(np.where(chain, np.arange(len(chain)), 0))]
+        heads = np.flatnonzero(chain | (np.diff((first - begin) // self.width, prepend=0) != 0))
+        last = last[np.append(heads[1:], len(last)) - 1]
+        part, name, place, first = (x[heads] for x in (part, name, place, first))
+        shift = np.array([a for _, a, _ in parts]) - (ends - sizes)
+        texts = np.array([i for i, _, _ in parts])
+        return tuple(np.concatenate(c) for c in (
+            (texts[part], texts[repeats[0]]), (name.view(np.int64), repeats[1].view(np.int64)),
+            (place + shift[part], np.full(len(hi), -1)), (first + shift[part], repeats[2] + shift[repeats[0]]),
+            (last + shift[part], hi + shift[repeats[0]])))
+
+    def _again(self, data: np.ndarray, sums: np.ndarray, part: np.ndarray, name: np.ndarray,
+               place: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Which runs have all their windows once more, as far before as the run before has its gram."""
+        period = np.diff(place, prepend=0)
+        began = first[np.searchsorted(part, part)]  # first window of the same part
+        at = np.flatnonzero((np.diff(part, prepend=-1) == 0) & (name == np.append(name[:1], name[:-1]))
+                            & (first - period >= began))
+        again = np.zeros(len(part), bool)
+        lo, hi, back = first[at], last[at] + self.width, period[at]
+        same = ((sums[hi] - sums[lo]) * self.inverses[lo]
+                == (sums[hi - back] - sums[lo - back]) * self.inverses[lo - back])
+        at, lo, hi, back = (x[same] for x in (at, lo, hi, back))
+        # equal hashes are held against the bytes, neighbouring runs at a time
+        heads = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(back, prepend=-1) != 0))
+        for i, j in zip(heads.tolist(), [*heads[1:].tolist(), len(at)][:len(heads)], strict=True):
+            a, b, p = lo[i], hi[j - 1], back[i]
+            again[at[i:j]] = np.array_equal(data[a:b], data[a - p:b - p])
+        return again
 
 
 def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
@@ -251,14 +297,22 @@ def _scan_runs(width: int, names_only: bool):
 
 
 def _cut(width: int):
-    """The bytes of each listed run of a text."""
+    """The bytes of each listed run of a text; rows of repeats have their last window in ``place``, as ``-1 - last``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64)
-                rows = [(k, n, r["name"], r["place"], r["first"], t[r["first"]:r["last"] + width])
-                        for k, n, t, runs in zip(*(c.to_pylist() for c in part.columns), strict=True) for r in runs]
-                yield _rows(rows)
+            for k, n, t, runs in zip(*batch.columns, strict=True):
+                k, n, t = k.as_py(), n.as_py(), t.as_py()
+                fields = [f.to_numpy(zero_copy_only=False) for f in runs.values.flatten()]
+                for at in range(0, len(runs), 4096):
+                    for name, place, first, last in zip(*(f[at:at + 4096].tolist() for f in fields), strict=True):
+                        rows.append((k, n, name, place, first, t[first:last + width]) if place >= 0
+                                    else (k, n, name, -1 - last, first, None))
+                        size += last + width - first if place >= 0 else 0
+                        if size >= SCAN_BYTES or len(rows) >= 8192:
+                            yield _rows(rows)
+                            rows, size = [], 0
+        yield _rows(rows)
     return run
 
 
@@ -279,18 +333,22 @@ def _split_crowded(width: int, together: int):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                raw, first, place = r["bytes"], r["first"], r["place"]
-                last = first + len(raw) - width
-                for j in range((place - last) // together, (place - first) // together + 1):
-                    lo = max(first, place - together * j - (together - 1))
-                    hi = min(last, place - together * j)
-                    core = place - together * j - first  # in every window of the group, from here …
-                    common = raw[max(core, 0):core + width - together + 1]  # … to here
-                    name = xxhash.xxh64_intdigest(common, r["name"] + j & (1 << 64) - 1)
-                    rows.append((r["key"], r["n"], name - (1 << 63), place, lo, raw[lo - first:hi + width - first]))
-                    if len(rows) >= 4096:
-                        yield _rows(rows)
-                        rows = []
+                raw, start, place = r["bytes"], r["first"], r["place"]
+                first, end, gram = start, start + len(raw) - width, raw[place - start:place - start + GRAM]
+                while first <= end:  # a joined run has its gram in several places
+                    last = min(place, end)
+                    for j in range((place - last) // together, (place - first) // together + 1):
+                        lo = max(first, place - together * j - (together - 1))
+                        hi = min(last, place - together * j)
+                        core = place - together * j - start  # in every window of the group, from here …
+                        common = raw[max(core, 0):core + width - together + 1]  # … to here
+                        name = xxhash.xxh64_intdigest(common, r["name"] + j & (1 << 64) - 1)
+                        rows.append((r["key"], r["n"], name - (1 << 63), place, lo, raw[lo - start:hi + width - start]))
+                        if len(rows) >= 4096:
+                            yield _rows(rows)
+                            rows = []
+                    found = raw.find(gram, place - start + 1)
+                    first, place = last + 1, start + found if found >= 0 else end
             yield _rows(rows)
     return run
 
@@ -397,7 +455,9 @@ def repeated_strings(docs: DataFrame, width: int = 200) -> DataFrame:
     at = f"{checkpoint_dir(spark)}/runs-{uuid4().hex}"
     (texts.join(runs, "key").select("key", "n", "raw", "runs").mapInArrow(_cut(width), _PIECE)
      .withColumn("hash", F.xxhash64("bytes")).write.option("compression", "zstd").parquet(at))
-    pieces = spark.read.parquet(at)
+    pieces = spark.read.parquet(at).where("place >= 0")
+    inside = spark.read.parquet(at).where("place < 0").select(
+        "key", F.struct(F.col("first").alias("lo"), (-1 - F.col("place")).alias("hi")).alias("mark"))
     crowded = _crowded(pieces)
     if not crowded.isEmpty():
         split = _renamed(pieces, crowded, width, TOGETHER)
@@ -412,7 +472,7 @@ def repeated_strings(docs: DataFrame, width: int = 200) -> DataFrame:
     marks = (pieces.select("key", "name", "hash", "first").join(settled(repeats), ["name", "hash"])
              .select("key", F.struct((F.col("first") + F.col("lo")).alias("lo"),
                                      (F.col("first") + F.col("hi")).alias("hi")).alias("mark"))
-             .groupBy("key").agg(F.collect_list("mark").alias("marks")))
+             .unionByName(inside).groupBy("key").agg(F.collect_list("mark").alias("marks")))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return (plain.select("doc_id", raw, key).join(settled(marks), "key", "left").select("doc_id", "raw", "marks")
             .mapInArrow(_without(width), f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, "

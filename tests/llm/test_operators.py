@@ -324,6 +324,39 @@ def test_a_hot_passage_leaves_no_crowded_name(spark, monkeypatch):
     assert most.value == 0
 
 
+@pytest.mark.parametrize("crowded", [4096, 1])
+def test_periodic_stretches(spark, monkeypatch, crowded):
+    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+    rng = random.Random(31)
+
+    def noise(n):
+        return "".join(rng.choice("bcdefghijk ") for _ in range(n))
+
+    texts = ["-" * 540_000, noise(90) + "-" * 200 + noise(90)]  # one window that the first has often
+    for period in (1, 2, 3, 7, 31, 50, 120, 168, 169, 190, 210):
+        word = noise(period)
+        for n in (199, 200, 200 + period // 2, 200 + period, 201 + period, 200 + 2 * period, 900):
+            texts.append(noise(rng.randint(0, 250)) + (word * 900)[:n] + noise(rng.randint(0, 250)))
+        texts.append((word[1:] + word[:1]) * (1 + 700 // period))
+    texts += [("-" * 60 + noise(20)) * 8 for _ in range(4)] + ["-" * 230 + "=" * 230 + "-" * 230]
+    rng.shuffle(texts)
+    got = {r["doc_id"]: [tuple(x) for x in r["spans"]]
+           for r in suffix_dedup.repeated_strings(frame(spark, enumerate(texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == _plain_spans(texts)
+
+
+def test_a_periodic_stretch_costs_its_own_size():
+    rng = random.Random(33)
+    for word in ("-", "AB", "col | ", "".join(rng.choice("abcd") for _ in range(100))):
+        raw = (word * (1 << 20))[:1 << 20].encode()
+        runs = suffix_dedup.Winnower(200).runs([raw])
+        sent = sum(last + 200 - first for place, first, last in zip(*runs[2:], strict=True) if place >= 0)
+        assert sent <= 4 * len(raw) and len(runs[0]) < len(raw) // 50
+    lines = "".join("-" * 80 + "".join(rng.choice("abcd ") for _ in range(80)) for _ in range(4000)).encode()
+    runs = suffix_dedup.Winnower(200).runs([lines])
+    assert sum(last + 200 - first for place, first, last in zip(*runs[2:], strict=True) if place >= 0) <= 6 * len(lines)
+
+
 # -- classifiers -----------------------------------------------------------------
 
 def _labelled(spark, bad, good, column):
