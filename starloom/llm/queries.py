@@ -90,7 +90,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_spans(table(spark, sf_dir, "documents"))
+    found = secret_spans(table(spark, sf_dir, "documents"), parts=True)
 
     def count(kind: str) -> Column:
         return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

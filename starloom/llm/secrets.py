@@ -7,7 +7,8 @@ leaving character out and the entering one in, and the sum of ``c * log2(c)``
 follows from those two counts alone.  A window whose Shannon entropy reaches the
 threshold of the candidate's character class is flagged; flagged windows that
 overlap or touch form one span.  Candidates that the allow-list knows (UUIDs,
-digits only, counting or keyboard runs, placeholders) are suppressed.
+digits only, counting or keyboard runs, placeholders) are suppressed; with
+``parts``, as the queries scan, only the windows that overlap what it knows.
 """
 
 from __future__ import annotations
@@ -46,6 +47,10 @@ ALLOW = (
     "(.)\\1{7,}",
     "0123456789|123456789|abcdefgh|ABCDEFGH|qwerty",
 )
+#: Of these, what stands anywhere in a candidate (longest matches first), and what is all of one.
+ALLOW_PART = "|".join(["(.)\\1{7,}", "(?i:example|placeholder|changeme|your_|dummy|sample|redacted)",
+                       "0123456789|123456789|abcdefgh|ABCDEFGH|qwerty"])
+ALLOW_WHOLE = ALLOW[:1]
 
 
 def _spans(text: Column, pattern: str, hits: Column, kind: str, order: int) -> Column:
@@ -70,14 +75,17 @@ def _spans(text: Column, pattern: str, hits: Column, kind: str, order: int) -> C
 def _flagged(candidate: Column, start: Column, threshold: Column, window: int) -> Column:
     """Spans of the runs of flagged windows of one candidate that starts at ``start``."""
     bits = F.array(*[F.lit(c * math.log2(c) if c > 1 else 0.0) for c in range(window + 1)])
-    chars = F.split(candidate, "")
+    # entering and leaving character of each step, as places in the alphabet
+    chars = F.transform(F.split(candidate, ""), lambda c: F.position(c, F.lit(ALPHABET)))
+    steps = F.slice(F.arrays_zip(chars.alias("into"), F.concat(F.array_repeat(F.lit(-1), window), chars).alias("out")),
+                    F.lit(1), F.length(candidate))
     begin = F.struct(
+        F.lit(0).alias("i"), threshold.alias("threshold"),
         F.array_repeat(F.lit(0), len(ALPHABET) + 2).alias("counts"), F.lit(0.0).alias("sum"),
         F.array().cast(_SPANS).alias("spans"))
 
-    def step(state: Column, i: Column) -> Column:
-        into = F.position(F.get(chars, i), F.lit(ALPHABET))
-        out = F.when(i >= window, F.position(F.get(chars, i - window), F.lit(ALPHABET))).otherwise(F.lit(-1))
+    def step(state: Column, pair: Column) -> Column:
+        i, into, out = state["i"], pair["into"], pair["out"]
         gone = F.when(out >= 0, F.get(state["counts"], out)).otherwise(F.lit(0))
         less = F.when(out >= 0, F.get(bits, gone) - F.get(bits, gone - 1)).otherwise(F.lit(0.0))
         come = F.get(state["counts"], into) - F.when(into == out, F.lit(1)).otherwise(F.lit(0))
@@ -92,19 +100,38 @@ def _flagged(candidate: Column, start: Column, threshold: Column, window: int) -
         fresh = F.concat(state["spans"], F.array(F.struct(
             lo.alias("start"), F.lit(len(BASE_KINDS)).alias("ord"), hi.alias("end"),
             F.lit(ENTROPY_KIND).alias("kind"))))
-        flagged = (i >= window - 1) & (entropy >= threshold)
+        flagged = (i >= window - 1) & (entropy >= state["threshold"])
         spans = (F.when(~flagged, state["spans"])
                  .when(last["end"] >= lo, grown)
                  .otherwise(fresh))
-        return F.struct(counts.alias("counts"), total.alias("sum"), spans.alias("spans"))
+        return F.struct((i + 1).alias("i"), state["threshold"].alias("threshold"), counts.alias("counts"),
+                        total.alias("sum"), spans.alias("spans"))
+
+    return F.aggregate(steps, begin, step, lambda s: s["spans"])
+
+
+def _stretches(candidate: Column, start: Column, threshold: Column, window: int) -> Column:
+    """``(string, start, threshold)`` of what lies between allow-list matches, where a window fits."""
+    hits = F.regexp_extract_all(candidate, F.lit(ALLOW_PART), 0)
+    pairs = F.arrays_zip(F.split(candidate, ALLOW_PART, -1).alias("piece"), hits.alias("hit"))
+    begin = F.struct(start.alias("at"), threshold.alias("threshold"), F.array().cast(
+        "array<struct<string:string,start:int,threshold:double>>").alias("found"))
+
+    def step(state: Column, pair: Column) -> Column:
+        end = state["at"] + F.length(pair["piece"])
+        part = F.struct(pair["piece"].alias("string"), state["at"].alias("start"), state["threshold"].alias("threshold"))
+        return F.struct(
+            (end + F.coalesce(F.length(pair["hit"]), F.lit(0))).alias("at"), state["threshold"].alias("threshold"),
+            F.when(F.length(pair["piece"]) >= window, F.concat(state["found"], F.array(part)))
+            .otherwise(state["found"]).alias("found"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.length(candidate) - 1), begin, step, lambda s: s["spans"])
+    return F.aggregate(pairs, begin, step, lambda s: s["found"])
 
 
-def _threshold(candidate: Column) -> Column:
+def _threshold(candidate: Column, allow: Sequence[str] = ALLOW) -> Column:
     """Bits per character that flag a window; null for an allowed candidate."""
     limit = None
-    for pattern in ALLOW:
+    for pattern in allow:
         known = candidate.rlike(pattern)
         limit = F.when(known, F.lit(None).cast("double")) if limit is None else limit.when(
             known, F.lit(None).cast("double"))
@@ -113,13 +140,15 @@ def _threshold(candidate: Column) -> Column:
     return limit
 
 
-def secret_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def secret_spans(docs: DataFrame, window: int = WINDOW, parts: bool = False) -> DataFrame:
     """``docs`` as ``_row`` with ``_base`` and ``_added``: arrays of spans ``(start, ord, end, kind)``.
 
     Positions count code points, ends are exclusive, and arrays are sorted.
     Null and empty texts have no spans.  ``_base`` has the three fixed kinds,
     leftmost and non-overlapping per kind; ``_added`` the entropy spans, which
-    may overlap base ones.  No column of ``docs`` but ``text`` is read, and all
+    may overlap base ones.  Without ``parts`` a candidate in which the allow-list
+    finds anything has none; with it only windows that overlap a match are left
+    out and the rest is scored by the class of the candidate.  No column of ``docs`` but ``text`` is read, and all
     are kept inside ``_row``.
     """
     text = F.col("_text")
@@ -140,9 +169,17 @@ def secret_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     _spans(text, HEX, F.col("_hex"), "hex", 2))
     candidates = F.arrays_zip(_spans(text, CANDIDATE, F.col("_candidates"), "", 0).alias("span"),
                               F.col("_candidates").alias("string"))
+    if parts:
+        scored = F.flatten(F.transform(
+            F.filter(candidates, lambda c: _threshold(c["string"], ALLOW_WHOLE).isNotNull()),
+            lambda c: _stretches(c["string"], c["span"]["start"], _threshold(c["string"], ALLOW_WHOLE), window)))
+    else:
+        scored = F.transform(
+            F.filter(candidates, lambda c: _threshold(c["string"]).isNotNull()),
+            lambda c: F.struct(c["string"].alias("string"), c["span"]["start"].alias("start"),
+                               _threshold(c["string"]).alias("threshold")))
     added = F.when(F.size("_candidates") > 0, F.flatten(F.transform(
-        F.filter(candidates, lambda c: _threshold(c["string"]).isNotNull()),
-        lambda c: _flagged(c["string"], c["span"]["start"], _threshold(c["string"]), window))))
+        scored, lambda c: _flagged(c["string"], c["start"], c["threshold"], window))))
     return hits.select("_row", F.array_sort(base).alias("_base"),
                        F.array_sort(F.coalesce(added, F.array().cast(_SPANS))).alias("_added"))
 
@@ -152,13 +189,13 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, mask: str = "[SECRET]", window: int = WINDOW) -> DataFrame:
+def redact(docs: DataFrame, mask: str = "[SECRET]", window: int = WINDOW, parts: bool = False) -> DataFrame:
     """``docs`` with every span replaced by ``mask`` (overlapping spans by one), and ``n_chars``,
     where there is such a column, counted anew for the texts that change.
 
     All rows and columns stay; null texts stay null.
     """
-    found = secret_spans(docs, window)
+    found = secret_spans(docs, window, parts)
     spans = F.array_sort(F.concat("_base", "_added"))
     text = F.col("_row.text")
 

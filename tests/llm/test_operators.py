@@ -554,6 +554,42 @@ def test_redaction(spark, leaks, no_docs):
         assert out[i]["n_chars"] == (None if t is None else len(want))
 
 
+def test_secrets_beside_allowed_strings(spark, leaks):
+    def plain(text):
+        out = []
+        for m in re.finditer("[A-Za-z0-9+/_=]{20,}", text):
+            if re.search("^[0-9]+$", m[0]):
+                continue
+            bits = next(b for _, p, b in secrets.CLASSES if not p or re.search(p, m[0]))
+            edges = [0, *(x for k in re.finditer(secrets.ALLOW_PART, m[0]) for x in k.span()), len(m[0])]
+            for a, b in zip(edges[::2], edges[1::2], strict=True):
+                runs = []
+                for i in range(a, b - secrets.WINDOW + 1):
+                    part = m[0][i:i + secrets.WINDOW]
+                    p = np.array([part.count(x) for x in set(part)]) / secrets.WINDOW
+                    if -(p * np.log2(p)).sum() >= bits - 1e-12:
+                        if runs and runs[-1][1] >= m.start() + i:
+                            runs[-1][1] = m.start() + i + secrets.WINDOW
+                        else:
+                            runs.append([m.start() + i, m.start() + i + secrets.WINDOW])
+                out += [(x, 3, y, "entropy") for x, y in runs]
+        return out
+
+    rng = random.Random(41)
+    key = "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(400))
+    texts = ["see b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAB" + key, "/sample/" + key[:40], key[:30] + "dummy",
+             "sample_dummy_example", "123456789" * 4, key + "A" * 9 + key + "qwerty" + key[:19]] + [t or "" for t in leaks]
+    df = frame(spark, enumerate(texts))
+    got = {r["_row"]["doc_id"]: [tuple(s) for s in r["_added"]] for r in secrets.secret_spans(df, parts=True).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == sorted(plain(t)), t
+    assert all(got[i] for i in (0, 1, 2, 5)) and not got[3] and not got[4]
+    assert "Python" not in secrets.redact(df, parts=True)._jdf.queryExecution().executedPlan().toString()
+    from corpus_pipeline import secret_stage
+    masked = {r["doc_id"]: r["text"] for r in secret_stage(spark, df, "").collect()}
+    assert key[:40] not in masked[1] and key[200:240] not in masked[0]
+
+
 def test_secret_scan_is_native(docs):
     plan = secrets.redact(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
