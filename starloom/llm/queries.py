@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.bpe import decode, encode
 from starloom.llm.common import table
+from starloom.llm.conversation_trie import prefix_trie, spliced, turn_sequences
 from starloom.llm.embedding_dedup import embedding_dedup
 from starloom.llm.exact_dedup import exact_dedup
 from starloom.llm.packing import ids_crc32, pack
@@ -99,6 +100,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         spans_text(F.array_sort(F.concat("_base", "_added"))).alias("spans"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spliced(turn_sequences(table(spark, sf_dir, "conversations")), every=20, heads=4))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -111,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_url_filter": op9_url_filter,
         "op10_secret_scan": op10_secret_scan,
+        "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -147,4 +153,50 @@ def oracle_sql() -> dict[str, str]:
                 WHEN host LIKE '%spam%' OR path LIKE '%/login%' OR path LIKE '%.exe' OR host LIKE 'ads.%' THEN 'block'
                 ELSE 'allow' END AS verdict
             FROM ruled""",
+        "op13_prefix_trie": r"""
+            WITH RECURSIVE turns AS (
+                SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                           sha256(length(r)::VARCHAR || ':' || r || t)) AS k,
+                       length(r)::VARCHAR || ':' || r || t AS said,
+                       len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words
+                FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+                      WHERE conv_id IS NOT NULL)),
+            convs AS (
+                -- CRC-32 bit by bit over the decimal id
+                SELECT c, xor(list_reduce(list_prepend(4294967295::UBIGINT,
+                               list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::UBIGINT)),
+                           lambda s, b: list_reduce(list_prepend(xor(s, b), list_transform(range(8), lambda i: 0::UBIGINT)),
+                               lambda v, i: xor(v >> 1, (v & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT) % 4 AS h
+                FROM (SELECT DISTINCT c FROM turns)),
+            rebuilt AS (
+                SELECT convs.c, t.k, t.said, t.words FROM convs
+                JOIN turns t ON t.c = convs.c - convs.c % 20 AND t.k <= h
+                UNION ALL
+                SELECT convs.c, t.k + 10, t.said, t.words FROM convs JOIN turns t ON t.c = convs.c AND t.k > h),
+            placed AS (
+                SELECT c, row_number() OVER (PARTITION BY c ORDER BY k) AS d, said, words FROM rebuilt),
+            prefixes AS (
+                SELECT c, 0::BIGINT AS d, sha256('') AS node, NULL::VARCHAR AS parent, 0::BIGINT AS words FROM convs
+                UNION ALL
+                SELECT p.c, p.d, sha256(q.node || p.said), q.node, p.words FROM prefixes q
+                JOIN placed p ON p.c = q.c AND p.d = q.d + 1),
+            ended AS (
+                SELECT node, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends
+                FROM (SELECT c, max_by(node, d) AS node FROM prefixes GROUP BY c) GROUP BY node),
+            nodes AS (
+                SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(c) AS conv_id,
+                       count(*) AS n_convs, any_value(words) AS words FROM prefixes GROUP BY node),
+            kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+            below AS (
+                SELECT node AS top, node FROM nodes
+                UNION ALL
+                SELECT b.top, n.node FROM below b JOIN nodes n ON n.parent = b.node),
+            summed AS (
+                SELECT b.top AS node, count(*) FILTER (k.n IS NULL) AS n_leaves,
+                       sum((n.n_convs - 1) * n.words) AS saved_tokens
+                FROM below b JOIN nodes n USING (node) LEFT JOIN kids k USING (node) GROUP BY b.top)
+            SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+                   s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+            FROM nodes n JOIN summed s USING (node) LEFT JOIN nodes p ON p.node = n.parent
+            LEFT JOIN kids k ON k.node = n.node LEFT JOIN ended e ON e.node = n.node""",
     }
