@@ -15,11 +15,13 @@ from starloom.llm.common import table
 from starloom.llm.conversation_trie import prefix_trie, spliced, turn_sequences
 from starloom.llm.embedding_dedup import embedding_dedup
 from starloom.llm.exact_dedup import exact_dedup
+from starloom.llm.license_scan import license_scan
 from starloom.llm.packing import ids_crc32, pack
 from starloom.llm.quality import quality_model, remainder, score
 from starloom.llm.secrets import BASE_KINDS, secret_spans, spans_text
 from starloom.llm.simhash import simhash_dedup
 from starloom.llm.suffix_dedup import repeated_strings
+from starloom.llm.token_alignment import token_alignment
 from starloom.llm.toxicity import toxicity, toxicity_model
 from starloom.llm.url_filter import GlobRule, SiteRule, judge_urls
 
@@ -100,6 +102,27 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         spans_text(F.array_sort(F.concat("_base", "_added"))).alias("spans"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: ~p["notice"])
+
+    def labels(places: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+
+    starts = F.transform(base, lambda p: p["start"])
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+                        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        labels(base).alias("base_labels"), labels(F.col("places")).alias("labels"),
+                        F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                            vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+                        "n_overlaps")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(spliced(turn_sequences(table(spark, sf_dir, "conversations")), every=20, heads=4))
 
@@ -116,6 +139,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_url_filter": op9_url_filter,
         "op10_secret_scan": op10_secret_scan,
+        "op11_license_scan": op11_license_scan,
+        "op12_token_alignment": op12_token_alignment,
         "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
