@@ -2,22 +2,24 @@
 
 Spark has no ``UPDATE``/``MERGE`` on parquet, so every load computes the
 complete next state of a table as a DataFrame, writes it as a new version
-beside the old one and then publishes it with one new manifest.  Folders and
-manifests are never overwritten: every run claims a number of its own, and a
-manifest becomes visible by the rename of its single file.
+beside the old one and then publishes it with one new manifest.  Claims and
+manifests are objects that exactly one run can create (``sources.objects``), so
+every run has a number, and folders, of its own, and none hides another's tables.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from starloom.operators.clean import resolve_departments, resolve_projects
 from starloom.operators.keys import assign_dense_keys, next_key_base
 from starloom.operators.scd2 import intervals_from_changelog
-from starloom.sources.tables import empty_frame, literal_frame, read_or_empty
+from starloom.sources.objects import numbers, put_if_absent, read_object
+from starloom.sources.tables import empty_frame
 
 # --------------------------------------------------------------------------
 # insert-if-absent and upsert (set-based, no per-row statements)
@@ -289,42 +291,36 @@ def publish_onboarding(
 #: Manifest entries with this ending hold the largest key given, not a version.
 LAST_KEY = ".last_key"
 
-_MANIFEST_SCHEMA = T.StructType(
-    [T.StructField("table_name", T.StringType(), False),
-     T.StructField("version", T.LongType(), False),
-     T.StructField("v", T.IntegerType(), True)]
-)
+
+class PublishConflict(RuntimeError):
+    """Another run has published a table that this run had read before and replaces."""
 
 
-def _manifests(spark: SparkSession, root: str) -> DataFrame:
-    """All manifests ever published: ``(table_name, version, v)``; a few rows per run.
+def _newest(spark: SparkSession, root: str) -> tuple[int, dict]:
+    """Number and content of the newest manifest: ``versions`` and, for SCD2 tables, ``closed`` runs.
 
-    Manifest ``v`` is the one file ``manifest/v=N/part-…``: a reader sees it
-    whole or not at all.
+    A manifest is one object ``manifest/N`` that is never overwritten: a reader
+    sees it whole or not at all.  Only the newest is read; of the others only
+    the names are listed.
     """
-    return read_or_empty(spark, f"{root}/manifest", _MANIFEST_SCHEMA)
+    known = numbers(spark, f"{root}/manifest")
+    if not known:
+        return 0, {"versions": {}, "closed": {}}
+    return known[-1], json.loads(read_object(spark, f"{root}/manifest/{known[-1]}"))
 
 
 def claim_run(spark: SparkSession, root: str) -> int:
     """A run number that no other run has or had, also not one that failed.
 
-    The claim is a folder ``runs/run=N`` whose creation fails if it exists, so
-    of two runs that want the same number one moves on to the next.
+    The claim is an object ``runs/N`` that exactly one run can create: of any
+    number of runs that want a number, one has it and the others move on.
     """
-    schema = T.StructType([T.StructField("claimed", T.IntegerType()), T.StructField("run", T.IntegerType())])
-    claimed = read_or_empty(spark, f"{root}/runs", schema).agg(F.max("run")).first()[0] or 0
-    published = _manifests(spark, root).where(~F.col("table_name").endswith(LAST_KEY)).agg(
-        F.max("version")).first()[0] or 0
-    run = max(claimed, published) + 1
-    while True:
-        try:
-            literal_frame(spark, [(run,)], T.StructType(schema.fields[:1])).coalesce(1).write.mode(
-                "errorifexists").parquet(f"{root}/runs/run={run}")
-            return run
-        except AnalysisException as exc:
-            if "PATH_ALREADY_EXISTS" not in str(exc):
-                raise
-            run += 1
+    versions = _newest(spark, root)[1]["versions"]
+    published = [v for name, v in versions.items() if not name.endswith(LAST_KEY)]
+    run = max([*numbers(spark, f"{root}/runs")[-1:], *published, 0]) + 1
+    while not put_if_absent(spark, f"{root}/runs/{run}", b""):
+        run += 1
+    return run
 
 
 def version_path(root: str, table: str, version: int) -> str:
@@ -333,9 +329,7 @@ def version_path(root: str, table: str, version: int) -> str:
 
 def current_versions(spark: SparkSession, root: str) -> dict[str, int]:
     """What the newest manifest names: a version per table (empty before any)."""
-    rows = _manifests(spark, root).collect()
-    newest = max((r["v"] for r in rows), default=0)
-    return {r["table_name"]: int(r["version"]) for r in rows if r["v"] == newest}
+    return _newest(spark, root)[1]["versions"]
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> int:
@@ -344,22 +338,34 @@ def current_version(spark: SparkSession, root: str, table: str) -> int:
 
 
 def publish(
-    spark: SparkSession, root: str, versions: dict[str, int], replace_prefix: str | None = None
+    spark: SparkSession, root: str, versions: dict[str, int], replace_prefix: str | None = None,
+    based_on: dict[str, int] | None = None,
 ) -> None:
     """Make ``versions`` current, all tables at once (one small new manifest).
 
-    A manifest that another run has published meanwhile makes this fail rather
-    than hide its tables.  Until this runs, readers keep seeing the previous versions, so a run that
+    Until this is done, readers keep seeing the previous versions, so a run that
     fails half-way publishes nothing.  Entries starting with ``replace_prefix``
     that are not in ``versions`` are unpublished (e.g. older fact snapshots).
+
+    If another run publishes meanwhile, this goes on from its manifest, so
+    neither hides the other's tables.  ``based_on`` are the versions that this
+    run read: where one of the tables it replaces has another version by now,
+    the run's rows lack the other's, and ``PublishConflict`` is raised.
     """
-    newest = _manifests(spark, root).agg(F.max("v")).first()[0] or 0
-    old = current_versions(spark, root)
-    if replace_prefix:
-        old = {k: v for k, v in old.items() if not k.startswith(replace_prefix)}
-    merged = {**old, **versions}
-    literal_frame(spark, sorted(merged.items()), T.StructType(_MANIFEST_SCHEMA.fields[:2])).coalesce(
-        1).write.mode("errorifexists").parquet(f"{root}/manifest/v={newest + 1}")
+    while True:
+        newest, old = _newest(spark, root)
+        before = old["versions"]
+        if based_on is not None:
+            lost = sorted(t for t in versions if before.get(t) != based_on.get(t))
+            if lost:
+                raise PublishConflict(f"published by another run meanwhile: {', '.join(lost)}")
+        kept = {k: v for k, v in before.items() if not (replace_prefix and k.startswith(replace_prefix))}
+        closed = dict(old["closed"])
+        for table in SCD2_TABLES & versions.keys():
+            closed[table] = sorted({*closed.get(table, []), versions[table]})
+        content = json.dumps({"versions": {**kept, **versions}, "closed": closed}, sort_keys=True)
+        if put_if_absent(spark, f"{root}/manifest/{newest + 1}", content.encode()):
+            return
 
 
 def read_version(
@@ -450,8 +456,7 @@ def read_scd2_version(
     current = _read_stored(spark, [f"{root}/{table}/current/v{version:06d}"], schema)
     if current_only:
         return current
-    runs = {r["version"] for r in _manifests(spark, root).where(
-        (F.col("table_name") == table) & (F.col("version") < version)).select("version").collect()}
+    runs = {r for r in _newest(spark, root)[1]["closed"].get(table, []) if r < version}
     closed = _read_stored(spark, [f"{root}/{table}/closed/run={r}" for r in sorted(runs | {version})], schema)
     return closed.unionByName(current)
 

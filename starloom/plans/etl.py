@@ -31,6 +31,7 @@ from starloom.operators.fact import (
 from starloom.operators.keys import largest_key
 from starloom.operators.load import (
     LAST_KEY,
+    PublishConflict,
     claim_run,
     current_versions,
     new_dates,
@@ -87,14 +88,30 @@ def run_etl(
     as_of: dt.date,
     attrition_csv: str,
     full_refresh: bool = True,
+    attempts: int = 3,
 ) -> dict[str, int]:
     """Load one snapshot into the warehouse folder; returns the run's counts.
 
+    If another run publishes one of its tables meanwhile, the load is done anew
+    on what that run published, ``attempts`` times in all; then
+    ``PublishConflict`` is raised.  Nothing of an attempt before is published.
+
     ``full_refresh=True`` publishes a fact holding only this snapshot (the
     fact is replaced each run); ``False`` keeps the other published snapshots
     untouched and replaces only this snapshot.  An empty fact is never
     published.
     """
+    for left in range(attempts - 1, -1, -1):
+        try:
+            return _load_once(spark, source, warehouse, as_of, attrition_csv, full_refresh)
+        except PublishConflict:
+            if not left:
+                raise
+    raise ValueError("attempts must be at least 1")
+
+
+def _load_once(spark: SparkSession, source: TableSource, warehouse: str, as_of: dt.date, attrition_csv: str,
+               full_refresh: bool) -> dict[str, int]:
     sc = spark.sparkContext
 
     def step(name: str) -> None:
@@ -184,7 +201,7 @@ def run_etl(
     run.write(rejects_from_enriched(enriched.where("has_keys = 0")), "fact_rejects", schemas.FACT_REJECTS)
 
     publish(spark, warehouse, run.written,
-            replace_prefix="fact_employee_performance@" if full_refresh else None)
+            replace_prefix="fact_employee_performance@" if full_refresh else None, based_on=run.before)
     fact = read_published(spark, warehouse, "fact_employee_performance",
                           schemas.FACT_EMPLOYEE_PERFORMANCE)
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from starloom import schemas
 from starloom.operators.keys import largest_key
 from starloom.operators.load import (
+    PublishConflict,
     apply_role_changes,
     claim_run,
     current_versions,
@@ -23,6 +25,7 @@ from starloom.operators.load import (
 )
 from starloom.operators.scd2 import apply_scd2, scd2_changes
 from starloom.session import checkpoint_dir
+from starloom.sources.objects import numbers, put_if_absent, read_object
 from starloom.sources.tables import TableSource, empty_frame
 
 D = dt.date
@@ -45,14 +48,63 @@ def test_lost_published_table_raises(spark, tmpdir_path):
     assert read_published(spark, tmpdir_path, "dim_project", schemas.DIM_PROJECT).count() == 0
 
 
-def test_manifests_are_never_overwritten_and_a_half_written_one_is_not_seen(spark, tmpdir_path):
+def test_manifests_are_never_overwritten_and_a_draft_is_not_seen(spark, tmpdir_path):
     publish(spark, tmpdir_path, {"a": 1})
     publish(spark, tmpdir_path, {"b": 2})
-    assert sorted(os.listdir(f"{tmpdir_path}/manifest")) == ["v=1", "v=2"]
-    os.makedirs(f"{tmpdir_path}/manifest/v=3/_temporary/0")  # a publication that broke off
+    assert sorted(os.listdir(f"{tmpdir_path}/manifest")) == ["1", "2"]
+    with open(f"{tmpdir_path}/manifest/.broken", "w") as draft:  # a publication that broke off
+        draft.write("{")
     assert current_versions(spark, tmpdir_path) == {"a": 1, "b": 2}
 
 
+def test_only_the_newest_manifest_is_read(spark, tmpdir_path):
+    for k in range(1, 13):
+        publish(spark, tmpdir_path, {"a": k, "dim_employee": k})
+    for k in range(1, 12):
+        with open(f"{tmpdir_path}/manifest/{k}", "w") as old:
+            old.write("no longer readable")
+    assert current_versions(spark, tmpdir_path) == {"a": 12, "dim_employee": 12}
+    assert claim_run(spark, tmpdir_path) == 13
+
+
+def test_sixteen_claims_at_once(spark, tmpdir_path):
+    with ThreadPoolExecutor(16) as pool:
+        runs = list(pool.map(lambda _: claim_run(spark, tmpdir_path), range(16)))
+    assert sorted(runs) == list(range(1, 17))
+
+
+def test_one_writer_creates_an_object(spark, tmpdir_path):
+    with ThreadPoolExecutor(16) as pool:
+        won = list(pool.map(lambda k: put_if_absent(spark, f"{tmpdir_path}/x/7", b"%d" % k), range(16)))
+    assert won.count(True) == 1 and os.listdir(f"{tmpdir_path}/x") == ["7"]
+    assert read_object(spark, f"file://{tmpdir_path}/x/7") == b"%d" % won.index(True)
+    assert numbers(spark, f"{tmpdir_path}/x") == [7] and numbers(spark, f"{tmpdir_path}/none") == []
+
+
+def test_publications_at_once_hide_nothing(spark, tmpdir_path):
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda k: publish(spark, tmpdir_path, {f"t{k}": k}, based_on={}), range(1, 9)))
+    assert current_versions(spark, tmpdir_path) == {f"t{k}": k for k in range(1, 9)}
+
+
+def test_the_later_of_two_runs_on_one_state_is_told(spark, tmpdir_path):
+    publish(spark, tmpdir_path, {"a": 1, "b": 1})
+    base = current_versions(spark, tmpdir_path)
+
+    def attempt(run):
+        try:
+            publish(spark, tmpdir_path, {"a": run}, based_on=base)
+            return True
+        except PublishConflict as conflict:
+            assert "another run" in str(conflict) and " a" in str(conflict)
+            return False
+
+    with ThreadPoolExecutor(2) as pool:
+        won = list(pool.map(attempt, (2, 3)))
+    assert sorted(won) == [False, True]
+    assert current_versions(spark, tmpdir_path) == {"a": 2 if won[0] else 3, "b": 1}
+
+
 def test_runs_have_numbers_of_their_own(spark, tmpdir_path):
     assert [claim_run(spark, tmpdir_path) for _ in range(3)] == [1, 2, 3]
     publish(spark, tmpdir_path, {"a": 7, "a.last_key": 900})
