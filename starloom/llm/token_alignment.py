@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -43,11 +44,11 @@ from starloom.llm.bpe import blocks
 from starloom.llm.common import settled
 
 #: Text of a block; its distinct pieces and their links lie in a task's memory.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 #: Distinct pieces encoded and multiplied out at a time, in bytes.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Entries of a product laid out at a time; a row that has more is laid out whole.
-LAID_OUT = 1 << 20
+LAID_OUT = 1 << 18
 #: Values in one list of an output row.
 LIST = 100_000
 
@@ -70,8 +71,10 @@ class Csr(NamedTuple):
         return cls(np.searchsorted(rows, np.arange(height + 1)), columns, values, width)
 
     def transposed(self) -> Csr:
-        order = np.argsort(self.columns, kind="stable")
         rows = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+        if (self.columns[1:] >= self.columns[:-1]).all():
+            return Csr.of(self.columns, rows, self.values, self.width, len(self.starts) - 1)
+        order = np.argsort(self.columns, kind="stable")
         return Csr.of(self.columns[order], rows[order], self.values[order], self.width, len(self.starts) - 1)
 
     def products(self, other: Csr) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -115,6 +118,7 @@ class _Pair:
     _made: dict[tuple[str, str], _Pair] = {}
 
     def __init__(self, a_path: str, b_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
@@ -185,9 +189,10 @@ class _Block:
                 keys.append(k)
                 times.append(v)
             lo = hi
+        self.index.clear()
         join = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (rows, keys, times)]
         pairs, column = np.unique(join[1], return_inverse=True)
-        p = Csr.of(join[0], column, join[2], len(pieces), max(len(pairs), 1))
+        p = Csr.of(join[0], column.astype(np.int32), join[2], len(pieces), max(len(pairs), 1))
         return [np.concatenate(x) for x in zip(*stats, strict=True)], named, np.concatenate(whole), p, pairs
 
 
@@ -201,15 +206,14 @@ def align(pair: _Pair, pieces: list[str]) -> tuple[list[np.ndarray], list[str],
     texts = [(" " + p).encode() for p in pieces]
     ids = [[e.ids for e in pair.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)],
            pair.b.encode(pieces, num_threads=1)]
-    whole = np.ones(len(pieces), bool)
-    for tokens, known in zip(ids, (pair.a_bytes, pair.b_bytes), strict=True):
-        for i, (t, text) in enumerate(zip(tokens, texts, strict=True)):
-            if b"".join(map(known.__getitem__, t)) != text:
-                whole[i] = False
-    for i in np.flatnonzero(~whole).tolist():
-        ids[0][i], ids[1][i], texts[i] = [], [], b""
     counts = [np.array(list(map(len, side)), np.int64) for side in ids]
     flat = [np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in zip(ids, counts, strict=True)]
+    whole = np.ones(len(pieces), bool)
+    for tokens, n, known in zip(flat, counts, (pair.a_bytes, pair.b_bytes), strict=True):
+        whole &= _gives_back(list(map(known.__getitem__, tokens.tolist())), n, texts)
+    if not whole.all():
+        flat = [side[np.repeat(whole, n)] for side, n in zip(flat, counts, strict=True)]
+        counts = [np.where(whole, n, 0) for n in counts]
     ends = [np.cumsum(pair.sizes[s][flat[s]]) for s in (0, 1)]
     n_bytes = int(ends[0][-1]) if len(ends[0]) else 0
     piece = [np.repeat(np.arange(len(pieces)), n) for n in counts]
@@ -244,6 +248,17 @@ def align(pair: _Pair, pieces: list[str]) -> tuple[list[np.ndarray], list[str],
     return stats, _named(pair, flat, group, counts, n_groups), whole, found
 
 
+def _gives_back(tokens: list[bytes], counts: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Whether each text is its tokens' bytes, one after another."""
+    ends = np.cumsum(counts)
+    upto = np.concatenate([[0], np.cumsum(np.array(list(map(len, tokens)), np.int64))])
+    same = upto[ends] - upto[ends - counts] == np.array(list(map(len, texts)))
+    if same.all() and b"".join(tokens) == b"".join(texts):
+        return same
+    spans = zip((ends - counts).tolist(), ends.tolist(), texts, strict=True)
+    return np.array([b"".join(tokens[lo:hi]) == text for lo, hi, text in spans])
+
+
 def _named(pair: _Pair, flat: list[np.ndarray], group: list[np.ndarray], counts: list[np.ndarray],
            n_groups: int) -> list[str]:
     """The groups of each piece: ids of A, a bar and ids of B, joined by commas; groups by semicolons."""
@@ -283,32 +298,29 @@ def _block_rows(block: _Block, number: int, schema: pa.Schema) -> Iterator[pa.Re
     n = len(block.ids)
     if not n:
         return
-    sizes = np.array(list(map(len, block.docs)), np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    flat = np.concatenate(block.docs).astype(np.int64)
     if len(block.index):
         stats, named, whole, p, pairs = block.aligned()
     else:
-        stats, named, whole = [np.empty(0, np.int64)] * len(_STATS), [], np.empty(0, bool)
-        p, pairs = Csr(np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), 1), np.empty(0, np.int64)
-    broken = Csr(starts, flat, np.ones(len(flat), np.int64), len(whole)).times((~whole).astype(np.int64)) > 0
-    good = ~broken & (sizes > 0)
-    docs = [d if g else d[:0] for d, g in zip(block.docs, good, strict=True)]
-    starts = np.concatenate([[0], np.cumsum(list(map(len, docs)))])
-    flat = np.concatenate(docs).astype(np.int64)
-    held = Csr(starts, flat, np.ones(len(flat), np.int64), max(len(whole), 1))
+        stats, named, whole = [np.zeros(1, np.int64)] * len(_STATS), [""], np.zeros(1, bool)
+        p, pairs = Csr(np.zeros(2, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), 1), np.empty(0, np.int64)
     in_docs = np.zeros(len(pairs), np.int64)
-    for _, columns, _ in held.products(p):
-        in_docs += np.bincount(columns, minlength=len(pairs))
-    sums = {name: held.times(of) for name, of in zip(_STATS, stats, strict=True)}
-    shown = [hashlib.sha256(";".join(map(named.__getitem__, d.tolist())).encode()).hexdigest() if g else ""
-             for d, g in zip(docs, good, strict=True)]
-    for lo in range(0, n, 1000):
-        hi = min(n, lo + 1000)
+    sizes = np.cumsum(list(map(len, block.docs)))
+    lo = 0
+    while lo < n:
+        before = int(sizes[lo - 1]) if lo else 0
+        hi = min(lo + 1000, max(lo + 1, int(np.searchsorted(sizes, before + LAID_OUT, "right"))))
+        docs = [d if whole[d].all() else d[:0] for d in block.docs[lo:hi]]
+        flat = np.concatenate(docs)
+        held = Csr(np.concatenate([[0], np.cumsum(list(map(len, docs)))]), flat, np.ones(len(flat), np.int64), len(whole))
+        for _, columns, _ in held.products(p):
+            in_docs += np.bincount(columns, minlength=len(pairs))
+        shown = [hashlib.sha256(";".join(map(named.__getitem__, d.tolist())).encode()).hexdigest() if len(d) else ""
+                 for d in docs]
         yield _emit(schema, hi - lo, block=pa.array([number] * (hi - lo), pa.int64()),
                     doc_id=pa.array(block.ids[lo:hi], schema.field("doc_id").type),
-                    groups_sha256=pa.array(shown[lo:hi]), pieces=_lists(docs[lo:hi], pa.int32()),
-                    **{name: pa.array(sums[name][lo:hi]) for name in _STATS})
+                    groups_sha256=pa.array(shown), pieces=_lists(docs, pa.int32()),
+                    **{name: pa.array(held.times(of)) for name, of in zip(_STATS, stats, strict=True)})
+        lo = hi
     for at in _slices(len(pairs)):
         yield _emit(schema, 1, block=pa.array([number], pa.int64()), pair=_lists([pairs[at]], pa.int64()),
                     n_docs=_lists([in_docs[at]], pa.int32()))
