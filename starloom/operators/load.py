@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom import schemas
 from starloom.operators.clean import resolve_departments, resolve_projects
-from starloom.operators.keys import assign_dense_keys, next_key_base
+from starloom.operators.keys import assign_dense_keys, largest_key, next_key_base
 from starloom.operators.scd2 import intervals_from_changelog
 from starloom.sources.objects import numbers, put_if_absent, read_object
 from starloom.sources.tables import empty_frame
@@ -92,7 +93,8 @@ def upsert_dim_project(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def apply_role_changes(
-    history: DataFrame, employees: DataFrame, changes: DataFrame
+    history: DataFrame, employees: DataFrame, changes: DataFrame,
+    closed: DataFrame | None = None, last_history_id: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """role/salary changes -> ``(history, employees, rejected)``.
 
@@ -105,10 +107,16 @@ def apply_role_changes(
     where no version is open, on or before the last day of the closed ones.
     Closed versions, and rows whose flag is NULL, are not touched.  Only
     employees with an accepted change get a new role and salary.
+
+    Rows in ``closed`` are versions that count for the checks but are not
+    returned (a store that keeps closed versions need not rewrite them).  New
+    versions are numbered after ``last_history_id`` (default: the largest in
+    ``history``, which must then hold all versions).
     """
     is_open = F.coalesce(F.col("is_current"), F.lit(False))
     open_rows = history.where(is_open)
-    state = history.groupBy("employee_id").agg(
+    seen = history if closed is None else history.unionByName(closed)
+    state = seen.groupBy("employee_id").agg(
         F.max(F.when(is_open, F.col("effective_start"))).alias("_open_start"),
         F.max(F.coalesce("effective_end", "effective_start")).alias("_last_day"),
     )
@@ -145,7 +153,7 @@ def apply_role_changes(
         recut.where(F.col("history_id").isNull()).drop("history_id"),
         ["employee_id", "effective_start"],
         "history_id",
-        next_key_base(history, "history_id"),
+        next_key_base(history, "history_id") if last_history_id is None else last_history_id,
         spread=True,  # one employee may bring many changes
     )
     columns = list(history.columns)
@@ -271,16 +279,76 @@ def onboard(
     }
 
 
+#: Manifest entry: the largest history_id given so far, in open or closed versions.
+LAST_HISTORY_ID = "employee_history.last_key"
+
+
+def write_operational(
+    spark: SparkSession, root: str, tables: dict[str, DataFrame], run: int, last_history_id: int = 0
+) -> dict[str, int]:
+    """Write tables as version ``run`` without publishing; the entries to publish.
+
+    Versions of ``employee_history`` are stored as those of a Type 2 dimension:
+    open ones anew each run, closed ones once.  The largest ``history_id`` goes
+    into the manifest, so ids are never given twice, whatever is deleted.
+    """
+    entries = dict.fromkeys(tables, run)
+    for name, df in tables.items():
+        if name in SCD2_TABLES:
+            write_scd2_unpublished(df, root, name, run)
+        else:
+            write_unpublished(df, root, name, run)
+    if "employee_history" in tables:
+        written = [_read_stored(spark, [f"{root}/employee_history/{part}"], schemas.EMPLOYEE_HISTORY)
+                   for part in (f"current/v{run:06d}", f"closed/run={run}")]
+        entries[LAST_HISTORY_ID] = max(last_history_id, *(largest_key(w, "history_id") for w in written))
+    return entries
+
+
 def publish_onboarding(
     spark: SparkSession, root: str, batch: dict[str, DataFrame], tables: dict[str, DataFrame]
 ) -> int:
-    """L8 durably: the three tables with the batch's rows appended, published together."""
-    run = claim_run(spark, root)
-    names = ("employees", "employee_history", "assignments")
-    for name in names:
-        grown = tables[name].unionByName(batch[name].select(*tables[name].columns))
-        write_unpublished(grown, root, name, run)
-    publish(spark, root, dict.fromkeys(names, run))
+    """L8 durably: the three tables with the batch's rows appended, published together.
+
+    Of a published ``employee_history`` only the open versions are read and
+    written again.
+    """
+    run, before = claim_run(spark, root), current_versions(spark, root)
+    grown = {}
+    for name in ("employees", "employee_history", "assignments"):
+        base = tables[name]
+        if name in SCD2_TABLES and name in before:
+            base = read_scd2_version(spark, root, name, before[name], base.schema, current_only=True)
+        grown[name] = base.unionByName(batch[name].select(*base.columns))
+    publish(spark, root, write_operational(spark, root, grown, run, before.get(LAST_HISTORY_ID, 0)), based_on=before)
+    return run
+
+
+def publish_role_changes(spark: SparkSession, root: str, changes: DataFrame) -> int:
+    """L11 durably: changes of role and salary on the published operational tables.
+
+    Reads the published ``employees`` and the open versions of
+    ``employee_history`` (of the closed ones only those of employees the changes
+    name, for the checks), applies ``apply_role_changes`` and publishes both
+    tables and ``role_change_rejects`` together: readers see all of a batch or
+    nothing.  Closed versions are written once and never again.  New versions
+    are numbered after the largest ``history_id`` ever published.  Raises
+    ``PublishConflict`` if another run has published one of the tables meanwhile.
+    """
+    run, before = claim_run(spark, root), current_versions(spark, root)
+    if "employee_history" not in before or "employees" not in before:
+        raise ValueError(f"no published employees and employee_history in {root}")
+    schema, version = schemas.EMPLOYEE_HISTORY, before["employee_history"]
+    current = read_scd2_version(spark, root, "employee_history", version, schema, current_only=True)
+    closed = read_scd2_version(spark, root, "employee_history", version, schema, closed_only=True).join(
+        changes.select("employee_id").distinct(), "employee_id", "left_semi").select(schema.fieldNames())
+    employees = read_published(spark, root, "employees", schemas.EMPLOYEES, before)
+    last = before.get(LAST_HISTORY_ID)
+    if last is None:
+        last = largest_key(read_version(spark, root, "employee_history", version, schema), "history_id")
+    history, staff, rejected = apply_role_changes(current, employees, changes, closed, last)
+    tables = {"employee_history": history, "employees": staff, "role_change_rejects": rejected}
+    publish(spark, root, write_operational(spark, root, tables, run, last), based_on=before)
     return run
 
 
@@ -444,12 +512,12 @@ def write_snapshot_unpublished(
 # (``closed/run=N``) and only the current rows are rewritten per run.
 # --------------------------------------------------------------------------
 
-SCD2_TABLES = {"dim_employee"}
+SCD2_TABLES = {"dim_employee", "employee_history"}
 
 
 def read_scd2_version(
     spark: SparkSession, root: str, table: str, version: int, schema: T.StructType,
-    current_only: bool = False,
+    current_only: bool = False, closed_only: bool = False,
 ) -> DataFrame:
     """Version ``version``: its current rows plus the rows closed by it and by
     the published runs before it (a run that failed never counts)."""
@@ -458,7 +526,7 @@ def read_scd2_version(
         return current
     runs = {r for r in _newest(spark, root)[1]["closed"].get(table, []) if r < version}
     closed = _read_stored(spark, [f"{root}/{table}/closed/run={r}" for r in sorted(runs | {version})], schema)
-    return closed.unionByName(current)
+    return closed if closed_only else closed.unionByName(current)
 
 
 def write_scd2_unpublished(df: DataFrame, root: str, table: str, version: int) -> None:
@@ -517,21 +585,26 @@ def write_version(
 
 
 def load_oltp(tables: dict[str, DataFrame], root: str) -> DataFrame:
-    """Publish the operational tables, then report their rule violations.
+    """Publish the operational tables that keep the rules, the others' rows apart.
 
-    Parquet enforces no keys, so the order of the writes does not matter; the
-    returned report (lazy) lists what a database would have refused.
+    A row that breaks a rule (``quality.gate``) is not loaded; with its reasons
+    it goes to the table ``load_rejects``, published in the same manifest.  The
+    result is that table as stored.
     """
-    from starloom.operators.quality import quality_report
+    from starloom.operators.quality import gate
 
     spark = next(iter(tables.values())).sparkSession
-    versions = dict.fromkeys(tables, claim_run(spark, root))
-    written = {}
-    for name, df in tables.items():
-        write_unpublished(df, root, name, versions[name])
-        written[name] = read_version(spark, root, name, versions[name], df.schema)
-    publish(spark, root, versions)
-    return quality_report(written)
+    run, before = claim_run(spark, root), current_versions(spark, root)
+    entries: dict[str, int] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        entries.update(write_operational(spark, root, {name: df}, run, before.get(LAST_HISTORY_ID, 0)))
+        return read_version(spark, root, name, run, df.schema)
+
+    rejects = gate(tables, store)[1]
+    rejected = store("load_rejects", rejects)
+    publish(spark, root, entries, based_on=before)
+    return rejected
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

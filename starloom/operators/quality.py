@@ -2,14 +2,18 @@
 
 Each rule returns violation rows with one shape:
 ``rule, table_name, constraint_name, record_key, detail`` (all strings), so the
-rules of every table union into one report.  Row-level rules (NOT NULL,
-CHECK) are evaluated in a single pass per table; UNIQUE and one-current are
-partial aggregates; FOREIGN KEY is an anti join.
+rules of every table union into one report.  A table's NOT NULL, CHECK and
+UNIQUE rules are taken in one scan: each row is expanded into the rules it breaks
+and the keys it holds, and one aggregate counts them.  FOREIGN KEY takes the
+distinct references of all of a table's keys in one scan and one shuffle; only
+where some have no parent are the rows behind them looked up, and of those only
+rows that a Bloom filter of the orphaned references lets through are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +21,12 @@ from pyspark.sql import functions as F
 from starloom.schemas import RULES, TableRules
 
 VIOLATION_COLUMNS = ("rule", "table_name", "constraint_name", "record_key", "detail")
+ROW_RULES = ("not_null", "check")
+ONE_SCAN = (*ROW_RULES, "unique")
+
+#: Bits of the filter of orphaned references (128 KB); beyond some 100,000 of
+#: them it lets more rows through to the exact join.
+FILTER_BITS = 1 << 20
 
 
 def _record_key(cols: Sequence[str]) -> Column:
@@ -29,106 +39,154 @@ def _key_cols(table: str, rules: TableRules, df: DataFrame) -> list[str]:
     return [c for c in ("employee_key", "project_key", "date_key") if c in df.columns]
 
 
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _keys(table: str, rules: TableRules) -> list[tuple[str, tuple[str, ...]]]:
+    """``(constraint name, columns)`` of the primary key and the UNIQUE keys, in this order."""
+    primary = [(f"pk_{table}_{'_'.join(rules.primary_key)}", tuple(rules.primary_key))] if rules.primary_key else []
+    return primary + [(f"uq_{table}_{'_'.join(cols)}", tuple(cols)) for cols in rules.unique]
+
+
+def _all_present(cols: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in cols])
+
+
+def broken_row_rules(df: DataFrame, table: str, rules: TableRules, kinds: Sequence[str] = ROW_RULES) -> list[Column]:
+    """A struct ``(rule, constraint_name, detail)`` per NOT NULL and CHECK rule; NULL where the row keeps it.
+
+    A CHECK that is NULL passes, as in SQL.
+    """
+    def broken(test: Column, rule: str, name: str, detail: str | None) -> Column:
+        return F.when(test, F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("constraint_name"),
+                                     F.lit(detail).cast("string").alias("detail")))
+
+    out = []
+    if "not_null" in kinds:
+        out += [broken(F.col(c).isNull(), "not_null", f"nn_{table}_{c}", c) for c in rules.not_null if c in df.columns]
+    if "check" in kinds:
+        out += [broken(~F.expr(expr), "check", name, None) for name, expr in rules.checks]
+    return out
+
+
+def table_violations(df: DataFrame, table: str, rules: TableRules | None = None,
+                     kinds: Sequence[str] = ONE_SCAN) -> DataFrame:
+    """Q1, Q2, Q4: the NOT NULL, CHECK and UNIQUE rules of one table, in one scan.
+
+    One row per record and broken NOT NULL or CHECK rule, and one per key value
+    that more than one row holds (NULLs never collide).  Without UNIQUE among
+    ``kinds`` nothing is shuffled.
+    """
+    rules = rules or RULES[table]
+    key = _record_key(_key_cols(table, rules, df))
+    items = [F.when(hit.isNotNull(), F.struct(hit["rule"].alias("rule"), hit["constraint_name"].alias("constraint_name"),
+                                              key.alias("record_key"), hit["detail"].alias("detail"),
+                                              F.lit(None).cast("array<string>").alias("value")))
+             for hit in broken_row_rules(df, table, rules, kinds)]
+    keys = _keys(table, rules) if "unique" in kinds else []
+    for name, cols in keys:
+        value = F.array(*[F.col(c).cast("string") for c in cols])
+        items.append(F.when(_all_present(cols), F.struct(
+            F.lit("unique").alias("rule"), F.lit(name).alias("constraint_name"), _record_key(cols).alias("record_key"),
+            F.lit(None).cast("string").alias("detail"), value.alias("value"))))
+    if not items:
+        return _empty(df)
+    found = df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("v")).select("v.*")
+    if keys:
+        found = found.groupBy("rule", "constraint_name", "record_key", "detail", "value").agg(
+            F.count(F.lit(1)).cast("int").alias("_n")).where((F.col("rule") != "unique") | (F.col("_n") > 1))
+        unique = F.col("rule") == "unique"
+        # a broken row rule counts once per row, also where records have one key
+        found = found.withColumn("detail", F.when(unique, F.col("_n").cast("string")).otherwise(F.col("detail")))
+        found = found.withColumn("_times", F.explode(F.array_repeat(F.lit(1), F.when(unique, 1).otherwise(F.col("_n")))))
+    return found.select("rule", F.lit(table).alias("table_name"), "constraint_name", "record_key", "detail")
+
+
 def not_null_violations(df: DataFrame, table: str, rules: TableRules | None = None) -> DataFrame:
     """Q1: one row per (record, NOT NULL column that is NULL)."""
-    rules = rules or RULES[table]
-    cols = [c for c in rules.not_null if c in df.columns]
-    key = _key_cols(table, rules, df)
-    any_null = F.lit(False)
-    for c in cols:
-        any_null = any_null | F.col(c).isNull()
-    hits = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in cols])
-    return (
-        df.where(any_null)
-        .select(_record_key(key).alias("record_key"), F.explode(hits).alias("detail"))
-        .where(F.col("detail").isNotNull())
-        .select(
-            F.lit("not_null").alias("rule"),
-            F.lit(table).alias("table_name"),
-            F.concat(F.lit(f"nn_{table}_"), F.col("detail")).alias("constraint_name"),
-            "record_key",
-            "detail",
-        )
-    )
+    return table_violations(df, table, rules, ("not_null",))
 
 
 def check_violations(df: DataFrame, table: str, rules: TableRules | None = None) -> DataFrame:
     """Q4: rows whose CHECK expression is FALSE (NULL passes, as in SQL)."""
-    rules = rules or RULES[table]
-    if not rules.checks:
-        return _empty(df)
-    key = _key_cols(table, rules, df)
-    failed = F.array(*[F.when(~F.expr(expr), F.lit(name)) for name, expr in rules.checks])
-    any_failed = F.lit(False)
-    for _, expr in rules.checks:
-        any_failed = any_failed | F.coalesce(~F.expr(expr), F.lit(False))
-    return (
-        df.where(any_failed)
-        .select(_record_key(key).alias("record_key"), F.explode(failed).alias("constraint_name"))
-        .where(F.col("constraint_name").isNotNull())
-        .select(
-            F.lit("check").alias("rule"),
-            F.lit(table).alias("table_name"),
-            "constraint_name",
-            "record_key",
-            F.lit(None).cast("string").alias("detail"),
-        )
-    )
+    return table_violations(df, table, rules, ("check",))
 
 
 def unique_violations(df: DataFrame, table: str, rules: TableRules | None = None) -> DataFrame:
     """Q2: key values held by more than one row (primary key and UNIQUE)."""
+    return table_violations(df, table, rules, ("unique",))
+
+
+def _references(rules: TableRules, table: str, parents: Mapping[str, DataFrame]) -> list[tuple[str, tuple, str, tuple]]:
+    return [(f"fk_{table}_{'_'.join(cols)}", tuple(cols), parent, tuple(parent_cols))
+            for cols, parent, parent_cols in rules.foreign_keys if parent in parents]
+
+
+def _value(cols: Sequence[str]) -> Column:
+    return F.array(*[F.col(c).cast("string") for c in cols])
+
+
+def orphaned_references(df: DataFrame, parents: Mapping[str, DataFrame], table: str,
+                        rules: TableRules | None = None) -> DataFrame:
+    """``(constraint_name, value)``: distinct non-NULL references of ``df`` without a parent row.
+
+    All of the table's foreign keys are taken in one scan; the references are
+    made distinct map-side, so their shuffle does not grow with copies.
+    """
     rules = rules or RULES[table]
-    keys = ([tuple(rules.primary_key)] if rules.primary_key else []) + list(rules.unique)
-    out = None
-    for cols in keys:
-        name = ("pk_" if cols == tuple(rules.primary_key) else "uq_") + table + "_" + "_".join(cols)
-        present = F.lit(True)
-        for c in cols:
-            present = present & F.col(c).isNotNull()
-        dup = (
-            df.where(present)  # NULLs never collide under UNIQUE
-            .groupBy(*cols)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1)
-            .select(
-                F.lit("unique").alias("rule"),
-                F.lit(table).alias("table_name"),
-                F.lit(name).alias("constraint_name"),
-                _record_key(list(cols)).alias("record_key"),
-                F.col("_n").cast("string").alias("detail"),
-            )
-        )
-        out = dup if out is None else out.unionByName(dup)
-    return out if out is not None else _empty(df)
+    keys = _references(rules, table, parents)
+    named = [F.when(_all_present(cols), F.struct(F.lit(name).alias("constraint_name"), _value(cols).alias("value")))
+             for name, cols, _, _ in keys]
+    held = df.select(F.explode(F.filter(F.array(*named), lambda x: x.isNotNull())).alias("r")).select("r.*").distinct()
+    known = _union([parents[parent].select(F.lit(name).alias("constraint_name"), _value(parent_cols).alias("value"))
+                    for name, _, parent, parent_cols in keys])
+    return held.join(known, ["constraint_name", "value"], "left_anti")
+
+
+def _places(constraint: Column, value: Column) -> list[Column]:
+    """The reference's bits in the filter."""
+    return [F.pmod(F.xxhash64(constraint, value, F.lit(seed)), F.lit(FILTER_BITS)) for seed in (1, 2)]
+
+
+def reference_filter(references: DataFrame) -> DataFrame:
+    """One row: the Bloom filter of ``(constraint_name, value)`` as an array of ``FILTER_BITS / 64`` words."""
+    spark = references.sparkSession
+    bits = references.select(F.explode(F.array(*_places(F.col("constraint_name"), F.col("value")))).alias("p"))
+    words = bits.select((F.expr("p div 64")).alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b"))
+    words = words.unionByName(spark.range(FILTER_BITS // 64).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("b")))
+    words = words.groupBy("w").agg(F.bit_or("b").alias("b"))  # as many rows as there are words
+    return words.agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "b"))), lambda x: x["b"]).alias("bits"))
 
 
 def foreign_key_violations(
     tables: Mapping[str, DataFrame], table: str, rules: TableRules | None = None
 ) -> DataFrame:
-    """Q3: child rows whose non-NULL reference has no parent row."""
+    """Q3: child rows whose non-NULL reference has no parent row, once per reference.
+
+    The rows are looked up by their orphaned references: a row that the filter
+    of these lets through is a suspect, and suspects alone are shuffled.
+    """
     rules = rules or RULES[table]
     child = tables[table]
-    key = _key_cols(table, rules, child)
-    out = None
-    for cols, parent_name, parent_cols in rules.foreign_keys:
-        if parent_name not in tables:
-            continue
-        parent = tables[parent_name].select(
-            *[F.col(p).alias(c) for c, p in zip(cols, parent_cols)]
-        )
-        present = F.lit(True)
-        for c in cols:
-            present = present & F.col(c).isNotNull()
-        orphans = child.where(present).join(parent, list(cols), "left_anti").select(
-            F.lit("foreign_key").alias("rule"),
-            F.lit(table).alias("table_name"),
-            F.lit(f"fk_{table}_{'_'.join(cols)}").alias("constraint_name"),
-            _record_key(key).alias("record_key"),
-            _record_key(list(cols)).alias("detail"),
-        )
-        out = orphans if out is None else out.unionByName(orphans)
-    return out if out is not None else _empty(child)
+    keys = _references(rules, table, tables)
+    if not keys:
+        return _empty(child)
+    orphans = orphaned_references(child, tables, table, rules)
+    words = reference_filter(orphans).scalar()
+
+    def suspect(name: str, cols: Sequence[str]) -> Column:
+        tests = [F.getbit(F.get(words, F.floor(p / 64).cast("int")), (p % 64).cast("int")) == 1
+                 for p in _places(F.lit(name), _value(cols))]
+        return _all_present(cols) & reduce(Column.__and__, tests)
+
+    key = _record_key(_key_cols(table, rules, child))
+    items = [F.when(suspect(name, cols), F.struct(
+        F.lit(name).alias("constraint_name"), _value(cols).alias("value"), key.alias("record_key"),
+        _record_key(cols).alias("detail"))) for name, cols, _, _ in keys]
+    suspects = child.select(F.explode(F.array(*items)).alias("s")).where("s is not null").select("s.*")
+    return suspects.join(orphans, ["constraint_name", "value"], "left_semi").select(
+        F.lit("foreign_key").alias("rule"), F.lit(table).alias("table_name"), "constraint_name", "record_key", "detail")
 
 
 def one_current_violations(
@@ -162,21 +220,95 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every declared rule over every supplied table, as one DataFrame."""
     parts: list[DataFrame] = []
     for name, df in tables.items():
-        if name not in RULES:
-            continue
-        parts += [
-            not_null_violations(df, name),
-            check_violations(df, name),
-            unique_violations(df, name),
-            foreign_key_violations(tables, name),
-        ]
+        if name in RULES:
+            parts += [table_violations(df, name), foreign_key_violations(tables, name)]
     for name in ("employee_history", "dim_employee"):
         if name in tables:
             parts.append(one_current_violations(tables[name], name))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _union(parts)
+
+
+# --------------------------------------------------------------------------
+# the gate of a load (L7): rows that break a rule stay out, with their reasons
+# --------------------------------------------------------------------------
+
+REJECT_COLUMNS = ("table_name", "record_key", "constraint_names", "row_count", "record")
+
+
+def _rejected(df: DataFrame, table: str, key: Column, names: Column, copies: Column, columns: Sequence[str]) -> DataFrame:
+    return df.select(
+        F.lit(table).alias("table_name"), key.alias("record_key"), names.alias("constraint_names"),
+        copies.cast("long").alias("row_count"), F.to_json(F.struct(*columns)).alias("record"))
+
+
+def _one_per_key(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(kept, dropped)``: of rows with an equal, non-NULL key the smallest by all columns stays.
+
+    ``dropped`` has a column ``_n``: that many equal rows.  Only rows whose key
+    repeats are shuffled whole, equal ones as one row with a count.
+    """
+    columns = list(df.columns)
+    repeated = df.where(_all_present(cols)).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*cols)
+    crowd = df.join(repeated, list(cols), "left_semi").select(columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    first = crowd.groupBy(*[F.col(c).alias(f"_{c}") for c in cols]).agg(F.min(F.struct(*columns)).alias("_first"))
+    alone = df.join(repeated, list(cols), "left_anti").select(columns)
+    kept = alone.unionByName(first.select("_first.*"))
+    same = reduce(Column.__and__, [F.col(c) == F.col(f"_{c}") for c in cols])
+    ranked = crowd.join(first, same, "inner")
+    is_first = F.struct(*columns).eqNullSafe(F.col("_first"))
+    dropped = ranked.withColumn("_n", F.when(is_first, F.col("_n") - 1).otherwise(F.col("_n"))).where("_n > 0")
+    return kept, dropped.select(*columns, "_n")
+
+
+def gate(
+    tables: Mapping[str, DataFrame],
+    store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """``(accepted, rejects)``: each table's rows that keep its rules, and all others.
+
+    Tables are taken parents first, rules in the order in which a load would
+    meet them: NOT NULL and CHECK; then the primary key and each UNIQUE key in
+    turn (of rows with an equal key the smallest by all columns stays); then
+    FOREIGN KEY against the accepted parents.  A rejected row is listed once,
+    with the names of all rules it breaks at the first of these steps, and
+    ``row_count`` equal rows; ``record`` is the row as JSON.  Rows must have
+    comparable columns.  ``store`` may write each accepted table and return it
+    as read back, which cuts the lineage of those that refer to it.
+    """
+    accepted: dict[str, DataFrame] = {}
+    rejects: list[DataFrame] = []
+    for table in sorted(tables, key=_depth):
+        df, rules = tables[table], RULES[table]
+        columns, key = list(df.columns), _record_key(_key_cols(table, rules, df))
+        hits = F.transform(F.filter(F.array(*broken_row_rules(df, table, rules)), lambda x: x.isNotNull()),
+                           lambda x: x["constraint_name"])
+        marked = df.withColumn("_broken", F.array_join(F.sort_array(hits), ","))
+        broken = marked.where("_broken <> ''")
+        rejects.append(_rejected(broken, table, key, F.col("_broken"), F.lit(1), columns))
+        good = marked.where("_broken = ''").select(columns)
+        for name, cols in _keys(table, rules):
+            good, dropped = _one_per_key(good, cols)
+            rejects.append(_rejected(dropped, table, key, F.lit(name), F.col("_n"), columns))
+        keys = _references(rules, table, accepted)
+        if keys:
+            orphans = orphaned_references(good, accepted, table, rules)
+            lost = [orphans.where(F.col("constraint_name") == name).select(
+                *[F.col("value")[i].alias(f"_{c}") for i, c in enumerate(cols)], F.lit(name).alias(f"_lost{k}"))
+                for k, (name, cols, _, _) in enumerate(keys)]
+            for (_, cols, _, _), refs in zip(keys, lost, strict=True):
+                same = reduce(Column.__and__, [F.col(c).cast("string") == F.col(f"_{c}") for c in cols])
+                good = good.join(refs, same, "left").drop(*[f"_{c}" for c in cols])
+            names = F.array_join(F.sort_array(F.array_compact(F.array(*[F.col(f"_lost{k}") for k in range(len(keys))]))), ",")
+            good = good.withColumn("_broken", names)
+            rejects.append(_rejected(good.where("_broken <> ''"), table, key, F.col("_broken"), F.lit(1), columns))
+            good = good.where("_broken = ''").select(columns)
+        accepted[table] = store(table, good)
+    return accepted, _union(rejects)
+
+
+def _depth(table: str) -> int:
+    """Length of the longest chain of references above a table."""
+    return max([0, *(1 + _depth(parent) for _, parent, _ in RULES[table].foreign_keys)])
 
 
 def _empty(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom import schemas
 from starloom.operators import quality
 from starloom.operators.clean import (
     clean_raw_snapshot,
@@ -34,18 +35,23 @@ from starloom.operators.fact import (
 )
 from starloom.operators.load import (
     apply_role_changes,
+    claim_run,
     new_dates,
     new_departments,
     onboard,
     publish,
+    publish_role_changes,
+    read_published,
     table_counts,
     upsert_dim_project,
+    write_operational,
     write_scd2_unpublished,
 )
 from starloom.operators.scd2 import interval_violations, scd2_changes, versions_of
 from starloom.plans import reports
 from starloom.plans.etl import run_etl, warehouse_tables
 from starloom.plans.warehouse import Warehouse, build_warehouse
+from starloom.sources.breaks import with_broken_rules
 from starloom.sources.staging import AS_OF, DIM_CUTOFF, OLTP, PREVIOUS_DATES_BEFORE, Staging
 from starloom.sources.tables import TableSource, employees_with_department
 
@@ -114,6 +120,23 @@ class Scenario:
         return {**self.oltp(), **self.olap()}
 
 
+def _changed_store(s: Scenario) -> str:
+    """A folder in which the staged tables were published and then changed, once per session."""
+    root = f"{s.st.store_root}/changed"
+    key = (s.spark.sparkContext.applicationId, root)
+    with _LOCK:
+        if key not in _PUBLISHED:
+            start = {"employees": s.st["employees"], "employee_history": s.st["history_before_changes"]}
+            publish(s.spark, root, write_operational(s.spark, root, start, claim_run(s.spark, root)))
+            publish_role_changes(s.spark, root, s.st["dirty_role_changes"])
+            _PUBLISHED[key] = {}
+    return root
+
+
+def _changed(s: Scenario, name: str, schema=None) -> DataFrame:
+    return read_published(s.spark, _changed_store(s), name, schema or schemas.SCHEMAS[name])
+
+
 class _LazyTables(dict):
     """Mapping of staged operational tables, each built on first access."""
 
@@ -127,8 +150,13 @@ class _LazyTables(dict):
         return value
 
 
-def _rule_union(s: Scenario, fn) -> DataFrame:
-    tables = s.all_tables()
+def _broken(s: Scenario) -> dict[str, DataFrame]:
+    """All tables with rows that break each rule."""
+    return {name: with_broken_rules(df, name) for name, df in s.all_tables().items()}
+
+
+def _rule_union(s: Scenario, fn, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    tables = s.all_tables() if tables is None else tables
     parts = [fn(tables, name) for name in tables]
     out = parts[0]
     for p in parts[1:]:
@@ -234,6 +262,11 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
         s.st["history_before_changes"], s.st["employees"], s.st["role_changes"]
     )[0].select("employee_id", "role", "salary", "effective_start", "effective_end", "is_current"),
     "role_change_rejects": lambda s: _role_changes(s)[2],
+    # the same batch of changes stored: what readers of the published tables see
+    "role_changes_published": lambda s: _changed(s, "employee_history").select(
+        "employee_id", "role", "salary", "effective_start", "effective_end", "is_current"),
+    "role_changes_published_employees": lambda s: _changed(s, "employees"),
+    "role_changes_published_rejects": lambda s: _changed(s, "role_change_rejects", schemas.ROLE_CHANGE_REJECTS),
     "role_change_employees": lambda s: _role_changes(s)[1].select(
         "employee_id", "current_role", "current_salary"),
     "onboard_employees": lambda s: _onboard(s)["employees"],
@@ -290,6 +323,12 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     "dq_unique": lambda s: _rule_union(s, lambda t, n: quality.unique_violations(t[n], n)),
     "dq_foreign_key": lambda s: _rule_union(s, quality.foreign_key_violations),
     "dq_check": lambda s: _rule_union(s, lambda t, n: quality.check_violations(t[n], n)),
+    # the same rules where each of them is broken by some rows
+    "dq_not_null_broken": lambda s: _rule_union(s, lambda t, n: quality.not_null_violations(t[n], n), _broken(s)),
+    "dq_unique_broken": lambda s: _rule_union(s, lambda t, n: quality.unique_violations(t[n], n), _broken(s)),
+    "dq_check_broken": lambda s: _rule_union(s, lambda t, n: quality.check_violations(t[n], n), _broken(s)),
+    "dq_foreign_key_broken": lambda s: _rule_union(s, quality.foreign_key_violations, _broken(s)),
+    "load_rejects": lambda s: quality.gate({t: with_broken_rules(s.st[t], t) for t in OLTP})[1].drop("record"),
     "dq_one_current": lambda s: quality.one_current_violations(
         s.st["employee_history"], "employee_history"
     ).unionByName(

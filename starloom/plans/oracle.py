@@ -9,8 +9,11 @@ DECIMAL, an exact half-up integer form is used instead.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from starloom.operators.keys import BUCKET_DIGITS
-from starloom.schemas import RULES
+from starloom.schemas import RULES, SCHEMAS
+from starloom.sources.breaks import broken_columns
 from starloom.sources.staging import DIM_CUTOFF
 
 
@@ -317,30 +320,69 @@ def _key_expr(table: str) -> str:
     return "concat_ws('|', " + ", ".join(f"cast({c} as varchar)" for c in cols) + ")"
 
 
-def _dq_not_null() -> str:
+def _broken_tables(tables: Sequence[str] = ALL_TABLES) -> str:
+    """The tables with their rules broken, as CTEs ``broken_<table>``."""
+    return "".join(f",\nbroken_{t} as (select {', '.join(f'{sql} as {c}' for c, sql in broken_columns(t))} from {t})"
+                   for t in tables) + "\n"
+
+
+def _gate_sql() -> str:
+    """Rejects of the gated load of the broken operational tables."""
+    ctes, parts = "", []
+    for t in ("departments", "projects", "employees", "assignments", "employee_history"):
+        rules, columns = RULES[t], ", ".join(f.name for f in SCHEMAS[t].fields)
+        tests = sorted([(f"nn_{t}_{c}", f"{c} is null") for c in rules.not_null]
+                       + [(name, f"not ({expr})") for name, expr in rules.checks])
+        names = "concat_ws(',', " + ", ".join(f"case when {test} then '{name}' end" for name, test in tests) + ")"
+        ctes += f",\nmarked_{t} as (select *, {names} as why from broken_{t})"
+        steps = [(f"marked_{t}", "why")]
+        good = f"(select {columns} from marked_{t} where why = '')"
+        keys = [("pk", rules.primary_key)] + [("uq", cols) for cols in rules.unique]
+        for k, (kind, cols) in enumerate(keys):
+            key = ", ".join(cols)
+            ctes += (f",\nkeyed_{t}_{k} as (select *, case when row_number() over (partition by {key} order by "
+                     + ", ".join(f"{f.name} nulls first" for f in SCHEMAS[t].fields)
+                     + f") > 1 then '{kind}_{t}_{'_'.join(cols)}' else '' end as why from {good})")
+            steps.append((f"keyed_{t}_{k}", "why"))
+            good = f"(select {columns} from keyed_{t}_{k} where why = '')"
+        lost = ", ".join(
+            f"case when not exists (select 1 from loaded_{parent} p where p.{pc[0]} = g.{cols[0]}) "
+            f"then 'fk_{t}_{cols[0]}' end" for cols, parent, pc in sorted(rules.foreign_keys))
+        if lost:
+            ctes += f",\nlinked_{t} as (select *, concat_ws(',', {lost}) as why from {good} g)"
+            steps.append((f"linked_{t}", "why"))
+            good = f"(select {columns} from linked_{t} where why = '')"
+        ctes += f",\nloaded_{t} as (select * from {good} g)"
+        parts += [f"select '{t}' as table_name, {_key_expr(t)} as record_key, why as constraint_names, count(*) as row_count "
+                  f"from {step} where why <> '' group by why, {columns}" for step, _ in steps]
+    return _broken_tables(("departments", "projects", "employees", "assignments", "employee_history")) + ctes.lstrip() + \
+        "\n" + "\nunion all\n".join(parts)
+
+
+def _dq_not_null(of: str = "") -> str:
     parts = []
     for t in ALL_TABLES:
         for c in RULES[t].not_null:
             parts.append(
                 f"select 'not_null' as rule, '{t}' as table_name, 'nn_{t}_{c}' as constraint_name, "
-                f"{_key_expr(t)} as record_key, '{c}' as detail from {t} where {c} is null"
+                f"{_key_expr(t)} as record_key, '{c}' as detail from {of}{t} where {c} is null"
             )
     return "\nunion all\n".join(parts)
 
 
-def _dq_check() -> str:
+def _dq_check(of: str = "") -> str:
     parts = []
     for t in ALL_TABLES:
         for name, expr in RULES[t].checks:
             parts.append(
                 f"select 'check' as rule, '{t}' as table_name, '{name}' as constraint_name, "
                 f"{_key_expr(t)} as record_key, cast(null as varchar) as detail "
-                f"from {t} where not ({expr})"
+                f"from {of}{t} where not ({expr})"
             )
     return "\nunion all\n".join(parts)
 
 
-def _dq_unique() -> str:
+def _dq_unique(of: str = "") -> str:
     parts = []
     for t in ALL_TABLES:
         rules = RULES[t]
@@ -351,13 +393,13 @@ def _dq_unique() -> str:
             nn = " and ".join(f"{c} is not null" for c in cols)
             parts.append(
                 f"select 'unique' as rule, '{t}' as table_name, '{name}' as constraint_name, "
-                f"{kexpr} as record_key, cast(count(*) as varchar) as detail from {t} "
+                f"{kexpr} as record_key, cast(count(*) as varchar) as detail from {of}{t} "
                 f"where {nn} group by {', '.join(cols)} having count(*) > 1"
             )
     return "\nunion all\n".join(parts)
 
 
-def _dq_foreign_key() -> str:
+def _dq_foreign_key(of: str = "") -> str:
     parts = []
     for t in ALL_TABLES:
         for cols, parent, pcols in RULES[t].foreign_keys:
@@ -369,8 +411,8 @@ def _dq_foreign_key() -> str:
             parts.append(
                 f"select 'foreign_key' as rule, '{t}' as table_name, "
                 f"'fk_{t}_{'_'.join(cols)}' as constraint_name, {kexpr} as record_key, "
-                f"{fk} as detail from {t} c where {nn} "
-                f"and not exists (select 1 from {parent} p where {match})"
+                f"{fk} as detail from {of}{t} c where {nn} "
+                f"and not exists (select 1 from {of}{parent} p where {match})"
             )
     return "\nunion all\n".join(parts)
 
@@ -516,6 +558,19 @@ select change_id, employee_id, effective_start, reason from judged where reason
     "role_change_employees": _ROLE_CHANGES + """
 select e.employee_id, coalesce(n.role, e.current_role) as current_role,
        coalesce(n.salary, e.current_salary) as current_salary
+from employees e left join (
+  select employee_id, role, salary from judged where reason is null
+  qualify row_number() over (partition by employee_id order by effective_start desc, change_id desc) = 1) n
+  on n.employee_id = e.employee_id""",
+    "role_changes_published": """
+select employee_id, role, salary, effective_start, effective_end, is_current
+from employee_history""",
+    "role_changes_published_rejects": _ROLE_CHANGES + """
+select change_id, employee_id, effective_start, reason from judged where reason is not null""",
+    "role_changes_published_employees": _ROLE_CHANGES + """
+select e.employee_id, e.name, e.email, e.dept_id, e.hire_date,
+       coalesce(n.salary, e.current_salary) as current_salary,
+       coalesce(n.role, e.current_role) as current_role, e.status
 from employees e left join (
   select employee_id, role, salary from judged where reason is null
   qualify row_number() over (partition by employee_id order by effective_start desc, change_id desc) = 1) n
@@ -632,6 +687,11 @@ from assignments group by employee_id having sum(allocation_pct) > 100""",
     "dq_unique": _dq_unique(),
     "dq_foreign_key": _dq_foreign_key(),
     "dq_check": _dq_check(),
+    "dq_not_null_broken": _broken_tables() + _dq_not_null("broken_"),
+    "dq_unique_broken": _broken_tables() + _dq_unique("broken_"),
+    "dq_check_broken": _broken_tables() + _dq_check("broken_"),
+    "dq_foreign_key_broken": _broken_tables() + _dq_foreign_key("broken_"),
+    "load_rejects": _gate_sql(),
     "dq_one_current": _one_current("employee_history") + "\nunion all\n" + _one_current("dim_employee"),
     "table_counts": "\nunion all\n".join(
         f"select '{t}' as table_name, count(*) as row_count from {t}" for t in ALL_TABLES

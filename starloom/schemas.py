@@ -159,6 +159,13 @@ DIM_PROJECT_CHANGES = _schema(
     ("action", STR, False),
 )
 
+ROLE_CHANGE_REJECTS = _schema(
+    ("change_id", LONG, True),
+    ("employee_id", LONG, True),
+    ("effective_start", DATE, True),
+    ("reason", STR, True),
+)
+
 FACT_COLUMNS = tuple(f.name for f in FACT_EMPLOYEE_PERFORMANCE.fields)
 
 SCHEMAS: dict[str, T.StructType] = {

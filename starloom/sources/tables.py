@@ -50,6 +50,8 @@ class TableSource:
     error.  ``partitioning`` maps a table to ``(column, lower, upper, n)`` so
     the JDBC read is split into ``n`` parallel range queries; every table but
     ``SMALL_TABLES`` must have an entry.
+    ``kind="published"``: the tables that ``operators.load`` has published in
+    ``root`` (onboarding, role changes, gated loads), at their newest versions.
     """
 
     kind: str = "parquet"
@@ -124,6 +126,10 @@ def read_table(spark: SparkSession, source: TableSource, name: str) -> DataFrame
         if not source.root:
             raise ValueError("parquet source needs a root folder")
         df = spark.read.parquet(f"{source.root}/{name}{source.suffix}")
+    elif source.kind == "published":
+        from starloom.operators.load import read_published
+
+        return read_published(spark, source.root, name, schema)
     else:
         raise ValueError(f"unknown source kind {source.kind!r}")
     if schema is None:

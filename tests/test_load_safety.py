@@ -9,8 +9,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from starloom import schemas
+from starloom.operators import load
 from starloom.operators.keys import largest_key
 from starloom.operators.load import (
+    LAST_HISTORY_ID,
     PublishConflict,
     apply_role_changes,
     claim_run,
@@ -18,15 +20,17 @@ from starloom.operators.load import (
     onboard,
     publish,
     publish_onboarding,
+    publish_role_changes,
     read_published,
     rows_not_in,
+    write_operational,
     write_scd2_unpublished,
     write_unpublished,
 )
 from starloom.operators.scd2 import apply_scd2, scd2_changes
 from starloom.session import checkpoint_dir
 from starloom.sources.objects import numbers, put_if_absent, read_object
-from starloom.sources.tables import TableSource, empty_frame
+from starloom.sources.tables import TableSource, empty_frame, read_table
 
 D = dt.date
 DIM = schemas.DIM_EMPLOYEE
@@ -232,6 +236,84 @@ def test_onboarding_publishes_its_three_tables_together(spark, tmpdir_path):
     assert (row["history_id"], row["employee_id"], row["is_current"]) == (1, 5, True)
 
 
+def _stored_history(spark, root):
+    money = schemas.SALARY
+    history = spark.createDataFrame(
+        [(1, 10, "Dev", 1, D(2019, 1, 1), D(2019, 12, 31), False), (2, 10, "Lead", 2, D(2020, 1, 1), None, True),
+         (3, 11, "Dev", 1, D(2020, 1, 1), None, True), (9, 12, "Old", 1, D(2018, 1, 1), D(2019, 1, 1), False)],
+        "history_id long, employee_id long, role string, salary int, effective_start date, "
+        "effective_end date, is_current boolean").withColumn("salary", F.col("salary").cast(money))
+    staff = spark.createDataFrame(
+        [(i, f"N{i}", f"{i}@x", 1, D(2018, 1, 1), 1, "Dev", "Active") for i in (10, 11, 12)],
+        "employee_id long, name string, email string, dept_id int, hire_date date, current_salary int, "
+        "current_role string, status string").withColumn("current_salary", F.col("current_salary").cast(money))
+    run = claim_run(spark, root)
+    publish(spark, root, write_operational(spark, root, {"employees": staff, "employee_history": history}, run))
+
+
+def _changes(spark, *rows):
+    return spark.createDataFrame(rows, "change_id long, employee_id long, role string, salary int, "
+                                       "effective_start date").withColumn("salary", F.col("salary").cast(schemas.SALARY))
+
+
+def _history(spark, root):
+    rows = read_published(spark, root, "employee_history", schemas.EMPLOYEE_HISTORY).collect()
+    return sorted((r["history_id"], r["employee_id"], r["role"], r["effective_start"], r["effective_end"],
+                   r["is_current"]) for r in rows)
+
+
+def test_role_changes_are_stored_together_or_not_at_all(spark, tmpdir_path, monkeypatch):
+    _stored_history(spark, tmpdir_path)
+    before = _history(spark, tmpdir_path)
+    changes = _changes(spark, (1, 10, "Boss", 5, D(2021, 1, 1)), (2, 12, "Back", 3, D(2018, 6, 1)),
+                       (3, 12, "Back", 3, D(2022, 1, 1)))
+    with monkeypatch.context() as broken:
+        def lost(*_, **__):
+            raise RuntimeError("the driver died")
+
+        broken.setattr(load, "publish", lost)
+        with pytest.raises(RuntimeError, match="died"):
+            publish_role_changes(spark, tmpdir_path, changes)
+    assert _history(spark, tmpdir_path) == before  # all was written, nothing is seen
+    run = publish_role_changes(spark, tmpdir_path, changes)
+    after = _history(spark, tmpdir_path)
+    assert [r[:1] + r[1:] for r in after if r[0] <= 9 and r[0] != 2] == [r for r in before if r[0] != 2]
+    assert after[1] == (2, 10, "Lead", D(2020, 1, 1), D(2020, 12, 31), False)
+    assert {r[0] for r in after[-2:]} == {10, 11} and all(r[5] for r in after[-2:])
+    staff = read_published(spark, tmpdir_path, "employees", schemas.EMPLOYEES).collect()
+    assert {r["employee_id"]: r["current_role"] for r in staff} == {10: "Boss", 11: "Dev", 12: "Back"}
+    rejects = read_published(spark, tmpdir_path, "role_change_rejects", schemas.ROLE_CHANGE_REJECTS).collect()
+    assert [r["change_id"] for r in rejects] == [2]
+    # closed versions are stored once: this run's folder holds only the one that it closed
+    assert spark.read.parquet(f"{tmpdir_path}/employee_history/closed/run={run}").count() == 1
+
+
+def test_history_ids_are_never_given_twice(spark, tmpdir_path):
+    _stored_history(spark, tmpdir_path)
+    publish_role_changes(spark, tmpdir_path, _changes(spark, (1, 10, "A", 5, D(2021, 1, 1))))
+    assert current_versions(spark, tmpdir_path)[LAST_HISTORY_ID] == 10
+    # the newest version is deleted; its id is not used again
+    kept = read_published(spark, tmpdir_path, "employee_history", schemas.EMPLOYEE_HISTORY).where("history_id <> 10")
+    base, run = current_versions(spark, tmpdir_path), claim_run(spark, tmpdir_path)
+    write_scd2_unpublished(kept.where("is_current"), tmpdir_path, "employee_history", run)
+    publish(spark, tmpdir_path, {"employee_history": run}, based_on=base)
+    publish_role_changes(spark, tmpdir_path, _changes(spark, (2, 11, "B", 5, D(2021, 1, 1))))
+    assert max(r[0] for r in _history(spark, tmpdir_path)) == 11
+
+
+def test_onboarding_reads_and_writes_open_versions_only(spark, tmpdir_path):
+    _stored_history(spark, tmpdir_path)
+    batch, tables = _onboarding(spark)
+    stored = {"employees": read_published(spark, tmpdir_path, "employees", schemas.EMPLOYEES),
+              "employee_history": read_published(spark, tmpdir_path, "employee_history", schemas.EMPLOYEE_HISTORY),
+              "assignments": tables["assignments"]}
+    count = stored["employee_history"].count()
+    publish_onboarding(spark, tmpdir_path, batch, stored)
+    assert len(_history(spark, tmpdir_path)) == count + batch["employee_history"].count()
+    source = TableSource(kind="published", root=tmpdir_path)
+    assert read_table(spark, source, "employee_history").count() == count + 1
+
+
 def test_shared_folder_is_demanded_unless_local():
     class Context:
         master = "spark://host:7077"

@@ -2,14 +2,17 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators import quality
 from starloom.operators.dims import build_dim_department
-from starloom.operators.load import load_oltp
+from starloom.operators.load import current_versions, load_oltp
 from starloom.plans import reports
 from starloom.plans.catalog import queries
+from starloom.schemas import RULES, SCHEMAS
 from starloom.sources.csv import read_attrition_csv, read_raw_snapshot
 from starloom.sources.tables import TableSource, register_database, run_sql
 
@@ -82,19 +85,62 @@ def test_display_order(spark):
     assert got == [("a", 3), ("b", 1), ("b", 2)]
 
 
-def test_load_oltp_publishes_and_reports(spark, tmpdir_path):
-    deps = spark.createDataFrame([(1, "Sales")], "dept_id int, dept_name string")
+def test_load_oltp_keeps_broken_rows_out(spark, tmpdir_path):
+    deps = spark.createDataFrame([(1, "Sales"), (1, "Sales"), (2, None)], "dept_id int, dept_name string")
     emps = spark.createDataFrame(
         [(1, "Ann", "a@x", 1, dt.date(2020, 1, 1), 10.0, "Rep", "Active"),
-         (2, "Bo", "a@x", 9, dt.date(2020, 1, 1), 10.0, "Rep", "Gone")],
+         (2, "Bo", "a@x", 1, dt.date(2020, 1, 1), 10.0, "Rep", "Active"),
+         (3, "Cy", "c@x", 9, dt.date(2020, 1, 1), 10.0, "Rep", "Active"),
+         (4, None, "d@x", 1, dt.date(2020, 1, 1), 10.0, "Rep", "Gone"),
+         (5, "Di", "e@x", 2, dt.date(2020, 1, 1), 10.0, "Rep", "Active")],
         "employee_id long, name string, email string, dept_id int, hire_date date, "
         "current_salary double, current_role string, status string",
     )
-    report = load_oltp({"departments": deps, "employees": emps}, tmpdir_path)
-    got = sorted((r["rule"], r["constraint_name"]) for r in report.collect())
-    assert got == [("check", "chk_employees_status"), ("foreign_key", "fk_employees_dept_id"),
-                   ("unique", "uq_employees_email")]
-    assert spark.read.parquet(f"{tmpdir_path}/employees/v000001").count() == 2
+    rejects = load_oltp({"employees": emps, "departments": deps}, tmpdir_path)
+    got = sorted((r["table_name"], r["record_key"], r["constraint_names"], r["row_count"]) for r in rejects.collect())
+    assert got == [
+        ("departments", "1", "pk_departments_dept_id", 1), ("departments", "2", "nn_departments_dept_name", 1),
+        ("employees", "2", "uq_employees_email", 1), ("employees", "3", "fk_employees_dept_id", 1),
+        ("employees", "4", "chk_employees_status,nn_employees_name", 1),
+        ("employees", "5", "fk_employees_dept_id", 1)]  # its department was not loaded
+    versions = current_versions(spark, tmpdir_path)
+    assert versions == {"departments": 1, "employees": 1, "load_rejects": 1}
+    assert [r["employee_id"] for r in spark.read.parquet(f"{tmpdir_path}/employees/v000001").collect()] == [1]
+    assert '"status":"Gone"' in rejects.where("record_key = '4'").first()["record"]
+
+
+def test_every_rule_fires_on_the_broken_tables(spark):
+    from starloom.plans.catalog import Scenario, _broken
+
+    tables = _broken(Scenario(spark, SF))
+    fired = {r["constraint_name"] for r in quality.quality_report(tables).select("constraint_name").distinct().collect()}
+    for table, rules in RULES.items():
+        for c in rules.not_null:
+            assert f"nn_{table}_{c}" in fired
+        for name, _ in rules.checks:
+            assert name in fired
+        for name, _ in quality._keys(table, rules):
+            assert name in fired
+        for cols, _, _ in rules.foreign_keys:
+            assert f"fk_{table}_{cols[0]}" in fired
+    assert sum(len(r.foreign_keys) for r in RULES.values()) == 8
+
+
+def _scans(df):
+    return len(re.findall(r"\n\(\d+\) Scan ", df._sc._jvm.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "formatted")))
+
+
+def test_one_scan_takes_all_rules_of_a_table(spark, tmpdir_path):
+    emps = spark.createDataFrame([], SCHEMAS["employees"])
+    emps.write.parquet(f"{tmpdir_path}/employees")
+    stored = spark.read.parquet(f"{tmpdir_path}/employees")
+    report = quality.table_violations(stored, "employees")
+    assert _scans(report) == 1
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    rows = quality.table_violations(stored, "employees", kinds=quality.ROW_RULES)
+    assert _scans(rows) == 1 and "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", ["tenure_top_n", "fact_employee_performance", "monthly_attrition",
