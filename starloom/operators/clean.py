@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.dates import as_date_literal
-from starloom.functions.values import money, yes_no_flag
+from starloom.functions.values import conformed, money, yes_no_flag
 from starloom.operators.dedup import keep_first
 from starloom.schemas import ATTRITION_CSV_COLUMNS
 
@@ -123,16 +123,22 @@ def employees_from_snapshot(
     )
 
 
-def resolve_departments(frame: DataFrame, departments: DataFrame) -> DataFrame:
-    """``dept_name`` -> ``dept_id`` (left join; no match -> NULL)."""
-    ids = departments.groupBy("dept_name").agg(F.min("dept_id").alias("dept_id"))
-    return frame.join(ids, "dept_name", "left")
+def _resolve(frame: DataFrame, lookup: DataFrame, name: str, key: str, collation: str | None) -> DataFrame:
+    """``name`` -> smallest ``key`` of the rows of ``lookup`` with that name (left join)."""
+    if collation is None:
+        return frame.join(lookup.groupBy(name).agg(F.min(key).alias(key)), name, "left")
+    ids = lookup.groupBy(conformed(name, collation).alias("_name")).agg(F.min(key).alias(key))
+    return frame.join(ids, conformed(name, collation) == F.col("_name"), "left").drop("_name")
 
 
-def resolve_projects(frame: DataFrame, projects: DataFrame) -> DataFrame:
-    """P20: ``project_name`` -> first (smallest) ``project_id`` with that name."""
-    ids = projects.groupBy("project_name").agg(F.min("project_id").alias("project_id"))
-    return frame.join(ids, "project_name", "left")
+def resolve_departments(frame: DataFrame, departments: DataFrame, collation: str | None = None) -> DataFrame:
+    """``dept_name`` -> ``dept_id`` (no match -> NULL); names compared under ``collation``."""
+    return _resolve(frame, departments, "dept_name", "dept_id", collation)
+
+
+def resolve_projects(frame: DataFrame, projects: DataFrame, collation: str | None = None) -> DataFrame:
+    """P20: ``project_name`` -> smallest ``project_id`` with that name, compared under ``collation``."""
+    return _resolve(frame, projects, "project_name", "project_id", collation)
 
 
 def ladder_frames(

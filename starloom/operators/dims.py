@@ -30,12 +30,19 @@ def build_dim_department(departments: DataFrame, collation: str | None = None) -
     return first.select("dept_name", "source_id")
 
 
-def build_dim_project(projects: DataFrame) -> DataFrame:
-    """One row per project name: the project with the smallest id wins."""
-    first = keep_first(
-        projects.select("project_name", "project_id", "budget"), ["project_name"], ["project_id"]
-    )
-    return first.select("project_name", "budget", F.col("project_id").alias("source_id"))
+def build_dim_project(projects: DataFrame, collation: str | None = None) -> DataFrame:
+    """One row per project name: the project with the smallest id wins.
+
+    With ``collation`` names equal under it are one (D9).
+    """
+    if collation is None:
+        first = keep_first(
+            projects.select("project_name", "project_id", "budget"), ["project_name"], ["project_id"]
+        )
+        return first.select("project_name", "budget", F.col("project_id").alias("source_id"))
+    first = projects.groupBy(conformed("project_name", collation).alias("_name")).agg(
+        F.min(F.struct("project_id", "project_name", "budget")).alias("_p"))
+    return first.select("_p.project_name", "_p.budget", F.col("_p.project_id").alias("source_id"))
 
 
 def build_dim_date(

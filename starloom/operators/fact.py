@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import as_date_literal, date_key_of
 from starloom.functions.values import conformed, money, tenure_days
+from starloom.operators.scd2 import versions_at
 from starloom.schemas import FACT_COLUMNS
 
 ATTRIBUTE_DEFAULTS = {
@@ -42,12 +43,19 @@ def employee_profile(
     dim_employee: DataFrame,
     dim_department: DataFrame,
     collation: str | None = None,
+    valid_on: dt.date | None = None,
 ) -> DataFrame:
     """Everything the fact needs per employee, one row per current dim key.
 
     ``collation`` matches department names under it (D9); binary by default.
+    With ``valid_on`` (D20) each employee has the key of the version that covers
+    that day, NULL where none does, instead of the current one.
     """
-    keys = dim_employee.where(F.col("is_current")).select("employee_key", "employee_id")
+    if valid_on is None:
+        keys = dim_employee.where(F.col("is_current")).select("employee_key", "employee_id")
+    else:
+        asked = employees.select("employee_id").distinct().withColumn("_on", as_date_literal(valid_on))
+        keys = versions_at(asked, dim_employee, "_on").drop("_on")
     staff = employees.select("employee_id", "dept_name", "hire_date", "current_salary", "status")
     depts = dim_department.select("department_key", F.col("dept_name").alias("_dim_name"))
     staff = staff.join(
@@ -57,11 +65,12 @@ def employee_profile(
     return keys.join(staff, "employee_id", "left").join(snapshot, "employee_id", "left")
 
 
-def project_lookup(projects: DataFrame, dim_project: DataFrame) -> DataFrame:
+def project_lookup(projects: DataFrame, dim_project: DataFrame, collation: str | None = None) -> DataFrame:
     """project_id -> project_key through the project name (J4 + J8)."""
+    names = dim_project.select("project_key", F.col("project_name").alias("_dim_name"))
     return projects.select("project_id", "project_name").join(
-        dim_project.select("project_key", "project_name"), "project_name", "left"
-    )
+        names, conformed("project_name", collation) == conformed("_dim_name", collation), "left"
+    ).drop("_dim_name")
 
 
 def enriched_assignments(
@@ -74,13 +83,19 @@ def enriched_assignments(
     dim_project: DataFrame,
     as_of: dt.date,
     collation: str | None = None,
+    point_in_time: bool = False,
 ) -> DataFrame:
-    """Assignment rows with every fact column plus their natural keys."""
-    profile = employee_profile(employees, attrition, dim_employee, dim_department, collation)
+    """Assignment rows with every fact column plus their natural keys.
+
+    By default employees have their current dimension row, whenever it starts;
+    with ``point_in_time`` the one that covers ``as_of`` (D20).
+    """
+    profile = employee_profile(employees, attrition, dim_employee, dim_department, collation,
+                               as_of if point_in_time else None)
     rows = (
         assignments.select("assignment_id", "employee_id", "project_id", "allocation_pct")
         .join(profile, "employee_id", "inner")
-        .join(project_lookup(projects, dim_project), "project_id", "left")
+        .join(project_lookup(projects, dim_project, collation), "project_id", "left")
     )
     matched = F.col("_in_snapshot").isNotNull()
 

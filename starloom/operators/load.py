@@ -10,12 +10,14 @@ every run has a number, and folders, of its own, and none hides another's tables
 from __future__ import annotations
 
 import json
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas
+from starloom.functions.values import conformed
 from starloom.operators.clean import resolve_departments, resolve_projects
 from starloom.operators.keys import assign_dense_keys, largest_key, next_key_base
 from starloom.operators.scd2 import intervals_from_changelog
@@ -27,10 +29,15 @@ from starloom.sources.tables import empty_frame
 # --------------------------------------------------------------------------
 
 
-def rows_not_in(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows whose key is not in ``existing`` (null-safe anti join)."""
+def rows_not_in(
+    incoming: DataFrame, existing: DataFrame, keys: list[str], collation: str | None = None
+) -> DataFrame:
+    """Incoming rows whose key is not in ``existing`` (null-safe anti join).
+
+    Under ``collation`` (string keys) names that it holds equal are one key (D9).
+    """
     known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+    same = [conformed(k, collation).eqNullSafe(conformed(f"_known_{k}", collation)) for k in keys]
     return incoming.join(known, same, "left_anti")
 
 
@@ -39,26 +46,32 @@ def new_dates(dim_date: DataFrame, existing: DataFrame) -> DataFrame:
     return rows_not_in(dim_date, existing, ["date_key"])
 
 
-def new_departments(dim_department: DataFrame, existing: DataFrame) -> DataFrame:
+def new_departments(
+    dim_department: DataFrame, existing: DataFrame, collation: str | None = None
+) -> DataFrame:
     """L2: department names to append, keyed after the largest existing key."""
-    fresh = rows_not_in(dim_department, existing, ["dept_name"])
+    fresh = rows_not_in(dim_department, existing, ["dept_name"], collation)
     keyed = assign_dense_keys(
         fresh, ["source_id"], "department_key", next_key_base(existing, "department_key")
     )
     return keyed.select("department_key", "dept_name")
 
 
-def upsert_dim_project(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+def upsert_dim_project(
+    incoming: DataFrame, existing: DataFrame, collation: str | None = None
+) -> DataFrame:
     """The next dim_project with an ``action`` per row.
 
     ``inserted`` (new name, new key), ``changed`` / ``unchanged`` (matched by
     name; the incoming budget wins), ``untouched`` (not in this load).  The
     counts by action replace the reference's single "inserted + matched" sum.
+    Under ``collation`` a known name keeps its spelling (D9).
     """
     inc = incoming.select(
         F.col("project_name").alias("_name"), F.col("budget").alias("_budget"), "source_id"
     )
-    merged = existing.join(inc, existing["project_name"] == inc["_name"], "full_outer")
+    same_name = conformed("project_name", collation) == conformed("_name", collation)
+    merged = existing.join(inc, same_name, "full_outer")
     is_new = F.col("project_key").isNull()
     action = (
         F.when(is_new, F.lit("inserted"))
@@ -225,6 +238,7 @@ def onboard(
     departments: DataFrame,
     projects: DataFrame,
     history: DataFrame | None = None,
+    collation: str | None = None,
 ) -> dict[str, DataFrame]:
     """L8 as a batch: validate hires, give ids, build their three records.
 
@@ -235,8 +249,9 @@ def onboard(
     ``rejected``.  New ids follow the largest existing id (A13), densely, in
     request order within key buckets; with ``history`` the first versions get
     ``history_id`` the same way.  The batch is numbered once for all ids.
+    Department and project names are compared under ``collation`` (D9).
     """
-    resolved = resolve_projects(resolve_departments(requests, departments), projects)
+    resolved = resolve_projects(resolve_departments(requests, departments, collation), projects, collation)
     checked = email_checks(onboarding_checks(resolved), employees)
     ok = assign_dense_keys(checked.where(F.col("reason").isNull()), ["request_id"], "_number")
     ok = ok.withColumns({
@@ -365,7 +380,8 @@ class PublishConflict(RuntimeError):
 
 
 def _newest(spark: SparkSession, root: str) -> tuple[int, dict]:
-    """Number and content of the newest manifest: ``versions`` and, for SCD2 tables, ``closed`` runs.
+    """Number and content of the newest manifest: ``versions`` and, for SCD2 tables, the runs in
+    ``closed`` whose closed rows count: a list for each time the table was rewritten whole.
 
     A manifest is one object ``manifest/N`` that is never overwritten: a reader
     sees it whole or not at all.  Only the newest is read; of the others only
@@ -407,13 +423,15 @@ def current_version(spark: SparkSession, root: str, table: str) -> int:
 
 def publish(
     spark: SparkSession, root: str, versions: dict[str, int], replace_prefix: str | None = None,
-    based_on: dict[str, int] | None = None,
+    based_on: dict[str, int] | None = None, rewritten: Collection[str] = (),
 ) -> None:
     """Make ``versions`` current, all tables at once (one small new manifest).
 
     Until this is done, readers keep seeing the previous versions, so a run that
     fails half-way publishes nothing.  Entries starting with ``replace_prefix``
     that are not in ``versions`` are unpublished (e.g. older fact snapshots).
+    Of SCD2 tables in ``rewritten`` this run's closed rows are all there are;
+    older versions keep theirs.
 
     If another run publishes meanwhile, this goes on from its manifest, so
     neither hides the other's tables.  ``based_on`` are the versions that this
@@ -430,7 +448,11 @@ def publish(
         kept = {k: v for k, v in before.items() if not (replace_prefix and k.startswith(replace_prefix))}
         closed = dict(old["closed"])
         for table in SCD2_TABLES & versions.keys():
-            closed[table] = sorted({*closed.get(table, []), versions[table]})
+            past = closed.get(table, [])
+            if table in rewritten or not past:
+                closed[table] = [*past, [versions[table]]]
+            else:
+                closed[table] = [*past[:-1], sorted({*past[-1], versions[table]})]
         content = json.dumps({"versions": {**kept, **versions}, "closed": closed}, sort_keys=True)
         if put_if_absent(spark, f"{root}/manifest/{newest + 1}", content.encode()):
             return
@@ -517,15 +539,18 @@ SCD2_TABLES = {"dim_employee", "employee_history"}
 
 def read_scd2_version(
     spark: SparkSession, root: str, table: str, version: int, schema: T.StructType,
-    current_only: bool = False, closed_only: bool = False,
+    current_only: bool = False, closed_only: bool = False, rewritten: bool = False,
 ) -> DataFrame:
-    """Version ``version``: its current rows plus the rows closed by it and by
-    the published runs before it (a run that failed never counts)."""
+    """Version ``version``: its current rows plus the rows closed by it and, unless
+    it has ``rewritten`` the table, by the published runs before it (a run that
+    failed never counts)."""
     current = _read_stored(spark, [f"{root}/{table}/current/v{version:06d}"], schema)
     if current_only:
         return current
-    runs = {r for r in _newest(spark, root)[1]["closed"].get(table, []) if r < version}
-    closed = _read_stored(spark, [f"{root}/{table}/closed/run={r}" for r in sorted(runs | {version})], schema)
+    past = [] if rewritten else _newest(spark, root)[1]["closed"].get(table, [])
+    runs = next((runs for runs in reversed(past) if runs[0] <= version), [])
+    runs = sorted({r for r in runs if r < version} | {version})
+    closed = _read_stored(spark, [f"{root}/{table}/closed/run={r}" for r in runs], schema)
     return closed if closed_only else closed.unionByName(current)
 
 

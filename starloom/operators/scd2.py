@@ -14,9 +14,11 @@ size is bounded by the calendar, not by the data.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import keep_last
@@ -264,6 +266,87 @@ def apply_scd2(dim: DataFrame, changes: DataFrame, last_key: int | None = None)
     return kept.unionByName(inserted)
 
 
+def scd2_backfill(
+    dim: DataFrame, employees: DataFrame, history: DataFrame, as_of: dt.date, last_key: int | None = None
+) -> DataFrame:
+    """The dimension with every version that the source's history holds.
+
+    The versions of an employee, the dimension's and the source's, are compared
+    as whole sequences by their start day: a start that only the source has is
+    inserted (closed or open); one that both have takes the source's role and
+    end; one that only the dimension has stays.  No version outlasts the day
+    before the next one's start; the last is open if the source (or, where the
+    source has no such version, the dimension) leaves it open.  An employee who
+    is no longer in ``employees`` has the open version closed on ``as_of``.
+
+    Returns the dimension's columns and ``action``: ``insert``, ``update`` or
+    ``keep``.  New versions get keys after ``last_key`` (default: the largest in
+    ``dim``).  Done again on its own result it keeps every row.  Of several rows
+    of one employee and day the dimension's smallest key, and the source's latest
+    end, count; the dimension's others stay as they are.  A row without an
+    employee or a start day stays as it is in the dimension and is left out of
+    the source's.
+
+    Sequences have one row per employee and calendar day, so the window does not
+    grow with copies.
+    """
+    known = F.col("employee_id").isNotNull() & F.col("effective_start").isNotNull()
+    days = ["employee_id", "effective_start"]
+    end = F.coalesce(F.col("effective_end"), F.lit(OPEN_END).cast("date"))
+    source = history.where(known).groupBy(*days).agg(F.max(F.struct(end.alias("end"), "role")).alias("_s"))
+    staff = employees.groupBy("employee_id").agg(F.max("name").alias("_name"))
+    source = source.join(staff, "employee_id", "inner").select(
+        *days, "_name", F.col("_s.role").alias("_role"), F.col("_s.end").alias("_end"))
+    packed = F.struct("employee_key", "name", "role", "is_current", "effective_end")
+    first = dim.where(known).groupBy(*days).agg(F.min(packed).alias("_d"))
+    spare = dim.where(~known).unionByName(
+        dim.where(known).join(first.select("_d.employee_key"), "employee_key", "left_anti").select(dim.columns))
+
+    both = first.join(source, days, "full_outer").join(
+        staff.select("employee_id", F.lit(True).alias("_here")), "employee_id", "left")
+    following = F.lead("effective_start").over(Window.partitionBy("employee_id").orderBy("effective_start"))
+    own_end = F.coalesce(F.col("_d.effective_end"), F.lit(OPEN_END).cast("date"))
+    both = both.withColumn("_until", F.least(F.coalesce("_end", own_end), F.date_sub(following, 1)))
+    open_end = F.col("_until") == F.lit(OPEN_END).cast("date")
+    gone = F.col("_here").isNull()
+    closing = F.greatest(F.lit(as_of), F.col("effective_start"))
+    rows = both.select(
+        F.col("_d.employee_key").alias("employee_key"), "employee_id", F.coalesce("_d.name", "_name").alias("name"),
+        F.coalesce("_role", "_d.role").alias("role"), (open_end & ~gone).alias("is_current"), "effective_start",
+        F.when(~open_end, F.col("_until")).when(gone, closing).alias("effective_end"), "_d")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_d.{c}")) for c in ("role", "is_current", "effective_end")])
+    rows = rows.withColumn("action", F.when(F.col("employee_key").isNull(), F.lit("insert"))
+                           .when(same, F.lit("keep")).otherwise(F.lit("update"))).drop("_d")
+    base = next_key_base(dim, "employee_key") if last_key is None else last_key
+    inserted = assign_dense_keys(rows.where("action = 'insert'").drop("employee_key"), days, "employee_key", base,
+                                 spread=True).select(rows.columns)
+    return (rows.where("action <> 'insert'").unionByName(inserted)
+            .unionByName(spare.withColumn("action", F.lit("keep"))))
+
+
+def versions_at(rows: DataFrame, versions: DataFrame, date_col: str, key: str = "employee_id",
+                surrogate: str = "employee_key") -> DataFrame:
+    """``rows`` with ``surrogate`` of the version that covers ``date_col`` (NULL if none does).
+
+    The version of a day is the one with the latest start on or before it (of
+    one start day the largest surrogate); it covers the day unless it has ended
+    before.  The rows are reduced to distinct keys and days, and the versions to
+    one per key and start day, so the window that carries the latest start
+    forward is bounded by the calendar, however many rows a key has.
+    """
+    days = rows.select(F.col(key), F.col(date_col).alias("_day")).where(
+        F.col(key).isNotNull() & F.col("_day").isNotNull()).distinct()
+    starts = versions.groupBy(key, F.col("effective_start").alias("_day")).agg(
+        F.max(F.struct(surrogate, "effective_end")).alias("_v"))
+    line = starts.withColumn("_asked", F.lit(0)).unionByName(
+        days.withColumn("_asked", F.lit(1)), allowMissingColumns=True)
+    so_far = Window.partitionBy(key).orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    found = line.withColumn("_v", F.last("_v", ignorenulls=True).over(so_far)).where("_asked = 1")
+    covers = F.col("_v.effective_end").isNull() | (F.col("_v.effective_end") >= F.col("_day"))
+    found = found.select(F.col(key).alias("_key"), "_day", F.when(covers, F.col(f"_v.{surrogate}")).alias(surrogate))
+    return rows.join(found, (F.col(key) == F.col("_key")) & (F.col(date_col) == F.col("_day")), "left").drop("_key", "_day")
+
+
 def scd2_summary(changes: DataFrame) -> DataFrame:
     """One row: ``inserted, closed, skipped, rejected`` counts."""
     a = F.col("action")

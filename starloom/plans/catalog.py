@@ -26,7 +26,7 @@ from starloom.operators.clean import (
     resolve_projects,
     role_levels,
 )
-from starloom.operators.dims import build_dim_department, build_dim_project
+from starloom.operators.dims import build_dim_date, build_dim_department, build_dim_project
 from starloom.operators.fact import (
     enriched_assignments,
     fact_from_enriched,
@@ -47,7 +47,7 @@ from starloom.operators.load import (
     write_operational,
     write_scd2_unpublished,
 )
-from starloom.operators.scd2 import interval_violations, scd2_changes, versions_of
+from starloom.operators.scd2 import interval_violations, scd2_backfill, scd2_changes, versions_at, versions_of
 from starloom.plans import reports
 from starloom.plans.etl import run_etl, warehouse_tables
 from starloom.plans.warehouse import Warehouse, build_warehouse
@@ -173,6 +173,8 @@ STAGED_LADDERS: dict[str, list[str]] = {
 }
 # A date after the end of every project that ends.
 LATER = dt.date(2000, 6, 1)
+# Names compared without case, accents and trailing blanks.
+COLLATION = "UNICODE_CI_AI_RTRIM"
 # Parameters of the reports on one employee and one department.
 ONE_EMPLOYEE = 7
 ONE_DEPARTMENT = "NATION_3"
@@ -184,18 +186,35 @@ def _star(s: Scenario, *names: str) -> list[DataFrame]:
     return [tables["fact_employee_performance" if n == "fact" else n] for n in names]
 
 
-def _enriched(s: Scenario, **other: DataFrame) -> DataFrame:
+def _enriched(s: Scenario, as_of: dt.date = AS_OF, point_in_time: bool = False, **other: DataFrame) -> DataFrame:
     """The fact's joined rows over the published dimensions (or ``other`` states of
     some), as the ETL builds them."""
     st, star = s.st, {**s.published(), **other}
-    require_snapshot_date(star["dim_date"], AS_OF)
+    require_snapshot_date(star["dim_date"], as_of)
     return enriched_assignments(
         employees_with_department(st["employees"], st["departments"]), st["projects"],
         st["assignments"], prepare_attrition(st["attrition_raw"]), star["dim_employee"],
-        star["dim_department"], star["dim_project"], AS_OF,
+        star["dim_department"], star["dim_project"], as_of, None, point_in_time,
     )
 
 
+def _dim_date(s: Scenario, as_of: dt.date) -> DataFrame:
+    return build_dim_date(employees_with_department(s.st["employees"], s.st["departments"]), s.st["assignments"], as_of)
+
+
+def _backfilled(s: Scenario, employees: DataFrame | None = None) -> DataFrame:
+    """The prior dim_employee with every version of the history; employees who are gone are closed."""
+    return scd2_backfill(s.st["dim_employee_before"], s.st["employees"] if employees is None else employees,
+                         s.st["employee_history"], AS_OF)
+
+
+def _named_otherwise(s: Scenario) -> DataFrame:
+    """Projects under names that only a collation holds equal to the known ones."""
+    odd = F.col("project_id") % 2 == 1
+    return s.st["projects"].withColumn(
+        "project_name", F.when(odd, F.concat(F.upper("project_name"), F.lit("  "))).otherwise(F.col("project_name")))
+
+
 def _onboard(s: Scenario) -> dict[str, DataFrame]:
     st = s.st
     return onboard(
@@ -214,6 +233,9 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     # sources, cleaning
     "employees_enriched": lambda s: employees_with_department(s.st["employees"], s.st["departments"]),
     "attrition_snapshot": lambda s: prepare_attrition(s.st["attrition_raw"]),
+    "attrition_snapshot_repeated": lambda s: prepare_attrition(s.st["attrition_raw"].unionByName(
+        s.st["attrition_raw"].where("EmployeeNumber % 2 = 0").withColumns(
+            {"Attrition": F.lit("Maybe"), "DistanceFromHome": F.lit(0)}))),
     "clean_employees": lambda s: employees_from_snapshot(
         clean_raw_snapshot(s.st["raw_snapshot"]), AS_OF
     ),
@@ -236,6 +258,15 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     "dim_department": lambda s: s.wh.dim_department,
     "dim_project": lambda s: s.wh.dim_project,
     "dim_date": lambda s: s.wh.dim_date,
+    "dim_date_second": lambda s: _dim_date(s, LATER),
+    "dim_project_upsert_partial": lambda s: upsert_dim_project(
+        build_dim_project(s.st["projects"].where("length(project_name) % 3 <> 1")),
+        s.st["dim_project_before"].where("length(project_name) % 3 <> 0")),
+    "dim_project_upsert_collated": lambda s: upsert_dim_project(
+        build_dim_project(_named_otherwise(s), COLLATION), s.st["dim_project_before"].where("length(project_name) % 3 <> 0"),
+        COLLATION),
+    "resolve_lookups_collated": lambda s: resolve_projects(
+        s.st["lookup_requests"].select("request_id", "project_name"), _named_otherwise(s), COLLATION),
     "new_dates": lambda s: new_dates(
         s.wh.dim_date, s.wh.dim_date.where(F.col("full_date") < F.lit(PREVIOUS_DATES_BEFORE))
     ),
@@ -248,6 +279,9 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     # SCD2
     "scd2_changes": lambda s: s.wh.scd2_changes,
     "dim_employee_after": lambda s: s.wh.dim_employee,
+    "scd2_backfill": lambda s: _backfilled(s, s.st["employees"].where("employee_id % 11 <> 0")),
+    "assignment_versions": lambda s: versions_at(
+        s.st["assignments"].select("assignment_id", "employee_id", "start_date"), _backfilled(s), "start_date"),
     "scd2_from_changelog": lambda s: s.st["employee_history"],
     "scd2_integrity": lambda s: interval_violations(
         s.st["employee_history"], "employee_id"
@@ -277,6 +311,11 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     # fact
     "fact_employee_performance": lambda s: fact_from_enriched(_enriched(s)),
     "fact_rejects": lambda s: rejects_from_enriched(_enriched(s)),
+    "fact_second_snapshot": lambda s: fact_from_enriched(_enriched(s, LATER, dim_date=_dim_date(s, LATER))),
+    "fact_point_in_time": lambda s: fact_from_enriched(
+        _enriched(s, point_in_time=True, dim_employee=_backfilled(s))),
+    "fact_point_in_time_rejects": lambda s: rejects_from_enriched(
+        _enriched(s, point_in_time=True, dim_employee=_backfilled(s))),
     # the same rules where they must act: against the earlier department dimension,
     # an older source, versions appended without closing, and a later date
     "fact_rejects_earlier_departments": lambda s: rejects_from_enriched(

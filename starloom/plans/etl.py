@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ from starloom.operators.load import (
     write_snapshot_unpublished,
     write_unpublished,
 )
-from starloom.operators.scd2 import apply_scd2, scd2_changes
+from starloom.operators.scd2 import apply_scd2, scd2_backfill, scd2_changes
 from starloom.sources.tables import TableSource, empty_frame, extract_all
 
 STAR_TABLES = ("dim_date", "dim_department", "dim_project", "dim_employee",
@@ -58,6 +59,23 @@ STAR_TABLES = ("dim_date", "dim_department", "dim_project", "dim_employee",
 LAST_EMPLOYEE_KEY = f"dim_employee{LAST_KEY}"
 
 
+@dataclass(frozen=True)
+class LoadOptions:
+    """Departures from the default load, all off.
+
+    ``point_in_time`` (D20): the fact takes the employee version that covers the
+    snapshot date, not the newest one; assignments of employees without such a
+    version are rejected.  ``backfill`` (D8): ``dim_employee`` gets every version
+    of the history, not only the current ones, and is rewritten whole.
+    ``collation`` (D9): department and project names that it holds equal (e.g.
+    ``UNICODE_CI_AI_RTRIM``) are one dimension row, in the spelling known first.
+    """
+
+    point_in_time: bool = False
+    backfill: bool = False
+    collation: str | None = None
+
+
 class _Run:
     """One run: its number, what was published before it and what it wrote.
 
@@ -89,9 +107,13 @@ def run_etl(
     attrition_csv: str,
     full_refresh: bool = True,
     attempts: int = 3,
+    options: LoadOptions | None = None,
 ) -> dict[str, int]:
     """Load one snapshot into the warehouse folder; returns the run's counts.
 
+    ``options`` changes what is loaded (see there); the default loads as the
+    operational databases' own job does.
+
     If another run publishes one of its tables meanwhile, the load is done anew
     on what that run published, ``attempts`` times in all; then
     ``PublishConflict`` is raised.  Nothing of an attempt before is published.
@@ -103,7 +125,7 @@ def run_etl(
     """
     for left in range(attempts - 1, -1, -1):
         try:
-            return _load_once(spark, source, warehouse, as_of, attrition_csv, full_refresh)
+            return _load_once(spark, source, warehouse, as_of, attrition_csv, full_refresh, options or LoadOptions())
         except PublishConflict:
             if not left:
                 raise
@@ -111,7 +133,8 @@ def run_etl(
 
 
 def _load_once(spark: SparkSession, source: TableSource, warehouse: str, as_of: dt.date, attrition_csv: str,
-               full_refresh: bool) -> dict[str, int]:
+               full_refresh: bool, options: LoadOptions) -> dict[str, int]:
+    names = options.collation
     sc = spark.sparkContext
 
     def step(name: str) -> None:
@@ -134,14 +157,14 @@ def _load_once(spark: SparkSession, source: TableSource, warehouse: str, as_of:
     def load_departments():
         step("dim_department")
         old = run.old("dim_department", schemas.DIM_DEPARTMENT)
-        fresh = new_departments(build_dim_department(x["departments"]), old)
+        fresh = new_departments(build_dim_department(x["departments"], names), old, names)
         return run.write(old.unionByName(fresh), "dim_department", schemas.DIM_DEPARTMENT), old
 
     def load_projects():
         step("dim_project")
         old = run.old("dim_project", schemas.DIM_PROJECT)
         upsert = run.write(
-            upsert_dim_project(build_dim_project(x["projects"]), old),
+            upsert_dim_project(build_dim_project(x["projects"], names), old, names),
             "dim_project_changes", schemas.DIM_PROJECT_CHANGES,
         )
         return run.write(upsert.drop("action"), "dim_project", schemas.DIM_PROJECT), upsert
@@ -164,9 +187,17 @@ def _load_once(spark: SparkSession, source: TableSource, warehouse: str, as_of:
             scd2_changes(employees, x["employee_history"], old_current),
             "scd2_changes", schemas.SCD2_CHANGES,
         )
+        run.written["dim_employee"] = run.number
+        if options.backfill:
+            whole = run.old("dim_employee", schemas.DIM_EMPLOYEE)
+            after = scd2_backfill(whole, employees, x["employee_history"], as_of, last_key)
+            write_scd2_unpublished(after.drop("action"), warehouse, "dim_employee", run.number)
+            written = read_scd2_version(spark, warehouse, "dim_employee", run.number, schemas.DIM_EMPLOYEE,
+                                        rewritten=True)
+            run.written[LAST_EMPLOYEE_KEY] = max(last_key, largest_key(written, "employee_key"))
+            return written, changes
         write_scd2_unpublished(apply_scd2(old_current, changes, last_key), warehouse, "dim_employee",
                                run.number)
-        run.written["dim_employee"] = run.number
         written = read_scd2_version(spark, warehouse, "dim_employee", run.number,
                                     schemas.DIM_EMPLOYEE, current_only=True)
         run.written[LAST_EMPLOYEE_KEY] = max(last_key, largest_key(written, "employee_key"))
@@ -188,7 +219,7 @@ def _load_once(spark: SparkSession, source: TableSource, warehouse: str, as_of:
     joined = f"{warehouse}/enriched/run={run.number}"
     rows = enriched_assignments(
         employees, x["projects"], x["assignments"], attrition, dim_employee, dim_department,
-        dim_project, as_of,
+        dim_project, as_of, names, options.point_in_time,
     ).withColumn("has_keys", has_keys().cast("int"))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("has_keys").parquet(joined)
     enriched = spark.read.schema(rows.schema).parquet(joined)
@@ -201,7 +232,8 @@ def _load_once(spark: SparkSession, source: TableSource, warehouse: str, as_of:
     run.write(rejects_from_enriched(enriched.where("has_keys = 0")), "fact_rejects", schemas.FACT_REJECTS)
 
     publish(spark, warehouse, run.written,
-            replace_prefix="fact_employee_performance@" if full_refresh else None, based_on=run.before)
+            replace_prefix="fact_employee_performance@" if full_refresh else None, based_on=run.before,
+            rewritten=("dim_employee",) if options.backfill else ())
     fact = read_published(spark, warehouse, "fact_employee_performance",
                           schemas.FACT_EMPLOYEE_PERFORMANCE)
 

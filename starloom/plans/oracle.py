@@ -12,15 +12,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from starloom.operators.keys import BUCKET_DIGITS
-from starloom.schemas import RULES, SCHEMAS
+from starloom.schemas import FACT_COLUMNS, RULES, SCHEMAS
 from starloom.sources.breaks import broken_columns
 from starloom.sources.staging import DIM_CUTOFF
 
 
-def keyed(src: str, order_cols: list[str], key: str, base: str = "0") -> str:
-    """SQL of ``assign_dense_keys``: the bucket is the head of the first order column's MD5."""
-    o0 = order_cols[0]
-    bk = f"substr(md5(cast({o0} as varchar)), 1, {BUCKET_DIGITS})"
+def keyed(src: str, order_cols: list[str], key: str, base: str = "0", spread: bool = False) -> str:
+    """SQL of ``assign_dense_keys``: the bucket is the head of the first order column's MD5 (``spread``: of all)."""
+    named = "concat_ws('|', " + ", ".join(f"cast({c} as varchar)" for c in order_cols[:None if spread else 1]) + ")"
+    bk = f"substr(md5({named}), 1, {BUCKET_DIGITS})"
     order = ", ".join(order_cols)
     return f"""(select k.* exclude (_kb, _kr), cast(({base}) + o._ko + k._kr as bigint) as {key}
   from (select s.*, {bk} as _kb, row_number() over (partition by {bk} order by {order}) as _kr
@@ -320,6 +320,89 @@ def _key_expr(table: str) -> str:
     return "concat_ws('|', " + ", ".join(f"cast({c} as varchar)" for c in cols) + ")"
 
 
+def _backfill_sql(gone: str = "false") -> str:
+    """dim_employee with all versions of the history, as CTEs up to ``backfilled``; ``gone`` picks who left."""
+    return f""",
+bf_source as (
+  select h.employee_id, h.effective_start, h.role, h.effective_end, e.name
+  from employee_history h join employees e on e.employee_id = h.employee_id where not ({gone.format('h')})),
+bf_both as (
+  select b.employee_key, coalesce(b.employee_id, s.employee_id) as employee_id, coalesce(b.name, s.name) as name,
+         coalesce(s.role, b.role) as role, coalesce(b.effective_start, s.effective_start) as effective_start,
+         case when s.employee_id is not null then s.effective_end else b.effective_end end as own_end,
+         b.role as old_role, b.is_current as old_current, b.effective_end as old_end
+  from dim_employee_before b full outer join bf_source s
+    on s.employee_id = b.employee_id and s.effective_start = b.effective_start),
+bf_cut as (
+  select *, least(own_end, cast(lead(effective_start) over (partition by employee_id order by effective_start)
+                                - interval 1 day as date)) as until from bf_both),
+bf_rows as (
+  select employee_key, employee_id, name, role, until is null and not ({gone.format('c')}) as is_current, effective_start,
+         case when until is null and ({gone.format('c')}) then greatest(date '1998-01-01', effective_start)
+              else until end as effective_end, old_role, old_current, old_end
+  from bf_cut c),
+backfilled as (
+  select employee_key, employee_id, name, role, is_current, effective_start, effective_end,
+         case when role = old_role and is_current = old_current and effective_end is not distinct from old_end
+              then 'keep' else 'update' end as action
+  from bf_rows where employee_key is not null
+  union all
+  select employee_key, employee_id, name, role, is_current, effective_start, effective_end, 'insert'
+  from {keyed("(select employee_id, name, role, is_current, effective_start, effective_end from bf_rows where employee_key is null)",
+              ["employee_id", "effective_start"], "employee_key",
+              "select coalesce(max(employee_key), 0) from dim_employee_before", spread=True)})
+"""
+
+
+def _enriched_at(day: str, employee_key: str) -> str:
+    """The fact's joined rows on another day, with the given employee key."""
+    key = int(day.replace("-", ""))
+    return f""",
+then_rows as (
+  select e.assignment_id, e.employee_id, e.project_id, e.dept_name, e.project_name, {employee_key} as employee_key,
+         e.department_key, e.project_key, {key} as date_key, e.salary, e.allocation_pct,
+         cast(greatest(date_diff('day', s.hire_date, date '{day}'), 0) as integer) as tenure_days, e.is_attrition_flag,
+         e.job_satisfaction, e.work_life_balance, e.overtime, e.performance_rating, e.distance_from_home
+  from enriched e join staff s on s.employee_id = e.employee_id
+  left join then_keys t on t.employee_id = e.employee_id)
+"""
+
+
+_COLLATED = """,
+named_otherwise as (
+  select * replace (case when project_id % 2 = 1 then upper(project_name) || '  ' else project_name end as project_name)
+  from projects),
+spelled as (
+  select lower(rtrim(project_name)) as plain, arg_min(project_name, project_id) as _name,
+         arg_min(budget, project_id) as _budget, min(project_id) as source_id
+  from named_otherwise group by 1),
+some_before as (select * from proj_before where length(project_name) % 3 <> 0),
+collated as (select * from some_before b full outer join spelled i on lower(b.project_name) = i.plain)
+"""
+
+_PARTIAL = """,
+some_before as (select * from proj_before where length(project_name) % 3 <> 0),
+some_incoming as (select * from proj_incoming where length(_name) % 3 <> 1),
+collated as (select * from some_before b full outer join some_incoming i on b.project_name = i._name)
+"""
+
+_UPSERT = """
+select project_key, project_name, coalesce(_budget, budget) as budget,
+       case when _name is null then 'untouched' when budget = _budget then 'unchanged' else 'changed' end as action
+from collated where project_key is not null
+union all
+select project_key, _name as project_name, _budget as budget, 'inserted' as action
+from """ + keyed("(select _name, _budget, source_id from collated where project_key is null)", ["source_id"],
+                 "project_key", "select coalesce(max(project_key), 0) from some_before")
+
+_VALID_THEN = _backfill_sql() + """,
+then_keys as (
+  select employee_id, employee_key from backfilled
+  where effective_start <= date '1998-01-01' and (effective_end is null or effective_end >= date '1998-01-01')
+  qualify row_number() over (partition by employee_id order by effective_start desc, employee_key desc) = 1)
+""" + _enriched_at("1998-01-01", "t.employee_key")
+
+
 def _broken_tables(tables: Sequence[str] = ALL_TABLES) -> str:
     """The tables with their rules broken, as CTEs ``broken_<table>``."""
     return "".join(f",\nbroken_{t} as (select {', '.join(f'{sql} as {c}' for c, sql in broken_columns(t))} from {t})"
@@ -543,6 +626,40 @@ from """ + keyed(
     "apply_role_changes": """
 select employee_id, role, salary, effective_start, effective_end, is_current
 from employee_history""",
+    "scd2_backfill": _backfill_sql("{}.employee_id % 11 = 0") + "select * from backfilled",
+    "assignment_versions": _backfill_sql() + """
+select a.assignment_id, a.employee_id, a.start_date, b.employee_key
+from assignments a left join backfilled b on b.employee_id = a.employee_id and b.effective_start <= a.start_date
+ and (b.effective_end is null or b.effective_end >= a.start_date)""",
+    "fact_point_in_time": _VALID_THEN + f"""
+select {', '.join(FACT_COLUMNS)} from then_rows
+where employee_key is not null and department_key is not null and project_key is not null""",
+    "fact_point_in_time_rejects": _VALID_THEN + """
+select assignment_id, employee_id, project_id, dept_name, project_name, 'employee_key' as missing_keys
+from then_rows where employee_key is null""",
+    "fact_second_snapshot": ", then_keys as (select employee_id, employee_key from emp_keys)\n"
+    + _enriched_at("2000-06-01", "t.employee_key") + f"select {', '.join(FACT_COLUMNS)} from then_rows",
+    "dim_date_second": """
+select * from dim_date where date_key <> 19980101 or full_date in (
+  select hire_date from employees_x union all select start_date from assignments union all select end_date from assignments)
+union
+select 20000601, date '2000-06-01', 6, 2, 2000""",
+    "dim_project_upsert_partial": _PARTIAL + _UPSERT,
+    "dim_project_upsert_collated": _COLLATED + _UPSERT,
+    "resolve_lookups_collated": _COLLATED + """
+select p_partkey as request_id, p_name as project_name, s.source_id as project_id
+from part left join spelled s on s.plain = lower(rtrim(p_name))""",
+    "attrition_snapshot_repeated": """
+, doubled as (
+  select * from attrition_raw
+  union all
+  select * replace ('Maybe' as "Attrition", 0 as "DistanceFromHome") from attrition_raw where "EmployeeNumber" % 2 = 0)
+select "EmployeeNumber" as employee_id, coalesce(lower("Attrition") = 'yes', false) as is_attrition_flag,
+       "JobSatisfaction" as job_satisfaction, "WorkLifeBalance" as work_life_balance,
+       coalesce(lower("OverTime") = 'yes', false) as overtime, "PerformanceRating" as performance_rating,
+       "DistanceFromHome" as distance_from_home
+from doubled
+qualify row_number() over (partition by "EmployeeNumber" order by "Attrition" nulls first) = 1""",
     "onboard_hires": """
 select assignment_id, request_id, employee_id, trim(name) as name, trim(email) as email, dept_id,
        hire_date, cast(current_salary as decimal(12,2)) as current_salary,

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.dates import as_date_literal, month_label, month_start
+from starloom.functions.dates import as_date_literal, month_end, month_label, month_start
 from starloom.functions.values import employee_label, period_label
 from starloom.operators.neighbors import rank_desc
 
@@ -113,7 +113,7 @@ def monthly_attrition_theta(
     of employees x months and is not meant for large tables.
     """
     months = dim_date.select("year", "month").distinct().withColumn(
-        "_end", F.last_day(month_start("year", "month"))
+        "_end", month_end("year", "month")
     )
     pairs = months.join(employees.select("employee_id", "hire_date"),
                         F.col("hire_date") <= F.col("_end"), "inner")

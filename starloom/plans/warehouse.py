@@ -73,7 +73,7 @@ class Warehouse:
     def dim_project(self) -> DataFrame:
         if self._dim_project is not None:
             return self._dim_project
-        return key_dim_project(build_dim_project(self.oltp["projects"]))
+        return key_dim_project(build_dim_project(self.oltp["projects"], self.collation))
 
     @cached_property
     def dim_date(self) -> DataFrame:
