@@ -494,6 +494,8 @@ def read_published(
 # --------------------------------------------------------------------------
 
 SNAPSHOT_TABLES = {"fact_employee_performance": "date_key"}
+#: Folder column of a snapshot: 1 for the table's rows, 0 for the rows that it rejects.
+ACCEPTED = "has_keys"
 
 
 def snapshot_entry(table: str, value: int) -> str:
@@ -513,20 +515,27 @@ def read_snapshots(
              for k, v in sorted(versions.items()) if k.startswith(prefix)]
     if not paths:
         return empty_frame(spark, schema)
-    with_version = T.StructType(schema.fields + [T.StructField("version", T.IntegerType())])
-    df = spark.read.schema(with_version).option("basePath", f"{root}/{table}").parquet(*paths)
+    folders = [T.StructField(name, T.IntegerType()) for name in ("version", ACCEPTED)]
+    df = spark.read.schema(T.StructType(schema.fields + folders)).option(
+        "basePath", f"{root}/{table}").parquet(*paths).where(F.col(ACCEPTED) == 1)
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def write_snapshot_unpublished(
     df: DataFrame, root: str, table: str, value: int, version: int, allow_empty: bool = False
-) -> str:
-    """Write one snapshot (all rows have partition value ``value``)."""
+) -> DataFrame:
+    """Write one snapshot (all rows have partition value ``value``) and return it as stored.
+
+    Rows with ``ACCEPTED`` = 1 are the table's; others are only kept beside them.
+    Columns that the table doesn't have are stored but never read with it.
+    """
     path = snapshot_path(root, table, value, version)
-    df.drop(SNAPSHOT_TABLES[table]).write.mode("overwrite").parquet(path)
-    if not allow_empty and df.sparkSession.read.parquet(path).isEmpty():
+    df.drop(SNAPSHOT_TABLES[table]).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy(ACCEPTED).parquet(path)
+    stored = df.sparkSession.read.schema(df.drop(SNAPSHOT_TABLES[table]).schema).parquet(path)
+    if not allow_empty and stored.where(F.col(ACCEPTED) == 1).isEmpty():
         raise ValueError(f"refusing to publish an empty {table} snapshot {value}")
-    return path
+    return stored
 
 
 # --------------------------------------------------------------------------

@@ -33,12 +33,6 @@ def _record_key(cols: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
 
 
-def _key_cols(table: str, rules: TableRules, df: DataFrame) -> list[str]:
-    if rules.primary_key:
-        return list(rules.primary_key)
-    return [c for c in ("employee_key", "project_key", "date_key") if c in df.columns]
-
-
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -79,7 +73,7 @@ def table_violations(df: DataFrame, table: str, rules: TableRules | None = None,
     ``kinds`` nothing is shuffled.
     """
     rules = rules or RULES[table]
-    key = _record_key(_key_cols(table, rules, df))
+    key = _record_key(rules.primary_key)
     items = [F.when(hit.isNotNull(), F.struct(hit["rule"].alias("rule"), hit["constraint_name"].alias("constraint_name"),
                                               key.alias("record_key"), hit["detail"].alias("detail"),
                                               F.lit(None).cast("array<string>").alias("value")))
@@ -180,7 +174,7 @@ def foreign_key_violations(
                  for p in _places(F.lit(name), _value(cols))]
         return _all_present(cols) & reduce(Column.__and__, tests)
 
-    key = _record_key(_key_cols(table, rules, child))
+    key = _record_key(rules.primary_key)
     items = [F.when(suspect(name, cols), F.struct(
         F.lit(name).alias("constraint_name"), _value(cols).alias("value"), key.alias("record_key"),
         _record_key(cols).alias("detail"))) for name, cols, _, _ in keys]
@@ -279,7 +273,7 @@ def gate(
     rejects: list[DataFrame] = []
     for table in sorted(tables, key=_depth):
         df, rules = tables[table], RULES[table]
-        columns, key = list(df.columns), _record_key(_key_cols(table, rules, df))
+        columns, key = list(df.columns), _record_key(rules.primary_key)
         hits = F.transform(F.filter(F.array(*broken_row_rules(df, table, rules)), lambda x: x.isNotNull()),
                            lambda x: x["constraint_name"])
         marked = df.withColumn("_broken", F.array_join(F.sort_array(hits), ","))

@@ -71,29 +71,20 @@ def interval_violations(
     versions before it, and leaves a gap when it starts later than the day
     after it.
 
-    Both columns are dates, so every window is bounded by the calendar, not by
-    the data: identical intervals are first collapsed into counts (a partial
-    aggregate), the latest end before each start day is a running max over
-    that key's distinct start days, and the previous end within a day is a
-    ``lag`` over that day's distinct end dates.
+    Identical intervals are first collapsed into counts (a partial aggregate).
+    One window per key then carries the latest end over the key's distinct
+    intervals, whose number the calendar bounds, and counts its open versions:
+    one scan, one shuffle for the counts and one by key, no join.
     """
     end_or_open = F.coalesce(F.col(end_col), F.lit(OPEN_END).cast("date"))
     groups = versions.groupBy(key, start_col, end_col).agg(F.count(F.lit(1)).alias("_n"))
-    groups = groups.withColumn("_e", end_or_open)
-
-    days = groups.groupBy(key, start_col).agg(
-        F.max("_e").alias("_day_max"),
-        F.sum(F.when(F.col(end_col).isNull(), F.col("_n")).otherwise(0)).alias("_day_open"),
-    )
-    earlier_days = Window.partitionBy(key).orderBy(start_col).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    open_days = days
-    days = days.select(key, start_col, F.max("_day_max").over(earlier_days).alias("_before"))
-
-    within_day = Window.partitionBy(key, start_col).orderBy(F.col(end_col).asc_nulls_first())
-    groups = groups.withColumn("_prev", F.lag("_e").over(within_day))
-    rows = groups.join(days, [key, start_col], "left")
+    in_order = Window.partitionBy(key).orderBy(F.col(start_col), F.col(end_col).asc_nulls_first())
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    is_open = F.when(F.col(end_col).isNull(), F.col("_n")).otherwise(0)
+    rows = groups.select(
+        key, start_col, end_col, "_n", end_or_open.alias("_e"), F.max(end_or_open).over(earlier).alias("_before"),
+        F.sum(is_open).over(whole).alias("_open"), F.row_number().over(in_order).alias("_at"))
 
     def problem(prior):
         return (
@@ -101,40 +92,25 @@ def interval_violations(
             .when(F.date_add(prior, 1) < F.col(start_col), F.lit("gap"))
         )
 
-    first = F.greatest("_before", "_prev")      # the first row of a group
-    copies = F.greatest("_before", "_e")        # its identical copies follow it
+    first = problem(F.col("_before"))              # the first row of a group
+    copies = problem(F.greatest("_before", "_e"))  # its identical copies follow it
+    alike = first.eqNullSafe(copies)
+
+    def case(problem, start, end, n):
+        return F.struct(problem.alias("problem"), start.alias("effective_start"), end.alias("effective_end"),
+                        n.cast("long").alias("row_count"))
+
+    day, until, none = F.col(start_col), F.col(end_col), F.lit(None).cast("date")
     cases = F.array(
-        F.struct(problem(first).alias("problem"), F.lit(1).cast("long").alias("n")),
-        F.struct(problem(copies).alias("problem"), (F.col("_n") - 1).alias("n")),
-    )
-    pairs = (
-        rows.select(key, start_col, end_col, F.inline(cases))
-        .where(F.col("problem").isNotNull() & (F.col("n") > 0))
-        .groupBy(key, "problem", start_col, end_col)
-        .agg(F.sum("n").alias("row_count"))
-        .select(
-            F.lit(table).alias("table_name"),
-            F.col(key).alias("entity_id"),
-            "problem",
-            F.col(start_col).alias("effective_start"),
-            F.col(end_col).alias("effective_end"),
-            "row_count",
-        )
+        case(first, day, until, F.when(alike, F.col("_n")).otherwise(1)),
+        case(copies, day, until, F.when(alike, 0).otherwise(F.col("_n") - 1)),
+        case(F.when((F.col("_at") == 1) & (F.col("_open") > 1), F.lit("several_open")), none, none, F.col("_open")),
     )
-    open_many = (
-        open_days.groupBy(key)
-        .agg(F.sum("_day_open").alias("_open"))
-        .where(F.col("_open") > 1)
-        .select(
-            F.lit(table).alias("table_name"),
-            F.col(key).alias("entity_id"),
-            F.lit("several_open").alias("problem"),
-            F.lit(None).cast("date").alias("effective_start"),
-            F.lit(None).cast("date").alias("effective_end"),
-            F.col("_open").alias("row_count"),
-        )
+    return (
+        rows.select(F.col(key).alias("entity_id"), F.inline(cases))
+        .where(F.col("problem").isNotNull() & (F.col("row_count") > 0))
+        .select(F.lit(table).alias("table_name"), "entity_id", "problem", "effective_start", "effective_end", "row_count")
     )
-    return pairs.unionByName(open_many)
 
 
 def current_dimension_rows(dim: DataFrame) -> DataFrame:

@@ -24,13 +24,13 @@ from starloom.operators.clean import prepare_attrition
 from starloom.operators.dims import build_dim_date, build_dim_department, build_dim_project
 from starloom.operators.fact import (
     enriched_assignments,
-    fact_from_enriched,
     has_keys,
     rejects_from_enriched,
     require_snapshot_date,
 )
 from starloom.operators.keys import largest_key
 from starloom.operators.load import (
+    ACCEPTED,
     LAST_KEY,
     PublishConflict,
     claim_run,
@@ -213,23 +213,16 @@ def _load_once(spark: SparkSession, source: TableSource, warehouse: str, as_of:
     # fact for the snapshot
     step("fact")
     require_snapshot_date(dim_date, as_of)
-    # The joined rows are written once, split by whether all their keys were
-    # found, and read back for the fact and its rejects: nothing large is held
-    # on executors.
-    joined = f"{warehouse}/enriched/run={run.number}"
+    # The joined rows are written once, as the snapshot's version, in two folders:
+    # those with all keys are the fact, the others are read back for its rejects.
+    # A run writes only its own snapshot; a full refresh unpublishes the others.
     rows = enriched_assignments(
         employees, x["projects"], x["assignments"], attrition, dim_employee, dim_department,
         dim_project, as_of, names, options.point_in_time,
-    ).withColumn("has_keys", has_keys().cast("int"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("has_keys").parquet(joined)
-    enriched = spark.read.schema(rows.schema).parquet(joined)
-    # the fact is stored per snapshot: this run writes only its own
-    # snapshot; a full refresh unpublishes the others
-    snapshot = snapshot_entry("fact_employee_performance", date_key_of(as_of))
-    write_snapshot_unpublished(fact_from_enriched(enriched.where("has_keys = 1")), warehouse,
-                               "fact_employee_performance", date_key_of(as_of), run.number)
-    run.written[snapshot] = run.number
-    run.write(rejects_from_enriched(enriched.where("has_keys = 0")), "fact_rejects", schemas.FACT_REJECTS)
+    ).withColumn(ACCEPTED, has_keys().cast("int"))
+    joined = write_snapshot_unpublished(rows, warehouse, "fact_employee_performance", date_key_of(as_of), run.number)
+    run.written[snapshot_entry("fact_employee_performance", date_key_of(as_of))] = run.number
+    run.write(rejects_from_enriched(joined.where(F.col(ACCEPTED) == 0)), "fact_rejects", schemas.FACT_REJECTS)
 
     publish(spark, warehouse, run.written,
             replace_prefix="fact_employee_performance@" if full_refresh else None, based_on=run.before,

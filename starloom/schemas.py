@@ -117,6 +117,7 @@ DIM_EMPLOYEE = _schema(
 )
 
 FACT_EMPLOYEE_PERFORMANCE = _schema(
+    ("assignment_id", LONG, False),
     ("employee_key", LONG, False),
     ("department_key", LONG, False),
     ("project_key", LONG, False),
@@ -270,7 +271,7 @@ RULES: dict[str, TableRules] = {
         ),
     ),
     "fact_employee_performance": TableRules(
-        primary_key=(),
+        primary_key=("assignment_id", "date_key"),
         not_null=FACT_COLUMNS,
         foreign_keys=(
             (("employee_key",), "dim_employee", ("employee_key",)),

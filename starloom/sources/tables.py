@@ -7,8 +7,9 @@ reach the scan (parquet ``ReadSchema``/``PushedFilters``; JDBC ``WHERE``).
 
 from __future__ import annotations
 
+import datetime as dt
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,9 +48,11 @@ class TableSource:
     ``kind="parquet"``: table ``t`` is ``{root}/{t}{suffix}``.
     ``kind="jdbc"``: table ``t`` is read through ``url``; the password comes
     from the environment variable ``password_env`` and a missing one is an
-    error.  ``partitioning`` maps a table to ``(column, lower, upper, n)`` so
-    the JDBC read is split into ``n`` parallel range queries; every table but
-    ``SMALL_TABLES`` must have an entry.
+    error.  ``partitioning`` maps a table to ``(column, n)``: the read is split
+    into ``n`` queries at the column's own quantiles, which the database is asked
+    for first, so they are of even size whatever the ids look like; or to
+    ``(column, lower, upper, n)``: ``n`` even ranges between bounds given by hand.
+    Every table but ``SMALL_TABLES`` must have an entry.
     ``kind="published"``: the tables that ``operators.load`` has published in
     ``root`` (onboarding, role changes, gated loads), at their newest versions.
     """
@@ -61,7 +64,7 @@ class TableSource:
     user: str | None = None
     password_env: str = "DB_PASSWORD"
     driver: str | None = None
-    partitioning: Mapping[str, tuple[str, int, int, int]] = field(default_factory=dict)
+    partitioning: Mapping[str, tuple[str, int, int, int] | tuple[str, int]] = field(default_factory=dict)
 
     def jdbc_options(self, table: str) -> dict[str, str]:
         if not self.url:
@@ -75,9 +78,9 @@ class TableSource:
         if self.driver:
             options["driver"] = self.driver
         if table not in self.partitioning and table not in SMALL_TABLES:
-            raise ValueError(f"jdbc table {table} needs partitioning (column, lower, upper, n): "
+            raise ValueError(f"jdbc table {table} needs partitioning (column, n) or (column, lower, upper, n): "
                              "without it one task reads the whole table")
-        if table in self.partitioning:
+        if len(self.partitioning.get(table, ())) == 4:
             column, lower, upper, n = self.partitioning[table]
             options.update(
                 partitionColumn=column,
@@ -88,6 +91,44 @@ class TableSource:
         return options
 
 
+def quantile_query(table: str, column: str, n: int) -> str:
+    """SQL for the smallest value of each of ``n`` parts of even size (at most ``n`` rows)."""
+    return (f"SELECT MIN({column}) AS bound FROM (SELECT {column}, NTILE({n}) OVER (ORDER BY {column}) AS part "
+            f"FROM {table} WHERE {column} IS NOT NULL) parts GROUP BY part ORDER BY bound")
+
+
+def split_predicates(column: str, bounds: Sequence) -> list[str]:
+    """WHERE clauses of which exactly one holds for every row, NULLs included.
+
+    ``bounds`` are the parts' smallest values, ascending; parts that begin with
+    one value are one part.  Without bounds (no rows) the only clause takes all.
+    """
+    def literal(value) -> str:
+        if isinstance(value, str):
+            return "'" + value.replace("'", "''") + "'"
+        if isinstance(value, dt.date):
+            return f"'{value}'"
+        return str(value)
+
+    cuts = [literal(b) for b in dict.fromkeys(bounds)][1:]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {lo} AND {column} < {hi}" for lo, hi in zip(cuts, cuts[1:], strict=False)]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def _read_jdbc(spark: SparkSession, source: TableSource, name: str) -> DataFrame:
+    options = source.jdbc_options(name)
+    if len(source.partitioning.get(name, ())) != 2:
+        return spark.read.format("jdbc").options(**options).load()
+    column, n = source.partitioning[name]
+    del options["dbtable"]
+    bounds = spark.read.format("jdbc").options(**options, query=quantile_query(name, column, n)).load()
+    url = options.pop("url")
+    return spark.read.jdbc(url, name, predicates=split_predicates(column, [r[0] for r in bounds.collect()]),
+                           properties=options)
+
+
 def literal_frame(
     spark: SparkSession, rows: list[tuple], schema: T.StructType
 ) -> DataFrame:
@@ -121,7 +162,7 @@ def read_table(spark: SparkSession, source: TableSource, name: str) -> DataFrame
     """Scan one operational table with its declared columns and types."""
     schema = schemas.SCHEMAS.get(name)
     if source.kind == "jdbc":
-        df = spark.read.format("jdbc").options(**source.jdbc_options(name)).load()
+        df = _read_jdbc(spark, source, name)
     elif source.kind == "parquet":
         if not source.root:
             raise ValueError("parquet source needs a root folder")

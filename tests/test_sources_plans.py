@@ -10,15 +10,42 @@ from pyspark.sql import functions as F
 from starloom.operators import quality
 from starloom.operators.dims import build_dim_department
 from starloom.operators.load import current_versions, load_oltp
+from starloom.operators.scd2 import interval_violations
 from starloom.plans import reports
 from starloom.plans.catalog import queries
 from starloom.schemas import RULES, SCHEMAS
 from starloom.sources.csv import read_attrition_csv, read_raw_snapshot
-from starloom.sources.tables import TableSource, register_database, run_sql
+from starloom.sources.tables import TableSource, quantile_query, register_database, run_sql, split_predicates
 
 SF = "/root/testdata/sf0.001"
 
 
+def test_splits_at_quantiles_are_even_and_take_each_row_once(spark, monkeypatch):
+    # ids in two far clusters and one id that holds a third of all rows
+    ids = [*range(0, 400), *range(10**9, 10**9 + 400), *[500] * 400, None, None]
+    spark.createDataFrame([(i,) for i in ids], "id long").createOrReplaceTempView("split_me")
+    bounds = [r[0] for r in spark.sql(quantile_query("split_me", "id", 12)).collect()]
+    clauses = split_predicates("id", bounds)
+    sizes = [spark.table("split_me").where(c).count() for c in clauses]
+    assert sum(sizes) == len(ids) and sum(spark.table("split_me").where(c).count() for c in clauses) == len(ids)
+    hot = [s for s in sizes if s >= 400]
+    assert len(hot) == 1 and max(s for s in sizes if s < 400) <= 2 * len(ids) / 12  # only the one id is not split
+    assert split_predicates("id", []) == ["1 = 1"] == split_predicates("id", [7])
+    assert split_predicates("d", [dt.date(2020, 1, 1), dt.date(2021, 1, 1)]) == [
+        "d < '2021-01-01' OR d IS NULL", "d >= '2021-01-01'"]
+    assert split_predicates("s", ["a", "o'b"])[1] == "s >= 'o''b'"
+    monkeypatch.setenv("DB_PASSWORD", "secret")
+    source = TableSource(kind="jdbc", url="jdbc:mysql://db:3306/hr", partitioning={"assignments": ("assignment_id", 8)})
+    assert "numPartitions" not in source.jdbc_options("assignments")  # the read itself needs a database: not tested
+
+
+def test_interval_check_takes_one_scan_and_two_shuffles(spark, tmpdir_path):
+    spark.createDataFrame([], SCHEMAS["employee_history"]).write.parquet(f"{tmpdir_path}/h")
+    found = interval_violations(spark.read.parquet(f"{tmpdir_path}/h"), "employee_id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert _scans(found) == 1 and plan.count("Exchange") == 2 and "Join" not in plan
+
+
 def test_jdbc_options_need_a_password(monkeypatch):
     src = TableSource(kind="jdbc", url="jdbc:mysql://db:3306/hr", user="etl",
                       partitioning={"assignments": ("assignment_id", 1, 3000, 8)})
