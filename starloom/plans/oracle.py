@@ -721,7 +721,7 @@ from enriched where dept_name not in (select dept_name from dept_before)""",
     "dq_foreign_key_earlier_departments": """
 select 'foreign_key' as rule, 'fact_employee_performance' as table_name,
        'fk_fact_employee_performance_department_key' as constraint_name,
-       concat_ws('|', employee_key, project_key, date_key) as record_key,
+       concat_ws('|', assignment_id, date_key) as record_key,
        cast(department_key as varchar) as detail
 from fact where department_key not in (select department_key from dept_before)""",
     "dq_one_current_unclosed": f"""
