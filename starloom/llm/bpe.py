@@ -4,9 +4,11 @@ A task takes its documents in blocks.  The distinct words (matches of the split
 pattern) of a block that it doesn't know yet are laid out one after another as
 one sequence of tokens, linked to their neighbours, and an inverted index lists,
 for each rank, the positions whose pair merges to that rank.  The merges are
-replayed in rank order: all positions of a rank are merged, left to right, and
-only the two pairs that touch a merged token are looked up and listed anew.  The
-ids of each word are then copied to all its places.
+replayed in rank order, a band of ranks at a time: of each word the positions
+of its lowest rank are merged, left to right, all words at once, and only the
+pairs that touch a merged token are looked up and listed anew.  A pair of a rank
+below the band's end comes up in the band's next round.  The ids of each word
+are then copied to all its places.
 
 Blocks are encoded apart, without a shuffle; a word has the same ids in each.
 """
@@ -14,8 +16,10 @@ Blocks are encoded apart, without a shuffle; a word has the same ids in each.
 from __future__ import annotations
 
 import base64
-import heapq
+import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +30,13 @@ from pyspark.sql import functions as F
 
 #: Text that is encoded at a time.
 BLOCK_BYTES = 4 << 20
-#: Distinct words and pieces whose ids a Python worker remembers.
-CACHE_WORDS = 600_000
+#: Distinct pieces of text whose ids a Python worker remembers; beyond it those of the last block only.
+CACHE_PIECES = 500_000
+#: Positions that a band of ranks takes from the index, all of its last rank included.
+BAND = 50_000
+
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+_EDGE = re.compile(r"^ |\s | \s| $")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,16 +61,19 @@ class MergeReplay:
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = rank
-        none: dict[int, int] = {}
-        self.after: list[dict[int, int]] = [none] * (max(self.tokens) + 1)  # by first token: second token -> rank
-        for key, rank in pairs.items():
-            if self.after[key >> 32] is none:
-                self.after[key >> 32] = {}
-            self.after[key >> 32][key & 0xFFFFFFFF] = rank
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
-        self.known: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        #: Ranks whose merge can bring up a pair of a lower rank, which then goes first.
+        self.turns_back = np.zeros(max(self.tokens) + 1, bool)
+        for side in (self.pair_keys >> 32, self.pair_keys & 0xFFFFFFFF):
+            self.turns_back[side[self.pair_ranks < side]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the memory of pieces: each one's number, and by number where its ids lie in ``ids``."""
+        self.slots: dict = defaultdict()
+        self.slots.default_factory = self.slots.__len__
+        self.starts, self.ids = np.zeros(1, np.int64), np.empty(0, np.int32)
 
     @classmethod
     def of(cls, path: str, pattern: str) -> MergeReplay:
@@ -69,121 +81,144 @@ class MergeReplay:
             cls._made[path, pattern] = cls(path, pattern)
         return cls._made[path, pattern]
 
-    def replay(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each of the non-empty ``words``, as little-endian 32-bit numbers."""
-        out: list = [None] * len(words)
-        todo = []
-        for i, w in enumerate(words):
-            rank = self.ranks.get(w)  # a word that is a token needs no merge
-            if rank is None:
-                todo.append(i)
-            else:
-                out[i] = rank.to_bytes(4, "little")
-        if not todo:
-            return out
-        sizes = np.array([len(words[i]) for i in todo])
-        token = self.single[np.frombuffer(b"".join([words[i] for i in todo]), np.uint8)]
-        ends = np.cumsum(sizes)
-        inside = np.ones(len(token), bool)
-        inside[ends - 1] = False  # no pair starts at a word's last token
-        key = np.where(inside, token << 32 | np.append(token[1:], 0), -1)
+    def lookup(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The rank that each pair of tokens merges to, or -1."""
+        key = first << 32 | second
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        places = np.flatnonzero(self.pair_keys[at] == key)
-        merged = self.pair_ranks[at[places]]
-        order = np.argsort(merged, kind="stable")
-        cuts = np.flatnonzero(np.diff(merged[order], prepend=-1))
-        lists = np.split(places[order], cuts[1:]) if len(cuts) else []
-        index = {int(merged[order[c]]): part.tolist() for c, part in zip(cuts, lists, strict=True)}
-        pair = np.full(len(token), -1)
-        pair[places] = merged
-        left, right = np.arange(-1, len(token) - 1), np.arange(1, len(token) + 1)
-        left[ends[:-1]] = -1
-        right[ends - 1] = -1
-        token = token.tolist()
-        self._merge(index, pair.tolist(), token, left.tolist(), right.tolist())
-        token = np.array(token)
-        whole = token >= 0
-        ids, n = token[whole].astype("<i4").tobytes(), np.add.reduceat(whole, ends - sizes, dtype=np.int64)
-        stops = (np.cumsum(n) * 4).tolist()
-        for i, lo, hi in zip(todo, [0, *stops[:-1]], stops, strict=True):
-            out[i] = ids[lo:hi]
-        return out
-
-    def _merge(self, index: dict[int, list[int]], pair: list[int], token: list[int],
-               left: list[int], right: list[int]) -> None:
-        """Replay all merges; a token that its left neighbour takes up becomes -1.
-
-        ``pair`` has the rank of the pair that starts at a position, or -1; an
-        entry of ``index`` that it no longer agrees with is out of date.
-        """
-        second, heap = self.after, list(index)
-        heapq.heapify(heap)
-        while heap:
-            rank = heapq.heappop(heap)
-            spots = index.pop(rank)
-            spots.sort()
-            of_rank = second[rank]
-            for done, p in enumerate(spots):
-                if pair[p] != rank:
-                    continue
-                q = right[p]
-                token[p], token[q] = rank, -1
-                pair[p] = pair[q] = -1
-                lower = False
-                after = right[p] = right[q]
-                if after >= 0:
-                    left[after] = p
-                    new = of_rank.get(token[after])
-                    if new is not None:
-                        pair[p] = new
-                        if new in index:
-                            index[new].append(p)
-                        else:
-                            index[new] = [p]
-                            heapq.heappush(heap, new)
-                        lower = new < rank
-                before = left[p]
-                if before >= 0:
-                    new = second[token[before]].get(rank)
-                    if new is None:
-                        pair[before] = -1
-                    else:
-                        pair[before] = new
-                        if new in index:
-                            index[new].append(before)
-                        else:
-                            index[new] = [before]
-                            heapq.heappush(heap, new)
-                        lower = lower or new < rank
-                if lower and done + 1 < len(spots):  # an earlier merge has come up: it goes first
-                    index[rank] = spots[done + 1:]
-                    heapq.heappush(heap, rank)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
+
+    def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all the non-empty ``words``, one after another, and how many each has."""
+        whole = [self.ranks.get(w, -1) for w in words]  # a word that is a token needs no merge
+        sizes = np.array([len(w) if rank < 0 else 1 for w, rank in zip(words, whole, strict=True)], np.int64)
+        token = np.empty(int(sizes.sum()), np.int64)
+        whole = np.array(whole, np.int64)
+        known = np.repeat(whole >= 0, sizes)
+        token[known] = whole[whole >= 0]
+        rest = b"".join([w for w, rank in zip(words, whole.tolist(), strict=True) if rank < 0])
+        token[~known] = self.single[np.frombuffer(rest, np.uint8)]
+        word = np.repeat(np.arange(len(words)), sizes)
+        self._merge(token, word)
+        stays = token >= 0
+        return token[stays].astype(np.int32), np.bincount(word[stays], minlength=len(words))
+
+    def _merge(self, token: np.ndarray, word: np.ndarray) -> None:
+        """Replay all merges within words; a token that its left neighbour takes up becomes -1."""
+        n = len(token)
+        left, right, pair = np.arange(-1, n - 1), np.arange(1, n + 1), np.full(n, -1)
+        border = np.append(word[1:] != word[:-1], True)[:n]
+        right[border] = -1
+        left[np.append(0, np.flatnonzero(border)[:-1] + 1)[:n]] = -1
+        inside = np.flatnonzero(right >= 0)
+        pair[inside] = self.lookup(token[inside], token[right[inside]])
+        spots = inside[pair[inside] >= 0]
+        later = [(pair[spots], spots)]  # the index: ranks and their positions, out of date where ``pair`` says otherwise
+        while later:
+            rank, spots = (np.concatenate(x) for x in zip(*later, strict=True))
+            current = pair[spots] == rank
+            rank, spots = rank[current], spots[current]
+            if not len(rank):
+                return
+            end = rank.max() if len(rank) <= BAND else np.partition(rank, BAND)[BAND]
+            now = spots[rank <= end]
+            later = [(rank[rank > end], spots[rank > end])]
+            while len(now):
+                now = distinct(now[(pair[now] >= 0) & (pair[now] <= end)])
+                if not len(now):
                     break
+                touched = self._round(now, token, word, left, right, pair)
+                new = pair[touched]
+                later.append((new[new > end], touched[new > end]))
+                now = np.concatenate([now, touched[new >= 0]])
+
+    def _round(self, spots: np.ndarray, token: np.ndarray, word: np.ndarray, left: np.ndarray, right: np.ndarray,
+               pair: np.ndarray) -> np.ndarray:
+        """Merge, in each word, the pairs of its lowest rank among ``spots`` (sorted); positions of the touched pairs."""
+        rank, of = pair[spots], word[spots]
+        first = np.append(True, of[1:] != of[:-1])
+        lowest = np.minimum.reduceat(rank, np.flatnonzero(first))[np.cumsum(first) - 1]
+        spots = spots[rank == lowest]
+        # of positions in a row, each of which shares a token with the next, every other one
+        joined = np.append(False, right[spots[:-1]] == spots[1:])
+        at = np.arange(len(spots))
+        spots = spots[(at - np.maximum.accumulate(np.where(joined, 0, at))) % 2 == 0]
+        again = np.append(False, word[spots[1:]] == word[spots[:-1]]) & self.turns_back[pair[spots]]
+        spots = spots[~again]  # what comes up may go before a word's further ones
+        gone = right[spots]
+        token[spots], token[gone] = pair[spots], -1
+        pair[gone] = -1
+        after = right[gone]
+        right[spots] = after
+        left[after[after >= 0]] = spots[after >= 0]
+        before = left[spots]
+        touched = distinct(np.concatenate([spots, before[before >= 0]]))
+        last = right[touched] < 0
+        pair[touched[last]] = -1
+        touched = touched[~last]
+        pair[touched] = self.lookup(token[touched], token[right[touched]])
+        return touched
 
-    def pieces(self, text: str) -> list[str]:
-        """``text`` cut where a space stands before a character that is no white space.
+    def pieces(self, text: str) -> list:
+        """``text`` cut before each space between two characters that are no white space.
 
         A match of the pattern never spans such a place, so pieces can be
-        encoded, and remembered, one by one.
+        encoded, and remembered, one by one.  The first is a tuple of itself; the
+        others stand without the space before them.
         """
-        parts = text.split(" ")
-        for part in parts[1:]:
-            if not part or part[0].isspace():
-                return [text]
-        return [parts[0], *[" " + part for part in parts[1:]]]
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        if len(self.known) + len(self.chunks) > CACHE_WORDS:
-            self.known, self.chunks = {}, {}
-        known, chunks = self.known, self.chunks
-        cut = [self.pieces(t) for t in texts]
-        fresh = {c: self.split(c) for c in set().union(*cut).difference(chunks)}
-        words = list(set().union(*fresh.values()).difference(known))
-        known.update(zip(words, self.replay([w.encode() for w in words]), strict=True))
-        for chunk, parts in fresh.items():
-            chunks[chunk] = b"".join(map(known.__getitem__, parts))
-        return [np.frombuffer(b"".join(map(chunks.__getitem__, parts)), "<i4") for parts in cut]
+        parts = _CUT.split(text) if _EDGE.search(text) else text.split(" ")
+        parts[0] = (parts[0],)
+        return parts
+
+    def _learn(self, fresh: list) -> None:
+        """Remember the ids of pieces that have got their numbers."""
+        cut = [self.split(" " + p if isinstance(p, str) else p[0]) for p in fresh]
+        number = {w: k for k, w in enumerate(set().union(*cut))}
+        ids, sizes = self.replay([w.encode() for w in number])
+        starts = np.cumsum(sizes) - sizes
+        words = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64)
+        n = np.array(list(map(len, cut)), np.int64)
+        upto = np.concatenate([[0], np.cumsum(sizes[words])])
+        ends = upto[np.cumsum(n)] + self.starts[-1]
+        self.ids = np.concatenate([self.ids, ids[spans(starts[words], sizes[words])]])
+        self.starts = np.concatenate([self.starts, ends])
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and where each text's begin and the last end."""
+        known, number = len(self.slots), self.slots.__getitem__
+        found, n = [], []
+        for text in texts:
+            parts = self.pieces(text)
+            n.append(len(parts))
+            found.append(np.fromiter(map(number, parts), np.int32, len(parts)))
+        if len(self.slots) > known:
+            self._learn(list(islice(self.slots, known, None)))
+        flat = np.concatenate(found)
+        sizes = np.diff(self.starts)[flat]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(n)])]
+        ids = self.ids[spans(self.starts[flat], sizes)]
+        if len(self.slots) > CACHE_PIECES:
+            self._keep(np.unique(flat))
+        return ids, ends
+
+    def _keep(self, used: np.ndarray) -> None:
+        """Remember the pieces with these numbers only."""
+        pieces, sizes = list(self.slots), np.diff(self.starts)[used]
+        ids = self.ids[spans(self.starts[used], sizes)]
+        self.forget()
+        self.slots.update((pieces[k], i) for i, k in enumerate(used.tolist()))
+        self.starts, self.ids = np.concatenate([[0], np.cumsum(sizes)]), ids
+
+
+def distinct(places: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    places = np.sort(places)
+    return places[np.append(True, places[1:] != places[:-1])] if len(places) else places
+
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of some spans, one span after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -198,45 +233,60 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES) -> Iterat
             lo = hi
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    stops = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-    flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(flat, pa.int32()))
+def _token_table(tokens: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens' bytes, and where each id's begin and the last end."""
+    each = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+    return np.frombuffer(b"".join(each), np.uint8), np.concatenate([[0], np.cumsum(list(map(len, each)))])
+
+
+def _decoded(ids: np.ndarray, ends: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> pa.Array:
+    """The bytes of each list of ids; list i ends where ``ends[i + 1]`` says."""
+    data, starts = table
+    sizes = np.diff(starts)[ids]
+    stops = np.concatenate([[0], np.cumsum(sizes)])[ends]
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [
+        None, pa.py_buffer(stops.astype(np.int64)), pa.py_buffer(data[spans(starts[ids], sizes)])]).cast(pa.binary())
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def encode(docs: DataFrame, ranks: str, pattern: str, decoded: bool = False) -> DataFrame:
     """``(doc_id, ids array<int>)`` of every row of ``docs(doc_id, text, …)``.
 
     ``ranks`` is the path, on every node, of a vocabulary of base64 tokens and
     ranks.  Each match of ``pattern`` is encoded by itself; there are no special
     tokens.  Null and empty texts have no ids.  Repeated rows give repeated
-    results; an empty table gives none; other columns are not read.
+    results; an empty table gives none; other columns are not read.  Texts may
+    have any length: one that is longer than a block is a block of its own.
+    ``pattern`` must not match across a space between two characters that are no
+    white space.  With ``decoded`` a third column has the ids decoded again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = MergeReplay.of(ranks, pattern)
+        coder, table = MergeReplay.of(ranks, pattern), None
+        if decoded:
+            table = _token_table(coder.tokens)
         for batch in blocks(batches):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _lists(coder(batch.column(1).to_pylist()))], ["doc_id", "ids"])
+            ids, ends = coder(batch.column(1).to_pylist())
+            columns = [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))]
+            if decoded:
+                columns.append(_decoded(ids, ends, table))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][:len(columns)])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>")
+        run, f"doc_id {kind}, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(coded: DataFrame, ranks: str) -> DataFrame:
     """``(doc_id, ids, decoded binary)`` of rows ``(doc_id, ids)``; null ids decode to no bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in read_ranks(ranks).items()}
-        token = np.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], object)
+        table = _token_table({rank: token for token, rank in read_ranks(ranks).items()})
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                lists = part.column(1)
-                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                flat, ends = token[lists.flatten().to_numpy(zero_copy_only=False)], np.cumsum(n)
-                found = [b"".join(flat[e - k:e]) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+                n = pc.fill_null(pc.list_value_length(part.column(1)), 0).to_numpy(zero_copy_only=False)
+                ids = part.column(1).flatten().to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), lists, pa.array(found, pa.binary())], ["doc_id", "ids", "decoded"])
+                    [part.column(0), part.column(1), _decoded(ids, np.concatenate([[0], np.cumsum(n)]), table)],
+                    ["doc_id", "ids", "decoded"])
 
     kind = coded.schema["doc_id"].dataType.simpleString()
     return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")

@@ -10,7 +10,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.bpe import decode, encode
+from starloom.llm.bpe import encode
 from starloom.llm.common import table
 from starloom.llm.conversation_trie import prefix_trie, spliced, turn_sequences
 from starloom.llm.embedding_dedup import embedding_dedup
@@ -52,7 +52,7 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
-    coded = decode(encode(table(spark, sf_dir, "documents"), ranks, PATTERN), ranks)
+    coded = encode(table(spark, sf_dir, "documents"), ranks, PATTERN, decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

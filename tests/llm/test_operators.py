@@ -1,5 +1,6 @@
 """Each operator against a plain version, and on nulls, empty and long texts, ties and empty tables."""
 
+import base64
 import hashlib
 import random
 import re
@@ -181,16 +182,51 @@ def test_bpe_equals_tiktoken_and_decodes(docs, pairs, no_docs):
     coded = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS)
     got = sorted(((r["doc_id"], list(r["ids"]), bytes(r["decoded"])) for r in coded.collect()), key=repr)
     assert got == sorted(((i, other.encode_ordinary(t or ""), (t or "").encode()) for i, t in pairs), key=repr)
-    assert bpe.encode(no_docs, RANKS, PATTERN).count() == 0
+    both = bpe.encode(docs, RANKS, PATTERN, decoded=True)
+    assert sorted(((r["doc_id"], list(r["ids"]), bytes(r["decoded"])) for r in both.collect()), key=repr) == got
+    assert bpe.encode(no_docs, RANKS, PATTERN, decoded=True).count() == 0
 
 
-def test_bpe_on_awkward_strings():
-    coder = bpe.MergeReplay.of(RANKS, PATTERN)
+def encoded(coder, texts):
+    ids, ends = coder(texts)
+    return [part.tolist() for part in np.split(ids, ends[1:-1])]
+
+
+@pytest.mark.parametrize("band", [1, 40, 50_000])
+def test_bpe_on_awkward_strings(monkeypatch, band):
+    monkeypatch.setattr(bpe, "BAND", band)
+    coder = bpe.MergeReplay(RANKS, PATTERN)
     other = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
     rng = random.Random(2)
     letters = "aaaab \n\tAé☃́\x1c\x85 01234..!'stre퟿𝔸<|endoftext|>"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
-    assert [x.tolist() for x in coder(texts)] == [other.encode_ordinary(t) for t in texts]
+    texts += ["".join(map(chr, rng.choices(range(1, 0x2FF), k=50))) for _ in range(300)]
+    texts += [c * n for c in "a=- 0é\n" for n in (1, 2, 3, 5, 64, 1000)] + ["abc" * 300, "\x00" * 70, " a  b " * 50]
+    texts += ["".join(rng.choice("etaoinshrdlu") for _ in range(n)) for n in (300, 3000)]
+    assert encoded(coder, texts) == [other.encode_ordinary(t) for t in texts]
+
+
+def test_bpe_takes_the_lower_rank_that_a_merge_brings_up(tmp_path):
+    # merging b+c (rank 260) before a second b+c brings up a+bc (rank 257): it must go first
+    tokens = [bytes([b]) for b in range(256)] + [b"zz", b"abc", b"cab", b"zzz", b"bc", b"bcabc", b"bcbc"]
+    path = tmp_path / "v.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for r, t in enumerate(tokens)))
+    coder = bpe.MergeReplay(str(path), PATTERN)
+    assert coder.turns_back.any()
+    other = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcz") for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    assert encoded(coder, texts) == [other.encode_ordinary(t) for t in texts]
+
+
+def test_bpe_forgets_pieces_without_harm(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 20)
+    coder = bpe.MergeReplay(RANKS, PATTERN)
+    other = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    for k in range(12):
+        texts = [f"{prose(30)} word{k} é{k}", "", prose(5)]
+        assert encoded(coder, texts) == [other.encode_ordinary(t) for t in texts]
+        assert len(coder.slots) <= 20 + 40
 
 
 def test_packing(docs, pairs, no_docs):
