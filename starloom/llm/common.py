@@ -77,6 +77,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .where("u > v").distinct())
     links = settled(links)
+    mark = _mark(links)
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -90,7 +91,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                .unionByName(step.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")))
                .distinct())
         nxt = settled(nxt)
-        if _mark(nxt) == _mark(links):
+        before, mark = mark, _mark(nxt)
+        if mark == before:
             break
         links = nxt
     roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -40,6 +40,10 @@ _MARKS = "[\\x{0300}-\\x{036F}]"
 _STOPS = "([a-z])([,.]+)(\\s|$)"
 
 
+#: Words that tell what a tokenizer does with case, punctuation and white space.
+_PROBES = ("the", "Paris", "zqx", "naive", "i", "I'm", "tokenizer", "don't", "x", "unquestionably")
+
+
 def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
     """``array``, or a longer copy, with room for ``more`` after ``used``."""
     if used + more <= len(array):
@@ -51,9 +55,10 @@ class WordTokenizer:
     """Ids of texts by a tokenizer whose words never span ASCII white space.
 
     Each distinct word of a block is tokenised once and its ids are copied to
-    its places.  The tokenizer lower-cases and takes punctuation apart from
-    letters; doing both beforehand where that is sure to change nothing leaves
-    fewer distinct words.
+    its places.  Where the tokenizer lower-cases and takes punctuation apart from
+    letters, doing both beforehand leaves fewer distinct words.  Probes tell
+    whether it does: one for which white space matters gets whole texts, one with
+    cased tokens, or tokens of letters and punctuation, words as they are.
     """
 
     _made: dict[str, WordTokenizer] = {}
@@ -64,8 +69,19 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.by_words = all(self._same(a + gap + b, a, b) for gap in (" ", "  ", "\t", "\n", " \r\n")
+                            for a, b in zip(_PROBES, reversed(_PROBES), strict=True))
+        self.folded = self.by_words and all(
+            self._same(w.upper(), w.lower()) and self._same(w.title(), w.lower())
+            and all(self._same(w.lower() + stop, w.lower(), stop) for stop in (".", ",", "...", ",.", ",,"))
+            for w in _PROBES)
         self._forget()
 
+    def _same(self, text: str, *parts: str) -> bool:
+        """Whether a text has the ids of its parts, one part after another."""
+        ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in (text, *parts)]
+        return ids[0] == list(chain.from_iterable(ids[1:]))
+
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
         if path not in cls._made:
@@ -91,18 +107,26 @@ class WordTokenizer:
             self.known += len(part)
             self.used += int(sizes.sum())
 
+    @staticmethod
+    def _fold(texts: pa.Array) -> pa.Array:
+        """Lower-cased, with a space before what ends a word."""
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), _STOPS, r"\1 \2\3")
+        marked = pc.match_substring_regex(texts, _MARKS).to_pylist()
+        if not any(marked):
+            return plain
+        return pa.array([t if m else p for t, m, p in zip(
+            texts.to_pylist(), marked, plain.to_pylist(), strict=True)], pa.large_string())
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids end."""
         if len(self.places) > CACHE_WORDS:
             self._forget()
         texts = texts.cast(pa.large_string())
         texts = pa.concat_arrays([texts, texts.slice(0, 0)])  # a copy: ascii_lower misreads sliced arrays
-        plain = pc.replace_substring_regex(pc.ascii_lower(texts), _STOPS, r"\1 \2\3")
-        marked = pc.match_substring_regex(texts, _MARKS).to_pylist()
-        if any(marked):
-            plain = pa.array([t if m else p for t, m, p in zip(
-                texts.to_pylist(), marked, plain.to_pylist(), strict=True)], pa.large_string())
-        lists = pc.ascii_split_whitespace(plain)
+        if self.by_words:
+            lists = pc.ascii_split_whitespace(self._fold(texts) if self.folded else texts)
+        else:
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1), pa.int32()), texts)
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         self._learn([w for w in words if w not in self.places])

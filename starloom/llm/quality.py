@@ -160,8 +160,10 @@ def fit(sample: DataFrame, how: Ftrl = Ftrl()) -> np.ndarray:
 def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
     """``docs`` as ``_row`` with ``_score``, the probability of label 1 (0 to 1).
 
-    A null or empty text, or one of white space only, has no features: its
-    score is the logistic of the bias.  No column but ``text`` is read.
+    White space at an end of a text stands beside an empty word, and a null or
+    empty text is one empty word.  Texts may have any length.  No column but
+    ``text`` is read; repeated rows are scored one by one, an empty table gives
+    no rows.
     """
     bits = (len(model) - 1).bit_length() - 1
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -40,17 +40,11 @@ CLASSES = (
     ("one case and digits", "^[a-z0-9]+$|^[A-Z0-9]+$", 3.6),
     ("mixed", "", 3.8),
 )
-#: Candidates that hold one of these are no secrets.
-ALLOW = (
-    "^[0-9]+$",
-    "(?i)example|placeholder|changeme|your_|dummy|sample|redacted",
-    "(.)\\1{7,}",
-    "0123456789|123456789|abcdefgh|ABCDEFGH|qwerty",
-)
-#: Of these, what stands anywhere in a candidate (longest matches first), and what is all of one.
+#: Candidates that are all of one of these are no secrets; of the others only the
+#: windows that overlap a match of ``ALLOW_PART`` (longest matches first) are left out.
+ALLOW_WHOLE = ("^[0-9]+$",)
 ALLOW_PART = "|".join(["(.)\\1{7,}", "(?i:example|placeholder|changeme|your_|dummy|sample|redacted)",
                        "0123456789|123456789|abcdefgh|ABCDEFGH|qwerty"])
-ALLOW_WHOLE = ALLOW[:1]
 
 
 def _spans(text: Column, pattern: str, hits: Column, kind: str, order: int) -> Column:
@@ -128,7 +122,7 @@ def _stretches(candidate: Column, start: Column, threshold: Column, window: int)
     return F.aggregate(pairs, begin, step, lambda s: s["found"])
 
 
-def _threshold(candidate: Column, allow: Sequence[str] = ALLOW) -> Column:
+def _threshold(candidate: Column, allow: Sequence[str] = ALLOW_WHOLE) -> Column:
     """Bits per character that flag a window; null for an allowed candidate."""
     limit = None
     for pattern in allow:
@@ -140,16 +134,15 @@ def _threshold(candidate: Column, allow: Sequence[str] = ALLOW) -> Column:
     return limit
 
 
-def secret_spans(docs: DataFrame, window: int = WINDOW, parts: bool = False) -> DataFrame:
+def secret_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` as ``_row`` with ``_base`` and ``_added``: arrays of spans ``(start, ord, end, kind)``.
 
     Positions count code points, ends are exclusive, and arrays are sorted.
     Null and empty texts have no spans.  ``_base`` has the three fixed kinds,
     leftmost and non-overlapping per kind; ``_added`` the entropy spans, which
-    may overlap base ones.  Without ``parts`` a candidate in which the allow-list
-    finds anything has none; with it only windows that overlap a match are left
-    out and the rest is scored by the class of the candidate.  No column of ``docs`` but ``text`` is read, and all
-    are kept inside ``_row``.
+    may overlap base ones: windows that overlap an allow-list match are left out,
+    the rest is scored by the class of the candidate.  Texts may have any length.
+    No column of ``docs`` but ``text`` is read, and all are kept inside ``_row``.
     """
     text = F.col("_text")
     rows = docs.select(F.struct(F.col("*")).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"))
@@ -169,15 +162,9 @@ def secret_spans(docs: DataFrame, window: int = WINDOW, parts: bool = False) ->
                     _spans(text, HEX, F.col("_hex"), "hex", 2))
     candidates = F.arrays_zip(_spans(text, CANDIDATE, F.col("_candidates"), "", 0).alias("span"),
                               F.col("_candidates").alias("string"))
-    if parts:
-        scored = F.flatten(F.transform(
-            F.filter(candidates, lambda c: _threshold(c["string"], ALLOW_WHOLE).isNotNull()),
-            lambda c: _stretches(c["string"], c["span"]["start"], _threshold(c["string"], ALLOW_WHOLE), window)))
-    else:
-        scored = F.transform(
-            F.filter(candidates, lambda c: _threshold(c["string"]).isNotNull()),
-            lambda c: F.struct(c["string"].alias("string"), c["span"]["start"].alias("start"),
-                               _threshold(c["string"]).alias("threshold")))
+    scored = F.flatten(F.transform(
+        F.filter(candidates, lambda c: _threshold(c["string"]).isNotNull()),
+        lambda c: _stretches(c["string"], c["span"]["start"], _threshold(c["string"]), window)))
     added = F.when(F.size("_candidates") > 0, F.flatten(F.transform(
         scored, lambda c: _flagged(c["string"], c["start"], c["threshold"], window))))
     return hits.select("_row", F.array_sort(base).alias("_base"),
@@ -189,13 +176,13 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, mask: str = "[SECRET]", window: int = WINDOW, parts: bool = False) -> DataFrame:
+def redact(docs: DataFrame, mask: str = "[SECRET]", window: int = WINDOW) -> DataFrame:
     """``docs`` with every span replaced by ``mask`` (overlapping spans by one), and ``n_chars``,
     where there is such a column, counted anew for the texts that change.
 
     All rows and columns stay; null texts stay null.
     """
-    found = secret_spans(docs, window, parts)
+    found = secret_spans(docs, window)
     spans = F.array_sort(F.concat("_base", "_added"))
     text = F.col("_row.text")
 

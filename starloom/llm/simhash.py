@@ -3,9 +3,11 @@
 A text's fingerprint takes, bit by bit, the majority of its shingles' 64-bit
 hashes.  Fingerprints within ``distance`` bits are linked:
 
-* The 64 bits are cut into ``distance + 2`` bands.  Two linked fingerprints
-  agree in at least two bands, so each fingerprint is routed once per pair of
-  bands and meets every partner; no all-pairs step is needed.
+* The 64 bits are cut into ``distance + k`` bands.  Two linked fingerprints
+  agree in at least k bands, so each fingerprint is routed once per choice of k
+  bands and meets every partner; no all-pairs step is needed.  k is 2 or grows
+  with the number of fingerprints.  A key with a crowd is dealt anew, by pairs of
+  blocks (``routed``).
 * Where they meet, fingerprints are sorted by Gray rank, so neighbours differ
   in few bits, and runs of them hang under nodes.  A node holds the bits that
   all its leaves share and its parent doesn't hold yet.  A search adds up the
@@ -26,11 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import components, settled, whole_text
+from starloom.llm.common import components, settled, small, whole_text
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Children of an index node.
 FANOUT = 8
+#: Fingerprints of a key; of more, each pair of blocks of this size is a key of its own.
+GROUP = 4096
 #: Rows that a task indexes, and (query, node) pairs that it follows, at a time.
 CHUNK_ROWS = 1 << 18
 CHUNK_PAIRS = 1 << 21
@@ -166,19 +170,45 @@ def _links(key: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray,
     return nodes[linked], nodes[label[linked]]
 
 
+def agreeing_bands(rows: int, distance: int) -> int:
+    """How many of ``distance`` + k bands a key takes (k), so that few of ``rows`` unrelated fingerprints share one."""
+    k = 2
+    while 64 * k // (distance + k) < min(rows.bit_length() - 4, 56):
+        k += 1
+    return k
+
+
+def routed(prints: DataFrame, distance: int) -> DataFrame:
+    """``(key, fp)``: two of the distinct ``prints(fp)`` within ``distance`` bits have a key in common.
+
+    The 64 bits are cut into ``distance + k`` bands; a key is k of them, and the
+    k grows with the number of fingerprints, so a key's unrelated ones stay few.
+    A key that more than ``GROUP`` fingerprints have (a crowd around one text) is
+    dealt anew: its fingerprints are cut into blocks by a hash, and each pair of
+    blocks is a key of its own, with at most about two blocks' rows.
+    """
+    k = agreeing_bands(prints.count(), distance)
+    edges = [64 * i // (distance + k) for i in range(distance + k + 1)]
+    keys = []
+    for i, chosen in enumerate(combinations(range(distance + k), k)):
+        bits = [F.shiftrightunsigned("fp", edges[j]).bitwiseAND(F.lit((1 << edges[j + 1] - edges[j]) - 1)) for j in chosen]
+        keys.append(F.xxhash64(F.lit(i), *bits))
+    keyed = prints.select(F.explode(F.array(*keys)).alias("key"), "fp")
+    crowds = settled(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP))
+    if crowds.isEmpty():
+        return keyed
+    crowds = small(crowds)
+    blocks = F.ceil(F.col("n") / GROUP).cast("int")
+    dealt = (keyed.join(crowds, "key")
+             .withColumn("own", F.pmod(F.xxhash64(F.lit(7), "fp"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "fp"))
+    return keyed.join(crowds.select("key"), "key", "left_anti").unionByName(dealt)
+
+
 def linked_prints(prints: DataFrame, distance: int = 4) -> DataFrame:
     """Links ``(a, b)`` that join the same components as all pairs of the distinct
     ``prints(fp)`` within ``distance`` bits."""
-    bands, width, at = [], 64 // (distance + 2), 0
-    for i in range(distance + 2):
-        bits = width + (1 if i < 64 - width * (distance + 2) else 0)
-        bands.append((at, bits))
-        at += bits
-    keys = []
-    for i, ((s1, n1), (s2, n2)) in enumerate(combinations(bands, 2)):
-        one = F.shiftrightunsigned("fp", s1).bitwiseAND(F.lit((1 << n1) - 1))
-        two = F.shiftrightunsigned("fp", s2).bitwiseAND(F.lit((1 << n2) - 1))
-        keys.append(F.xxhash64(F.lit(i), one, two))
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +229,7 @@ def linked_prints(prints: DataFrame, distance: int = 4) -> DataFrame:
         if len(key):
             yield out(key, fp)
 
-    return (prints.select(F.explode(F.array(*keys)).alias("key"), "fp")
-            .repartition(parts, "key").sortWithinPartitions("key")
+    return (routed(prints, distance).repartition(parts, "key").sortWithinPartitions("key")
             .mapInArrow(run, "a long, b long").distinct())
 
 
@@ -211,18 +240,19 @@ def simhash_dedup(docs: DataFrame, shingle_words: int = 4, distance: int = 4) ->
     are linked like any others.  ``component_id`` is the smallest ``doc_id``
     among all rows reachable by links (null only if all of them are null).
     ``kept`` marks the row with that id (of several with it, the smallest
-    SHA-256 of the text; rows that repeat it are marked too).  Repeated rows
-    give repeated results; an empty table gives none; other columns are not read.
+    SHA-256 of the text; rows that repeat it are marked too).  Texts may have any
+    length.  Repeated rows give repeated results; an empty table gives none; other columns are not read.
     """
     rows = settled(fingerprints(docs, shingle_words))
     # smallest id first, nulls after all ids
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_sha256")
     prints = settled(rows.groupBy("fp").agg(F.min(first).alias("low")))
     roots = components(linked_prints(prints, distance))
-    of_print = (prints.join(roots, prints.fp == roots.node, "left")
-                .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    lowest = of_print.groupBy("root").agg(F.min("low").alias("lowest"))
-    labels = of_print.join(lowest, "root").select("fp", "lowest")
+    of_print = settled(prints.join(roots, prints.fp == roots.node, "left").select("fp", "low", "root"))
+    # one row per component of two or more, counted map-side; a component of any size is joined with it
+    lowest = small(settled(of_print.where("root is not null").groupBy("root").agg(F.min("low").alias("lowest"))))
+    labels = (of_print.where("root is not null").join(lowest, "root").select("fp", "lowest")
+              .unionByName(of_print.where("root is null").select("fp", F.col("low").alias("lowest"))))
     return rows.join(settled(labels), "fp").select(
         "doc_id", "text_sha256", "fp", F.col("lowest.doc_id").alias("component_id"),
         first.eqNullSafe(F.col("lowest")).alias("kept"))

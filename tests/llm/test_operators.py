@@ -146,6 +146,38 @@ def test_links_between_random_and_crowded_prints(spark):
 
 # -- embeddings ----------------------------------------------------------------
 
+
+def test_keys_take_more_bands_of_more_prints():
+    assert [simhash.agreeing_bands(n, 4) for n in (0, 1000, 1 << 20, 1 << 27, 1 << 34)] == [2, 2, 2, 3, 4]
+    for n in (1 << 30, 1 << 40):
+        assert n / 2 ** (64 * simhash.agreeing_bands(n, 4) // (4 + simhash.agreeing_bands(n, 4))) < 32
+
+
+@pytest.mark.parametrize("bands", [2, 3])
+def test_a_crowd_of_near_prints_is_split_over_keys(spark, monkeypatch, bands):
+    monkeypatch.setattr(simhash, "GROUP", 500)
+    monkeypatch.setattr(simhash, "agreeing_bands", lambda rows, distance: bands)
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63)
+    flips = np.array([np.bitwise_or.reduce(np.int64(1) << rng.choice(62, k, replace=False)) for k in rng.integers(0, 5, 6000)])
+    near = np.unique(base ^ flips)
+    far = rng.integers(0, 1 << 63, 3000)
+    prints = spark.createDataFrame([(int(x),) for x in np.unique(np.concatenate([near, far]))], "fp long")
+    sizes = [r["count"] for r in simhash.routed(prints, 4).groupBy("key").count().collect()]
+    assert max(sizes) <= 2.6 * 500
+    links = simhash.linked_prints(prints, 4).collect()
+    number = {int(x): i for i, x in enumerate(near)}
+    group = _groups(len(near), [(number[r["a"]], number[r["b"]]) for r in links if r["a"] in number and r["b"] in number])
+    apart = np.bitwise_count(near[:, None] ^ near[None, :]) <= 4
+    todo, seen = [0], {0}
+    while todo:  # all that the first reaches by links of 4 bits
+        for j in np.flatnonzero(apart[todo.pop()]).tolist():
+            if j not in seen:
+                seen.add(j)
+                todo.append(j)
+    assert {i for i, g in enumerate(group) if g == group[0]} == seen and len(seen) > 3000
+
+
 def test_embedding_dedup(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(60, 16))
@@ -271,6 +303,21 @@ def test_tokenizer_words_equal_whole_texts():
     assert [p.tolist() for p in parts] == [plain.encode(t, add_special_tokens=False).ids for t in texts[1:]]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_packing_takes_any_tokenizer(spark, docs, pairs, name):
+    path = vocabulary(name)
+    own = packing.WordTokenizer.of(path)
+    assert own.folded == own.by_words == (name == "word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    cased = [(i, t) for i, t in pairs if i is not None and i not in (2, 11)] + [(900, "ABC, Abc. abc!  \n X."), (901, "A.\u0301")]
+    found = {}
+    for p in packing.pack(frame(spark, cased), path, end_id=1).collect():
+        found.setdefault(p["doc_id"], []).append((p["start"], struct.unpack(f"<{p['length']}I", p["ids"])))
+    for i, t in cased:
+        assert sum((x for _, x in sorted(found[i])), ()) == (*plain.encode(t or "", add_special_tokens=False).ids, 1)
+
+
 def test_fill_is_the_best_subset():
     rng = random.Random(6)
     for _ in range(200):
@@ -523,20 +570,21 @@ def test_url_rules(spark):
 def _entropy_spans(text):
     out = []
     for m in re.finditer("[A-Za-z0-9+/_=]{20,}", text):
-        c = m[0]
-        if any(re.search(p, c) for p in secrets.ALLOW):
+        if re.search("^[0-9]+$", m[0]):
             continue
-        bits = next(b for _, p, b in secrets.CLASSES if not p or re.search(p, c))
-        runs = []
-        for i in range(len(c) - secrets.WINDOW + 1):
-            part = c[i:i + secrets.WINDOW]
-            p = np.array([part.count(x) for x in set(part)]) / secrets.WINDOW
-            if -(p * np.log2(p)).sum() >= bits - 1e-12:
-                if runs and runs[-1][1] >= m.start() + i:
-                    runs[-1][1] = m.start() + i + secrets.WINDOW
-                else:
-                    runs.append([m.start() + i, m.start() + i + secrets.WINDOW])
-        out += [(a, 3, b, "entropy") for a, b in runs]
+        bits = next(b for _, p, b in secrets.CLASSES if not p or re.search(p, m[0]))
+        edges = [0, *(x for k in re.finditer(secrets.ALLOW_PART, m[0]) for x in k.span()), len(m[0])]
+        for a, b in zip(edges[::2], edges[1::2], strict=True):
+            runs = []
+            for i in range(a, b - secrets.WINDOW + 1):
+                part = m[0][i:i + secrets.WINDOW]
+                p = np.array([part.count(x) for x in set(part)]) / secrets.WINDOW
+                if -(p * np.log2(p)).sum() >= bits - 1e-12:
+                    if runs and runs[-1][1] >= m.start() + i:
+                        runs[-1][1] = m.start() + i + secrets.WINDOW
+                    else:
+                        runs.append([m.start() + i, m.start() + i + secrets.WINDOW])
+            out += [(x, 3, y, "entropy") for x, y in runs]
     return out
 
 
@@ -591,36 +639,16 @@ def test_redaction(spark, leaks, no_docs):
 
 
 def test_secrets_beside_allowed_strings(spark, leaks):
-    def plain(text):
-        out = []
-        for m in re.finditer("[A-Za-z0-9+/_=]{20,}", text):
-            if re.search("^[0-9]+$", m[0]):
-                continue
-            bits = next(b for _, p, b in secrets.CLASSES if not p or re.search(p, m[0]))
-            edges = [0, *(x for k in re.finditer(secrets.ALLOW_PART, m[0]) for x in k.span()), len(m[0])]
-            for a, b in zip(edges[::2], edges[1::2], strict=True):
-                runs = []
-                for i in range(a, b - secrets.WINDOW + 1):
-                    part = m[0][i:i + secrets.WINDOW]
-                    p = np.array([part.count(x) for x in set(part)]) / secrets.WINDOW
-                    if -(p * np.log2(p)).sum() >= bits - 1e-12:
-                        if runs and runs[-1][1] >= m.start() + i:
-                            runs[-1][1] = m.start() + i + secrets.WINDOW
-                        else:
-                            runs.append([m.start() + i, m.start() + i + secrets.WINDOW])
-                out += [(x, 3, y, "entropy") for x, y in runs]
-        return out
-
     rng = random.Random(41)
     key = "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(400))
     texts = ["see b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAB" + key, "/sample/" + key[:40], key[:30] + "dummy",
              "sample_dummy_example", "123456789" * 4, key + "A" * 9 + key + "qwerty" + key[:19]] + [t or "" for t in leaks]
     df = frame(spark, enumerate(texts))
-    got = {r["_row"]["doc_id"]: [tuple(s) for s in r["_added"]] for r in secrets.secret_spans(df, parts=True).collect()}
+    got = {r["_row"]["doc_id"]: [tuple(s) for s in r["_added"]] for r in secrets.secret_spans(df).collect()}
     for i, t in enumerate(texts):
-        assert got[i] == sorted(plain(t)), t
+        assert got[i] == sorted(_entropy_spans(t)), t
     assert all(got[i] for i in (0, 1, 2, 5)) and not got[3] and not got[4]
-    assert "Python" not in secrets.redact(df, parts=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in secrets.redact(df)._jdf.queryExecution().executedPlan().toString()
     from corpus_pipeline import secret_stage
     masked = {r["doc_id"]: r["text"] for r in secret_stage(spark, df, "").collect()}
     assert key[:40] not in masked[1] and key[200:240] not in masked[0]

@@ -17,7 +17,7 @@ def test_names_and_guard():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "SimHash near-dedup", "secret scans", "packing"]
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(queries.oracle_sql()) <= set(names)
 
 
