@@ -458,6 +458,16 @@ def publish(
             return
 
 
+def version_folders(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Folders of the published version of a table: for SCD2 tables that of the open rows, then those of closed ones."""
+    newest = _newest(spark, root)[1]
+    version = newest["versions"][table]
+    if table not in SCD2_TABLES:
+        return [version_path(root, table, version)]
+    return [f"{root}/{table}/current/v{version:06d}",
+            *(f"{root}/{table}/closed/run={r}" for r in newest["closed"].get(table, [[]])[-1])]
+
+
 def read_version(
     spark: SparkSession, root: str, table: str, version: int, schema: T.StructType
 ) -> DataFrame:

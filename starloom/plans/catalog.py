@@ -8,6 +8,7 @@ the staged tables (``starloom.sources.staging``) by the library operators.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import threading
 from collections.abc import Callable
 
@@ -44,6 +45,7 @@ from starloom.operators.load import (
     read_published,
     table_counts,
     upsert_dim_project,
+    version_folders,
     write_operational,
     write_scd2_unpublished,
 )
@@ -52,8 +54,9 @@ from starloom.plans import reports
 from starloom.plans.etl import run_etl, warehouse_tables
 from starloom.plans.warehouse import Warehouse, build_warehouse
 from starloom.sources.breaks import with_broken_rules
+from starloom.sources.csv import read_raw_snapshot
 from starloom.sources.staging import AS_OF, DIM_CUTOFF, OLTP, PREVIOUS_DATES_BEFORE, Staging
-from starloom.sources.tables import TableSource, employees_with_department
+from starloom.sources.tables import TableSource, employees_with_department, register_database, run_sql
 
 
 _PUBLISHED: dict[tuple[str, str], dict[str, DataFrame]] = {}
@@ -137,6 +140,20 @@ def _changed(s: Scenario, name: str, schema=None) -> DataFrame:
     return read_published(s.spark, _changed_store(s), name, schema or schemas.SCHEMAS[name])
 
 
+def _across_databases(s: Scenario) -> DataFrame:
+    """Operational staff beside their open dimension rows, as SQL over registered databases."""
+    s.published()
+    root = f"{s.st.store_root}/databases"
+    oltp, olap = (re.sub(r"\W", "_", f"starloom_{kind}_{s.st.sf_dir}") for kind in ("oltp", "olap"))
+    register_database(s.spark, oltp, {"employees": f"{s.st.oltp_root}/employees"}, f"{root}/oltp")
+    at = version_folders(s.spark, f"{s.st.store_root}/warehouse", "dim_employee")
+    register_database(s.spark, olap, {"dim_employee": at[0]}, f"{root}/olap")
+    return run_sql(s.spark, f"""
+        SELECT e.employee_id, d.employee_key, d.role, e.current_salary
+        FROM {oltp}.employees e JOIN {olap}.dim_employee d ON d.employee_id = e.employee_id
+        WHERE e.current_salary > :least""", least=LEAST_SALARY)
+
+
 class _LazyTables(dict):
     """Mapping of staged operational tables, each built on first access."""
 
@@ -175,6 +192,8 @@ STAGED_LADDERS: dict[str, list[str]] = {
 LATER = dt.date(2000, 6, 1)
 # Names compared without case, accents and trailing blanks.
 COLLATION = "UNICODE_CI_AI_RTRIM"
+# A parameter of the statement over two databases.
+LEAST_SALARY = 200_000
 # Parameters of the reports on one employee and one department.
 ONE_EMPLOYEE = 7
 ONE_DEPARTMENT = "NATION_3"
@@ -241,6 +260,11 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     ),
     "departments_from_snapshot": lambda s: departments_from_snapshot(
         clean_raw_snapshot(s.st["raw_snapshot"])),
+    # the same through a text file and the check of its columns
+    "clean_employees_from_csv": lambda s: employees_from_snapshot(
+        clean_raw_snapshot(read_raw_snapshot(s.spark, s.st.raw_snapshot_csv())), AS_OF),
+    # one statement with a named parameter over tables of two databases
+    "salaries_across_databases": lambda s: _across_databases(s),
     "hire_date_backcast": lambda s: employees_from_snapshot(
         clean_raw_snapshot(s.st["raw_snapshot"]), AS_OF
     ).select("employee_id", "hire_date"),

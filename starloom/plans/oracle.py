@@ -563,6 +563,11 @@ FINAL: dict[str, str] = {
     "employees_enriched": "select * from employees_x",
     "attrition_snapshot": "select * from attrition",
     "clean_employees": "select * from clean_employees",
+    "clean_employees_from_csv": "select * from clean_employees",
+    "salaries_across_databases": """
+select e.employee_id, d.employee_key, d.role, e.current_salary
+from employees e join dim_employee d on d.employee_id = e.employee_id and d.is_current
+where e.current_salary > 200000""",
     "hire_date_backcast": "select employee_id, hire_date from clean_employees",
     "resolve_lookups": """
 select r.request_id, r.dept_name, r.project_name, d.dept_id, p.project_id

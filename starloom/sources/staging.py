@@ -91,13 +91,20 @@ class Staging:
 
     def attrition_csv(self) -> str:
         """The snapshot as a CSV file with a header, written once per session."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, "attrition_csv")
-        if key not in _WRITTEN:
-            path = f"{self.store_root}/attrition_csv"
-            self["attrition_raw"].write.mode("overwrite").option(
-                "header", True
-            ).csv(path)
-            _WRITTEN[key] = path
+        return self._csv("attrition_csv", "attrition_raw")
+
+    def raw_snapshot_csv(self) -> str:
+        """The raw ingest rows as a CSV file with a header, written once per session."""
+        return self._csv("raw_snapshot_csv", "raw_snapshot")
+
+    def _csv(self, folder: str, table: str) -> str:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, folder)
+        with _LOCKS.setdefault(key, threading.Lock()):
+            if key not in _WRITTEN:
+                path = f"{self.store_root}/{folder}"
+                self[table].write.mode("overwrite").option("header", True).option(
+                    "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+                _WRITTEN[key] = path
         return _WRITTEN[key]
 
     def raw(self, name: str) -> DataFrame:

@@ -218,13 +218,18 @@ def run_sql(spark: SparkSession, query: str, **params) -> DataFrame:
     return spark.sql(query, args=params or None)
 
 
-def register_database(spark: SparkSession, database: str, tables: Mapping[str, str]) -> None:
+def register_database(
+    spark: SparkSession, database: str, tables: Mapping[str, str], location: str | None = None
+) -> None:
     """Expose parquet folders as ``database.table`` in the session catalog.
 
     Two databases (operational and star schema) can then be joined in one SQL
-    statement, as the reports do across them.
+    statement, as the reports do across them.  ``location`` is the database's own
+    folder (default: under the session's warehouse folder); the tables stay
+    where they are.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
     for name, path in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{path}'")

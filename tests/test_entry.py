@@ -20,3 +20,9 @@ def test_without_the_subpackage_the_rest_is_listed():
     assert "tenure_ranking" in names and not any(n.startswith("op") for n in names if n[2:3].isdigit())
     assert _names("sys.modules['corpus_pipeline'] = None") == names
     assert set(names) <= set(_names("pass"))
+
+
+def test_a_library_that_only_the_subpackage_needs_may_be_missing():
+    names = _names("sys.modules['starloom.llm'] = None")
+    for library in ("xxhash", "regex", "sentencepiece", "tokenizers", "public_tokenizers"):
+        assert _names(f"sys.modules['{library}'] = None") == names
