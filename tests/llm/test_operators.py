@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starloom.llm import bpe, exact_dedup, packing, quality, secrets, simhash, suffix_dedup, toxicity, url_filter
+from starloom.llm import embedding_dedup as embedding_dedup_module
 from starloom.llm.embedding_dedup import embedding_dedup
 
 #: Columns whose names clash with those the operators use inside.
@@ -203,6 +204,52 @@ def test_embedding_dedup(spark):
     assert embedding_dedup(df.where("vec_id = 900")).count() == 1
 
 
+def _spread(n, dim, common, rng):
+    """``n`` unit vectors with mean cosine ``common``, and turned copies of the first ones at cosines of 0.95 to 0.97."""
+    x, axis = rng.normal(size=(n, dim)), rng.normal(size=dim)
+    x = np.sqrt(1 - common) * x / np.linalg.norm(x, axis=1, keepdims=True) + np.sqrt(common) * axis / np.linalg.norm(axis)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x[:n // 10]
+    turn = rng.normal(size=near.shape)
+    turn -= (turn * near).sum(axis=1, keepdims=True) * near
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    cosine = rng.uniform(0.95, 0.97, (len(near), 1))
+    return np.vstack([x, cosine * near + np.sqrt(1 - cosine ** 2) * turn])
+
+
+def _vectors(spark, x):
+    return spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("common", [0.0, 0.7])
+def test_embeddings_with_a_common_direction_are_told_apart(spark, monkeypatch, common):
+    rng, verified, plain = np.random.default_rng(4), [], embedding_dedup_module._with_cosine
+
+    def counted(pairs, *names):
+        found = embedding_dedup_module.settled(pairs)
+        if names == ("unit", "other"):
+            verified.append(found.count())
+        return plain(found, *names)
+
+    monkeypatch.setattr(embedding_dedup_module, "_with_cosine", counted)
+    sizes = (800, 3200)
+    for n in sizes:
+        x = _spread(n, 48, common, rng)
+        linked = np.triu(x @ x.T >= 0.95, 1)
+        got = embedding_dedup(_vectors(spark, x)).agg(F.sum("n_links")).first()[0] / 2
+        assert 0.95 * linked.sum() <= got <= linked.sum() and linked.sum() >= n // 10
+    assert verified[1] <= 0.03 * (1.1 * sizes[1]) ** 2 / 2  # of all pairs
+    assert all(pairs <= 30 * 1.1 * n for pairs, n in zip(verified, sizes, strict=True))  # a few for each vector
+
+
+def test_long_lists_are_dealt_by_blocks_and_one_list_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup_module, "LIST", 40)
+    x = _spread(300, 8, 0.0, np.random.default_rng(6))
+    linked = x @ x.T >= 0.95
+    exact = embedding_dedup(_vectors(spark, x), pivots=1, how=embedding_dedup_module.Description(1, 1, 1)).collect()
+    assert {r["vec_id"]: r["n_links"] for r in exact} == dict(enumerate((linked.sum(axis=1) - 1).tolist()))
+
+
 # -- tokens --------------------------------------------------------------------
 
 RANKS = vocabulary("byte_bpe_50k.tiktoken")
