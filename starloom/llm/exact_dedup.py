@@ -149,7 +149,8 @@ def exact_dedup(docs: DataFrame, owners: int | None = None) -> DataFrame:
     Rows are copies when their texts are identical byte for byte; null counts
     as the empty text, so null and empty texts form one group.  Of a group the
     row with the largest ``doc_id`` stays (null ids only if all are null; of
-    repeated rows with that id exactly one).  An empty table gives no rows.
+    repeated rows with that id exactly one).  Texts may have any length: only
+    suspects' texts are shuffled.  An empty table gives no rows.
     Other columns, whatever their names, are not read.
     """
     text = whole_text()

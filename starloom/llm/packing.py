@@ -226,8 +226,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     unsigned 32-bit numbers.
 
     ``tokenizer`` is the path, on every node, of a vocabulary of the tokenizers
-    library that normalises and splits text without looking across ASCII white
-    space.  A document is its ids, without special tokens, and ``end_id``; null
+    library; how it treats white space, case and punctuation is probed
+    (``WordTokenizer``).  Texts may have any length; an empty table gives no rows
+    and other columns are not read.  A document is its ids, without special tokens, and ``end_id``; null
     and empty texts are ``end_id`` alone.  Each id lies in one piece, and a
     sequence's offsets have no gap.  Sequences are meant to be padded to
     ``capacity`` unless their length is a power of two.  Repeated rows are

@@ -429,7 +429,9 @@ def repeated_strings(docs: DataFrame, width: int = 200) -> DataFrame:
     on the input.  ``spans`` has the maximal removed runs ``(start, end)`` and
     ``kept_sha256`` is of the remaining bytes.  Null and empty texts, and those
     shorter than ``width``, lose nothing; repeated rows are repeats of each
-    other.  An empty table gives no rows; other columns are not read.
+    other.  Texts may have any length: they are scanned in place, and runs of
+    bounded length are sorted.  An empty table gives no rows; other columns are
+    not read.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -357,7 +357,10 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, usable: Column | None = N
 def toxicity(docs: DataFrame, model: bytes) -> DataFrame:
     """``docs`` as ``_row`` with ``_score``: the highest probability, over all windows, of being toxic.
 
-    Null texts, and texts without words, score 0.  No column but ``text`` is read.
+    Null texts, and texts without words, score 0.  Texts may have any length: all
+    their windows count, and those of one text are in memory together (some
+    hundred bytes a word).  Repeated rows are scored one by one, an empty table
+    gives no rows, and no column but ``text`` is read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -280,3 +280,14 @@ def test_pipeline(spark, folder):
 def test_new_queries_are_tested_beside_their_operators():
     names = [re.match(r"op(\d+)_", n) for n in queries.queries()]
     assert sorted(int(m[1]) for m in names if m) == list(range(1, 14))
+
+
+@pytest.mark.parametrize("name", ["quality classifier", "exact dedup", "SimHash near-dedup", "secret scans"])
+def test_stages_carry_all_columns(spark, folder, name):
+    at, _, _ = folder
+    docs, stage = spark.read.parquet(f"{at}/documents.parquet"), dict(corpus_pipeline.STAGES)[name]
+    out = stage(spark, docs, at)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    same = [c for c in docs.columns if name != "secret scans" or c not in ("text", "n_chars")]
+    assert out.select(same).exceptAll(docs.select(same)).count() == 0 and out.count() > 0
+    assert stage(spark, docs.where("false"), at).count() == 0
