@@ -26,32 +26,53 @@ QUALITY = 0.7
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score at least ``QUALITY``; null and empty texts are scored by the bias."""
+    """Documents that score at least ``QUALITY``, whatever their length; null texts count as empty ones.
+
+    A score of exactly ``QUALITY`` stays.  Repeated rows stay or go together; an empty table gives no
+    rows.  Columns of any name are carried through as they are.
+    """
     kept = score(docs, quality_model(docs, table(spark, sf_dir, "labels"))).where(F.col("_score") >= QUALITY)
     return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal byte for byte, the document with the largest doc_id."""
+    """Of texts that are equal byte for byte, the document with the largest doc_id.
+
+    Null and empty texts are one group; a null id stays only where all are null, and of rows with one id
+    and text one.  Texts may have any length; an empty table gives no rows.  Columns of any name stay.
+    """
     found = exact_dedup(docs).groupBy("doc_id", "text_sha256").agg(
         F.count("*").alias("n_rows"), F.max("kept").alias("keep"))
     return retain(docs, {"doc_id": F.col("doc_id"), "text_sha256": F.sha2(whole_text(), 256)}, settled(found))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents joined by links of 4-word SimHash within 4 bits, the one with the smallest doc_id."""
+    """Of documents joined by links of 4-word SimHash within 4 bits, the one with the smallest doc_id.
+
+    Texts without words, null ones too, have fingerprint 0 and are one group; a null id stays only where
+    all are null; of rows with one id the text with the smallest SHA-256 stays, and of repeated rows one.
+    Texts may have any length; an empty table gives no rows.  Columns of any name stay.
+    """
     found = simhash_dedup(docs, shingle_words=4, distance=4).groupBy("doc_id", "text_sha256").agg(
         F.count("*").alias("n_rows"), F.max("kept").alias("keep"))
     return retain(docs, {"doc_id": F.col("doc_id"), "text_sha256": F.sha2(whole_text(), 256)}, settled(found))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in their texts masked."""
+    """All documents, with the secrets in their texts masked and ``n_chars`` of those counted anew.
+
+    Null texts stay null, repeated rows stay, an empty table gives no rows.  Overlapping spans become one
+    mask.  Texts may have any length; all other columns stay as they are.
+    """
     return redact(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' ids in sequences of 2048."""
+    """Pieces of the documents' ids in sequences of 2048.
+
+    Null and empty texts are the end id alone; repeated rows are packed one by one; texts of any length
+    are cut into pieces; an empty table gives no rows.  Only ``doc_id`` and ``text`` are read.
+    """
     pieces = pack(docs, vocabulary("word_bpe_49k.json"), capacity=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", ids_crc32(F.col("ids")).alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
