@@ -278,10 +278,23 @@ def _named(pair: _Pair, flat: list[np.ndarray], group: list[np.ndarray], counts:
     return out
 
 
-def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    ends = np.concatenate([[0], np.cumsum(list(map(len, parts)))])
-    flat = np.concatenate(parts) if parts else np.empty(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(kind.to_pandas_dtype()), kind))
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers in as few bytes as the largest needs, behind a byte that says how many."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    """The numbers of all rows, one row after another."""
+    rows = [np.frombuffer(r, np.dtype(f"u{r[0]}"), offset=1) for r in column.to_pylist()]
+    return np.concatenate(rows).astype(np.int64) if rows else np.empty(0, np.int64)
+
+
+def _numbers(parts: list[np.ndarray]) -> pa.Array:
+    """Lists of 32-bit numbers as binary."""
+    ends = np.concatenate([[0], np.cumsum(list(map(len, parts)))]) * 4
+    data = np.concatenate(parts).astype("<i4") if parts else np.empty(0, "<i4")
+    return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
 
 
 def _emit(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
@@ -289,12 +302,8 @@ def _emit(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
         [columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _slices(n: int) -> Iterator[slice]:
-    yield from (slice(lo, lo + LIST) for lo in range(0, n, LIST))
-
-
 def _block_rows(block: _Block, number: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows of three kinds: a document with its pieces; pairs with their documents; entries of pieces by pairs."""
+    """Rows of three kinds: a document with its pieces; pairs with their documents; rows of pieces by pairs."""
     n = len(block.ids)
     if not n:
         return
@@ -318,20 +327,20 @@ def _block_rows(block: _Block, number: int, schema: pa.Schema) -> Iterator[pa.Re
                  for d in docs]
         yield _emit(schema, hi - lo, block=pa.array([number] * (hi - lo), pa.int64()),
                     doc_id=pa.array(block.ids[lo:hi], schema.field("doc_id").type),
-                    groups_sha256=pa.array(shown), pieces=_lists(docs, pa.int32()),
+                    groups_sha256=pa.array(shown), pieces=_numbers(docs),
                     **{name: pa.array(held.times(of)) for name, of in zip(_STATS, stats, strict=True)})
         lo = hi
-    for at in _slices(len(pairs)):
-        yield _emit(schema, 1, block=pa.array([number], pa.int64()), pair=_lists([pairs[at]], pa.int64()),
-                    n_docs=_lists([in_docs[at]], pa.int32()))
-    rows = np.repeat(np.arange(len(p.starts) - 1), np.diff(p.starts))
-    for at in _slices(len(rows)):
-        yield _emit(schema, 1, block=pa.array([number], pa.int64()), piece=_lists([rows[at]], pa.int32()),
-                    column=_lists([pairs[p.columns[at]]], pa.int64()), times=_lists([p.values[at]], pa.int64()))
-
-
-def _values(table: pa.Table, name: str) -> np.ndarray:
-    return table[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    one = pa.array([number], pa.int64())
+    for lo in range(0, len(pairs), LIST):
+        at = slice(lo, lo + LIST)
+        yield _emit(schema, 1, block=one, pair=pa.array([pairs[at]], pa.list_(pa.int64())),
+                    n_docs=pa.array([in_docs[at]], pa.list_(pa.int32())))
+    for lo in range(0, len(p.starts) - 1, LIST):
+        starts = p.starts[lo:lo + LIST + 1]
+        at = slice(starts[0], starts[-1])
+        yield _emit(schema, 1, block=one, first=pa.array([lo], pa.int32()), **{
+            name: pa.array([_packed(part)], pa.binary())
+            for name, part in (("sizes", np.diff(starts)), ("columns", p.columns[at]), ("times", p.values[at]))})
 
 
 def token_alignment(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -354,13 +363,13 @@ def token_alignment(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType
     numbers = "".join(f", {name} long" for name in _STATS)
-    ddl = (f"block long, doc_id {kind.simpleString()}{numbers}, groups_sha256 string, pieces array<int>, "
-           "pair array<long>, n_docs array<int>, piece array<int>, column array<long>, times array<long>")
+    ddl = (f"block long, doc_id {kind.simpleString()}{numbers}, groups_sha256 string, pieces binary, "
+           "pair array<long>, n_docs array<int>, first int, sizes binary, columns binary, times binary")
     doc_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]
-    lists = {"pieces": pa.int32(), "pair": pa.int64(), "n_docs": pa.int32(), "piece": pa.int32(),
-             "column": pa.int64(), "times": pa.int64()}
     schema = pa.schema([("block", pa.int64()), ("doc_id", doc_type), *[(name, pa.int64()) for name in _STATS],
-                        ("groups_sha256", pa.string()), *[(n, pa.list_(t)) for n, t in lists.items()]])
+                        ("groups_sha256", pa.string()), ("pieces", pa.binary()), ("pair", pa.list_(pa.int64())),
+                        ("n_docs", pa.list_(pa.int32())), ("first", pa.int32()),
+                        *[(name, pa.binary()) for name in ("sizes", "columns", "times")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, number = _Pair.of(a_path, b_path), TaskContext.get().partitionId() << 32
@@ -386,19 +395,22 @@ def token_alignment(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         """One block: its documents and pieces on the left, its pairs' totals on the right."""
         is_doc = pc.is_valid(left["pieces"])
         mine, entries = left.filter(is_doc), left.filter(pc.invert(is_doc))
-        pairs = right["pair"].to_numpy()
-        order = np.argsort(pairs)
-        at = order[np.searchsorted(pairs[order], _values(entries, "column"))] if len(pairs) else np.empty(0, np.int64)
-        piece, times = _values(entries, "piece"), _values(entries, "times")
-        count, best = right["count"].to_numpy()[at], right["best"].to_numpy()[at].astype(np.int64)
+        # a block's columns are its pairs in ascending order, and so are their totals
+        at = np.argsort(right["pair"].to_numpy())[_unpacked(entries["columns"])]
+        times, sizes = _unpacked(entries["times"]), _unpacked(entries["sizes"])
+        pieces = [np.arange(lo, lo + (len(r) - 1) // r[0]) for lo, r in zip(
+            entries["first"].to_pylist(), entries["sizes"].to_pylist(), strict=True)]
+        piece = np.repeat(np.concatenate(pieces) if pieces else sizes, sizes)
+        count, best = right["count"].to_numpy()[at], right["best"].to_numpy(zero_copy_only=False)[at].astype(np.int64)
         height = int(piece.max()) + 1 if len(piece) else 1
         of_piece = []
         for value in (best, count):
             sums = np.zeros(height, np.int64)
             np.add.at(sums, piece, times * value)
             of_piece.append(sums)
-        n = pc.list_value_length(mine["pieces"]).to_numpy().astype(np.int64)
-        flat = _values(mine, "pieces")
+        lists = mine["pieces"].to_pylist()
+        n = np.array(list(map(len, lists)), np.int64) // 4
+        flat = np.frombuffer(b"".join(lists), "<i4")
         held = Csr(np.concatenate([[0], np.cumsum(n)]), flat, np.ones(len(flat), np.int64), height)
         shown = mine.select(["doc_id", *_STATS, "groups_sha256"])
         return shown.append_column("n_best", pa.array(held.times(of_piece[0]))).append_column(
