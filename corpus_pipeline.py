@@ -19,7 +19,7 @@ from starloom.llm.packing import ids_crc32, pack
 from starloom.llm.quality import quality_model, score
 from starloom.llm.secrets import redact
 from starloom.llm.simhash import simhash_dedup
-from starloom.session import checkpoint_dir
+from starloom.session import checkpoint_dir, remove_folder
 
 #: A document goes if its quality score is below this.
 QUALITY = 0.7
@@ -91,9 +91,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between them is written to the shared checkpoint folder."""
+    """All stages over ``documents``; what lies between them is written to the shared checkpoint folder.
+
+    A stage's output goes once the next one's is written; the last one's input stays, as the result reads it.
+    """
     docs, at = table(spark, sf_dir, "documents"), f"{checkpoint_dir(spark)}/pipeline-{uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{k}")
         docs = spark.read.parquet(f"{at}/{k}")
+        if k:
+            remove_folder(spark, f"{at}/{k - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)

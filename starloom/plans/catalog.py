@@ -365,6 +365,7 @@ BUILDERS: dict[str, Callable[[Scenario], DataFrame]] = {
     "monthly_attrition": lambda s: reports.monthly_attrition(
         *_star(s, "fact", "dim_employee", "dim_date"), s.st["employees"]
     ),
+    "monthly_headcount": lambda s: reports.monthly_headcount(s.published()["dim_date"], s.st["employees"]),
     "headcount_by_department": lambda s: reports.headcount_by_department(
         *_star(s, "fact", "dim_department", "dim_employee")
     ),

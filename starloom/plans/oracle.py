@@ -770,6 +770,10 @@ select strftime(closing, '%Y-%m') as report_month, staff as active_headcount,
               as decimal(12,2)) as monthly_attrition_rate_pct
 from staffed left join gone using (closing)
 where staff > 0""",
+    "monthly_headcount": """
+select d.year, d.month, d.closing as month_end,
+       (select count(distinct employee_id) from employees where hire_date <= d.closing) as active_headcount
+from (select distinct year, month, last_day(full_date) as closing from dim_date) d""",
     "headcount_by_department": """
 select dept_name, count(*) as headcount
 from (select distinct dept_name, employee_id from fact natural join dim_department

@@ -72,17 +72,15 @@ def _finish_attrition(headcount: DataFrame, attrition: DataFrame) -> DataFrame:
     )
 
 
-def monthly_attrition(
-    fact: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, employees: DataFrame
-) -> DataFrame:
-    """R2 in its scale form.
+def monthly_headcount(dim_date: DataFrame, employees: DataFrame) -> DataFrame:
+    """``year, month, month_end, active_headcount`` for every month of the calendar (the headcount part of R2).
 
     Headcount of a month = employees hired on or before its last day, never
     reduced by leavers (D10).  Instead of joining every employee to every
     month (``hire_date <= month_end``), hires are counted per month of each
     employee's earliest hire date and summed cumulatively over the month
     spine (dim_date months plus hire months).  The spine has one row per
-    calendar month, so its single-partition running sum is bounded.  Counting
+    calendar month, so the window is small whatever the data size.  Counting
     each id once by its earliest hire keeps ``COUNT(DISTINCT employee_id)``
     exact even when an id repeats.
     """
@@ -95,31 +93,17 @@ def monthly_attrition(
     )
     spine = months.withColumn("_reported", F.lit(True)).join(hires, ["year", "month"], "full_outer")
     upto = Window.orderBy("year", "month").rowsBetween(Window.unboundedPreceding, 0)
-    headcount = spine.select(
-        "year", "month", "_reported",
+    return spine.select(
+        "year", "month", month_end("year", "month").alias("month_end"), "_reported",
         F.sum(F.coalesce(F.col("_hired"), F.lit(0))).over(upto).alias("active_headcount"),
-    ).where(F.col("_reported"))
-    return _finish_attrition(
-        headcount.drop("_reported"), _snapshot_attrition(fact, dim_employee, dim_date)
-    )
+    ).where(F.col("_reported")).drop("_reported")
 
 
-def monthly_attrition_theta(
+def monthly_attrition(
     fact: DataFrame, dim_employee: DataFrame, dim_date: DataFrame, employees: DataFrame
 ) -> DataFrame:
-    """R2 literally: the ``hire_date <= month_end`` theta join.
-
-    Kept as the brute-force reference for tests; it plans a nested-loop join
-    of employees x months and is not meant for large tables.
-    """
-    months = dim_date.select("year", "month").distinct().withColumn(
-        "_end", month_end("year", "month")
-    )
-    pairs = months.join(employees.select("employee_id", "hire_date"),
-                        F.col("hire_date") <= F.col("_end"), "inner")
-    headcount = pairs.groupBy("year", "month").agg(
-        F.count_distinct("employee_id").alias("active_headcount")
-    )
+    """R2 in its scale form (R2b): leavers of the snapshot's month over the month's headcount."""
+    headcount = monthly_headcount(dim_date, employees).drop("month_end")
     return _finish_attrition(headcount, _snapshot_attrition(fact, dim_employee, dim_date))
 
 

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions.dates import month_end
 from starloom.operators.clean import prepare_attrition
 from starloom.operators.fact import build_fact
 from starloom.plans import reports
@@ -120,6 +121,14 @@ def test_headcount_by_department(spark):
     assert got == {"Sales": 3, "R&D": 1}
 
 
+def _attrition_by_theta_join(fact, dim_employee, dim_date, employees):
+    """R2 literally: employees joined to all months that end on or after their hire."""
+    months = dim_date.select("year", "month").distinct().withColumn("_end", month_end("year", "month"))
+    pairs = months.join(employees.select("employee_id", "hire_date"), F.col("hire_date") <= F.col("_end"), "inner")
+    headcount = pairs.groupBy("year", "month").agg(F.count_distinct("employee_id").alias("active_headcount"))
+    return reports._finish_attrition(headcount, reports._snapshot_attrition(fact, dim_employee, dim_date))
+
+
 def test_monthly_attrition_scale_form_equals_theta_join(spark):
     fact, de, _ = _star(spark)
     # dim_date has a gap (no February); a hire in February is still counted in March
@@ -134,7 +143,7 @@ def test_monthly_attrition_scale_form_equals_theta_join(spark):
         "employee_id long, hire_date date",
     )
     scaled = reports.monthly_attrition(fact, de, dim_date, employees)
-    theta = reports.monthly_attrition_theta(fact, de, dim_date, employees)
+    theta = _attrition_by_theta_join(fact, de, dim_date, employees)
     got = sorted(tuple(r) for r in scaled.collect())
     assert got == sorted(tuple(r) for r in theta.collect())
     assert got == [("2023-12", 2, 0, Decimal("0.00")), ("2024-01", 3, 2, Decimal("66.67")),
