@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 #: Text that is turned to features at a time, and words a Python worker remembers.
 BLOCK_BYTES = 1 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Shares are scaled so that typical weights are about 1.
 SCALE = 16.0
 
