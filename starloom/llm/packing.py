@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 #: A block ends at this many documents or bytes of text.
 BLOCK_DOCS = 8192
 BLOCK_BYTES = 6 << 20
+#: Text that is tokenised at a time.
+SLICE_BYTES = 2 << 20
 #: Distinct words whose ids a Python worker remembers.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 #: Texts with combining marks are tokenised as they are.
@@ -264,7 +266,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
             sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
             at = 0
             while at < batch.num_rows:
-                room = np.cumsum(sizes[at:]) <= BLOCK_BYTES - n_bytes
+                room = np.cumsum(sizes[at:at + BLOCK_DOCS]) <= min(SLICE_BYTES, BLOCK_BYTES - n_bytes)
                 take = int(min(max(room.sum(), 1), BLOCK_DOCS - n_docs))
                 ids, ends = tokens(batch.column(1).slice(at, take))
                 keys.append(batch.column(0).slice(at, take))
