@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 BLOCK_DOCS = 8192
 BLOCK_BYTES = 6 << 20
 #: Text that is tokenised at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 3 << 20
 #: Distinct words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 
 #: Texts with combining marks are tokenised as they are.
