@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 BLOCK_DOCS = 8192
 BLOCK_BYTES = 6 << 20
 #: Text that is tokenised at a time.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = BLOCK_BYTES
 #: Distinct words whose ids a Python worker remembers.
 CACHE_WORDS = 600_000
 
@@ -119,9 +119,9 @@ class WordTokenizer:
         return pa.array([t if m else p for t, m, p in zip(
             texts.to_pylist(), marked, plain.to_pylist(), strict=True)], pa.large_string())
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: pa.Array, cache_words: int = CACHE_WORDS) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids end."""
-        if len(self.places) > CACHE_WORDS:
+        if len(self.places) > cache_words:
             self._forget()
         texts = texts.cast(pa.large_string())
         texts = pa.concat_arrays([texts, texts.slice(0, 0)])  # a copy: ascii_lower misreads sliced arrays
@@ -222,7 +222,7 @@ def _pack_block(ends: np.ndarray, capacity: int, max_padding: int) -> tuple[np.n
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
-         max_padding: int = 32) -> DataFrame:
+         max_padding: int = 32, slice_bytes: int = SLICE_BYTES, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Pieces of all rows of ``docs(doc_id, text, …)``:
     ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``, ids as little-endian
     unsigned 32-bit numbers.
@@ -236,6 +236,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     ``capacity`` unless their length is a power of two.  Repeated rows are
     separate documents.  Sequence ids are unique and follow from the input
     partition, the block and the place, so a repeated task gives them again.
+    Smaller ``slice_bytes`` and ``cache_words`` take less memory and more time;
+    the result is the same.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part, block = WordTokenizer.of(tokenizer), TaskContext.get().partitionId(), 0
@@ -266,9 +268,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
             sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
             at = 0
             while at < batch.num_rows:
-                room = np.cumsum(sizes[at:at + BLOCK_DOCS]) <= min(SLICE_BYTES, BLOCK_BYTES - n_bytes)
+                room = np.cumsum(sizes[at:at + BLOCK_DOCS]) <= min(slice_bytes, BLOCK_BYTES - n_bytes)
                 take = int(min(max(room.sum(), 1), BLOCK_DOCS - n_docs))
-                ids, ends = tokens(batch.column(1).slice(at, take))
+                ids, ends = tokens(batch.column(1).slice(at, take), cache_words)
                 keys.append(batch.column(0).slice(at, take))
                 held.append(np.insert(ids, ends, -1))
                 n_docs, n_bytes, at = n_docs + take, n_bytes + int(sizes[at:at + take].sum()), at + take
