@@ -73,7 +73,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null and empty texts are the end id alone; repeated rows are packed one by one; texts of any length
     are cut into pieces; an empty table gives no rows.  Only ``doc_id`` and ``text`` are read.
     """
-    pieces = pack(docs, vocabulary("word_bpe_49k.json"), capacity=2048, end_id=1)
+    pieces = pack(docs, vocabulary("word_bpe_49k.json"), capacity=2048, end_id=1,
+                  slice_bytes=2 << 20, cache_words=400_000)  # the stages share Python workers
     return pieces.select("doc_id", "start", "length", ids_crc32(F.col("ids")).alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
 
