@@ -7,7 +7,7 @@ equal windows meet, without shipping every suffix:
    (leftmost of equals).  Equal windows have equal names at equal places, and
    neighbouring windows mostly share theirs, so a text becomes short runs of
    windows.  A name that only one run of the corpus has can't hold a repeat.
-   In a periodic stretch the name comes again every period; windows that equal
+   (Runs that are joined, see below, count one by one.)  In a periodic stretch the name comes again every period; windows that equal
    those one period before are repeats on the spot and go no further, and other
    neighbouring runs of one name are joined, so a stretch costs its own size.
 2. The bytes of the other runs are dealt by name, identical ones combined and
@@ -75,6 +75,10 @@ class Winnower:
         A negative ``place`` marks windows that are repeats inside the text; the first
         of each kind is in a run, too.
         """
+        return self.counted_runs(texts)[:5]
+
+    def counted_runs(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        """``runs`` and, as a sixth column, how many runs each of them joins."""
         found, part, size = [], [], 0
         for i, raw in enumerate(texts):
             if len(raw) < self.width:
@@ -89,7 +93,7 @@ class Winnower:
         if part:
             found.append(self._scan(part))
         if not found:
-            return tuple(np.empty(0, np.int64) for _ in range(5))
+            return tuple(np.empty(0, np.int64) for _ in range(6))
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
     def _scan(self, parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
@@ -128,6 +132,7 @@ class Winnower:
         chain[:1] = True
         begin = first[np.maximum.accumulate(np.where(chain, np.arange(len(chain)), 0))]
         heads = np.flatnonzero(chain | (np.diff((first - begin) // self.width, prepend=0) != 0))
+        joined = np.diff(np.append(heads, len(last)))
         last = last[np.append(heads[1:], len(last)) - 1]
         part, name, place, first = (x[heads] for x in (part, name, place, first))
         shift = np.array([a for _, a, _ in parts]) - (ends - sizes)
@@ -135,7 +140,7 @@ class Winnower:
         return tuple(np.concatenate(c) for c in (
             (texts[part], texts[repeats[0]]), (name.view(np.int64), repeats[1].view(np.int64)),
             (place + shift[part], np.full(len(hi), -1)), (first + shift[part], repeats[2] + shift[repeats[0]]),
-            (last + shift[part], hi + shift[repeats[0]])))
+            (last + shift[part], hi + shift[repeats[0]]), (joined, np.ones(len(hi), np.int64))))
 
     def _again(self, data: np.ndarray, sums: np.ndarray, part: np.ndarray, name: np.ndarray,
                place: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -284,9 +289,9 @@ def _scan_runs(width: int, names_only: bool):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                text, name, place, first, last = winnow.runs(part.column(1).to_pylist())
+                text, name, place, first, last, joined = winnow.counted_runs(part.column(1).to_pylist())
                 if names_only:
-                    weight = part.column(0).to_numpy(zero_copy_only=False)[text]
+                    weight = part.column(0).to_numpy(zero_copy_only=False)[text] * joined
                     yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(weight)], ["name", "n"])
                 else:
                     yield pa.RecordBatch.from_arrays(

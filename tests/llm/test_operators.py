@@ -487,6 +487,23 @@ def test_a_periodic_stretch_costs_its_own_size():
     assert sum(last + 200 - first for place, first, last in zip(*runs[2:], strict=True) if place >= 0) <= 6 * len(lines)
 
 
+def test_repeats_close_together(spark):
+    # periodic stretches of little over a width: all their windows are neighbours under one name
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    texts = []
+    for k in range(40):
+        a, b, c = letters(40 + k % 30), letters(20 + k), letters(30)
+        stretch = (a + b) * 4 if k % 2 else (a + b + a + c) * 3
+        texts.append(letters(100) + stretch[:200 + len(a + b) + len(a + c) * (1 - k % 2) + k] + letters(100))
+    want = [_plain_spans([t.encode()])[0] for t in texts]
+    assert any(want)
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]]
+           for r in suffix_dedup.repeated_strings(frame(spark, enumerate(texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == [[tuple(s) for s in spans] for spans in want]
+
+
+
 # -- classifiers -----------------------------------------------------------------
 
 def _labelled(spark, bad, good, column):
