@@ -39,6 +39,24 @@ def test_foreign_key_orphan_and_null(spark):
     assert [(r["record_key"], r["detail"]) for r in rows] == [("11", "99")]
 
 
+def test_foreign_key_of_a_crowded_reference(spark, monkeypatch):
+    monkeypatch.setattr(quality, "CROWDED_ROWS", 3)
+    rows = [(k, 99, 1) for k in range(20)] + [(k, 98, 5) for k in range(20, 23)] + [(23, 1, 1), (24, None, 5), (24, None, 5)]
+    tables = {
+        "employees": spark.createDataFrame([(1,)], "employee_id long"),
+        "projects": spark.createDataFrame([(1,)], "project_id long"),
+        "assignments": spark.createDataFrame(rows, "assignment_id int, employee_id int, project_id int"),
+    }
+    orphans = {(r["value"][0], r["n_rows"]) for r in quality.orphaned_references(
+        tables["assignments"], tables, "assignments").collect()}
+    assert orphans == {("99", 20), ("98", 3), ("5", 5)}
+    got = sorted((r["constraint_name"], r["record_key"], r["detail"])
+                 for r in quality.foreign_key_violations(tables, "assignments").collect())
+    employee, project = "fk_assignments_employee_id", "fk_assignments_project_id"
+    assert got == sorted([(employee, str(k), "99") for k in range(20)] + [(employee, str(k), "98") for k in range(20, 23)]
+                         + [(project, str(k), "5") for k in (20, 21, 22, 24, 24)])
+
+
 def test_check_null_is_not_a_violation(spark):
     df = spark.createDataFrame(
         [(1, 1, 1, 50.0, D(2020, 1, 1), None), (2, 1, 1, 0.0, D(2020, 1, 1), D(2019, 1, 1))],
