@@ -84,6 +84,12 @@ def test_fact_attrition_flag_comes_from_snapshot(spark):
     assert {r["is_attrition_flag"] for r in fact.where("employee_key = 101").collect()} == {False}
 
 
+def test_assignments_are_streamed_past_hashed_sides(spark, capsys):
+    fact, _ = build_fact(**_frames(spark), as_of=AS_OF)
+    fact.explain()
+    assert capsys.readouterr().out.count("ShuffledHashJoin") >= 2  # not sorted: nothing of theirs can spill
+
+
 def test_missing_snapshot_date_raises(spark):
     f = _frames(spark)
     f["dim_date"] = f["dim_date"].where("date_key <> 20240101")
