@@ -201,3 +201,25 @@ def test_versioned_write_swaps_and_refuses_empty(spark, tmpdir_path):
     assert [r["k"] for r in now.collect()] == [2]
     counts = {r["table_name"]: r["row_count"] for r in table_counts({"t": now, "u": reader}).collect()}
     assert counts == {"t": 1, "u": 2}  # a reader of version 1 is unaffected by the swap
+
+
+def test_role_changes_are_judged_once(spark):
+    history = spark.createDataFrame(
+        [(1, 1, "A", 10, D(2020, 1, 1), None, True)],
+        "history_id long, employee_id long, role string, salary int, effective_start date, effective_end date, is_current boolean")
+    employees = spark.createDataFrame([(1, "A", 10)], "employee_id long, current_role string, current_salary int")
+    judged = spark.sparkContext.accumulator(0)
+
+    def seen(change_id):
+        judged.add(1)
+        return change_id
+
+    changes = spark.createDataFrame(
+        [(5, 1, "B", 20, D(2021, 1, 1)), (6, 1, "C", 30, D(2019, 1, 1)), (7, 9, "C", 30, D(2021, 1, 1))],
+        "change_id long, employee_id long, role string, salary int, effective_start date").withColumn(
+        "change_id", F.udf(seen, "long")("change_id"))
+    found = apply_role_changes(history, employees, changes, store=lambda df: df.localCheckpoint())
+    assert sorted((r["history_id"], r["role"], r["is_current"]) for r in found[0].collect()) == [(1, "A", False), (2, "B", True)]
+    assert [tuple(r) for r in found[1].collect()] == [(1, "B", 20)]
+    assert sorted(r["change_id"] for r in found[2].collect()) == [6, 7]
+    assert judged.value == 3
